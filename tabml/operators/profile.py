@@ -202,15 +202,15 @@ def target_caption(df: DataFrame, target: str | None, problem_type: str) -> str:
 
 
 def histogram(df: DataFrame, column: str, max_bins: int = fixed.MAX_BINS) -> DataFrame:
-    """`(bin, start, end, n)`: equal-width bins, empty ones kept; one bin when all values are equal."""
+    """`(bin, bin_start, bin_end, n)`: equal-width bins, empty ones kept; one bin when all values are equal."""
     values = df.select(as_number(df, column).alias("v")).where(F.col("v").isNotNull())
     stats = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")).first()
     spark = df.sparkSession
     if stats["n"] == 0:
-        return spark.createDataFrame([], "bin bigint, start double, end double, n bigint")
+        return spark.createDataFrame([], "bin bigint, bin_start double, bin_end double, n bigint")
     low, high, n = stats["low"], stats["high"], stats["n"]
     if low == high:
-        return spark.createDataFrame([(0, low, high, n)], "bin bigint, start double, end double, n bigint")
+        return spark.createDataFrame([(0, low, high, n)], "bin bigint, bin_start double, bin_end double, n bigint")
     bins = min(max_bins, max(fixed.MIN_BINS, _ceil_sqrt(n)))
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - low) / F.lit(high - low) * bins))
     counts = values.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -220,8 +220,8 @@ def histogram(df: DataFrame, column: str, max_bins: int = fixed.MAX_BINS) -> Dat
         .join(counts, "bin", "left")
         .select(
             "bin",
-            (F.lit(low) + F.lit(width) * F.col("bin")).alias("start"),
-            (F.lit(low) + F.lit(width) * (F.col("bin") + 1)).alias("end"),
+            (F.lit(low) + F.lit(width) * F.col("bin")).alias("bin_start"),
+            (F.lit(low) + F.lit(width) * (F.col("bin") + 1)).alias("bin_end"),
             F.coalesce("n", F.lit(0)).alias("n"),
         )
     )
