@@ -52,15 +52,21 @@ def squared_distance(a: Column, b: Column) -> Column:
     )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softmax(scores: Column) -> Column:
-    """Shifted by the largest score; the sum is never zero."""
-    exps = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    return normalized(exps)
+    """Shifted by the largest score; the sum is never zero. `scores` should be a plain column."""
+    exps = bound(F.array_max(scores), lambda top: F.transform(scores, lambda s: F.exp(s - top)))
+    return bound(exps, normalized)
 
 
 def normalized(weights: Column) -> Column:
     total = F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(weights, lambda w: w / F.when(total == 0, F.lit(1.0)).otherwise(total))
+    divisor = F.when(total == 0, F.lit(1.0)).otherwise(total)
+    return bound(divisor, lambda t: F.transform(weights, lambda w: w / t))
 
 
 def argmax(values: Column) -> Column:

@@ -29,6 +29,16 @@ class FittedModel(Model):
         return F.zip_with(F.col("features"), vectors.array_literal(self.importances), lambda x, w: F.abs(x) * w)
 
 
+def with_class_scores(df: DataFrame, scores: list[Column]) -> DataFrame:
+    """Add `probability` and `prediction` from one score per class.
+
+    The scores are a column of their own, so that they are computed once and by generated code.
+    """
+    scored = df.withColumn("_scores", F.array(*scores))
+    probability, prediction = vectors.softmax(F.col("_scores")), vectors.argmax(F.col("_scores"))
+    return scored.withColumns({"probability": probability, "prediction": prediction}).drop("_scores")
+
+
 def width(df: DataFrame) -> int:
     row = df.select(F.size("features")).first()
     if row is None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions import fixed, vectors
-from tabml.operators.learners.base import FittedModel, class_count, vector, width
+from tabml.operators.learners.base import FittedModel, class_count, vector, width, with_class_scores
 
 
 class BayesModel(FittedModel):
@@ -24,8 +24,7 @@ class BayesModel(FittedModel):
             vectors.gaussian_log_score(F.col("features"), p, list(m), list(v))
             for p, m, v in zip(self.priors, self.means, self.variances)
         ]
-        scored = dataset.withColumn("probability", vectors.softmax(F.array(*scores)))
-        return scored.withColumn("prediction", vectors.argmax(F.col("probability")))
+        return with_class_scores(dataset, scores)
 
     def parameters_table(self, spark) -> DataFrame:
         """`(class_index, position, prior, mean, variance)`."""

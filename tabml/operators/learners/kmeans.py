@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -19,9 +19,10 @@ def cluster_number(k: int | None) -> int:
     return min(fixed.KMEANS["k_max"], max(fixed.KMEANS["k_min"], k or fixed.KMEANS["k"]))
 
 
-def nearest_center(centers: np.ndarray) -> Column:
-    """Index of the closest centre, the lowest on ties."""
-    return vectors.argmin(F.array(*[vectors.squared_distance_to(F.col("features"), c) for c in centers]))
+def with_nearest_center(df: DataFrame, centers: np.ndarray, name: str) -> DataFrame:
+    """Add the index of the closest centre, the lowest on ties."""
+    away = F.array(*[vectors.squared_distance_to(F.col("features"), c) for c in centers])
+    return df.withColumn("_away", away).withColumn(name, vectors.argmin(F.col("_away"))).drop("_away")
 
 
 class KMeansModel(FittedModel):
@@ -32,7 +33,7 @@ class KMeansModel(FittedModel):
         self.centers = np.asarray(centers, dtype=float)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn("prediction", nearest_center(self.centers))
+        return with_nearest_center(dataset, self.centers, "prediction")
 
     def centers_table(self, spark) -> DataFrame:
         rows = [(c, j, float(v)) for c, row in enumerate(self.centers) for j, v in enumerate(row)]
@@ -62,10 +63,10 @@ def lloyd(df: DataFrame, centers: np.ndarray, rounds: int, spread: list[float])
     done = 0
     try:
         for done in range(1, rounds + 1):
-            means = data.groupBy(nearest_center(centers).cast("int").alias("c")).agg(Summarizer.mean(vector()).alias("m")).collect()
+            means = with_nearest_center(data, centers, "c").groupBy("c").agg(Summarizer.mean(vector()).alias("m")).collect()
             moved = centers.copy()
             for r in means:
-                moved[r["c"]] = r["m"].toArray()
+                moved[int(r["c"])] = r["m"].toArray()
             settled = np.array_equal(moved, centers)
             centers = moved
             if settled:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tabml.functions import fixed, vectors
-from tabml.operators.learners.base import FittedModel, class_count, vector, width
+from tabml.operators.learners.base import FittedModel, class_count, vector, width, with_class_scores
 
 
 class SoftmaxModel(FittedModel):
@@ -25,8 +25,7 @@ class SoftmaxModel(FittedModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         scores = [F.lit(float(w[0])) + vectors.dot(F.col("features"), w[1:]) for w in self.weights]
-        scored = dataset.withColumn("probability", vectors.softmax(F.array(*scores)))
-        return scored.withColumn("prediction", vectors.argmax(F.col("probability")))
+        return with_class_scores(dataset, scores)
 
     def contributions(self) -> Column:
         rows = F.array(*[vectors.array_literal(w[1:]) for w in self.weights])

@@ -16,6 +16,7 @@ from tabml.functions.values import col, quoted
 from tabml.sources.scratch import checkpointed
 
 SMALL_ROWS = 200_000
+SKETCH_ACCURACY = 10_000
 _RANGE, _BEFORE = "_range", "_before_"
 
 
@@ -77,30 +78,54 @@ def dense_positions(df: DataFrame, order: Sequence[str], name: str, small_rows:
 
 
 def exact_quantiles(
-    frequencies: DataFrame, column: str, value: str, count: str, probabilities: Sequence[float], small_rows: int | None = None
+    df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], small_rows: int | None = None
 ) -> DataFrame:
-    """Interpolated quantiles at position (n - 1) * q, from a table of distinct values with counts.
+    """`(column, quantiles ARRAY<DOUBLE>)`: values interpolated at position (n - 1) * q, NULLs ignored.
 
-    Returns `(column, quantiles ARRAY<DOUBLE>)`, one row per column with at least one value.
+    Up to `small_rows` rows the built-in exact aggregate is used, which holds all distinct values. A
+    larger table is read twice more: mergeable sketches bracket each wanted position, then the values
+    below each bracket are counted and only those inside it, a few in ten thousand, are ranked.
     """
     limit = SMALL_ROWS if small_rows is None else small_rows
     points = F.array(*[F.lit(float(p)) for p in probabilities])
-    if frequencies.limit(limit + 1).count() <= limit:
-        return frequencies.groupBy(col(column)).agg(F.percentile(col(value), points, col(count)).alias("quantiles"))
-
-    ranked = running_totals(frequencies, [column], [value], {"_upto": col(count)}, limit)
-    totals = frequencies.groupBy(col(column)).agg(F.sum(col(count)).alias("_n"))
-    # Each value covers the positions [_upto - count, _upto - 1]; keep those that hold a wanted one.
-    wanted = F.transform(points, lambda p: (F.col("_n") - 1) * p)
-    first, last = F.col("_upto") - col(count), F.col("_upto") - 1
-    hits = (
-        ranked.join(totals, column)
-        .select(col(column), col(value).alias("_v"), "_n", first.alias("_first"), last.alias("_last"), F.posexplode(wanted).alias("_q", "_pos"))
-        .where((F.col("_first") <= F.ceil("_pos")) & (F.col("_last") >= F.floor("_pos")))
+    names = list(numbers)
+    if df.limit(limit + 1).count() <= limit:
+        parts = [F.struct(F.lit(c).alias("column"), F.percentile(numbers[c], points).alias("quantiles")) for c in names]
+        return df.agg(F.array(*parts).alias("q")).select(F.inline("q")).where(F.col("quantiles").isNotNull())
+
+    margin = 2 / SKETCH_ACCURACY
+    edges = F.array(*[F.lit(float(min(1.0, max(0.0, p + side * margin)))) for p in probabilities for side in (-1, 1)])
+    sketches = []
+    for i, c in enumerate(names):
+        sketches += [F.count(numbers[c]).alias(f"n{i}"), F.percentile_approx(numbers[c], edges, SKETCH_ACCURACY).alias(f"e{i}")]
+    found = df.agg(*sketches).first()
+
+    brackets = []
+    for i, c in enumerate(names):
+        for k, p in enumerate(probabilities):
+            if found[f"n{i}"]:
+                low, high = found[f"e{i}"][2 * k : 2 * k + 2]
+                brackets.append((c, k, float(low), float(high), float((found[f"n{i}"] - 1) * p)))
+    below = df.agg(*[F.count_if(numbers[c] < low).alias(f"b{j}") for j, (c, _, low, _, _) in enumerate(brackets)]).first()
+    inside = [
+        F.when(numbers[c].between(low, high), F.struct(F.lit(j).alias("j"), (numbers[c] + F.lit(0.0)).alias("v")))
+        for j, (c, _, low, high, _) in enumerate(brackets)
+    ]
+    counted = (
+        df.select(F.explode(F.array_compact(F.array(*inside))).alias("s"))
+        .groupBy(F.col("s.j").alias("j"), F.col("s.v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = running_totals(counted, ["j"], ["v"], {"upto": F.col("n")}, limit)
+    wanted = df.sparkSession.createDataFrame(
+        [(j, c, k, position, below[f"b{j}"]) for j, (c, k, _, _, position) in enumerate(brackets)],
+        "j int, column string, k int, position double, below bigint",
     )
-    # At most two values remain per wanted position: below and above it.
-    weight = F.col("_pos") - F.floor("_pos")
-    quantile = F.min("_v") * (1 - F.first(weight)) + F.max("_v") * F.first(weight)
-    per_point = hits.groupBy(col(column), "_q").agg(quantile.alias("_value"))
-    sorted_points = F.array_sort(F.collect_list(F.struct("_q", "_value")))
-    return per_point.groupBy(col(column)).agg(F.transform(sorted_points, lambda s: s["_value"]).alias("quantiles"))
+    last = F.col("below") + F.col("upto") - 1
+    first = last - F.col("n") + 1
+    # At most two values cover a wanted position: the one below and the one above it.
+    hits = ranked.join(F.broadcast(wanted), "j").where((first <= F.ceil("position")) & (last >= F.floor("position")))
+    weight = F.first(F.col("position") - F.floor("position"))
+    values = hits.groupBy("column", "k").agg((F.min("v") * (1 - weight) + F.max("v") * weight).alias("v"))
+    in_order = F.array_sort(F.collect_list(F.struct("k", "v")))
+    return values.groupBy("column").agg(F.transform(in_order, lambda s: s["v"]).alias("quantiles"))

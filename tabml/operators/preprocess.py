@@ -173,9 +173,8 @@ class TabularModel(Model):
     def label(self, df: DataFrame) -> Column:
         if self.problem_type == "regression":
             return as_number(df, self.target)
-        classes = F.array(*[F.lit(c) for c in self.classes])
-        place = F.array_position(classes, as_text_label(df, self.target))
-        return F.when(place > 0, (place - 1).cast("double"))
+        pairs = [F.lit(v) for i, c in enumerate(self.classes) for v in (c, float(i))]
+        return F.create_map(*pairs)[as_text_label(df, self.target)] if pairs else F.lit(None).cast("double")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         result = dataset.withColumn("features", self.feature_vector(dataset))

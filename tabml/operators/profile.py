@@ -234,22 +234,11 @@ def _ceil_sqrt(n: int) -> int:
     return root if root * root == n else root + 1
 
 
-def numeric_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(column, value DOUBLE, n)` over finite values."""
-    numbers = df.select(*[(as_number(df, c) + F.lit(0.0)).alias(c) for c in columns])
-    return (
-        numbers.unpivot([], [col(c) for c in columns], "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def quartiles(df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """`(column, q1, median, q3)`.
 
-    The exact mode interpolates at (n - 1) * q over the table of distinct values. `approx` uses
-    mergeable sketches of bounded size, for columns with very many distinct values.
+    The exact mode interpolates at (n - 1) * q. `approx` takes one pass with mergeable sketches of
+    bounded size and returns values of the column near those positions.
     """
     points = [0.25, 0.5, 0.75]
     if method == "approx":
@@ -263,7 +252,7 @@ def quartiles(df: DataFrame, columns: Sequence[str], method: str = "exact", accu
         )
         result = sketches.select(F.inline("s")).where(F.col("quantiles").isNotNull())
     else:
-        result = exact_quantiles(numeric_frequencies(df, columns), "column", "value", "n", points)
+        result = exact_quantiles(df, {c: as_number(df, c) for c in columns}, points)
     q = F.col("quantiles")
     return result.select("column", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
 

@@ -86,8 +86,8 @@ def holdout(df: DataFrame, ratio: float = fixed.HOLDOUT_RATIO, seed: int = fixed
         prefix, left = row["p"], row["c"]
     inside = hashes.where(F.startswith(F.col("h"), F.lit(prefix)))
     last = inside.orderBy("h", "k").limit(wanted).agg(F.max(F.struct("h", "k")).alias("b")).first()["b"]
-    own = _hash(seed, key)
-    return df.withColumn("is_test", (own < last["h"]) | ((own == last["h"]) & (col(key) <= F.lit(last["k"]))))
+    own = F.struct(_hash(seed, key).alias("h"), col(key).alias("k"))
+    return df.withColumn("is_test", own <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).cast(df.schema[key].dataType).alias("k")))
 
 
 def bernoulli_holdout(df: DataFrame, ratio: float = fixed.HOLDOUT_RATIO, seed: int = fixed.HOLDOUT_SEED, key: str = ROW_ID) -> DataFrame:

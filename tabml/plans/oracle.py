@@ -154,7 +154,7 @@ reach(id, l) using key (id) as (select id, id from core union
   select cc.b, min(reach.l) from reach join cc on cc.a = reach.id join recurring.reach cur on cur.id = cc.b where reach.l < cur.l group by cc.b),
 comp as (select id, dense_rank() over (order by l) - 1 as c from reach),
 bord as (select a as id, min(c) as c from nb join comp on comp.id = nb.b where a not in (select id from core) group by a),
-lab as (select pts.id, case when core.id is null then 0 else 1 end is_core, coalesce(comp.c, bord.c, -1) c
+lab as (select pts.id, case when core.id is null then 0 else 1 end is_core, cast(coalesce(comp.c, bord.c, -1) as integer) c
   from pts left join core using (id) left join comp using (id) left join bord using (id))"""
 
 
@@ -175,8 +175,8 @@ p2(s, v0, v1) as (select 0, 1.0::double, 0.3::double union all
   select s+1, (a*v0+b*v1)/sqrt((a*v0+b*v1)**2+(b*v0+d*v1)**2), (b*v0+d*v1)/sqrt((a*v0+b*v1)**2+(b*v0+d*v1)**2) from p2, df where s < 80),
 g as (select v0, v1 from p2 where s = 80)"""
 
-CONFUSION = """cm as (select a.c as actual, b.c as predicted, cast(count(test.id) as bigint) n from cls a cross join cls b
-  left join test on test.label = a.c and test.pred = b.c group by 1, 2)"""
+CONFUSION = """ct as materialized (select label, pred, count(*) n from test group by 1, 2),
+cm as (select a.c as actual, b.c as predicted, coalesce(ct.n, 0) n from cls a cross join cls b left join ct on ct.label = a.c and ct.pred = b.c)"""
 CLASS_METRICS = CONFUSION + """, tp as (select actual c, sum(case when actual = predicted then n else 0 end) tp, sum(case when actual <> predicted then n else 0 end) fn from cm group by 1),
 fp as (select predicted c, sum(case when actual <> predicted then n else 0 end) fp from cm group by 1),
 pc as (select c, case when tp+fp = 0 then 0 else tp*1.0/(tp+fp) end pre, case when tp+fn = 0 then 0 else tp*1.0/(tp+fn) end rec from tp join fp using (c)),
@@ -318,7 +318,7 @@ def build() -> dict[str, str]:
             preprocessing_rows("part", "0", "0", 1, 0, None),
         ]
     )
-    sql["health"] = f"""select count(*) as "rows", 4 as "columns", 3 as numeric_columns, 1 as categorical_columns, 3 as features, 3 as encoded_features,
+    sql["health"] = f"""select count(*) as "rows", 4::bigint as "columns", 3::bigint as numeric_columns, 1::bigint as categorical_columns, 3::bigint as features, 3::bigint as encoded_features,
         'Classification' as task, {text(fixed.WHY_LABELS.format(target='event_type'))} as rationale from events"""
     spread = f"""with {prep('select * from customer', 'c_custkey', CUSTOMER_FEATURES[:2])}, cat as ({segment})
         select cast(j as bigint) as position, case when j = 0 then '{CUSTOMER_FEATURES[0]}' else '{CUSTOMER_FEATURES[1]}' end as name, stddev_pop(x) as s from z group by j
@@ -328,11 +328,11 @@ def build() -> dict[str, str]:
 
     sql["nb_fit"] = f"with {NB} select par.c as class_index, cast(j as bigint) as position, {r6('prior')} as prior, {r6('m')} as mean, {r6('v')} as variance from par join pri using (c)"
     sql["nb_predict"] = f"with {NB} select id as event_id, cast(label as double) as label, cast(pred as double) as prediction, {r6('p')} as top_probability from test"
-    sql["linreg_fit"] = f"with recursive {LINEAR} select 0 as position, {r6('b')} as weight from w union all select 1, {r6('w0')} from w union all select 2, {r6('w1')} from w"
+    sql["linreg_fit"] = f"with recursive {LINEAR} select 0::bigint as position, {r6('b')} as weight from w union all select 1, {r6('w0')} from w union all select 2, {r6('w1')} from w"
     sql["linreg_predict"] = f"with recursive {LINEAR} select id as p_partkey, {r6('actual')} as actual, {r6('predicted')} as predicted from pred"
     knn_embed = "em as (select vec_id as id, cast(embedding as double[]) as e, label from embeddings)"
     sql["knn_neighbors"] = f"""with {knn_embed}, d as (select a.id, b.id as nid, list_distance(a.e, b.e) d from em a join em b on a.id <> b.id),
-        r as (select *, row_number() over (partition by id order by d, nid) rn from d) select id as vec_id, rn as rank, nid as neighbor_id, {r6('d')} as distance from r where rn <= 5"""
+        r as (select *, row_number() over (partition by id order by d, nid) rn from d) select id as vec_id, cast(rn as integer) as rank, nid as neighbor_id, {r6('d')} as distance from r where rn <= 5"""
     vote = "least(7, greatest(3, cast(floor(sqrt((select count(*) from sp where not is_test)) + 0.5) as bigint)))"
     sql["knn_classify"] = f"""with {knn_embed}, {split('vec_id', 'embeddings')},
         d as (select a.id, b.id nid, b.label, list_distance(a.e, b.e) d from em a join em b on true where a.id in (select id from sp where is_test) and b.id in (select id from sp where not is_test)),
@@ -347,10 +347,10 @@ def build() -> dict[str, str]:
         select id as p_partkey, {r6('max(y)')} as actual, {r6('sum(ny/(d+1e-6))/sum(1/(d+1e-6))')} as predicted from r where rn <= {vote} group by id"""
 
     last = KMEANS_ROUNDS
-    sql["kmeans_lloyd"] = f"with {KMEANS} select c as cluster, 0 as position, {r6('m0')} as center from k{last} union all select c, 1, {r6('m1')} from k{last}"
+    sql["kmeans_lloyd"] = f"with {KMEANS} select c::bigint as cluster, 0::bigint as position, {r6('m0')} as center from k{last} union all select c, 1, {r6('m1')} from k{last}"
     sql["kmeans_assign"] = f"with {KMEANS} select id as c_custkey, c as prediction from a{last}"
     sql["kmeans_inertia"] = f"with {KMEANS} select {r6('sum(d)')} as inertia from a{last}"
-    sql["dbscan_eps"] = f"with {POINTS}, {EPS} select {r6('eps')} as eps, min_pts from eps, mp"
+    sql["dbscan_eps"] = f"with {POINTS}, {EPS} select {r6('eps')} as eps, cast(min_pts as integer) as min_pts from eps, mp"
     sql["dbscan_core"] = f"with recursive {DB} select id as c_custkey, is_core from lab"
     sql["dbscan_labels"] = f"with recursive {DB} select id as c_custkey, c as prediction from lab"
     sql["dbscan_auto"] = f"with recursive {dbscan(EPS)} select id as c_custkey, is_core, c as prediction from lab"
