@@ -41,18 +41,18 @@ def text_to_number(text: Column) -> Column:
     """Double read from text, NULL when missing, malformed or not finite.
 
     Currency signs, thousands separators and percent signs are dropped first. The alphabet check
-    keeps Spark's own spellings (`1d`, `NaN`, `Infinity`) from being read as numbers.
+    keeps Spark's own spellings (`1d`, `NaN`, `Infinity`) from being read as numbers; it also rejects
+    every missing token.
     """
     cleaned = trimmed(F.translate(text, fixed.NUMBER_NOISE, ""))
-    decimal = F.when(F.translate(cleaned, "0123456789+-.eE", "") == "", cleaned.try_cast("double"))
-    number = F.when(is_missing_text(text) | (cleaned == ""), F.lit(None).cast("double"))
+    number = F.when(F.translate(cleaned, "0123456789+-.eE", "") == "", cleaned.try_cast("double"))
     for letter, base in _RADIX.items():
         digits = "0123456789abcdef"[:base]
         body = F.lower(F.substr(cleaned, F.lit(3)))
         value = F.aggregate(F.split(body, ""), F.lit(0.0), _append_digit(base, digits))
         marked = F.lower(F.substr(cleaned, F.lit(1), F.lit(2))) == "0" + letter
         number = number.when(marked, F.when((body != "") & (F.translate(body, digits, "") == ""), value))
-    return finite(number.otherwise(decimal))
+    return finite(number)
 
 
 def _append_digit(base: int, digits: str):

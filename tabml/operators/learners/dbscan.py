@@ -4,7 +4,7 @@ Space is cut into cells whose rows all lie within eps of each other. A cell with
 rows therefore holds only core rows of one cluster, whatever its size, and is handled as one object
 with a bounding box. Only rows of sparser cells, at most `min_pts - 1` per cell, are looked at one by
 one. Two cells are linked when some pair of their core rows is within eps: boxes and single
-representatives decide most cases, and the rest is settled by halving the cells until they are decided.
+representatives decide most cases, and the rest is settled by splitting the cells until they are decided.
 
 The result is the sequential definition made order-free: core = enough rows within eps (itself
 included), clusters = connected core rows numbered by their smallest row id, a border row joins the
@@ -34,6 +34,8 @@ CHUNK_ROWS = 20_000
 JOIN_FEATURES = 3
 # Bounds are trusted beyond this relative distance from eps; closer ones are tested exactly.
 SLACK = 1e-9
+# Parts per feature when undecided cells are split.
+SPLIT = 4
 
 
 def estimate_eps(df: DataFrame, key: str = ROW_ID) -> DataFrame:
@@ -231,8 +233,8 @@ def _cluster_nodes(nodes: DataFrame, rows: DataFrame, sparse_core: DataFrame, gr
     open_pairs = checkpointed(open_pairs.withColumn("sub", F.col("cell")).withColumn("n_sub", F.col("n_cell")))
     found = None
     while open_pairs.limit(1).count():
-        parts *= 2
-        links, open_pairs = _halve(open_pairs, core_rows, grid, parts)
+        parts *= SPLIT
+        links, open_pairs = _split(open_pairs, core_rows, grid, parts)
         found = links if found is None else found.unionByName(links)
     if found is not None:
         groups = _grouped(nodes, checkpointed(edges.unionByName(found)))
@@ -253,24 +255,24 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(a, "src").join(b, "dst").where(F.col("_a") != F.col("_b")).drop("_a", "_b")
 
 
-def _halve(open_pairs: DataFrame, core_rows: DataFrame, grid: _Grid, parts: int) -> tuple[DataFrame, DataFrame]:
-    """Split the open cells in half along every feature; link, drop or keep the pairs of halves.
+def _split(open_pairs: DataFrame, core_rows: DataFrame, grid: _Grid, parts: int) -> tuple[DataFrame, DataFrame]:
+    """Split the open cells along every feature; link, drop or keep the pairs of parts.
 
     Cells shrink to single points, for which the distance of the representatives is exact.
     """
-    previous = grid.cell(F.col("features"), parts // 2) if parts > 2 else F.col("cell")
+    previous = grid.cell(F.col("features"), parts // SPLIT) if parts > SPLIT else F.col("cell")
     wanted = open_pairs.select("cell", "sub").unionByName(open_pairs.select(F.col("n_cell").alias("cell"), F.col("n_sub").alias("sub"))).distinct()
-    halves = (
+    pieces = (
         core_rows.withColumn("sub", previous)
         .join(wanted, ["cell", "sub"], "left_semi")
-        .withColumn("half", grid.cell(F.col("features"), parts))
-        .groupBy("cell", "sub", "half")
+        .withColumn("piece", grid.cell(F.col("features"), parts))
+        .groupBy("cell", "sub", "piece")
         .agg(*grid.box(), F.min(F.struct("id", "features")).alias("first"))
-        .select("cell", "sub", "half", "low", "high", F.col("first.features").alias("point"))
+        .select("cell", "sub", "piece", "low", "high", F.col("first.features").alias("point"))
     )
-    halves = checkpointed(halves)
-    left = open_pairs.join(halves, ["cell", "sub"])
-    right = halves.select(*[F.col(c).alias("n_" + c) for c in halves.columns])
+    pieces = checkpointed(pieces)
+    left = open_pairs.join(pieces, ["cell", "sub"])
+    right = pieces.select(*[F.col(c).alias("n_" + c) for c in pieces.columns])
     span = grid.span(F.col("low"), F.col("high"), F.col("n_low"), F.col("n_high"))
     gap = grid.gap(F.col("low"), F.col("high"), F.col("n_low"), F.col("n_high"))
     exact = (F.col("low") == F.col("high")) & (F.col("n_low") == F.col("n_high"))
@@ -278,7 +280,7 @@ def _halve(open_pairs: DataFrame, core_rows: DataFrame, grid: _Grid, parts: int)
     both = (
         left.join(right, ["n_cell", "n_sub"])
         .where(grid.maybe_within(gap))
-        .select("src", "dst", "cell", "n_cell", F.col("half").alias("sub"), F.col("n_half").alias("n_sub"), linked.alias("linked"), exact.alias("exact"))
+        .select("src", "dst", "cell", "n_cell", F.col("piece").alias("sub"), F.col("n_piece").alias("n_sub"), linked.alias("linked"), exact.alias("exact"))
     )
     both = checkpointed(both)
     links = both.where("linked").select("src", "dst").distinct()

@@ -53,17 +53,18 @@ def fit_numeric(df: DataFrame, columns: Sequence[str], missing: dict[str, int],
         q1, median, q3 = found.get(c, (0.0, 0.0, 0.0))
         reach = fixed.IQR_FACTOR * (q3 - q1)
         stats[c] = NumericStats(median, q1, q3, q1 - reach, q3 + reach, missing=missing.get(c, 0))
+    # Imputed values are columns of their own, so that the aggregates below do not parse text again.
+    filled_rows = df.select(*[F.coalesce(as_number(df, c), F.lit(stats[c].median)).alias(f"v{i}") for i, c in enumerate(columns)])
     aggregates = []
     for i, c in enumerate(columns):
-        s = stats[c]
-        filled = F.coalesce(as_number(df, c), F.lit(s.median))
+        s, filled = stats[c], F.col(f"v{i}")
         kept = clamp(filled, s.lower, s.upper)
         aggregates += [
             F.avg(kept).alias(f"mean{i}"),
             F.stddev_pop(kept).alias(f"std{i}"),
             F.count_if((filled < s.lower) | (filled > s.upper)).alias(f"out{i}"),
         ]
-    row = df.agg(*aggregates).first()
+    row = filled_rows.agg(*aggregates).first()
     for i, c in enumerate(columns):
         stats[c].mean = row[f"mean{i}"] or 0.0
         stats[c].std = row[f"std{i}"] or 1.0

@@ -241,31 +241,33 @@ def quartiles(df: DataFrame, columns: Sequence[str], method: str = "exact", accu
     bounded size and returns values of the column near those positions.
     """
     points = [0.25, 0.5, 0.75]
+    # Text is parsed once per row here, whatever number of aggregates use the result.
+    df = df.select(*[as_number(df, c).alias(c) for c in columns])
     if method == "approx":
         sketches = df.agg(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column"), F.percentile_approx(as_number(df, c), points, accuracy).alias("quantiles"))
+                    F.struct(F.lit(c).alias("column"), F.percentile_approx(col(c), points, accuracy).alias("quantiles"))
                     for c in columns
                 ]
             ).alias("s")
         )
         result = sketches.select(F.inline("s")).where(F.col("quantiles").isNotNull())
     else:
-        result = exact_quantiles(df, {c: as_number(df, c) for c in columns}, points)
+        result = exact_quantiles(df, {c: col(c) for c in columns}, points)
     q = F.col("quantiles")
     return result.select("column", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
 
 
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`(column, mean, std)`: mean and population standard deviation, 0 when empty."""
-    stats = df.agg(
+    stats = df.select(*[as_number(df, c).alias(c) for c in columns]).agg(
         F.array(
             *[
                 F.struct(
                     F.lit(c).alias("column"),
-                    F.coalesce(F.avg(as_number(df, c)), F.lit(0.0)).alias("mean"),
-                    F.coalesce(F.stddev_pop(as_number(df, c)), F.lit(0.0)).alias("std"),
+                    F.coalesce(F.avg(col(c)), F.lit(0.0)).alias("mean"),
+                    F.coalesce(F.stddev_pop(col(c)), F.lit(0.0)).alias("std"),
                 )
                 for c in columns
             ]
@@ -277,7 +279,7 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def min_max_scaled(df: DataFrame, column: str, output: str) -> DataFrame:
     """Add `(v - min) / (max - min)`, 0.5 when all values are equal."""
     number = as_number(df, column)
-    low, high = df.agg(F.min(number), F.max(number)).first()
+    low, high = df.select(number.alias("v")).agg(F.min("v"), F.max("v")).first()
     if low is None or low == high:
         return df.withColumn(output, F.when(number.isNotNull(), F.lit(0.5)))
     return df.withColumn(output, (number - F.lit(low)) / F.lit(high - low))
