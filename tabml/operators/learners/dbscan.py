@@ -47,7 +47,7 @@ def estimate_eps(df: DataFrame, key: str = ROW_ID) -> DataFrame:
     held = sample.agg(F.collect_list(F.struct("id", "features")).alias("all"))
     others = F.filter("all", lambda o: o["id"] != F.col("p.id"))
     away = F.array_sort(F.transform(others, lambda o: F.sqrt(vectors.squared_distance(F.col("p.features"), o["features"]))))
-    nth = F.try_element_at(away, F.least(F.lit(fixed.DBSCAN["eps_neighbor"]), F.size(away)))
+    nth = F.when(F.size(away) > 0, F.element_at(away, F.least(F.lit(fixed.DBSCAN["eps_neighbor"]), F.size(away))))
     fifth = held.select(F.explode("all").alias("p"), "all").select(_or_one(nth).alias("away"))
     ordered = fifth.agg(F.array_sort(F.collect_list("away")).alias("d"))
     pick = F.floor(F.size("d") * F.lit(fixed.DBSCAN["eps_quantile"])).cast("int") + 1

@@ -357,7 +357,7 @@ def build() -> dict[str, str]:
     sql["dbscan_predict"] = f"""with recursive {DB}, {SUPPLIER_POINTS},
         d as (select sup.id, lab.c, sqrt((sup.x0-pts.x0)*(sup.x0-pts.x0)+(sup.x1-pts.x1)*(sup.x1-pts.x1)) d, lab.id nid from sup, pts join lab on lab.id = pts.id where lab.c >= 0),
         r as (select *, row_number() over (partition by id order by d, nid) rn from d)
-        select id as s_suppkey, case when d <= (select eps from eps) then c else -1 end as prediction from r where rn = 1"""
+        select sup.id as s_suppkey, case when d <= (select eps from eps) then c else -1 end as prediction from sup left join r on r.id = sup.id and rn = 1"""
     sql["cluster_summary"] = f"with recursive {DB} select count(distinct case when c >= 0 then c end) as clusters, count(*) filter (c = -1) as noise, count(*) as \"rows\" from lab"
     sql["pca_2d"] = f"""with recursive {PCA} select id as p_partkey, {r6('(x0-u0)*f.v0+(x1-u1)*f.v1')} as pc1, {r6('(x0-u0)*g.v0+(x1-u1)*g.v1')} as pc2 from pts, mu, f, g"""
 
