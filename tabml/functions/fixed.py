@@ -40,6 +40,7 @@ SOFTMAX = {"rate": 0.08, "epochs": 520, "l2": 0.001}
 KNN_MIN, KNN_MAX, KNN_OFFSET = 3, 7, 1e-6
 BAYES_PRIOR_FLOOR, BAYES_VARIANCE_FLOOR = 1e-6, 1e-4
 TREE = {"depth": 6, "min_rows": 4, "min_gain": 1e-9}
+TREE_CANDIDATES = 12
 FOREST = {"depth": 7, "min_rows": 4, "min_gain": 1e-9, "seed": 19,
           "classification_trees": 17, "regression_trees": 15}
 KMEANS = {"k": 3, "k_min": 2, "k_max": 8, "rounds": 80, "seed": 29}

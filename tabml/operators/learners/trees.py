@@ -1,19 +1,26 @@
-"""Decision trees and forests on Spark's distributed tree learner.
+"""Decision trees and forests.
 
-Split candidates are global quantile bins instead of thresholds per node, so splits can differ from
-a search over every node's own values where a feature has more distinct values than bins.
+A single tree takes its split candidates from every node's own distinct values: per level one table of
+value frequencies is ranked and summed, and only the best split of each node reaches the driver.
+`method="bins"` uses Spark's tree learner instead, whose candidates are global quantile bins: it
+shuffles far less when features have very many distinct values, but splits can differ. Forests are
+random by nature and always use Spark's learner.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tabml.functions import fixed, vectors
 from tabml.operators.learners.base import FittedModel, class_count, vector, width
+from tabml.operators.ordering import running_totals
 
 MAX_BINS = 64
 
@@ -25,7 +32,36 @@ def _settings(values: dict, max_bins: int) -> dict:
     }
 
 
+@dataclass
+class Node:
+    """A leaf with its label sums, or a split: rows with feature <= threshold go left."""
+
+    number: int
+    sums: list[float]
+    feature: int | None = None
+    threshold: float = 0.0
+    children: list[Node] = field(default_factory=list)
+
+
 class TreeModel(FittedModel):
+    def __init__(self, root: Node, leaves: list[Node], importances: list[float], classes: int | None):
+        super().__init__(importances, {"leaves": len(leaves)})
+        self.root, self.leaves, self.classes = root, leaves, classes
+        self.kind = "treeClassifier" if classes else "treeRegressor"
+        self.has_probability = bool(classes)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        place = {leaf.number: i for i, leaf in enumerate(self.leaves)}
+        leaf = _walk(self.root, lambda node: F.lit(place[node.number] + 1))
+        if self.classes is None:
+            means = vectors.array_literal([_mean(n.sums) for n in self.leaves])
+            return dataset.withColumn("prediction", F.element_at(means, leaf))
+        shares = F.array(*[vectors.array_literal([v / sum(n.sums) for v in n.sums]) for n in self.leaves])
+        scored = dataset.withColumn("probability", F.element_at(shares, leaf))
+        return scored.withColumn("prediction", vectors.argmax(F.col("probability")))
+
+
+class BinnedTreeModel(FittedModel):
     def __init__(self, fitted, classes: int | None):
         super().__init__(list(fitted.featureImportances.toArray()))
         self.fitted, self.classes = fitted, classes
@@ -68,12 +104,132 @@ def _apply(fitted, dataset: DataFrame, prediction: str, classes: int | None) ->
     return scored.withColumn("probability", vector_to_array("_shares")).drop("_vector", "_shares")
 
 
-def train_tree(df: DataFrame, task: str, classes: int | None = None, max_bins: int = MAX_BINS) -> TreeModel:
-    data = df.select("label", vector().alias("_vector"))
+def _mean(sums: list[float]) -> float:
+    return sums[1] / sums[0] + sums[3]
+
+
+def _walk(node: Node, leaf) -> Column:
+    if node.feature is None:
+        return leaf(node)
+    left, right = (_walk(child, leaf) for child in node.children)
+    return F.when(F.col("features")[node.feature] <= F.lit(node.threshold), left).otherwise(right)
+
+
+def _impurity(parts: list[Column], classes: int | None) -> Column:
+    """Gini of class counts, or variance from count, sum and sum of squares."""
+    if classes is None:
+        n, total, squares = parts
+        return F.greatest(F.lit(0.0), squares / n - (total / n) * (total / n))
+    n = sum(parts[1:], parts[0])
+    shares = [(p / n) * (p / n) for p in parts]
+    return 1 - sum(shares[1:], shares[0])
+
+
+def _size(parts: list[Column], classes: int | None) -> Column:
+    return sum(parts[1:], parts[0]) if classes else parts[0]
+
+
+def train_tree(df: DataFrame, task: str, classes: int | None = None, method: str = "node", max_bins: int = MAX_BINS):
     if task == "classification":
-        learner = DecisionTreeClassifier(impurity="gini", **_settings(fixed.TREE, max_bins))
-        return TreeModel(learner.fit(data), classes or class_count(df))
-    return TreeModel(DecisionTreeRegressor(**_settings(fixed.TREE, max_bins)).fit(data), None)
+        classes = classes or class_count(df)
+    if method == "bins":
+        data = df.select("label", vector().alias("_vector"))
+        learner = DecisionTreeClassifier(impurity="gini", **_settings(fixed.TREE, max_bins)) if classes else DecisionTreeRegressor(**_settings(fixed.TREE, max_bins))
+        return BinnedTreeModel(learner.fit(data), classes)
+    return _grow(df, classes, fixed.TREE)
+
+
+def _grow(df: DataFrame, classes: int | None, limits: dict) -> TreeModel:
+    # Sums of values around the mean keep the variance exact enough.
+    middle = 0.0 if classes else float(df.agg(F.avg("label")).first()[0])
+    centered = F.col("label") - F.lit(middle)
+    measures = (
+        {f"s{c}": (F.col("label") == c).cast("double") for c in range(classes)}
+        if classes
+        else {"s0": F.lit(1.0), "s1": centered, "s2": centered * centered}
+    )
+    rows = df.select("features", *[m.alias(name) for name, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        root = Node(1, list(rows.agg(*[F.sum(name) for name in measures]).first()))
+        importances = [0.0] * width(df)
+        level, leaves = [root], []
+        for depth in range(limits["depth"]):
+            splits = _best_splits(rows, root, level, list(measures), classes, limits) if level else {}
+            following = []
+            for node in level:
+                if node.number not in splits:
+                    leaves.append(node)
+                    continue
+                gain, node.feature, node.threshold, left = splits[node.number]
+                importances[node.feature] += gain * (sum(node.sums) if classes else node.sums[0])
+                right = [whole - part for whole, part in zip(node.sums, left)]
+                node.children = [Node(2 * node.number, left), Node(2 * node.number + 1, right)]
+                following += node.children
+            level = following
+        leaves += level
+    finally:
+        rows.unpersist()
+    for leaf in leaves:
+        if not classes:
+            leaf.sums = [*leaf.sums, middle]
+    return TreeModel(root, leaves, importances, classes)
+
+
+def _best_splits(rows: DataFrame, root: Node, level: list[Node], names: list[str], classes: int | None, limits: dict) -> dict:
+    """Per open node of this level: gain, feature, threshold and the label sums of its left side."""
+    open_nodes = {node.number for node in level if _splittable(node, classes, limits)}
+    if not open_nodes:
+        return {}
+    number = _walk(root, lambda node: F.lit(node.number if node.number in open_nodes else None).cast("int"))
+    values = (
+        rows.select(number.alias("node"), F.posexplode("features").alias("j", "v"), *names)
+        .where(F.col("node").isNotNull())
+        .groupBy("node", "j", "v")
+        .agg(*[F.sum(name).alias(name) for name in names])
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        upto = {"rank": F.lit(1), **{f"l_{name}": F.col(name) for name in names}}
+        ranked = running_totals(values, ["node", "j"], ["v"], upto)
+        totals = values.groupBy("node", "j").agg(F.count(F.lit(1)).alias("distinct"), *[F.sum(name).alias(f"t_{name}") for name in names])
+        # A candidate lies between the values of rank i and i + 1, for every multiple i of the step.
+        step = F.greatest(F.lit(1), F.floor(F.col("distinct") / fixed.TREE_CANDIDATES))
+        sides = F.filter(
+            F.array(F.struct(F.col("rank").alias("i"), F.lit(True).alias("low")), F.struct((F.col("rank") - 1).alias("i"), F.lit(False).alias("low"))),
+            lambda s: (s["i"] > 0) & (s["i"] < F.col("distinct")) & (s["i"] % F.col("step") == 0),
+        )
+        around = ranked.drop(*names).join(totals, ["node", "j"]).withColumn("step", step).withColumn("side", F.explode(sides))
+        low = F.col("side.low")
+        candidates = around.groupBy("node", "j", F.col("side.i").alias("i")).agg(
+            ((F.max(F.when(low, F.col("v"))) + F.max(F.when(~low, F.col("v")))) / 2).alias("threshold"),
+            *[F.max(F.when(low, F.col(f"l_{name}"))).alias(f"l_{name}") for name in names],
+            *[F.max(f"t_{name}").alias(f"t_{name}") for name in names],
+        )
+        whole = [F.col(f"t_{name}") for name in names]
+        left = [F.col(f"l_{name}") for name in names]
+        right = [w - part for w, part in zip(whole, left)]
+        n, n_left, n_right = (_size(p, classes) for p in (whole, left, right))
+        weighted = (n_left / n) * _impurity(left, classes) + (n_right / n) * _impurity(right, classes)
+        gain = _impurity(whole, classes) - weighted
+        fit = candidates.where((n_left >= limits["min_rows"]) & (n_right >= limits["min_rows"])).withColumn("gain", gain)
+        # The largest gain, then the lowest feature and threshold.
+        best = fit.groupBy("node").agg(
+            F.max(F.struct("gain", (-F.col("j")).alias("j"), (-F.col("i")).alias("i"), "threshold", *[f"l_{name}" for name in names])).alias("b")
+        )
+        found = best.where(F.col("b.gain") > limits["min_gain"]).collect()
+        return {r["node"]: (r["b"]["gain"], -r["b"]["j"], r["b"]["threshold"], [r["b"][f"l_{name}"] for name in names]) for r in found}
+    finally:
+        values.unpersist()
+
+
+def _splittable(node: Node, classes: int | None, limits: dict) -> bool:
+    if classes:
+        n = sum(node.sums)
+        spread = 1 - sum((v / n) ** 2 for v in node.sums)
+    else:
+        n, total, squares = node.sums
+        spread = squares / n - (total / n) ** 2
+    return n > limits["min_rows"] and spread > limits["min_gain"]
 
 
 def train_forest(df: DataFrame, task: str, classes: int | None = None, max_bins: int = MAX_BINS) -> ForestModel:

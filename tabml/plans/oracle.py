@@ -227,6 +227,50 @@ select r.bin, {r6('lo+(hi-lo)/bins*r.bin')} bin_start, {r6('lo+(hi-lo)/bins*(r.b
 from s, (select unnest(range(0, (select bins from s))) bin) r left join c on c.bin = r.bin"""
 
 
+def tree(train: str, classes: int | None) -> str:
+    """CTEs ending in `leaf(node, ...)` and `at{depth}(id, node)`.
+
+    `train(id, y)` lists the training rows; `z(id, j, x)` holds the features of all rows.
+    """
+    names = [f"s{c}" for c in range(classes)] if classes else ["s0", "s1", "s2"]
+    own = [f"case when y = {c} then 1.0 else 0.0 end" for c in range(classes)] if classes else ["1.0", "y - ym", "(y - ym)*(y - ym)"]
+
+    def size(p):
+        return "(" + "+".join(f"{p}{n}" for n in names) + ")" if classes else f"{p}s0"
+
+    def impurity(p):
+        if classes:
+            return "(1 - (" + "+".join(f"({p}{n}/{size(p)})*({p}{n}/{size(p)})" for n in names) + "))"
+        return f"greatest(0.0, {p}s2/{p}s0 - ({p}s1/{p}s0)*({p}s1/{p}s0))"
+
+    ctes = [f"{train}, tm as (select avg(y) ym from train)", f"lb as (select id, {', '.join(f'{e} as {n}' for e, n in zip(own, names))} from train, tm)", "at0 as (select distinct id, 1 as node from z)"]
+    for d in range(fixed.TREE["depth"]):
+        sums = ", ".join(f"sum({n}) as {n}" for n in names)
+        running = ", ".join(f"sum({n}) over w as l_{n}, sum({n}) over p as t_{n}" for n in names)
+        right = ", ".join(f"t_{n} - l_{n} as r_{n}" for n in names)
+        ctes += [
+            f"v{d} as (select node, j, x, {sums} from at{d} join lb using (id) join z using (id) where node >= {2**d} group by node, j, x)",
+            f"k{d} as (select *, {right} from (select node, j, x, row_number() over w as r, lead(x) over w as nx, count(*) over p as dv, {running} from v{d} "
+            f"window w as (partition by node, j order by x rows unbounded preceding), p as (partition by node, j)))",
+            f"g{d} as (select node, j, r, (x + nx)/2 as thr, {impurity('t_')} - (({size('l_')}/{size('t_')})*{impurity('l_')} + ({size('r_')}/{size('t_')})*{impurity('r_')}) as gain "
+            f"from k{d} where r < dv and r % greatest(1, dv // 12) = 0 and {size('l_')} >= 4 and {size('r_')} >= 4 and {size('t_')} > 4 and {impurity('t_')} > 1e-9)",
+            f"b{d} as (select * from (select *, row_number() over (partition by node order by gain desc, j, r) as rn from g{d}) where rn = 1 and gain > 1e-9)",
+            f"at{d + 1} as materialized (select a.id, case when b.node is null then a.node when z.x <= b.thr then 2*a.node else 2*a.node + 1 end as node from at{d} a left join b{d} b on b.node = a.node left join z on z.id = a.id and z.j = b.j)",
+        ]
+    ctes.append(f"leaf as (select node, {', '.join(f'sum({n}) as {n}' for n in names)} from at{fixed.TREE['depth']} join lb using (id) group by node)")
+    return ", ".join(ctes)
+
+
+TREE_CLASSES = f"""{prep(EVENTS_SQL, 'event_id', ['value', 'user_id', 'k'])}, {split('event_id')},
+cls as (select event_type, dense_rank() over (order by event_type) - 1 as c from (select distinct event_type from src)),
+lab as (select event_id as id, c as y from src join cls using (event_type)),
+{tree('train as (select id, y from lab join sp using (id) where not is_test)', 5)},
+lc as (select node, c, n from leaf, (select unnest(range(0, 5)) c) t, lateral (select case c when 0 then s0 when 1 then s1 when 2 then s2 when 3 then s3 else s4 end n) q),
+lp as (select * from (select node, c, n/sum(n) over (partition by node) p, row_number() over (partition by node order by n desc, c) rn from lc) where rn = 1)"""
+TREE_VALUES = f"""{prep(PART_SQL, 'p_partkey', ['number', 'p_size'])}, {split('p_partkey')}, lab as (select p_partkey as id, p_retailprice as y from src),
+{tree('train as (select id, y from lab join sp using (id) where not is_test)', None)}"""
+
+
 def build() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["expr_missing"] = f"select row_id, {', '.join(f'case when {miss(c)} then 1 else 0 end as {c}' for c in DIRTY_COLUMNS)} from ({DIRTY_SQL})"
@@ -388,5 +432,9 @@ def build() -> dict[str, str]:
     sql["explain_cluster"] = f"""with recursive {DB} select id as c_custkey, concat('{fixed.CLUSTER_HEADLINE}', case when c = -1 then '{fixed.CLUSTER_NOISE}' else cast(c as varchar) end) as headline,
         case when c = -1 then {text(fixed.CLUSTER_WHY_NOISE)} else {text(fixed.CLUSTER_WHY)} end as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from lab"""
     sql["score_batch"] = f"with {NB} select best.id as event_id, event_type as predicted_label from best join cls on cls.c = pred"
+    sql["tree_classify"] = f"""with {TREE_CLASSES} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability
+        from at6 join sp using (id) join lab using (id) join lp using (node) where is_test"""
+    sql["tree_regress"] = f"""with {TREE_VALUES} select id as p_partkey, {r6('y')} as label, {r6('s1/s0 + ym')} as prediction
+        from at6 join sp using (id) join lab using (id) join leaf using (node), tm where is_test"""
     sql["score_stream_files"] = sql["score_batch"]
     return sql

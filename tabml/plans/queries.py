@@ -591,7 +591,13 @@ def forest_regress(spark, sf_dir):
 
 @query
 def tree_classify(spark, sf_dir):
-    return _scored(train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier"), "event_id")
+    t = train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier")
+    return t.model.transform(t.test_rows).select("event_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
+
+
+@query
+def tree_classify_bins(spark, sf_dir):
+    return _scored(train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier", method="bins"), "event_id")
 
 
 @query
@@ -599,6 +605,11 @@ def tree_regress(spark, sf_dir):
     return _scored(train_and_evaluate(part_analysis(spark, sf_dir), "treeRegressor"), "p_partkey")
 
 
+@query
+def tree_regress_bins(spark, sf_dir):
+    return _scored(train_and_evaluate(part_analysis(spark, sf_dir), "treeRegressor", method="bins"), "p_partkey")
+
+
 @query
 def kmeans_random_start(spark, sf_dir):
     _, points = customer_points(spark, sf_dir)
