@@ -227,6 +227,22 @@ select r.bin, {r6('lo+(hi-lo)/bins*r.bin')} bin_start, {r6('lo+(hi-lo)/bins*(r.b
 from s, (select unnest(range(0, (select bins from s))) bin) r left join c on c.bin = r.bin"""
 
 
+def softmax_steps(classes: int, width: int) -> str:
+    """CTE `gd`: gradient steps over `tr(id, y, x0, ...)`, one column per weight, position 0 is the bias."""
+    cells = [(c, j) for c in range(classes) for j in range(width + 1)]
+    names = ", ".join(f"w{c}_{j}" for c, j in cells)
+    scores = ", ".join(f"w{c}_0 + " + " + ".join(f"w{c}_{j + 1}*x{j}" for j in range(width)) + f" as s{c}" for c in range(classes))
+    top = "greatest(" + ", ".join(f"s{c}" for c in range(classes)) + ")"
+    exps = ", ".join(f"exp(s{c} - {top}) as e{c}" for c in range(classes))
+    total = "(" + "+".join(f"e{c}" for c in range(classes)) + ")"
+    errors = ", ".join(f"e{c}/{total} - case when y = {c} then 1.0 else 0.0 end as d{c}" for c in range(classes))
+    sums = ", ".join(f"sum(d{c}{'' if j == 0 else f'*x{j - 1}'}) as g{c}_{j}" for c, j in cells)
+    moved = ", ".join(f"w{c}_{j} - 0.08*(g{c}_{j}/n{'' if j == 0 else f' + 0.001*w{c}_{j}'})" for c, j in cells)
+    kept = ", ".join(f"any_value(w{c}_{j}) as w{c}_{j}" for c, j in cells)
+    return f"""gd(step, {names}) as (select 0, {', '.join('0.0::double' for _ in cells)} union all select step + 1, {moved} from (
+      select step, count(*) as n, {kept}, {sums} from (select *, {errors} from (select *, {exps} from (select *, {scores} from gd, tr where step < {fixed.SOFTMAX['epochs']}))) group by step))"""
+
+
 def tree(train: str, classes: int | None) -> str:
     """CTEs ending in `leaf(node, ...)` and `at{depth}(id, node)`.
 
@@ -271,6 +287,17 @@ TREE_VALUES = f"""{prep(PART_SQL, 'p_partkey', ['number', 'p_size'])}, {split('p
 {tree('train as (select id, y from lab join sp using (id) where not is_test)', None)}"""
 
 
+SOFTMAX = f"""{prep(EVENTS_SQL, 'event_id', ['value', 'user_id', 'k'])}, {split('event_id')},
+cls as (select event_type, dense_rank() over (order by event_type) - 1 as c from (select distinct event_type from src)),
+pt as materialized (select event_id as id, any_value(c) as y, max(case when j = 0 then x end) x0, max(case when j = 1 then x end) x1, max(case when j = 2 then x end) x2, bool_or(is_test) is_test
+  from src join cls using (event_type) join z on z.id = event_id join sp on sp.id = event_id group by event_id),
+tr as materialized (select * from pt where not is_test), {softmax_steps(5, 3)},
+w as materialized (select * from gd where step = {fixed.SOFTMAX['epochs']}),
+sm as ({' union all '.join(f'select pt.id, y, {c} as c, w{c}_0 + w{c}_1*x0 + w{c}_2*x1 + w{c}_3*x2 as s from pt, w where is_test' for c in range(5))}),
+pm as (select id, y, c, exp(s - max(s) over (partition by id)) e from sm),
+pq as (select id, y, c, e / sum(e) over (partition by id) p, row_number() over (partition by id order by e desc, c) rn from pm)"""
+
+
 def build() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["expr_missing"] = f"select row_id, {', '.join(f'case when {miss(c)} then 1 else 0 end as {c}' for c in DIRTY_COLUMNS)} from ({DIRTY_SQL})"
@@ -432,6 +459,10 @@ def build() -> dict[str, str]:
     sql["explain_cluster"] = f"""with recursive {DB} select id as c_custkey, concat('{fixed.CLUSTER_HEADLINE}', case when c = -1 then '{fixed.CLUSTER_NOISE}' else cast(c as varchar) end) as headline,
         case when c = -1 then {text(fixed.CLUSTER_WHY_NOISE)} else {text(fixed.CLUSTER_WHY)} end as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from lab"""
     sql["score_batch"] = f"with {NB} select best.id as event_id, event_type as predicted_label from best join cls on cls.c = pred"
+    sql["softmax_fit"] = "with recursive " + SOFTMAX + " " + " union all ".join(
+        f"select {c}::bigint as class_index, {j}::bigint as position, {r6(f'w{c}_{j}')} as weight from w" for c in range(5) for j in range(4)
+    )
+    sql["softmax_predict"] = f"""with recursive {SOFTMAX} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability from pq where rn = 1"""
     sql["tree_classify"] = f"""with {TREE_CLASSES} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability
         from at6 join sp using (id) join lab using (id) join lp using (node) where is_test"""
     sql["tree_regress"] = f"""with {TREE_VALUES} select id as p_partkey, {r6('y')} as label, {r6('s1/s0 + ym')} as prediction

@@ -397,6 +397,33 @@ def knn_regress(spark, sf_dir):
     return rounded_columns(ev.actual_vs_predicted(t.model.transform(t.test_rows), "p_partkey"))
 
 
+def softmax(spark, sf_dir) -> Trained:
+    return train_and_evaluate(events_analysis(spark, sf_dir), "logistic")
+
+
+@query
+def softmax_fit(spark, sf_dir):
+    return rounded_columns(softmax(spark, sf_dir).model.weights_table(spark))
+
+
+@query
+def softmax_predict(spark, sf_dir):
+    t = softmax(spark, sf_dir)
+    return t.model.transform(t.test_rows).select("event_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
+
+
+@query
+def tree_classify(spark, sf_dir):
+    t = train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier")
+    return t.model.transform(t.test_rows).select("event_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
+
+
+@query
+def tree_regress(spark, sf_dir):
+    t = train_and_evaluate(part_analysis(spark, sf_dir), "treeRegressor")
+    return rounded_columns(t.model.transform(t.test_rows).select("p_partkey", "label", "prediction"))
+
+
 # --- clustering and projection ------------------------------------------------------------------
 
 
@@ -575,8 +602,8 @@ def _scored(t: Trained, key: str) -> DataFrame:
 
 
 @query
-def softmax_predict(spark, sf_dir):
-    return _scored(train_and_evaluate(events_analysis(spark, sf_dir), "logistic"), "event_id")
+def softmax_converged(spark, sf_dir):
+    return _scored(train_and_evaluate(events_analysis(spark, sf_dir), "logistic", solver="converged"), "event_id")
 
 
 @query
@@ -589,22 +616,11 @@ def forest_regress(spark, sf_dir):
     return _scored(train_and_evaluate(part_analysis(spark, sf_dir), "forestRegressor"), "p_partkey")
 
 
-@query
-def tree_classify(spark, sf_dir):
-    t = train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier")
-    return t.model.transform(t.test_rows).select("event_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
-
-
 @query
 def tree_classify_bins(spark, sf_dir):
     return _scored(train_and_evaluate(events_analysis(spark, sf_dir), "treeClassifier", method="bins"), "event_id")
 
 
-@query
-def tree_regress(spark, sf_dir):
-    return _scored(train_and_evaluate(part_analysis(spark, sf_dir), "treeRegressor"), "p_partkey")
-
-
 @query
 def tree_regress_bins(spark, sf_dir):
     return _scored(train_and_evaluate(part_analysis(spark, sf_dir), "treeRegressor", method="bins"), "p_partkey")
