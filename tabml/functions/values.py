@@ -16,7 +16,7 @@ from tabml.functions import fixed
 WHITE_SPACE = "".join(
     map(chr, [9, 10, 11, 12, 13, 32, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])
 )
-_RADIX = {"x": 16, "b": 2, "o": 8}
+_RADIX = {"0x": 16, "0b": 2, "0o": 8}
 
 
 def quoted(name: str) -> str:
@@ -45,18 +45,21 @@ def text_to_number(text: Column) -> Column:
     every missing token.
     """
     cleaned = trimmed(F.translate(text, fixed.NUMBER_NOISE, ""))
-    number = F.when(F.translate(cleaned, "0123456789+-.eE", "") == "", cleaned.try_cast("double"))
-    for letter, base in _RADIX.items():
-        digits = "0123456789abcdef"[:base]
-        body = F.lower(F.substr(cleaned, F.lit(3)))
-        value = F.aggregate(F.split(body, ""), F.lit(0.0), _append_digit(base, digits))
-        marked = F.lower(F.substr(cleaned, F.lit(1), F.lit(2))) == "0" + letter
-        number = number.when(marked, F.when((body != "") & (F.translate(body, digits, "") == ""), value))
-    return finite(number)
-
-
-def _append_digit(base: int, digits: str):
-    return lambda total, digit: total * F.lit(float(base)) + (F.instr(F.lit(digits), digit) - 1)
+    number = F.when(F.translate(cleaned, "0123456789+-.eE", "") == "", cleaned.try_cast("double")).when(
+        F.lower(F.substr(cleaned, F.lit(1), F.lit(2))).isin(*_RADIX), _radix_number(F.lower(cleaned))
+    )
+    # `nullif` computes the number once; the comparison in `finite` would parse the text twice.
+    infinity = F.lit(float("inf"))
+    return F.nullif(F.nullif(number, infinity), -infinity)
+
+
+def _radix_number(text: Column) -> Column:
+    """`0x1f`, `0b101` and `0o17` as doubles, NULL when a digit does not belong to the base."""
+    base = F.create_map(*[F.lit(v) for pair in _RADIX.items() for v in pair])[F.substr(text, F.lit(1), F.lit(2))]
+    body = F.substr(text, F.lit(3))
+    places = F.transform(F.split(body, ""), lambda digit: F.instr(F.lit("0123456789abcdef"), digit) - 1)
+    valid = (body != "") & F.forall(places, lambda p: (p >= 0) & (p < base))
+    return F.when(valid, F.aggregate(places, F.lit(0.0), lambda total, p: total * base + p))
 
 
 def finite(number: Column) -> Column:
