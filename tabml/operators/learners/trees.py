@@ -1,15 +1,19 @@
 """Decision trees and forests.
 
-A single tree takes its split candidates from every node's own distinct values: per level one table of
-value frequencies is ranked and summed, and only the best split of each node reaches the driver.
-`method="bins"` uses Spark's tree learner instead, whose candidates are global quantile bins: it
-shuffles far less when features have very many distinct values, but splits can differ. Forests are
-random by nature and always use Spark's learner.
+`method="node"` takes split candidates from every node's own distinct values. Per level one table of value
+frequencies, for all open nodes of all trees, is ranked and summed, and only the best split of each node
+reaches the driver. `method="bins"` uses Spark's tree learners, whose candidates are global quantile
+bins: they shuffle far less when features have very many distinct values, but splits can differ.
+
+Single trees use the first method unless told otherwise, forests the second. A forest of the first kind
+draws rows and features by hashes of keys, so it does not depend on how the data is partitioned.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import math
+from dataclasses import dataclass
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -19,46 +23,67 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tabml.functions import fixed, vectors
+from tabml.functions.values import col
 from tabml.operators.learners.base import FittedModel, class_count, vector, width
 from tabml.operators.ordering import running_totals
+from tabml.sources.rows import ROW_ID
 
 MAX_BINS = 64
+# A row is drawn k times with probability exp(-1) / k!, the limit of drawing n of n rows with
+# replacement. Draws come from 32 hash bits; more than 12 draws are rarer than that resolution.
+DRAW_BITS = 32
+DRAW_STEPS = [
+    math.floor(2**DRAW_BITS * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(12)
+]
 
 
-def _settings(values: dict, max_bins: int) -> dict:
-    return {
-        "featuresCol": "_vector", "labelCol": "label", "maxDepth": values["depth"], "minInstancesPerNode": values["min_rows"],
-        "minInfoGain": values["min_gain"], "maxBins": max_bins,
-    }
+def subset_size(features: int) -> int:
+    return max(1, int(features**0.5 + 0.5))
 
 
 @dataclass
 class Node:
     """A leaf with its label sums, or a split: rows with feature <= threshold go left."""
 
+    tree: int
     number: int
     sums: list[float]
-    feature: int | None = None
+    feature: int = -1
     threshold: float = 0.0
-    children: list[Node] = field(default_factory=list)
+    left: int = -1
+    right: int = -1
 
 
-class TreeModel(FittedModel):
-    def __init__(self, root: Node, leaves: list[Node], importances: list[float], classes: int | None):
-        super().__init__(importances, {"leaves": len(leaves)})
-        self.root, self.leaves, self.classes = root, leaves, classes
-        self.kind = "treeClassifier" if classes else "treeRegressor"
+class GrownModel(FittedModel):
+    """One tree, or several that vote (classes, the lowest on ties) or are averaged (numbers)."""
+
+    def __init__(self, nodes: list[Node], trees: int, depth: int, importances: list[float], classes: int | None, middle: float):
+        super().__init__(importances, {"trees": trees, "leaves": sum(n.feature < 0 for n in nodes)})
+        self.nodes, self.trees, self.depth, self.classes, self.middle = nodes, trees, depth, classes, middle
+        shape = "forest" if trees > 1 else "tree"
+        self.kind = shape + ("Classifier" if classes else "Regressor")
         self.has_probability = bool(classes)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        place = {leaf.number: i for i, leaf in enumerate(self.leaves)}
-        leaf = _walk(self.root, lambda node: F.lit(place[node.number] + 1))
+        reached = dataset.withColumn("_at", _leaves(self.nodes, self.trees, self.depth))
         if self.classes is None:
-            means = vectors.array_literal([_mean(n.sums) for n in self.leaves])
-            return dataset.withColumn("prediction", F.element_at(means, leaf))
-        shares = F.array(*[vectors.array_literal([v / sum(n.sums) for v in n.sums]) for n in self.leaves])
-        scored = dataset.withColumn("probability", F.element_at(shares, leaf))
-        return scored.withColumn("prediction", vectors.argmax(F.col("probability")))
+            values = vectors.array_literal([_mean(n.sums, self.middle) for n in self.nodes])
+            total = F.aggregate("_at", F.lit(0.0), lambda s, i: s + F.get(values, i))
+            return reached.withColumn("prediction", total / self.trees).drop("_at")
+        if self.trees == 1:
+            shares = F.array(*[vectors.array_literal([v / sum(n.sums) for v in n.sums]) for n in self.nodes])
+            scored = reached.withColumn("probability", F.get(shares, F.col("_at")[0]))
+        else:
+            winner = F.array(*[F.lit(n.sums.index(max(n.sums))) for n in self.nodes])
+            votes = F.transform("_at", lambda i: F.get(winner, i))
+            scored = reached.withColumn("_votes", votes)
+            counts = [_votes_for(c) / F.lit(float(self.trees)) for c in range(self.classes)]
+            scored = scored.withColumn("probability", F.array(*counts)).drop("_votes")
+        return scored.withColumn("prediction", vectors.argmax(F.col("probability"))).drop("_at")
+
+
+def _votes_for(c: int) -> Column:
+    return F.size(F.filter("_votes", lambda v: v == c)).cast("double")
 
 
 class BinnedTreeModel(FittedModel):
@@ -69,10 +94,10 @@ class BinnedTreeModel(FittedModel):
         self.has_probability = bool(classes)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return _apply(self.fitted, dataset, "prediction", self.classes)
+        return _apply(self.fitted, dataset, self.classes)
 
 
-class ForestModel(FittedModel):
+class BinnedForestModel(FittedModel):
     """Classes by hard votes of the trees, the lowest class on ties; numbers by their mean."""
 
     def __init__(self, fitted, classes: int | None):
@@ -84,7 +109,7 @@ class ForestModel(FittedModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         if self.classes is None:
-            return _apply(self.fitted, dataset, "prediction", None)
+            return _apply(self.fitted, dataset, None)
         votes, voted = [], dataset.withColumn("_vector", vector())
         for i, tree in enumerate(self.fitted.trees):
             name = f"_vote{i}"
@@ -95,51 +120,79 @@ class ForestModel(FittedModel):
         return scored.withColumn("prediction", vectors.argmax(F.col("probability")))
 
 
-def _apply(fitted, dataset: DataFrame, prediction: str, classes: int | None) -> DataFrame:
+def _apply(fitted, dataset: DataFrame, classes: int | None) -> DataFrame:
     prepared = dataset.withColumn("_vector", vector())
-    fitted.setFeaturesCol("_vector").setPredictionCol(prediction)
+    fitted.setFeaturesCol("_vector").setPredictionCol("prediction")
     if classes is None:
         return fitted.transform(prepared).drop("_vector")
     scored = fitted.setRawPredictionCol("").setProbabilityCol("_shares").transform(prepared)
     return scored.withColumn("probability", vector_to_array("_shares")).drop("_vector", "_shares")
 
 
-def _mean(sums: list[float]) -> float:
-    return sums[1] / sums[0] + sums[3]
+def train_tree(df: DataFrame, task: str, classes: int | None = None, method: str = "node", max_bins: int = MAX_BINS) -> FittedModel:
+    classes = (classes or class_count(df)) if task == "classification" else None
+    if method == "node":
+        return _grow(df, classes, fixed.TREE)
+    settings = _settings(fixed.TREE, max_bins)
+    learner = DecisionTreeClassifier(impurity="gini", **settings) if classes else DecisionTreeRegressor(**settings)
+    return BinnedTreeModel(learner.fit(df.select("label", vector().alias("_vector"))), classes)
 
 
-def _walk(node: Node, leaf) -> Column:
-    if node.feature is None:
-        return leaf(node)
-    left, right = (_walk(child, leaf) for child in node.children)
-    return F.when(F.col("features")[node.feature] <= F.lit(node.threshold), left).otherwise(right)
+def train_forest(df: DataFrame, task: str, classes: int | None = None, method: str = "bins", key: str = ROW_ID, max_bins: int = MAX_BINS) -> FittedModel:
+    """`key` names the unique row id that `method="node"` draws by."""
+    classes = (classes or class_count(df)) if task == "classification" else None
+    trees, seed, subset = fixed.FOREST[f"{task}_trees"], fixed.FOREST["seed"], subset_size(width(df))
+    if method == "node":
+        return _grow(df, classes, fixed.FOREST, trees, subset, key)
+    settings = {"numTrees": trees, "seed": seed, "featureSubsetStrategy": str(subset), **_settings(fixed.FOREST, max_bins)}
+    learner = RandomForestClassifier(**settings) if classes else RandomForestRegressor(**settings)
+    return BinnedForestModel(learner.fit(df.select("label", vector().alias("_vector"))), classes)
 
 
-def _impurity(parts: list[Column], classes: int | None) -> Column:
-    """Gini of class counts, or variance from count, sum and sum of squares."""
-    if classes is None:
-        n, total, squares = parts
-        return F.greatest(F.lit(0.0), squares / n - (total / n) * (total / n))
-    n = sum(parts[1:], parts[0])
-    shares = [(p / n) * (p / n) for p in parts]
-    return 1 - sum(shares[1:], shares[0])
+def _settings(values: dict, max_bins: int) -> dict:
+    return {
+        "featuresCol": "_vector", "labelCol": "label", "maxDepth": values["depth"], "minInstancesPerNode": values["min_rows"],
+        "minInfoGain": values["min_gain"], "maxBins": max_bins,
+    }
 
 
-def _size(parts: list[Column], classes: int | None) -> Column:
-    return sum(parts[1:], parts[0]) if classes else parts[0]
+def _mean(sums: list[float], middle: float) -> float:
+    return (sums[1] / sums[0] if sums[0] else 0.0) + middle
+
 
+def _leaves(nodes: list[Node], trees: int, depth: int) -> Column:
+    """Index of the node that a row reaches, per tree."""
+    feature, left, right = (F.array(*[F.lit(getattr(n, name)) for n in nodes]) for name in ("feature", "left", "right"))
+    threshold = vectors.array_literal([n.threshold for n in nodes])
 
-def train_tree(df: DataFrame, task: str, classes: int | None = None, method: str = "node", max_bins: int = MAX_BINS):
-    if task == "classification":
-        classes = classes or class_count(df)
-    if method == "bins":
-        data = df.select("label", vector().alias("_vector"))
-        learner = DecisionTreeClassifier(impurity="gini", **_settings(fixed.TREE, max_bins)) if classes else DecisionTreeRegressor(**_settings(fixed.TREE, max_bins))
-        return BinnedTreeModel(learner.fit(data), classes)
-    return _grow(df, classes, fixed.TREE)
+    def step(at: Column, _: Column) -> Column:
+        below = F.get(F.col("features"), F.get(feature, at)) <= F.get(threshold, at)
+        return F.when(F.get(feature, at) < 0, at).when(below, F.get(left, at)).otherwise(F.get(right, at))
 
+    rounds = F.array(*[F.lit(i) for i in range(depth)])
+    return F.transform(F.array(*[F.lit(t) for t in range(trees)]), lambda root: F.aggregate(rounds, root, step))
 
-def _grow(df: DataFrame, classes: int | None, limits: dict) -> TreeModel:
+
+def _draws(key: str, trees: int) -> Column:
+    """How often each tree draws the row."""
+    def draw(tree: int) -> Column:
+        text = F.concat(F.lit(f"{fixed.FOREST['seed']}-{tree}-"), col(key).cast("string"))
+        number = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+        return F.size(F.filter(F.array(*[F.lit(s) for s in DRAW_STEPS]), lambda s: number >= s))
+
+    return F.array(*[draw(t) for t in range(trees)])
+
+
+def chosen_features(tree: int, number: int, width: int, subset: int | None) -> list[int]:
+    """Features a node may split on: those with the smallest hashes."""
+    if subset is None or subset >= width:
+        return list(range(width))
+    def rank(j: int) -> str:
+        return hashlib.md5(f"{fixed.FOREST['seed']}-{tree}-{number}-{j}".encode()).hexdigest()
+    return sorted(sorted(range(width), key=rank)[:subset])
+
+
+def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subset: int | None = None, key: str | None = None) -> GrownModel:
     # Sums of values around the mean keep the variance exact enough.
     middle = 0.0 if classes else float(df.agg(F.avg("label")).first()[0])
     centered = F.col("label") - F.lit(middle)
@@ -148,50 +201,58 @@ def _grow(df: DataFrame, classes: int | None, limits: dict) -> TreeModel:
         if classes
         else {"s0": F.lit(1.0), "s1": centered, "s2": centered * centered}
     )
-    rows = df.select("features", *[m.alias(name) for name, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    names = list(measures)
+    draws = _draws(key, trees) if key else F.array(F.lit(1))
+    rows = df.select("features", draws.alias("draws"), *[m.alias(n) for n, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        root = Node(1, list(rows.agg(*[F.sum(name) for name in measures]).first()))
-        importances = [0.0] * width(df)
-        level, leaves = [root], []
+        sums = rows.agg(*[F.sum(F.col("draws")[t] * F.col(n)).alias(f"{n}_{t}") for t in range(trees) for n in names]).first()
+        nodes = [Node(t, 1, [sums[f"{n}_{t}"] for n in names]) for t in range(trees)]
+        features = width(df)
+        importances = [0.0] * features
+        level = list(range(trees))
         for depth in range(limits["depth"]):
-            splits = _best_splits(rows, root, level, list(measures), classes, limits) if level else {}
-            following = []
-            for node in level:
-                if node.number not in splits:
-                    leaves.append(node)
-                    continue
-                gain, node.feature, node.threshold, left = splits[node.number]
-                importances[node.feature] += gain * (sum(node.sums) if classes else node.sums[0])
+            allowed = {i: chosen_features(nodes[i].tree, nodes[i].number, features, subset) for i in level if _splittable(nodes[i], classes, limits)}
+            if not allowed:
+                break
+            splits = _best_splits(rows, nodes, trees, depth, allowed, names, classes, limits)
+            level = []
+            for i, (gain, feature, threshold, left) in sorted(splits.items()):
+                node = nodes[i]
+                node.feature, node.threshold = feature, threshold
+                importances[feature] += gain * (sum(node.sums) if classes else node.sums[0]) / trees
                 right = [whole - part for whole, part in zip(node.sums, left)]
-                node.children = [Node(2 * node.number, left), Node(2 * node.number + 1, right)]
-                following += node.children
-            level = following
-        leaves += level
+                node.left, node.right = len(nodes), len(nodes) + 1
+                nodes += [Node(node.tree, 2 * node.number, left), Node(node.tree, 2 * node.number + 1, right)]
+                level += [node.left, node.right]
     finally:
         rows.unpersist()
-    for leaf in leaves:
-        if not classes:
-            leaf.sums = [*leaf.sums, middle]
-    return TreeModel(root, leaves, importances, classes)
-
-
-def _best_splits(rows: DataFrame, root: Node, level: list[Node], names: list[str], classes: int | None, limits: dict) -> dict:
-    """Per open node of this level: gain, feature, threshold and the label sums of its left side."""
-    open_nodes = {node.number for node in level if _splittable(node, classes, limits)}
-    if not open_nodes:
-        return {}
-    number = _walk(root, lambda node: F.lit(node.number if node.number in open_nodes else None).cast("int"))
+    return GrownModel(nodes, trees, limits["depth"], importances, classes, middle)
+
+
+def _best_splits(rows: DataFrame, nodes: list[Node], trees: int, depth: int, allowed: dict, names: list[str], classes: int | None, limits: dict) -> dict:
+    """Per open node: gain, feature, threshold and the label sums of its left side."""
+    nothing = F.array().cast("array<int>")
+    choice = F.array(*[F.array(*[F.lit(j) for j in allowed[i]]) if i in allowed else nothing for i in range(len(nodes))])
+    at = _leaves(nodes, trees, depth)
+
+    def cells(i: Column, tree: Column) -> Column:
+        drawn = F.get(F.col("draws"), tree)
+        return F.transform(
+            F.when(drawn > 0, F.get(choice, i)).otherwise(nothing),
+            lambda j: F.struct(i.alias("node"), j.alias("j"), F.get(F.col("features"), j).alias("v"), drawn.alias("w")),
+        )
+
+    # One row per open node a row belongs to and feature; equal values are summed before the shuffle.
     values = (
-        rows.select(number.alias("node"), F.posexplode("features").alias("j", "v"), *names)
-        .where(F.col("node").isNotNull())
+        rows.select(F.inline(F.flatten(F.transform(at, cells))), *names)
         .groupBy("node", "j", "v")
-        .agg(*[F.sum(name).alias(name) for name in names])
+        .agg(*[F.sum(F.col("w") * F.col(n)).alias(n) for n in names])
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        upto = {"rank": F.lit(1), **{f"l_{name}": F.col(name) for name in names}}
+        upto = {"rank": F.lit(1), **{f"l_{n}": F.col(n) for n in names}}
         ranked = running_totals(values, ["node", "j"], ["v"], upto)
-        totals = values.groupBy("node", "j").agg(F.count(F.lit(1)).alias("distinct"), *[F.sum(name).alias(f"t_{name}") for name in names])
+        totals = values.groupBy("node", "j").agg(F.count(F.lit(1)).alias("distinct"), *[F.sum(n).alias(f"t_{n}") for n in names])
         # A candidate lies between the values of rank i and i + 1, for every multiple i of the step.
         step = F.greatest(F.lit(1), F.floor(F.col("distinct") / fixed.TREE_CANDIDATES))
         sides = F.filter(
@@ -202,42 +263,43 @@ def _best_splits(rows: DataFrame, root: Node, level: list[Node], names: list[str
         low = F.col("side.low")
         candidates = around.groupBy("node", "j", F.col("side.i").alias("i")).agg(
             ((F.max(F.when(low, F.col("v"))) + F.max(F.when(~low, F.col("v")))) / 2).alias("threshold"),
-            *[F.max(F.when(low, F.col(f"l_{name}"))).alias(f"l_{name}") for name in names],
-            *[F.max(f"t_{name}").alias(f"t_{name}") for name in names],
+            *[F.max(F.when(low, F.col(f"l_{n}"))).alias(f"l_{n}") for n in names],
+            *[F.max(f"t_{n}").alias(f"t_{n}") for n in names],
         )
-        whole = [F.col(f"t_{name}") for name in names]
-        left = [F.col(f"l_{name}") for name in names]
+        whole, left = [F.col(f"t_{n}") for n in names], [F.col(f"l_{n}") for n in names]
         right = [w - part for w, part in zip(whole, left)]
-        n, n_left, n_right = (_size(p, classes) for p in (whole, left, right))
-        weighted = (n_left / n) * _impurity(left, classes) + (n_right / n) * _impurity(right, classes)
-        gain = _impurity(whole, classes) - weighted
-        fit = candidates.where((n_left >= limits["min_rows"]) & (n_right >= limits["min_rows"])).withColumn("gain", gain)
+        size, size_left, size_right = (_size(p, classes) for p in (whole, left, right))
+        weighted = (size_left / size) * _impurity(left, classes) + (size_right / size) * _impurity(right, classes)
+        fit = candidates.where((size_left >= limits["min_rows"]) & (size_right >= limits["min_rows"]))
+        fit = fit.withColumn("gain", _impurity(whole, classes) - weighted)
         # The largest gain, then the lowest feature and threshold.
-        best = fit.groupBy("node").agg(
-            F.max(F.struct("gain", (-F.col("j")).alias("j"), (-F.col("i")).alias("i"), "threshold", *[f"l_{name}" for name in names])).alias("b")
-        )
-        found = best.where(F.col("b.gain") > limits["min_gain"]).collect()
-        return {r["node"]: (r["b"]["gain"], -r["b"]["j"], r["b"]["threshold"], [r["b"][f"l_{name}"] for name in names]) for r in found}
+        order = F.struct("gain", (-F.col("j")).alias("j"), (-F.col("i")).alias("i"), "threshold", *[f"l_{n}" for n in names])
+        found = fit.groupBy("node").agg(F.max(order).alias("b")).where(F.col("b.gain") > limits["min_gain"]).collect()
+        return {r["node"]: (r["b"]["gain"], -r["b"]["j"], r["b"]["threshold"], [r["b"][f"l_{n}"] for n in names]) for r in found}
     finally:
         values.unpersist()
 
 
+def _size(parts: list[Column], classes: int | None) -> Column:
+    return sum(parts[1:], parts[0]) if classes else parts[0]
+
+
+def _impurity(parts: list[Column], classes: int | None) -> Column:
+    """Gini of class counts, or variance from count, sum and sum of squares."""
+    if classes is None:
+        n, total, squares = parts
+        return F.greatest(F.lit(0.0), squares / n - (total / n) * (total / n))
+    n = _size(parts, classes)
+    shares = [(p / n) * (p / n) for p in parts]
+    return 1 - sum(shares[1:], shares[0])
+
+
 def _splittable(node: Node, classes: int | None, limits: dict) -> bool:
+    n = sum(node.sums) if classes else node.sums[0]
+    if n <= limits["min_rows"]:
+        return False
     if classes:
-        n = sum(node.sums)
         spread = 1 - sum((v / n) ** 2 for v in node.sums)
     else:
-        n, total, squares = node.sums
-        spread = squares / n - (total / n) ** 2
-    return n > limits["min_rows"] and spread > limits["min_gain"]
-
-
-def train_forest(df: DataFrame, task: str, classes: int | None = None, max_bins: int = MAX_BINS) -> ForestModel:
-    data = df.select("label", vector().alias("_vector"))
-    subset = str(max(1, int(width(df) ** 0.5 + 0.5)))
-    settings = {"seed": fixed.FOREST["seed"], "featureSubsetStrategy": subset, **_settings(fixed.FOREST, max_bins)}
-    if task == "classification":
-        learner = RandomForestClassifier(numTrees=fixed.FOREST["classification_trees"], **settings)
-        return ForestModel(learner.fit(data), classes or class_count(df))
-    learner = RandomForestRegressor(numTrees=fixed.FOREST["regression_trees"], **settings)
-    return ForestModel(learner.fit(data), None)
+        spread = node.sums[2] / n - (node.sums[1] / n) ** 2
+    return spread > limits["min_gain"]

@@ -6,6 +6,7 @@ Written from the definitions, in a long `(id, j, value)` layout: one row per row
 from __future__ import annotations
 
 from tabml.functions import fixed
+from tabml.operators.learners.trees import DRAW_STEPS, subset_size
 from tabml.plans.queries import (
     CUSTOMER_FEATURES, DBSCAN_EPS, DBSCAN_MIN_PTS, DIRTY, DIRTY_COLUMNS, KMEANS_ROUNDS, KMEANS_START, PROBLEM_TARGETS,
 )
@@ -62,15 +63,16 @@ NUMERIC_PARTS = [
 ]
 
 
-def prep(source: str, key: str, columns: list[str]) -> str:
+def prep(source: str, key: str, columns: list[str], digits: int | None = None) -> str:
     """CTEs ending in `z(id, j, x)`: imputed, capped and standardised numeric columns."""
+    value = "(c - mean)/std" if digits is None else f"floor((c - mean)/std*1e{digits}+0.5)/1e{digits}"
     long = " union all ".join(f"select {key} as id, {j} as j, cast({c} as double) as v from src" for j, c in enumerate(columns))
     return f"""src as ({source}), lng as ({long}),
 qs as (select j, quantile_cont(v, 0.25) q1, quantile_cont(v, 0.5) med, quantile_cont(v, 0.75) q3 from lng group by j),
 fen as (select j, med, q1 - 1.5*(q3-q1) lo, q3 + 1.5*(q3-q1) hi from qs),
 cl as (select id, j, case when lo = hi then coalesce(v, med) else least(hi, greatest(lo, coalesce(v, med))) end c from lng join fen using (j)),
 ms as (select j, avg(c) mean, case when stddev_pop(c) = 0 then 1 else stddev_pop(c) end std from cl group by j),
-z as (select id, j, (c - mean)/std x from cl join ms using (j))"""
+z as (select id, j, {value} x from cl join ms using (j))"""
 
 
 def split(key: str, source: str = "src") -> str:
@@ -243,13 +245,19 @@ def softmax_steps(classes: int, width: int) -> str:
       select step, count(*) as n, {kept}, {sums} from (select *, {errors} from (select *, {exps} from (select *, {scores} from gd, tr where step < {fixed.SOFTMAX['epochs']}))) group by step))"""
 
 
-def tree(train: str, classes: int | None) -> str:
-    """CTEs ending in `leaf(node, ...)` and `at{depth}(id, node)`.
+def tree(train: str, classes: int | None, limits: dict = fixed.TREE, trees: int = 1, subset: int | None = None) -> str:
+    """CTEs ending in `leaf(tree, node, ...)` and `at{depth}(id, tree, node)`.
 
-    `train(id, y)` lists the training rows; `z(id, j, x)` holds the features of all rows.
+    `train(id, y)` lists the training rows; `z(id, j, x)` holds the features of all rows. With a
+    `subset` rows are drawn and features chosen by hashes.
     """
     names = [f"s{c}" for c in range(classes)] if classes else ["s0", "s1", "s2"]
     own = [f"case when y = {c} then 1.0 else 0.0 end" for c in range(classes)] if classes else ["1.0", "y - ym", "(y - ym)*(y - ym)"]
+    seed, low, gain = fixed.FOREST["seed"], limits["min_rows"], limits["min_gain"]
+    number = f"cast(concat('0x', substr(md5(concat('{seed}-', cast(tree as varchar), '-', cast(id as varchar))), 1, 8)) as bigint)"
+    draws = " + ".join(f"(case when {number} >= {s} then 1 else 0 end)" for s in DRAW_STEPS) if subset else "1"
+    hashed = f"md5(concat('{seed}-', cast(tree as varchar), '-', cast(node as varchar), '-', cast(j as varchar)))"
+    chosen = f"where ch <= {subset}" if subset else ""
 
     def size(p):
         return "(" + "+".join(f"{p}{n}" for n in names) + ")" if classes else f"{p}s0"
@@ -259,34 +267,49 @@ def tree(train: str, classes: int | None) -> str:
             return "(1 - (" + "+".join(f"({p}{n}/{size(p)})*({p}{n}/{size(p)})" for n in names) + "))"
         return f"greatest(0.0, {p}s2/{p}s0 - ({p}s1/{p}s0)*({p}s1/{p}s0))"
 
-    ctes = [f"{train}, tm as (select avg(y) ym from train)", f"lb as (select id, {', '.join(f'{e} as {n}' for e, n in zip(own, names))} from train, tm)", "at0 as (select distinct id, 1 as node from z)"]
-    for d in range(fixed.TREE["depth"]):
+    ctes = [
+        f"{train}, tm as (select avg(y) ym from train), forest as (select unnest(range(0, {trees})) as tree)",
+        f"dr as materialized (select id, tree, y, {draws} as w from train, forest)",
+        f"lb as materialized (select id, tree, {', '.join(f'w*({e}) as {n}' for e, n in zip(own, names))} from dr, tm where w > 0)",
+        "ft as (select distinct j from z)",
+        "at0 as materialized (select id, tree, 1 as node from (select distinct id from z), forest)",
+    ]
+    for d in range(limits["depth"]):
         sums = ", ".join(f"sum({n}) as {n}" for n in names)
         running = ", ".join(f"sum({n}) over w as l_{n}, sum({n}) over p as t_{n}" for n in names)
         right = ", ".join(f"t_{n} - l_{n} as r_{n}" for n in names)
         ctes += [
-            f"v{d} as (select node, j, x, {sums} from at{d} join lb using (id) join z using (id) where node >= {2**d} group by node, j, x)",
-            f"k{d} as (select *, {right} from (select node, j, x, row_number() over w as r, lead(x) over w as nx, count(*) over p as dv, {running} from v{d} "
-            f"window w as (partition by node, j order by x rows unbounded preceding), p as (partition by node, j)))",
-            f"g{d} as (select node, j, r, (x + nx)/2 as thr, {impurity('t_')} - (({size('l_')}/{size('t_')})*{impurity('l_')} + ({size('r_')}/{size('t_')})*{impurity('r_')}) as gain "
-            f"from k{d} where r < dv and r % greatest(1, dv // 12) = 0 and {size('l_')} >= 4 and {size('r_')} >= 4 and {size('t_')} > 4 and {impurity('t_')} > 1e-9)",
-            f"b{d} as (select * from (select *, row_number() over (partition by node order by gain desc, j, r) as rn from g{d}) where rn = 1 and gain > 1e-9)",
-            f"at{d + 1} as materialized (select a.id, case when b.node is null then a.node when z.x <= b.thr then 2*a.node else 2*a.node + 1 end as node from at{d} a left join b{d} b on b.node = a.node left join z on z.id = a.id and z.j = b.j)",
+            f"al{d} as (select tree, node, j from (select *, row_number() over (partition by tree, node order by {hashed}) as ch from (select distinct tree, node from at{d} where node >= {2**d}), ft) {chosen})",
+            f"v{d} as (select tree, node, j, x, {sums} from at{d} join lb using (id, tree) join al{d} using (tree, node) join z using (id, j) group by tree, node, j, x)",
+            f"k{d} as (select *, {right} from (select tree, node, j, x, row_number() over w as r, lead(x) over w as nx, count(*) over p as dv, {running} from v{d} "
+            f"window w as (partition by tree, node, j order by x rows unbounded preceding), p as (partition by tree, node, j)))",
+            f"g{d} as (select tree, node, j, r, (x + nx)/2 as thr, {impurity('t_')} - (({size('l_')}/{size('t_')})*{impurity('l_')} + ({size('r_')}/{size('t_')})*{impurity('r_')}) as gain "
+            f"from k{d} where r < dv and r % greatest(1, dv // {fixed.TREE_CANDIDATES}) = 0 and {size('l_')} >= {low} and {size('r_')} >= {low} and {size('t_')} > {low} and {impurity('t_')} > {gain})",
+            f"b{d} as (select * from (select *, row_number() over (partition by tree, node order by gain desc, j, r) as rn from g{d}) where rn = 1 and gain > {gain})",
+            f"at{d + 1} as materialized (select a.id, a.tree, case when b.node is null then a.node when z.x <= b.thr then 2*a.node else 2*a.node + 1 end as node "
+            f"from at{d} a left join b{d} b on b.node = a.node and b.tree = a.tree left join z on z.id = a.id and z.j = b.j)",
         ]
-    ctes.append(f"leaf as (select node, {', '.join(f'sum({n}) as {n}' for n in names)} from at{fixed.TREE['depth']} join lb using (id) group by node)")
+    ctes.append(f"leaf as (select tree, node, {', '.join(f'sum({n}) as {n}' for n in names)} from at{limits['depth']} join lb using (id, tree) group by tree, node)")
     return ", ".join(ctes)
 
 
-TREE_CLASSES = f"""{prep(EVENTS_SQL, 'event_id', ['value', 'user_id', 'k'])}, {split('event_id')},
+def class_trees(**shape) -> str:
+    """CTEs ending in `lp(tree, node, c, p)`: the class of each leaf."""
+    counts = " union all ".join(f"select tree, node, {c} as c, s{c} as n from leaf" for c in range(5))
+    return f"""{prep(EVENTS_SQL, 'event_id', ['value', 'user_id', 'k'], 9)}, {split('event_id')},
 cls as (select event_type, dense_rank() over (order by event_type) - 1 as c from (select distinct event_type from src)),
 lab as (select event_id as id, c as y from src join cls using (event_type)),
-{tree('train as (select id, y from lab join sp using (id) where not is_test)', 5)},
-lc as (select node, c, n from leaf, (select unnest(range(0, 5)) c) t, lateral (select case c when 0 then s0 when 1 then s1 when 2 then s2 when 3 then s3 else s4 end n) q),
-lp as (select * from (select node, c, n/sum(n) over (partition by node) p, row_number() over (partition by node order by n desc, c) rn from lc) where rn = 1)"""
-TREE_VALUES = f"""{prep(PART_SQL, 'p_partkey', ['number', 'p_size'])}, {split('p_partkey')}, lab as (select p_partkey as id, p_retailprice as y from src),
-{tree('train as (select id, y from lab join sp using (id) where not is_test)', None)}"""
+{tree('train as (select id, y from lab join sp using (id) where not is_test)', 5, **shape)}, lc as ({counts}),
+lp as (select * from (select tree, node, c, n/sum(n) over (partition by tree, node) p, row_number() over (partition by tree, node order by n desc, c) rn from lc) where rn = 1)"""
+
+
+def value_trees(**shape) -> str:
+    return f"""{prep(PART_SQL, 'p_partkey', ['number', 'p_size'], 9)}, {split('p_partkey')}, lab as (select p_partkey as id, p_retailprice as y from src),
+{tree('train as (select id, y from lab join sp using (id) where not is_test)', None, **shape)}"""
 
 
+CLASS_FOREST = {"limits": fixed.FOREST, "trees": fixed.FOREST["classification_trees"], "subset": subset_size(3)}
+VALUE_FOREST = {"limits": fixed.FOREST, "trees": fixed.FOREST["regression_trees"], "subset": subset_size(2)}
 SOFTMAX = f"""{prep(EVENTS_SQL, 'event_id', ['value', 'user_id', 'k'])}, {split('event_id')},
 cls as (select event_type, dense_rank() over (order by event_type) - 1 as c from (select distinct event_type from src)),
 pt as materialized (select event_id as id, any_value(c) as y, max(case when j = 0 then x end) x0, max(case when j = 1 then x end) x1, max(case when j = 2 then x end) x2, bool_or(is_test) is_test
@@ -463,9 +486,14 @@ def build() -> dict[str, str]:
         f"select {c}::bigint as class_index, {j}::bigint as position, {r6(f'w{c}_{j}')} as weight from w" for c in range(5) for j in range(4)
     )
     sql["softmax_predict"] = f"""with recursive {SOFTMAX} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability from pq where rn = 1"""
-    sql["tree_classify"] = f"""with {TREE_CLASSES} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability
-        from at6 join sp using (id) join lab using (id) join lp using (node) where is_test"""
-    sql["tree_regress"] = f"""with {TREE_VALUES} select id as p_partkey, {r6('y')} as label, {r6('s1/s0 + ym')} as prediction
-        from at6 join sp using (id) join lab using (id) join leaf using (node), tm where is_test"""
+    sql["tree_classify"] = f"""with {class_trees()} select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability
+        from at6 join sp using (id) join lab using (id) join lp using (tree, node) where is_test"""
+    sql["tree_regress"] = f"""with {value_trees()} select id as p_partkey, {r6('y')} as label, {r6('s1/s0 + ym')} as prediction
+        from at6 join sp using (id) join lab using (id) join leaf using (tree, node), tm where is_test"""
+    sql["forest_classify"] = f"""with {class_trees(**CLASS_FOREST)}, vt as (select id, c, count(*)/{CLASS_FOREST['trees']}.0::double p from at7 join lp using (tree, node) group by 1, 2),
+        bv as (select *, row_number() over (partition by id order by p desc, c) rn from vt)
+        select id as event_id, cast(y as double) as label, cast(c as double) as prediction, {r6('p')} as top_probability from bv join lab using (id) join sp using (id) where is_test and rn = 1"""
+    sql["forest_regress"] = f"""with {value_trees(**VALUE_FOREST)} select id as p_partkey, {r6('max(y)')} as label, {r6('avg(s1/s0 + ym)')} as prediction
+        from at7 join sp using (id) join lab using (id) join leaf using (tree, node), tm where is_test group by id"""
     sql["score_stream_files"] = sql["score_batch"]
     return sql
