@@ -1,4 +1,4 @@
-"""K-Means: random starting rows, or Lloyd rounds from given centres."""
+"""K-Means: Lloyd rounds from drawn rows or given centres."""
 
 from __future__ import annotations
 
@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tabml.functions import fixed, vectors
+from tabml.functions.values import col
 from tabml.operators.learners.base import FittedModel, dispersion, vector
+from tabml.operators.sampling import key_hash
+from tabml.sources.rows import ROW_ID
 
 
 def cluster_number(k: int | None) -> int:
@@ -46,14 +49,21 @@ class KMeansModel(FittedModel):
 
 
 def train_kmeans(
-    df: DataFrame, k: int | None = None, init_centers: Sequence[Sequence[float]] | None = None,
-    rounds: int = fixed.KMEANS["rounds"], seed: int = fixed.KMEANS["seed"],
+    df: DataFrame, k: int | None = None, init_centers: Sequence[Sequence[float]] | None = None, method: str = "rows",
+    key: str = ROW_ID, rounds: int = fixed.KMEANS["rounds"], seed: int = fixed.KMEANS["seed"],
 ) -> KMeansModel:
+    """Lloyd rounds from given centres, or from k rows drawn by the hash of their unique `key`.
+
+    `method="spark"` uses Spark's learner, whose random start depends on the partitioning.
+    """
     spread = dispersion(df)
-    if init_centers is None:
+    if init_centers is None and method == "spark":
         learner = KMeans(featuresCol="_vector", k=cluster_number(k), maxIter=rounds, tol=0.0, initMode="random", seed=seed)
         fitted = learner.fit(df.select(vector().alias("_vector")))
         return KMeansModel(np.array(fitted.clusterCenters()), spread, fitted.summary.numIter)
+    if init_centers is None:
+        drawn = df.orderBy(key_hash(seed, key), col(key)).select("features").limit(cluster_number(k)).collect()
+        init_centers = [r["features"] for r in drawn]
     return lloyd(df, np.array(init_centers, dtype=float), rounds, spread)
 
 

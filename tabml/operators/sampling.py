@@ -53,7 +53,8 @@ def systematic_sample(df: DataFrame, limit: int | None, key: str = ROW_ID, dense
     return placed.where(picks[0] | picks[1] | picks[2] | picks[3]).drop(position)
 
 
-def _hash(seed: int, key: str) -> Column:
+def key_hash(seed: int, key: str) -> Column:
+    """Hexadecimal text that stands in for a random draw per key."""
     return F.md5(F.concat(F.lit(f"{seed}-"), col(key).cast("string")).cast("binary"))
 
 
@@ -64,7 +65,7 @@ def holdout(df: DataFrame, ratio: float = fixed.HOLDOUT_RATIO, seed: int = fixed
     narrowed down by counting hash prefixes (at most 65,536 groups a pass); `is_test` is then a
     comparison with one literal and needs no shuffle. Depends on keys only, never on partitions.
     """
-    hashes = df.select(_hash(seed, key).alias("h"), col(key).alias("k"))
+    hashes = df.select(key_hash(seed, key).alias("h"), col(key).alias("k"))
     n = hashes.count()
     if n == 0:
         return df.withColumn("is_test", F.lit(False))
@@ -86,11 +87,11 @@ def holdout(df: DataFrame, ratio: float = fixed.HOLDOUT_RATIO, seed: int = fixed
         prefix, left = row["p"], row["c"]
     inside = hashes.where(F.startswith(F.col("h"), F.lit(prefix)))
     last = inside.orderBy("h", "k").limit(wanted).agg(F.max(F.struct("h", "k")).alias("b")).first()["b"]
-    own = F.struct(_hash(seed, key).alias("h"), col(key).alias("k"))
+    own = F.struct(key_hash(seed, key).alias("h"), col(key).alias("k"))
     return df.withColumn("is_test", own <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).cast(df.schema[key].dataType).alias("k")))
 
 
 def bernoulli_holdout(df: DataFrame, ratio: float = fixed.HOLDOUT_RATIO, seed: int = fixed.HOLDOUT_SEED, key: str = ROW_ID) -> DataFrame:
     """Add `is_test` by hash threshold alone: no pass over the data, size only about n * ratio."""
-    draw = F.conv(F.substring(_hash(seed, key), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
+    draw = F.conv(F.substring(key_hash(seed, key), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     return df.withColumn("is_test", draw < ratio)

@@ -138,6 +138,20 @@ def lloyd() -> str:
 
 
 KMEANS = f"{POINTS}, {lloyd()}"
+
+
+def lloyd_until_settled() -> str:
+    """CTE `own(id, c)`: three hash-drawn rows, then up to 80 rounds with one column per coordinate."""
+    drawn = f"select x0, x1, row_number() over (order by md5(concat('{fixed.KMEANS['seed']}-', cast(id as varchar))), id) - 1 as r from pts"
+    start = ", ".join(f"max(case when r = {c} then x{j} end) as c{c}_{j}" for c in range(3) for j in range(2))
+    names = ", ".join(f"c{c}_{j}" for c in range(3) for j in range(2))
+    away = ", ".join(f"(x0-c{c}_0)*(x0-c{c}_0) + (x1-c{c}_1)*(x1-c{c}_1) as d{c}" for c in range(3))
+    nearest = "case when d0 <= d1 and d0 <= d2 then 0 when d1 <= d2 then 1 else 2 end"
+    moved = ", ".join(f"coalesce(avg(case when c = {c} then x{j} end), any_value(c{c}_{j})) as c{c}_{j}" for c in range(3) for j in range(2))
+    return f"""dn as ({drawn}), km(step, {names}) as (select 0, {start} from dn where r < 3 union all
+  select step + 1, {moved} from (select *, {nearest} as c from (select *, {away} from km, pts where step < {fixed.KMEANS['rounds']})) group by step),
+own as (select id, {nearest} as c from (select *, {away} from km, pts where step = {fixed.KMEANS['rounds']}))"""
+
 EPS = """smp as (select id, x0, x1 from pts order by id limit 220),
 fifth as (select a, d from (select a.id a, sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1)) d,
   row_number() over (partition by a.id order by sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1))) rn from smp a join smp b on a.id <> b.id) where rn = 5),
@@ -444,6 +458,7 @@ def build() -> dict[str, str]:
     sql["kmeans_lloyd"] = f"with {KMEANS} select c::bigint as cluster, 0::bigint as position, {r6('m0')} as center from k{last} union all select c, 1, {r6('m1')} from k{last}"
     sql["kmeans_assign"] = f"with {KMEANS} select id as c_custkey, c as prediction from a{last}"
     sql["kmeans_inertia"] = f"with {KMEANS} select {r6('sum(d)')} as inertia from a{last}"
+    sql["kmeans_drawn_rows"] = f"with recursive {POINTS}, {lloyd_until_settled()} select id as c_custkey, c as prediction from own"
     sql["dbscan_eps"] = f"with {POINTS}, {EPS} select {r6('eps')} as eps, cast(min_pts as integer) as min_pts from eps, mp"
     sql["dbscan_core"] = f"with recursive {DB} select id as c_custkey, is_core from lab"
     sql["dbscan_labels"] = f"with recursive {DB} select id as c_custkey, c as prediction from lab"

@@ -67,7 +67,7 @@ def train_and_evaluate(analysis: Analysis, algorithm: str, row_cap: int | None =
     `row_cap` takes a systematic sample first; without it all rows are used.
     """
     rows = systematic_sample(analysis.prepared(), row_cap, analysis.key)
-    if algorithm in ("knnClassifier", "knnRegressor", "forestClassifier", "forestRegressor", "dbscan"):
+    if algorithm in ("knnClassifier", "knnRegressor", "forestClassifier", "forestRegressor", "kmeans", "dbscan"):
         options.setdefault("key", analysis.key)
     if analysis.problem_type == "unsupervised":
         model = train("unsupervised", algorithm, rows, **options)

@@ -478,6 +478,14 @@ def kmeans_inertia(spark, sf_dir):
     return rounded_columns(model.inertia(points))
 
 
+@query
+def kmeans_drawn_rows(spark, sf_dir):
+    """From three drawn rows until nothing changes."""
+    _, points = customer_points(spark, sf_dir)
+    model = train("unsupervised", "kmeans", points, key="c_custkey")
+    return model.transform(points).select("c_custkey", F.col("prediction").cast("int").alias("prediction"))
+
+
 @query
 def dbscan_eps(spark, sf_dir):
     _, points = customer_points(spark, sf_dir)
@@ -650,6 +658,6 @@ def tree_regress_bins(spark, sf_dir):
 
 
 @query
-def kmeans_random_start(spark, sf_dir):
+def kmeans_spark(spark, sf_dir):
     _, points = customer_points(spark, sf_dir)
-    return train("unsupervised", "kmeans", points).transform(points).select("c_custkey", "prediction")
+    return train("unsupervised", "kmeans", points, method="spark").transform(points).select("c_custkey", "prediction")

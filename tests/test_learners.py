@@ -118,16 +118,72 @@ def test_knn_models(spark, data, small_bytes):
     assert by_id(values, "prediction") == pytest.approx(list((w * y[order]).sum(axis=1) / w.sum(axis=1)))
 
 
-def test_forests_vote(spark, data):
+@pytest.mark.parametrize("method", ["node", "bins"])
+def test_tree_methods(spark, data, method):
     x, y, df = data
-    forest = train("classification", "forestClassifier", df, classes=3)
-    p = np.array(by_id(forest.transform(df), "probability"))
-    assert p.sum(axis=1) == pytest.approx(np.ones(len(p)))
-    assert np.round(p * 17, 9) == pytest.approx(np.round(p * 17))
-    for task, name in (("classification", "treeClassifier"), ("classification", "forestClassifier"), ("regression", "treeRegressor"), ("regression", "forestRegressor")):
-        model = train(task, name, df)
-        hit = np.array(by_id(model.transform(df), "prediction"))
-        assert np.mean(np.abs(hit - y) < 0.5) > 0.85
+    tree = train("classification", "treeClassifier", df, classes=3, method=method)
+    forest = train("classification", "forestClassifier", df, classes=3, method=method)
+    for model in (tree, forest):
+        p = np.array(by_id(model.transform(df), "probability"))
+        assert p.sum(axis=1) == pytest.approx(np.ones(len(p)))
+        assert np.mean(p.argmax(axis=1) == y) > 0.85
+    votes = np.array(by_id(forest.transform(df), "probability")) * 17
+    assert votes == pytest.approx(np.round(votes))
+    values = train("regression", "forestRegressor", df, method=method)
+    assert np.mean((np.array(by_id(values.transform(df), "prediction")) - y) ** 2) < 0.2
+
+
+def plain_tree(x, t, classes, depth=0):
+    """The definition, row by row: returns a function from a row to (class shares or mean)."""
+    def impurity(v):
+        return 1 - sum((np.mean(v == c)) ** 2 for c in range(classes)) if classes else np.var(v)
+
+    def leaf():
+        value = np.array([np.mean(t == c) for c in range(classes)]) if classes else t.mean()
+        return lambda row: value
+
+    here, best = impurity(t), (1e-9, None, None)
+    if depth >= 6 or len(t) <= 4 or here <= 1e-9:
+        return leaf()
+    for j in range(x.shape[1]):
+        values = np.unique(x[:, j])
+        step = max(1, len(values) // 12)
+        for i in range(step, len(values), step):
+            cut = (values[i - 1] + values[i]) / 2
+            low = x[:, j] <= cut
+            if low.sum() < 4 or (~low).sum() < 4:
+                continue
+            gain = here - low.mean() * impurity(t[low]) - (~low).mean() * impurity(t[~low])
+            if gain > best[0] + 1e-12:
+                best = (gain, j, cut)
+    if best[1] is None:
+        return leaf()
+    low = x[:, best[1]] <= best[2]
+    left, right = (plain_tree(x[m], t[m], classes, depth + 1) for m in (low, ~low))
+    return lambda row: (left if row[best[1]] <= best[2] else right)(row)
+
+
+@pytest.mark.parametrize("small_rows", [None, 20])
+def test_tree_splits(spark, data, monkeypatch, small_rows):
+    from tabml.operators import ordering
+
+    if small_rows:
+        monkeypatch.setattr(ordering, "SMALL_ROWS", small_rows)
+    x, y, df = data
+    want = plain_tree(x, y, 3)
+    model = train("classification", "treeClassifier", df, classes=3)
+    assert np.array(by_id(model.transform(df), "probability")) == pytest.approx(np.array([want(r) for r in x]))
+    numbers = 100 + 3 * x[:, 2] + x[:, 0]
+    value = plain_tree(x, numbers, None)
+    model = train("regression", "treeRegressor", frame(spark, x, numbers))
+    assert by_id(model.transform(df), "prediction") == pytest.approx([value(r) for r in x])
+    assert np.argmax(model.importances) == 2
+
+
+def test_forest_does_not_depend_on_partitions(spark, data):
+    _, _, df = data
+    a, b = (train("classification", "forestClassifier", d, classes=3, method="node").transform(df) for d in (df, df.repartition(2)))
+    assert by_id(a, "probability") == by_id(b, "probability")
 
 
 def test_lloyd(spark, data):
@@ -147,7 +203,10 @@ def test_lloyd(spark, data):
     assert by_id(model.transform(df), "prediction") == list(own)
     far = train_kmeans(df, init_centers=[[0, 0, 0, 0], [99, 99, 99, 99]], rounds=3)
     assert list(far.centers[1]) == [99] * 4
-    assert train_kmeans(df, k=50).details["k"] <= 8
+    drawn = train_kmeans(df, k=50)
+    assert drawn.details["k"] == 8
+    assert train_kmeans(df.repartition(3), k=50).centers == pytest.approx(drawn.centers)
+    assert train_kmeans(df, k=1, method="spark").details["k"] == 2
 
 
 def sequential_dbscan(x, eps, min_pts):
