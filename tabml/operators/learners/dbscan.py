@@ -66,11 +66,15 @@ def minimum_points(n: int) -> int:
 class _Grid:
     """Cell geometry: bounding boxes and safe bounds between boxes and rows."""
 
-    def __init__(self, size: int, eps: float, spread: list[float]):
+    def __init__(self, size: int, eps: float, spread: list[float], flags: list[int]):
+        """`flags` are features that are 0 or 1 in every row."""
         self.size, self.eps = size, eps
-        self.side = eps / math.sqrt(max(1, size)) * (1 - SLACK)
+        # Below a distance of 1 near rows agree in every flag, so flags join by equality. A cell is
+        # narrower than 1 then, and its rows differ in the other features only.
+        self.equal = flags if eps < 1 - SLACK else []
+        self.side = eps / math.sqrt(max(1, size - len(self.equal))) * (1 - SLACK)
         self.reach = int(math.ceil(eps / self.side)) + 1
-        widest = sorted(range(size), key=lambda j: -spread[j])
+        widest = sorted(set(range(size)) - set(self.equal), key=lambda j: -spread[j])
         self.axes = sorted(widest[:JOIN_FEATURES])
 
     def cell(self, features: Column, parts: int = 1) -> Column:
@@ -112,10 +116,11 @@ class _Grid:
             return F.floor(cell[j] / self.reach)
 
         digits = [F.floor(F.col("_shift") / 3**i) % 3 - 1 for i in range(len(self.axes))]
+        same = [F.col("cell")[j] for j in self.equal]
         moved = [block(F.col("cell"), j) + digit for j, digit in zip(self.axes, digits)]
         around = left.withColumn("_shift", F.explode(F.sequence(F.lit(0), F.lit(3 ** len(self.axes) - 1))))
-        around = around.withColumn("_block", F.array(*moved))
-        other = right.withColumn("_block", F.array(*[block(F.col("cell"), j) for j in self.axes]))
+        around = around.withColumn("_block", F.array(*moved, *same))
+        other = right.withColumn("_block", F.array(*[block(F.col("cell"), j) for j in self.axes], *same))
         other = other.select("_block", *[F.col(c).alias("n_" + c) for c in right.columns])
         joined = around.join(other, "_block").where(F.col("cell") != F.col("n_cell"))
         return joined.where(self.maybe_within(self.gap(F.col("low"), F.col("high"), F.col("n_low"), F.col("n_high")))).drop("_block", "_shift")
@@ -142,10 +147,17 @@ def _met_by_rows(pairs: DataFrame, rows: DataFrame, grid: _Grid) -> DataFrame:
     return asking.join(answering, ["n_cell", "_chunk"]).where(grid.within(F.col("features"), F.col("n_features")))
 
 
+def _flags(df: DataFrame, size: int) -> list[int]:
+    """Positions of features that are 0 or 1 in every row, such as encoded categories."""
+    values = [F.col("features")[j] for j in range(size)]
+    row = df.agg(F.array(*[F.bool_and((x == 0) | (x == 1)) for x in values]).alias("flags")).first()
+    return [j for j, flag in enumerate(row["flags"]) if flag]
+
+
 def dbscan(df: DataFrame, eps: float, min_pts: int, key: str = ROW_ID) -> DataFrame:
     """`(key, is_core, prediction)` for every row; noise is -1."""
     size = width(df)
-    grid = _Grid(size, eps, dispersion(df))
+    grid = _Grid(size, eps, dispersion(df), _flags(df, size))
     rows = df.select(col(key).alias("id"), "features").withColumn("cell", grid.cell(F.col("features")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:

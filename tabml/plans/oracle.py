@@ -426,7 +426,7 @@ def build() -> dict[str, str]:
             preprocessing_rows("part", "0", "0", 1, 0, None),
         ]
     )
-    sql["health"] = f"""select count(*) as "rows", 4::bigint as "columns", 3::bigint as numeric_columns, 1::bigint as categorical_columns, 3::bigint as features, 3::bigint as encoded_features,
+    sql["health_summary"] = f"""select count(*) as "rows", 4::bigint as "columns", 3::bigint as numeric_columns, 1::bigint as categorical_columns, 3::bigint as features, 3::bigint as encoded_features,
         'Classification' as task, {text(fixed.WHY_LABELS.format(target='event_type'))} as rationale from events"""
     spread = f"""with {prep('select * from customer', 'c_custkey', CUSTOMER_FEATURES[:2])}, cat as ({segment})
         select cast(j as bigint) as position, case when j = 0 then '{CUSTOMER_FEATURES[0]}' else '{CUSTOMER_FEATURES[1]}' end as name, stddev_pop(x) as s from z group by j

@@ -15,11 +15,12 @@ from tabml.functions import fixed
 from tabml.functions.values import as_number, is_missing
 from tabml.operators import evaluate as ev
 from tabml.operators import explain as ex
+from tabml.operators import preprocess as pre
 from tabml.operators import profile as pf
 from tabml.operators.learners.base import dispersion_table
 from tabml.operators.learners.dbscan import DbscanModel, estimate_eps, minimum_points, train_dbscan
 from tabml.operators.neighbors import nearest_neighbors
-from tabml.operators.preprocess import TabularModel, TabularPreprocessor, health_summary
+from tabml.operators.preprocess import TabularModel, TabularPreprocessor
 from tabml.operators.projection import fit_pca
 from tabml.operators.sampling import holdout, preview, systematic_sample, usable_rows
 from tabml.operators.training import train
@@ -319,10 +320,10 @@ def preprocessing_summary(spark, sf_dir):
 
 
 @query
-def health(spark, sf_dir):
+def health_summary(spark, sf_dir):
     events = events_with_k(spark, sf_dir).drop("event_id")
     found = analyze(events, "event_type")
-    return health_summary(events, found.preprocessor, found.rationale)
+    return pre.health_summary(events, found.preprocessor, found.rationale)
 
 
 @query

@@ -228,6 +228,17 @@ def sequential_dbscan(x, eps, min_pts):
     return label, core
 
 
+@pytest.mark.parametrize("eps", [0.45, 1.1, 1.5])
+def test_dbscan_with_encoded_categories(spark, eps):
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=(260, 2)), np.eye(3)[rng.integers(0, 3, 260)]])
+    label, core = sequential_dbscan(x, eps, 5)
+    got = dbscan(frame(spark, x), eps, 5).orderBy("_row_id").collect()
+    assert [r["prediction"] for r in got] == list(label)
+    only_flags = dbscan(frame(spark, x[:, 2:]), 0.5, 5).orderBy("_row_id").collect()
+    assert [r["prediction"] for r in only_flags] == list(sequential_dbscan(x[:, 2:], 0.5, 5)[0])
+
+
 @pytest.mark.parametrize("n,d,eps,min_pts,copies", [(300, 2, 0.2, 4, 0), (260, 3, 0.5, 5, 90), (200, 6, 1.2, 4, 0), (250, 1, 0.01, 3, 0)])
 def test_dbscan(spark, n, d, eps, min_pts, copies):
     x = np.random.default_rng(n).normal(size=(n, d))
