@@ -14,8 +14,20 @@ from pyspark.sql import functions as F
 UNROLL_LIMIT = 24
 
 
-def array_literal(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def array_literal(values: Sequence) -> Column:
+    """Constant array of doubles, or of arrays of doubles; handed over as one text, not value by value."""
+    nested = len(values) > 0 and isinstance(values[0], Sequence)
+    return F.expr(_array_text(values, lambda v: f"{float(v)!r}D")).cast("array<array<double>>" if nested else "array<double>")
+
+
+def index_literal(values: Sequence) -> Column:
+    """Constant array of integers, or of arrays of integers."""
+    nested = len(values) > 0 and isinstance(values[0], Sequence)
+    return F.expr(_array_text(values, str)).cast("array<array<int>>" if nested else "array<int>")
+
+
+def _array_text(values: Sequence, item: Callable[..., str]) -> str:
+    return "array(" + ",".join(_array_text(v, item) if isinstance(v, Sequence) else item(v) for v in values) + ")"
 
 
 def _sum_terms(features: Column, term: Callable[..., Column], *params: Sequence[float]) -> Column:

@@ -31,7 +31,7 @@ class SoftmaxModel(FittedModel):
         return with_class_scores(dataset, scores)
 
     def contributions(self) -> Column:
-        rows = F.array(*[vectors.array_literal(w[1:]) for w in self.weights])
+        rows = vectors.array_literal([list(w[1:]) for w in self.weights])
         own = F.element_at(rows, F.col("prediction").cast("int") + 1)
         return F.zip_with(F.col("features"), own, lambda x, w: F.abs(w * x))
 

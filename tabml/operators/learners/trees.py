@@ -71,10 +71,10 @@ class GrownModel(FittedModel):
             total = F.aggregate("_at", F.lit(0.0), lambda s, i: s + F.get(values, i))
             return reached.withColumn("prediction", total / self.trees).drop("_at")
         if self.trees == 1:
-            shares = F.array(*[vectors.array_literal([v / sum(n.sums) for v in n.sums]) for n in self.nodes])
+            shares = vectors.array_literal([[v / sum(n.sums) for v in n.sums] for n in self.nodes])
             scored = reached.withColumn("probability", F.get(shares, F.col("_at")[0]))
         else:
-            winner = F.array(*[F.lit(n.sums.index(max(n.sums))) for n in self.nodes])
+            winner = vectors.index_literal([n.sums.index(max(n.sums)) for n in self.nodes])
             votes = F.transform("_at", lambda i: F.get(winner, i))
             scored = reached.withColumn("_votes", votes)
             counts = [_votes_for(c) / F.lit(float(self.trees)) for c in range(self.classes)]
@@ -162,23 +162,25 @@ def _mean(sums: list[float], middle: float) -> float:
 
 def _leaves(nodes: list[Node], trees: int, depth: int) -> Column:
     """Index of the node that a row reaches, per tree."""
-    feature, left, right = (F.array(*[F.lit(getattr(n, name)) for n in nodes]) for name in ("feature", "left", "right"))
+    feature, left, right = (vectors.index_literal([getattr(n, name) for n in nodes]) for name in ("feature", "left", "right"))
     threshold = vectors.array_literal([n.threshold for n in nodes])
 
     def step(at: Column, _: Column) -> Column:
         below = F.get(F.col("features"), F.get(feature, at)) <= F.get(threshold, at)
         return F.when(F.get(feature, at) < 0, at).when(below, F.get(left, at)).otherwise(F.get(right, at))
 
-    rounds = F.array(*[F.lit(i) for i in range(depth)])
-    return F.transform(F.array(*[F.lit(t) for t in range(trees)]), lambda root: F.aggregate(rounds, root, step))
+    rounds = vectors.index_literal(range(depth))
+    return F.transform(vectors.index_literal(range(trees)), lambda root: F.aggregate(rounds, root, step))
 
 
 def _draws(key: str, trees: int) -> Column:
     """How often each tree draws the row."""
+    steps = F.expr("array(" + ",".join(f"{s}L" for s in DRAW_STEPS) + ")")
+
     def draw(tree: int) -> Column:
         text = F.concat(F.lit(f"{fixed.FOREST['seed']}-{tree}-"), col(key).cast("string"))
         number = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
-        return F.size(F.filter(F.array(*[F.lit(s) for s in DRAW_STEPS]), lambda s: number >= s))
+        return F.size(F.filter(steps, lambda s: number >= s))
 
     return F.array(*[draw(t) for t in range(trees)])
 
@@ -231,8 +233,8 @@ def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subs
 
 def _best_splits(rows: DataFrame, nodes: list[Node], trees: int, depth: int, allowed: dict, names: list[str], classes: int | None, limits: dict) -> dict:
     """Per open node: gain, feature, threshold and the label sums of its left side."""
-    nothing = F.array().cast("array<int>")
-    choice = F.array(*[F.array(*[F.lit(j) for j in allowed[i]]) if i in allowed else nothing for i in range(len(nodes))])
+    nothing = vectors.index_literal([])
+    choice = vectors.index_literal([allowed.get(i, []) for i in range(len(nodes))])
     at = _leaves(nodes, trees, depth)
 
     def cells(i: Column, tree: Column) -> Column:
