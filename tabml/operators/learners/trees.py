@@ -205,7 +205,8 @@ def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subs
     )
     names = list(measures)
     draws = _draws(key, trees) if key else F.array(F.lit(1))
-    rows = df.select("features", draws.alias("draws"), *[m.alias(n) for n, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _spread(df.select("features", "label", *([col(key)] if key else [])))
+    rows = rows.select("features", draws.alias("draws"), *[m.alias(n) for n, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sums = rows.agg(*[F.sum(F.col("draws")[t] * F.col(n)).alias(f"{n}_{t}") for t in range(trees) for n in names]).first()
         nodes = [Node(t, 1, [sums[f"{n}_{t}"] for n in names]) for t in range(trees)]
@@ -231,6 +232,12 @@ def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subs
     return GrownModel(nodes, trees, limits["depth"], importances, classes, middle)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer partitions than cores, as one small file has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _best_splits(rows: DataFrame, nodes: list[Node], trees: int, depth: int, allowed: dict, names: list[str], classes: int | None, limits: dict) -> dict:
     """Per open node: gain, feature, threshold and the label sums of its left side."""
     nothing = vectors.index_literal([])
