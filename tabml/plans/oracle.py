@@ -448,7 +448,7 @@ def build() -> dict[str, str]:
         v as (select id, label, sum(1/(d + 1e-6)) s from r where rn <= {vote} group by 1, 2),
         p as (select id, label, s / sum(s) over (partition by id) p, row_number() over (partition by id order by s desc, label) rn from v)
         select p.id as vec_id, cast(em.label as double) as label, cast(p.label as double) as prediction, {r6('p')} as top_probability from p join em using (id) where rn = 1"""
-    sql["knn_regress"] = f"""with {prep(PART_SQL, 'p_partkey', ['number', 'p_size'])}, {split('p_partkey')},
+    sql["knn_regress"] = f"""with {prep(PART_SQL, 'p_partkey', ['number', 'p_size'], 9)}, {split('p_partkey')},
         pt as (select z.id, max(case when j = 0 then x end) x0, max(case when j = 1 then x end) x1, max(p_retailprice) y, bool_or(is_test) t from z join sp using (id) join src on p_partkey = z.id group by z.id),
         d as (select a.id, a.y, b.id nid, b.y ny, sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1)) d from pt a join pt b on true where a.t and not b.t),
         r as (select *, row_number() over (partition by id order by d, nid) rn from d)

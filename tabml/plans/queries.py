@@ -394,8 +394,9 @@ def knn_classify(spark, sf_dir):
 
 @query
 def knn_regress(spark, sf_dir):
-    t = train_and_evaluate(part_analysis(spark, sf_dir), "knnRegressor")
-    return rounded_columns(ev.actual_vs_predicted(t.model.transform(t.test_rows), "p_partkey"))
+    split = settled_split(part_analysis(spark, sf_dir))
+    model = train("regression", "knnRegressor", split.where(~F.col("is_test")), key="p_partkey")
+    return rounded_columns(ev.actual_vs_predicted(model.transform(split.where("is_test")), "p_partkey"))
 
 
 def softmax(spark, sf_dir) -> Trained:
@@ -413,11 +414,19 @@ def softmax_predict(spark, sf_dir):
     return t.model.transform(t.test_rows).select("event_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
 
 
-def grown(analysis: Analysis, algorithm: str, **options) -> DataFrame:
-    """Scored holdout rows. Features are rounded to nine digits first: a row may lie exactly on a split
-    between two other values, and the last bit of a standardised value differs between engines."""
+def settled_split(analysis: Analysis) -> DataFrame:
+    """Prepared rows with `is_test` and features rounded to nine digits.
+
+    The last bit of a standardised value differs between engines. That decides on which side of a split
+    between two other values a row lies, or which of two neighbours at equal distance is nearer.
+    """
     rows = analysis.prepared().withColumn("features", F.transform("features", lambda x: F.floor(x * 1e9 + 0.5) / 1e9))
-    split = holdout(rows, key=analysis.key)
+    return holdout(rows, key=analysis.key)
+
+
+def grown(analysis: Analysis, algorithm: str, **options) -> DataFrame:
+    """Holdout rows scored by trees with exact splits."""
+    split = settled_split(analysis)
     if analysis.problem_type == "classification":
         options["classes"] = len(analysis.preprocessor.classes)
     model = train(analysis.problem_type, algorithm, split.where(~F.col("is_test")), method="node", **options)
