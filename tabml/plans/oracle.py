@@ -37,11 +37,6 @@ def text(value: str) -> str:
 # --- shared steps -------------------------------------------------------------------------------
 
 
-def frequencies(parts: list[tuple[str, str, str]]) -> str:
-    """`(src, col, v, n)` over (source sql, column name, trimmed text or null)."""
-    return " union all ".join(f"select '{c}' as col, {e} as v, count(*) as n from ({s}) group by 1, 2" for s, c, e in parts)
-
-
 def numeric_stats(parts: list[tuple[str, str, str, str, str]]) -> str:
     """CTEs for fitted numeric columns from (source name, source sql, column, number, missing test)."""
     raw = " union all ".join(f"select '{n}' as source, '{c}' as col, cast({v} as double) as v, {m} as m from ({s})" for n, s, c, v, m in parts)
