@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder.
 
-    `spark.checkpoint.dir` names it on a cluster. Only when neither that setting nor a checkpoint
-    folder exists, as in local tests, a fresh local folder is used.
+    `spark.checkpoint.dir` names it on a cluster. Where it is unset, a local session, as in tests, gets
+    a folder beside its warehouse that is deleted at its end; any other session is refused, as its
+    executors might not see the driver's disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
@@ -27,6 +34,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder as Parquet and read back.
+
+    Cuts the lineage like a checkpoint; beyond that later reads are pruned by column and the planner
+    knows the true size, so it broadcasts a side of a join only if that is below the session's limit.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder and cut the lineage.
 
