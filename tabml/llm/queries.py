@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import mixing, quality, sharding
+from tabml.llm import mixing, neardup, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mix = mixing.mixed(docs, F.array("source"), turning_weights, mixing.word_count(F.col("text")), key=["doc_id", "text"], carry=["doc_id"])
     return mix.rows.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")
+    )

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20
-_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 _VALUE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -122,10 +122,10 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, factor = np.zeros(n, np.uint64), np.uint64(k)
+    out, factor = np.zeros(n, np.uint64), k
     for j in range(k):
-        factor = factor * _STEP
-        out += hashes[j : j + n] * factor
+        factor = factor * _STEP % (1 << 64)
+        out += hashes[j : j + n] * np.uint64(factor)
     return mixed(out)
 
 
