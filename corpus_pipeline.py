@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import mixing, quality, sharding
+from tabml.llm import decontam, mixing, neardup, quality, sharding
 from tabml.llm.queries import turning_weights
 from tabml.sources.scratch import stored
 
@@ -17,6 +17,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judged(docs).where("kept").select("row.*")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    return neardup.one_per_group(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated by `benchmark`."""
+    return decontam.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by source weights; a document taken twice is there twice."""
     mix = mixing.mixed(docs, F.array("source"), turning_weights, mixing.word_count(F.col("text")), key=["doc_id", "text"])
@@ -32,6 +42,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near-dedup", near_dedup),
+    ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]
