@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.tokens import SPACED, lists, mixed, pieces, whole, windows, words_of
+from tabml.llm.tokens import SPACED, distinct_pairs, lists, mixed, pieces, whole, windows, words_of
 from tabml.operators.components import connected_components
 from tabml.sources.scratch import stored
 
@@ -43,11 +43,7 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     if len(few):
         short = [windows(w.hash[w.bounds[t] : w.bounds[t + 1]], int(count[t])) for t in few]
         hashes, owner = np.concatenate([hashes, *short]), np.concatenate([owner, few])
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    fresh = np.ones(len(hashes), bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    hashes, owner = hashes[fresh], owner[fresh]
+    owner, hashes, _ = distinct_pairs(owner, hashes)
     return hashes, np.searchsorted(owner, np.arange(len(column) + 1))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import decontam, mixing, neardup, quality, sharding
+from tabml.llm import decontam, language, lm, mixing, neardup, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +84,21 @@ def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language.held_out(F.col("doc_id"), 5, 0)
+    names, protos = language.prototypes(docs.where(~held))
+    found = language.predicted(docs.select("doc_id", "text"), names, protos, carry=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), language.held_out(F.col("row.doc_id"), 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.scored(docs, ~language.held_out(F.col("doc_id"), 10, 0))
+    return found.select(
+        F.col("id").alias("doc_id"), language.held_out(F.col("id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

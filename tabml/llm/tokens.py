@@ -46,12 +46,12 @@ class Words:
     data: np.ndarray
 
 
-def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges `(from, to)` of at most `limit` bytes of text, or of one row."""
+def pieces(column: pa.Array, limit: int = PIECE_BYTES, rows: int = 1 << 14) -> Iterator[tuple[int, int]]:
+    """Row ranges `(from, to)` of at most `rows` rows and `limit` bytes of text, or of one row."""
     ends = np.cumsum(_lengths(column))
     at, before = 0, 0
     while at < len(column):
-        to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + limit, side="right"))))
         yield at, to
         at, before = to, int(ends[to - 1])
 
@@ -138,3 +138,13 @@ def whole(words: Words, k: int) -> np.ndarray:
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column: row i holds `values[bounds[i]:bounds[i + 1]]`."""
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, type=kind))
+
+
+def distinct_pairs(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs ordered by owner and value, and how often each occurs."""
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    fresh = np.ones(len(owner), bool)
+    fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(fresh)
+    return owner[at], value[at], np.diff(np.append(at, len(owner)))
