@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import decontam, language, lm, mixing, neardup, quality, sharding
+from tabml.llm import decontam, language, lm, mixing, neardup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,12 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), language.held_out(F.col("id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weight = toxicity.fitted(docs, table(spark, sf_dir, "labels"), ~language.held_out(F.col("doc_id"), 3, 1))
+    found = toxicity.scored(docs, weight, carry=["doc_id"])
+    held = language.held_out(F.col("row.doc_id"), 3, 1)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
