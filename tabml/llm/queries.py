@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import decontam, language, lm, mixing, neardup, quality, sharding, toxicity
+from tabml.llm import decontam, language, lm, mixing, neardup, quality, quotes, sharding, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +111,33 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.scored(docs, weight, carry=["doc_id"])
     held = language.held_out(F.col("row.doc_id"), 3, 1)
     return found.select(F.col("row.doc_id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, carry=["page_id"])
+    return found.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@query
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.threaded(table(spark, sf_dir, "conversations"))
+
+
+#: Messages that quote the one before them, and from the third on also what that one quoted; for Spark and DuckDB alike.
+REPLIES = """select conv_id, turn, role,
+ case when prev is null then text
+ when turn % 3 = 0 then concat(text, chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), 'thanks')
+ when prev2 is null then concat('user wrote:', chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), text)
+ else concat('user wrote:', chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), '> > ', replace(prev2, chr(10), concat(chr(10), '> > ')), chr(10), text) end as text
+ from (select *, lag(text) over (partition by conv_id order by turn) as prev, lag(text, 2) over (partition by conv_id order by turn) as prev2 from {conversations}) t"""
+
+
+@query
+def chat_quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotation linking over conversations in which replies quote: `conversations` has no quotation marks."""
+    replies = spark.sql(REPLIES, conversations=table(spark, sf_dir, "conversations"))
+    return quotes.threaded(replies)
