@@ -133,7 +133,8 @@ def mixed(
     """
     spark = df.sparkSession
     carried = [F.col(f"`{c}`") for c in (df.columns if carry is None else carry)]
-    rank = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in key)), 64 - HASH_BITS)
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(f"`{c}`").cast("string") for c in key)))
+    rank = F.conv(F.substring(drawn, 1, HASH_BITS // 4), 16, 10).cast("long")
     rows = df.select(F.struct(*carried).alias("row"), F.array_sort(F.array_distinct(members)).alias("pattern"), size.alias("size"), rank.alias("rank"))
     slim = stored(rows.select("pattern", "size", "rank"), "sizes")
     found = slim.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MOST_PATTERNS + 1).collect()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import decontam, language, lm, mixing, neardup, quality, quotes, sharding, toxicity, urls
+from tabml.llm import decontam, language, lm, mixing, neardup, oracle, quality, quotes, sharding, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +141,13 @@ def chat_quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotation linking over conversations in which replies quote: `conversations` has no quotation marks."""
     replies = spark.sql(REPLIES, conversations=table(spark, sf_dir, "conversations"))
     return quotes.threaded(replies)
+
+
+ORACLE |= {
+    "op1_quotes": oracle.quotes("select * from conversations"),
+    "op3_mixing": oracle.mixing(),
+    "op4_decontam": oracle.decontam(),
+    "op6_neardup": oracle.neardup(),
+    "op10_quality": oracle.quality(),
+    "chat_quoted_replies": oracle.quotes(REPLIES.format(conversations="conversations")),
+}
