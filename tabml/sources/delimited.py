@@ -47,8 +47,9 @@ def unique_headers(names: Sequence[str | None]) -> list[str]:
 def read_table(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = True) -> DataFrame:
     """Read a delimited file as trimmed text columns.
 
-    The first record with any text is the header. Blank records are dropped, short records are
-    padded with empty text, extra fields are cut. Line breaks inside quotes need `multiline`, which
+    The first record with any text is the header; the first record of any other file of a folder is dropped
+    only if it repeats the header. Blank records are dropped, short records are padded with empty text, extra
+    fields are cut. Line breaks inside quotes need `multiline`, which
     reads each file in one task; pass `multiline=False` for large files without such breaks, so that
     Spark splits them over many tasks.
     """
@@ -62,24 +63,32 @@ def read_table(spark: SparkSession, path: str, sep: str | None = None, multiline
             reader = reader.schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)]))
         return reader.csv(path)
 
+    place = ("_file", "_at")
+
     def cleaned(df: DataFrame) -> DataFrame:
-        return df.select("*").withColumns({c: F.coalesce(trimmed(F.col(c)), F.lit("")) for c in df.columns if c != "_at"})
+        return df.select("*").withColumns({c: F.coalesce(trimmed(F.col(c)), F.lit("")) for c in df.columns if c not in place})
 
     def has_text(df: DataFrame) -> Column:
-        return reduce(lambda a, b: a | b, [F.col(c) != "" for c in df.columns if c != "_at"])
+        return reduce(lambda a, b: a | b, [F.col(c) != "" for c in df.columns if c not in place])
 
     width = _header_width(spark, path, sep, len(scan(False, None).columns))
-    # `_at` marks the place of a record in the scan, to tell the header from equal data records.
-    placed = cleaned(scan(False, width).withColumn("_at", F.monotonically_increasing_id()))
+    # `_at` marks the place of a record in its file, to tell headers from equal data records.
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    placed = cleaned(scan(False, width).select("*", F.col("_metadata.file_path").alias("_file"), at.alias("_at")))
     records = placed.where(has_text(placed))
     header, *more = records.take(2) or [None]
     if header is None or not more:
         raise ValueError(fixed.CSV_TOO_SHORT)
     names = unique_headers([header[f"_c{i}"] for i in range(width)])
-    if header["_at"] == 0:
-        body = cleaned(scan(True, width))
-        return body.where(has_text(body)).toDF(*names)
-    return records.where(F.col("_at") != header["_at"]).drop("_at").toDF(*names)
+    if len(placed.inputFiles()) == 1:
+        if header["_at"]["id"] == 0:
+            body = cleaned(scan(True, width))
+            return body.where(has_text(body)).toDF(*names)
+        return records.where(F.col("_at.id") != header["_at"]["id"]).drop(*place).toDF(*names)
+    # One row per file, whose names the driver holds anyway.
+    firsts = F.broadcast(records.groupBy("_file").agg(F.min("_at").alias("_first")))
+    repeats = reduce(lambda a, b: a & b, [F.col(f"_c{i}") == F.lit(header[f"_c{i}"]) for i in range(width)])
+    return records.join(firsts, "_file").where(~((F.col("_at") == F.col("_first")) & repeats)).drop(*place, "_first").toDF(*names)
 
 
 def _header_width(spark: SparkSession, path: str, sep: str, scanned: int) -> int:

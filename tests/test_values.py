@@ -81,3 +81,20 @@ def test_softmax_and_argmax(spark):
     rows = df.select(vectors.softmax(F.col("s")).alias("p"), vectors.argmax(F.col("s")).alias("c")).collect()
     assert [r["c"] for r in rows] == [0.0, 1.0]
     assert all(abs(sum(r["p"]) - 1) < 1e-12 for r in rows)
+
+
+def test_folder_keeps_first_records_that_are_data(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n a ;b\n1;2\n")
+    (tmp_path / "b.csv").write_text("\n\na;b\n3;4\na;b\n")
+    (tmp_path / "c.csv").write_text("5;6\n7\n")
+    for multiline in (True, False):
+        found = read_table(spark, str(tmp_path), multiline=multiline)
+        assert found.columns == ["a", "b"]
+        assert sorted(map(tuple, found.collect())) == [("1", "2"), ("3", "4"), ("5", "6"), ("7", ""), ("a", "b")]
+
+
+def test_messy_records(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('\n,,\nid,"a ""b""",,id\n1,"x, y\nz", 2 ,"q"\n\n2,only\n3,a,b,c,extra\n')
+    found = read_table(spark, str(tmp_path))
+    assert found.columns == ["id", 'a "b"', "column_3", "id_2"]
+    assert sorted(map(tuple, found.collect())) == [("1", "x, y\nz", "2", "q"), ("2", "only", "", ""), ("3", "a", "b", "c")]
