@@ -43,8 +43,8 @@ TREE = {"depth": 6, "min_rows": 4, "min_gain": 1e-9}
 TREE_CANDIDATES = 12
 FOREST = {"depth": 7, "min_rows": 4, "min_gain": 1e-9, "seed": 19,
           "classification_trees": 17, "regression_trees": 15}
-KMEANS = {"k": 3, "k_min": 2, "k_max": 8, "rounds": 80, "seed": 29}
-DBSCAN = {"min_pts_low": 3, "min_pts_high": 5, "eps_rows": 220, "eps_neighbor": 5,
+KMEANS = {"k": 3, "rounds": 80, "seed": 29}
+DBSCAN = {"min_pts_low": 3, "min_pts_high": 5, "eps_neighbor": 5,
           "eps_quantile": 0.65, "noise": -1}
 PCA = {"steps": 80, "first": 1.0, "rest": 0.3}
 SIGNALS = 4

@@ -72,8 +72,11 @@ def is_numeric_type(dtype: T.DataType) -> bool:
 
 
 def as_text(df: DataFrame, name: str) -> Column:
-    """Trimmed text of a cell, NULL when missing. Booleans and dates become their text."""
-    if is_numeric_type(df.schema[name].dataType):
+    """Trimmed text of a cell, NULL when missing. Booleans and dates become their text, whole numbers and decimals exactly."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        return col(name).cast("string")
+    if is_numeric_type(dtype):
         return (finite(col(name).cast("double")) + F.lit(0.0)).cast("string")
     text = col(name).cast("string")
     return F.when(~is_missing_text(text), trimmed(text))
@@ -101,9 +104,15 @@ def clamp(value: Column, lower: float, upper: float) -> Column:
 
 
 def format_number(value: Column) -> Column:
-    """Two decimals from 100 up, else three; trailing zeros are cut."""
+    """Two decimals from 100 up, else three; of two equally near texts that of the larger size; trailing zeros are cut."""
+    value = value + F.lit(0.0)  # no sign for zero
+
     def fixed_decimals(digits: int) -> Column:
-        text = F.regexp_replace(F.format_number(value, digits), ",", "")
+        # Only an odd multiple of 2 ** -(digits + 1) lies halfway between two texts; the built-in rounds it to even.
+        halves = F.abs(value) * float(2 ** (digits + 1))
+        halfway = (halves < 2.0**52) & (halves % 2 == 1)
+        up = F.signum(value) * (F.floor(F.abs(value) * 10**digits) + 1) / 10**digits
+        text = F.regexp_replace(F.format_number(F.when(halfway, up).otherwise(value), digits), ",", "")
         return F.regexp_replace(text, r"\.?0+$", "")
 
     return (

@@ -39,19 +39,20 @@ SPLIT = 4
 
 
 def estimate_eps(df: DataFrame, key: str = ROW_ID) -> DataFrame:
-    """`(eps)`: from the distance to the fifth nearest other row among the first 220 rows.
+    """`(eps)`: the 0.65 quantile, by rank, of the distances of all rows to their fifth nearest other row.
 
-    The sample size is fixed, so one row holding it is bounded.
+    With fewer rows the farthest of the others counts; a distance of 0 counts as 1.
     """
-    sample = df.select(col(key).alias("id"), "features").orderBy("id").limit(fixed.DBSCAN["eps_rows"])
-    held = sample.agg(F.collect_list(F.struct("id", "features")).alias("all"))
-    others = F.filter("all", lambda o: o["id"] != F.col("p.id"))
-    away = F.array_sort(F.transform(others, lambda o: F.sqrt(vectors.squared_distance(F.col("p.features"), o["features"]))))
-    nth = F.when(F.size(away) > 0, F.element_at(away, F.least(F.lit(fixed.DBSCAN["eps_neighbor"]), F.size(away))))
-    fifth = held.select(F.explode("all").alias("p"), "all").select(_or_one(nth).alias("away"))
-    ordered = fifth.agg(F.array_sort(F.collect_list("away")).alias("d"))
-    pick = F.floor(F.size("d") * F.lit(fixed.DBSCAN["eps_quantile"])).cast("int") + 1
-    return ordered.select(_or_one(F.try_element_at("d", pick)).alias("eps"))
+    rows = df.select(col(key).alias("id"), "features")
+    nth = fixed.DBSCAN["eps_neighbor"]
+    if rows.isEmpty():
+        return df.sparkSession.createDataFrame([(1.0,)], "eps double")
+    found = nearest_neighbors(rows, rows, nth, "id", "id", exclude_self=True)
+    away = found.groupBy("id").agg(F.max_by("distance", "rank").alias("away"))
+    each = rows.select("id").join(away, "id", "left").select("id", _or_one(F.col("away")).alias("away"))
+    placed = dense_positions(checkpointed(each), ["away", "id"], "at")
+    pick = int(math.floor(placed.count() * fixed.DBSCAN["eps_quantile"]))
+    return placed.where(F.col("at") == pick).select(F.col("away").alias("eps"))
 
 
 def _or_one(value: Column) -> Column:
@@ -244,7 +245,7 @@ def _cluster_nodes(nodes: DataFrame, rows: DataFrame, sparse_core: DataFrame, gr
     parts = 1
     open_pairs = checkpointed(open_pairs.withColumn("sub", F.col("cell")).withColumn("n_sub", F.col("n_cell")))
     found = None
-    while open_pairs.limit(1).count():
+    while not open_pairs.isEmpty():
         parts *= SPLIT
         links, open_pairs = _split(open_pairs, core_rows, grid, parts)
         found = links if found is None else found.unionByName(links)
@@ -315,7 +316,7 @@ class DbscanModel(FittedModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """New rows take the cluster of the nearest clustered training row within eps, else noise."""
         noise = F.lit(fixed.DBSCAN["noise"])
-        if self.clustered.limit(1).count() == 0:
+        if self.clustered.isEmpty():
             return dataset.withColumn("prediction", noise.cast("int"))
         found = nearest_neighbors(dataset, self.clustered, 1, self.key, self.key, "label")
         label = F.when(F.col("distance") <= F.lit(self.eps), F.col("neighbor_label").cast("int")).otherwise(noise)

@@ -19,7 +19,11 @@ from tabml.sources.rows import ROW_ID
 
 
 def cluster_number(k: int | None) -> int:
-    return min(fixed.KMEANS["k_max"], max(fixed.KMEANS["k_min"], k or fixed.KMEANS["k"]))
+    """The given number of clusters, or the default."""
+    number = fixed.KMEANS["k"] if k is None else k
+    if number < 1:
+        raise ValueError("k must be at least 1.")
+    return number
 
 
 def with_nearest_center(df: DataFrame, centers: np.ndarray, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tabml.functions.values import col
 from tabml.operators import neighbors
 from tabml.operators.learners.base import FittedModel, class_count, dispersion
 from tabml.sources.rows import ROW_ID
+from tabml.sources.scratch import checkpointed
 
 
 def neighbor_count(n: int) -> int:
@@ -23,7 +24,8 @@ class KnnModel(FittedModel):
     """Keeps a reference to the training rows; `key` names the unique id of rows to score.
 
     A small training side is searched inside one projection, which also works on streams. A larger
-    one is joined through `nearest_neighbors`.
+    one is joined through `nearest_neighbors`, under numbers of its own for the rows to score, so that both
+    ways return every row, whatever its key; a stream needs the small side.
     """
 
     def __init__(self, train: DataFrame, key: str, classes: int | None, small_bytes: int | None = None):
@@ -65,20 +67,21 @@ class KnnModel(FittedModel):
         return dataset.withColumn("probability", vote("features")).withColumn("prediction", vectors.argmax(F.col("probability")))
 
     def _joined(self, dataset: DataFrame) -> DataFrame:
-        found = neighbors.nearest_neighbors(dataset, self.train, self.k, self.key, self.key, "label", small_bytes=self.small_bytes)
+        numbered = checkpointed(dataset.withColumn("_scored", F.monotonically_increasing_id()))
+        found = neighbors.nearest_neighbors(numbered, self.train, self.k, "_scored", self.key, "label", small_bytes=self.small_bytes)
         weight = 1 / (F.col("distance") + fixed.KNN_OFFSET)
         if self.classes is None:
             value = F.sum(weight * F.col("neighbor_label")) / F.sum(weight)
-            scored = found.groupBy(col(self.key)).agg(value.alias("prediction"))
+            scored = found.groupBy("_scored").agg(value.alias("prediction"))
         else:
             votes = [F.coalesce(F.sum(F.when(F.col("neighbor_label") == c, weight)), F.lit(0.0)) for c in range(self.classes)]
             scored = (
-                found.groupBy(col(self.key))
+                found.groupBy("_scored")
                 .agg(F.array(*votes).alias("_votes"))
-                .select(col(self.key), vectors.normalized(F.col("_votes")).alias("probability"))
+                .select("_scored", vectors.normalized(F.col("_votes")).alias("probability"))
                 .withColumn("prediction", vectors.argmax(F.col("probability")))
             )
-        return dataset.join(scored.withColumnRenamed(self.key, "_scored"), col(self.key) == F.col("_scored")).drop("_scored")
+        return numbered.join(scored, "_scored", "left").drop("_scored")
 
 
 def train_knn_classifier(df: DataFrame, classes: int | None = None, key: str = ROW_ID, small_bytes: int | None = None) -> KnnModel:

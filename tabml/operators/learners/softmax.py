@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,12 +68,21 @@ def train_softmax(
 def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: float) -> np.ndarray:
     """Each step adds up one partial gradient per partition, over matrices kept between the steps."""
 
-    def matrices(rows: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        while block := list(islice(rows, BLOCK_ROWS)):
-            x = np.array([r[0] for r in block], dtype=float)
-            yield np.column_stack([np.ones(len(x)), x]), np.array([r[1] for r in block], dtype=int)
-
-    blocks = df.select("features", "label").rdd.mapPartitions(matrices).persist(StorageLevel.MEMORY_AND_DISK)
+    # Rows are packed into blocks of doubles by Arrow; the kept blocks are plain arrays.
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).astype(float)
+                label = part.column(1).to_numpy(zero_copy_only=False).astype(float)
+                yield pa.RecordBatch.from_pydict({"x": [x.tobytes()], "label": [label.tobytes()]})
+
+    def matrix(block) -> tuple[np.ndarray, np.ndarray]:
+        label = np.frombuffer(block[1]).astype(int)
+        return np.column_stack([np.ones(len(label)), np.frombuffer(block[0]).reshape(len(label), d)]), label
+
+    packed = df.select("features", "label").mapInArrow(pack, "x binary, label binary")
+    blocks = packed.rdd.map(matrix).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = blocks.map(lambda b: len(b[1])).sum()
         weights = np.zeros((count, d + 1))

@@ -268,7 +268,8 @@ def _best_splits(rows: DataFrame, nodes: list[Node], trees: int, depth: int, all
             F.array(F.struct(F.col("rank").alias("i"), F.lit(True).alias("low")), F.struct((F.col("rank") - 1).alias("i"), F.lit(False).alias("low"))),
             lambda s: (s["i"] > 0) & (s["i"] < F.col("distinct")) & (s["i"] % F.col("step") == 0),
         )
-        around = ranked.drop(*names).join(totals, ["node", "j"]).withColumn("step", step).withColumn("side", F.explode(sides))
+        # One row per open node and feature.
+        around = ranked.drop(*names).join(F.broadcast(totals), ["node", "j"]).withColumn("step", step).withColumn("side", F.explode(sides))
         low = F.col("side.low")
         candidates = around.groupBy("node", "j", F.col("side.i").alias("i")).agg(
             ((F.max(F.when(low, F.col("v"))) + F.max(F.when(~low, F.col("v")))) / 2).alias("threshold"),

@@ -7,6 +7,7 @@ totals of the ranges before it are added. Only one row per range and group is ev
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,7 +34,7 @@ def running_totals(
     """
     limit = SMALL_ROWS if small_rows is None else small_rows
     order_columns = [col(c) for c in order]
-    if df.limit(limit + 1).count() <= limit:
+    if df.count() <= limit:
         window = _running(group, order_columns)
         return df.select("*", *[F.sum(m).over(window).alias(name) for name, m in measures.items()])
 
@@ -83,30 +84,23 @@ def exact_quantiles(
     """`(column, quantiles ARRAY<DOUBLE>)`: values interpolated at position (n - 1) * q, NULLs ignored.
 
     Up to `small_rows` rows the built-in exact aggregate is used, which holds all distinct values. A
-    larger table is read twice more: mergeable sketches bracket each wanted position, then the values
-    below each bracket are counted and only those inside it, a few in ten thousand, are ranked.
+    larger table is read three times more: mergeable sketches bracket each wanted position, the values
+    below each bracket and inside it are counted, and only those inside it, a few in ten thousand, are
+    ranked. Brackets that turn out not to hold their position are widened.
     """
     limit = SMALL_ROWS if small_rows is None else small_rows
     points = F.array(*[F.lit(float(p)) for p in probabilities])
     names = list(numbers)
-    if df.limit(limit + 1).count() <= limit:
+    if df.count() <= limit:
         parts = [F.struct(F.lit(c).alias("column"), F.percentile(numbers[c], points).alias("quantiles")) for c in names]
         return df.agg(F.array(*parts).alias("q")).select(F.inline("q")).where(F.col("quantiles").isNotNull())
 
     margin = 2 / SKETCH_ACCURACY
-    edges = F.array(*[F.lit(float(min(1.0, max(0.0, p + side * margin)))) for p in probabilities for side in (-1, 1)])
-    sketches = []
-    for i, c in enumerate(names):
-        sketches += [F.count(numbers[c]).alias(f"n{i}"), F.percentile_approx(numbers[c], edges, SKETCH_ACCURACY).alias(f"e{i}")]
-    found = df.agg(*sketches).first()
-
-    brackets = []
-    for i, c in enumerate(names):
-        for k, p in enumerate(probabilities):
-            if found[f"n{i}"]:
-                low, high = found[f"e{i}"][2 * k : 2 * k + 2]
-                brackets.append((c, k, float(low), float(high), float((found[f"n{i}"] - 1) * p)))
-    below = df.agg(*[F.count_if(numbers[c] < low).alias(f"b{j}") for j, (c, _, low, _, _) in enumerate(brackets)]).first()
+    while True:
+        brackets, below, holds = _brackets(df, numbers, probabilities, margin)
+        if holds:
+            break
+        margin *= 8
     inside = [
         F.when(numbers[c].between(low, high), F.struct(F.lit(j).alias("j"), (numbers[c] + F.lit(0.0)).alias("v")))
         for j, (c, _, low, high, _) in enumerate(brackets)
@@ -129,3 +123,24 @@ def exact_quantiles(
     values = hits.groupBy("column", "k").agg((F.min("v") * (1 - weight) + F.max("v") * weight).alias("v"))
     in_order = F.array_sort(F.collect_list(F.struct("k", "v")))
     return values.groupBy("column").agg(F.transform(in_order, lambda s: s["v"]).alias("quantiles"))
+
+
+def _brackets(df: DataFrame, numbers: Mapping[str, Column], probabilities: Sequence[float], margin: float):
+    """Per column and probability `(column, k, low, high, position)`; the counts below each; whether all hold their position."""
+    edges = F.array(*[F.lit(float(min(1.0, max(0.0, p + side * margin)))) for p in probabilities for side in (-1, 1)])
+    sketches = []
+    for i, c in enumerate(numbers):
+        sketches += [F.count(numbers[c]).alias(f"n{i}"), F.percentile_approx(numbers[c], edges, SKETCH_ACCURACY).alias(f"e{i}")]
+    found = df.agg(*sketches).first()
+    brackets = []
+    for i, c in enumerate(numbers):
+        for k, p in enumerate(probabilities):
+            if found[f"n{i}"]:
+                low, high = found[f"e{i}"][2 * k : 2 * k + 2]
+                brackets.append((c, k, float(low), float(high), float((found[f"n{i}"] - 1) * p)))
+    counts = [F.count_if(numbers[c] < low).alias(f"b{j}") for j, (c, _, low, _, _) in enumerate(brackets)]
+    counts += [F.count_if(numbers[c] <= high).alias(f"u{j}") for j, (c, _, _, high, _) in enumerate(brackets)]
+    below = df.agg(*counts).first() if counts else {}
+    # Edges at 0 and 1 are the least and the largest value, so widening ends.
+    holds = all(below[f"b{j}"] <= math.floor(b[4]) and math.ceil(b[4]) < below[f"u{j}"] for j, b in enumerate(brackets))
+    return brackets, below, holds or margin >= 1

@@ -33,6 +33,6 @@ def train(problem_type: str, algorithm: str, df: DataFrame, **options) -> Fitted
     """Fit `algorithm` on `features` (and `label`) of `df`."""
     if algorithm not in fixed.ALGORITHMS.get(problem_type, ()):
         raise ValueError(f"Unsupported algorithm: {algorithm}")
-    if df.limit(1).count() == 0:
+    if df.isEmpty():
         raise ValueError("No training rows are available.")
     return LEARNERS[algorithm](df, **options)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from tabml.functions import fixed
 from tabml.operators.learners.trees import DRAW_STEPS, subset_size
 from tabml.plans.queries import (
-    CUSTOMER_FEATURES, DBSCAN_EPS, DBSCAN_MIN_PTS, DIRTY, DIRTY_COLUMNS, KMEANS_ROUNDS, KMEANS_START, PROBLEM_TARGETS,
+    CUSTOMER_FEATURES, DBSCAN_EPS, DBSCAN_MIN_PTS, DIRTY, DIRTY_COLUMNS, KMEANS_MANY, KMEANS_ROUNDS, KMEANS_START, PROBLEM_TARGETS,
 )
 
 DIRTY_SQL = "select " + ", ".join(f"{e.format(STR='varchar')} as {c}" for c, e in DIRTY.items()) + " from orders"
@@ -117,8 +117,8 @@ POINTS = f"""{prep(CUSTOMER_SQL, 'c_custkey', ['c_acctbal', 'c_nationkey'])},
 pts as (select id, max(case when j = 0 then x end) x0, max(case when j = 1 then x end) x1 from z group by id)"""
 
 
-def lloyd() -> str:
-    start = " union all ".join(f"select {i} as c, {a} as m0, {b} as m1" for i, (a, b) in enumerate(KMEANS_START))
+def lloyd(centers: list[tuple[float, float]] = KMEANS_START) -> str:
+    start = " union all ".join(f"select {i} as c, {a} as m0, {b} as m1" for i, (a, b) in enumerate(centers))
     ctes = [f"k0 as ({start})"]
     for r in range(KMEANS_ROUNDS + 1):
         ctes.append(
@@ -147,7 +147,7 @@ def lloyd_until_settled() -> str:
   select step + 1, {moved} from (select *, {nearest} as c from (select *, {away} from km, pts where step < {fixed.KMEANS['rounds']})) group by step),
 own as (select id, {nearest} as c from (select *, {away} from km, pts where step = {fixed.KMEANS['rounds']}))"""
 
-EPS = """smp as (select id, x0, x1 from pts order by id limit 220),
+EPS = """smp as (select id, x0, x1 from pts),
 fifth as (select a, d from (select a.id a, sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1)) d,
   row_number() over (partition by a.id order by sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1))) rn from smp a join smp b on a.id <> b.id) where rn = 5),
 eps as (select case when d = 0 then 1 else d end eps from (select case when d = 0 then 1 else d end d, row_number() over (order by case when d = 0 then 1 else d end) rn from fifth)
@@ -486,11 +486,27 @@ def build() -> dict[str, str]:
         concat('{why[0]}', cast(cast(floor(a.p*100+0.5) as bigint) as varchar), '{why[1]}') as why,
         concat(b.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not, signals
         from rk a join rk b on a.id = b.id and a.rn = 1 and b.rn = 2 join sg on sg.id = a.id join sp on sp.id = a.id where is_test"""
-    number = "regexp_replace(case when abs(predicted) >= 100 then printf('%.2f', predicted) else printf('%.3f', predicted) end, '\\.?0+$', '')"
+    def shown(v: str, digits: int) -> str:
+        # Exact ties are found on the exact decimal, which the predictions are too long for to be one.
+        return f"regexp_replace(printf('%.{digits}f', {v}), '\\.?0+$', '')"
+
+    number = f"case when abs(predicted) >= 100 then {shown('predicted', 2)} else {shown('predicted', 3)} end"
     sql["explain_regression"] = f"""with recursive {LINEAR} select id as p_partkey, concat('{fixed.VALUE_HEADLINE}', {number}) as headline, {text(fixed.VALUE_WHY_LINEAR)} as why,
         {text(fixed.VALUE_WHY_NOT)} as why_not from pred"""
     sql["explain_cluster"] = f"""with recursive {DB} select id as c_custkey, concat('{fixed.CLUSTER_HEADLINE}', case when c = -1 then '{fixed.CLUSTER_NOISE}' else cast(c as varchar) end) as headline,
         case when c = -1 then {text(fixed.CLUSTER_WHY_NOISE)} else {text(fixed.CLUSTER_WHY)} end as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from lab"""
+    sql["explain_kmeans"] = f"""with {KMEANS} select id as c_custkey, concat('{fixed.CLUSTER_HEADLINE}', cast(c as varchar)) as headline,
+        {text(fixed.CLUSTER_WHY)} as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from a{last}"""
+    sql["explain_softmax"] = f"""with recursive {SOFTMAX} select a.id as event_id, concat('{fixed.CLASS_HEADLINE}', ca.event_type) as headline,
+        concat('{why[0]}', cast(cast(floor(a.p*100+0.5) as bigint) as varchar), '{why[1]}') as why,
+        concat(cb.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not
+        from pq a join pq b on a.id = b.id and a.rn = 1 and b.rn = 2 join cls ca on ca.c = a.c join cls cb on cb.c = b.c"""
+    tie = lambda v, e: f"case when abs({e}) >= 100 then {shown(f'round(({e})::decimal(24, 8), 2)', 2)} else {shown(f'round(({e})::decimal(24, 8), 3)', 3)} end as {v}"
+    sql["format_ties"] = f"select o_orderkey, {tie('eighth', 'o_orderkey / 8')}, {tie('sixteenth', 'o_orderkey % 1600 / -16')} from orders"
+    sql["profile_wide_ids"] = "select 'wide_id' as \"column\", count(distinct 9007199254740992 + o_orderkey) as \"unique\", 0 as missing from orders"
+    sql["kmeans_many"] = f"with {POINTS}, {lloyd(KMEANS_MANY)} select id as c_custkey, c as prediction from a{last}"
+    for large, plain in (("quartiles_ranges", "quartiles"), ("row_id_ranges", "row_id_by_key"), ("knn_cells", "knn_neighbors"), ("knn_classify_cells", "knn_classify")):
+        sql[large] = sql[plain]
     sql["score_batch"] = f"with {NB} select best.id as event_id, event_type as predicted_label from best join cls on cls.c = pred"
     sql["softmax_fit"] = "with recursive " + SOFTMAX + " " + " union all ".join(
         f"select {c}::bigint as class_index, {j}::bigint as position, {r6(f'w{c}_{j}')} as weight from w" for c in range(5) for j in range(4)

@@ -64,9 +64,12 @@ def analyze(df: DataFrame, target: str | None = None, mode: str = "auto", key: s
 def train_and_evaluate(analysis: Analysis, algorithm: str, row_cap: int | None = None, **options) -> Trained:
     """Split off the holdout (supervised tasks), train on the rest and evaluate.
 
-    `row_cap` takes a systematic sample first; without it all rows are used.
+    `row_cap` bounds the labelled rows a classifier is trained on, by a systematic sample of the training
+    rows; the holdout is never cut. Without it all rows are used.
     """
-    rows = systematic_sample(analysis.prepared(), row_cap, analysis.key)
+    if row_cap is not None and analysis.problem_type != "classification":
+        raise ValueError("row_cap is for classification only.")
+    rows = analysis.prepared()
     if algorithm in ("knnClassifier", "knnRegressor", "forestClassifier", "forestRegressor", "kmeans", "dbscan"):
         options.setdefault("key", analysis.key)
     if analysis.problem_type == "unsupervised":
@@ -79,6 +82,8 @@ def train_and_evaluate(analysis: Analysis, algorithm: str, row_cap: int | None =
         options.setdefault("classes", count)
     split = holdout(rows, fixed.HOLDOUT_RATIO, fixed.HOLDOUT_SEED, analysis.key)
     training, test = split.where(~F.col("is_test")), split.where("is_test")
+    if row_cap is not None:
+        training = systematic_sample(training, row_cap, analysis.key)
     model = train(analysis.problem_type, algorithm, training, **options)
     return Trained(analysis, model, evaluate(analysis.problem_type, model, test, count), training, test)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.functions import fixed
-from tabml.functions.values import as_number, is_missing
+from tabml.functions.values import as_number, format_number, is_missing
 from tabml.operators import evaluate as ev
 from tabml.operators import explain as ex
 from tabml.operators import preprocess as pre
@@ -20,6 +20,7 @@ from tabml.operators import profile as pf
 from tabml.operators.learners.base import dispersion_table
 from tabml.operators.learners.dbscan import DbscanModel, estimate_eps, minimum_points, train_dbscan
 from tabml.operators.neighbors import nearest_neighbors
+from tabml.operators.ordering import dense_positions, exact_quantiles
 from tabml.operators.preprocess import TabularModel, TabularPreprocessor
 from tabml.operators.projection import fit_pca
 from tabml.operators.sampling import holdout, preview, systematic_sample, usable_rows
@@ -635,6 +636,81 @@ def score_stream_files(spark, sf_dir):
     return spark.read.schema(scored.schema).parquet(out)
 
 
+# --- the ways of large tables, forced on small ones -------------------------------------------------
+
+
+@query
+def quartiles_ranges(spark, sf_dir):
+    parts = (("events", ["value", "user_id"]), ("documents", ["n_chars"]), ("lineitem", ["l_extendedprice", "l_discount"]))
+    found = []
+    for name, columns in parts:
+        df = table(spark, sf_dir, name)
+        ranked = exact_quantiles(df, {c: as_number(df, c) for c in columns}, [0.25, 0.5, 0.75], small_rows=0)
+        found.append((name, ranked.select("column", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"))))
+    return rounded_columns(stacked(*found))
+
+
+@query
+def row_id_ranges(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return dense_positions(customer, ["c_name"], "row_id", small_rows=0)
+
+
+@query
+def knn_cells(spark, sf_dir):
+    rows = embedding_rows(spark, sf_dir)
+    return rounded_columns(nearest_neighbors(rows, rows, 5, "vec_id", "vec_id", exclude_self=True, small_bytes=0))
+
+
+@query
+def knn_classify_cells(spark, sf_dir):
+    split = holdout(embedding_rows(spark, sf_dir), key="vec_id")
+    model = train("classification", "knnClassifier", split.where(~F.col("is_test")), key="vec_id", classes=10, small_bytes=0)
+    return model.transform(split.where("is_test")).select("vec_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
+
+
+KMEANS_MANY = [(a, b) for a in (-1.5, -0.5, 0.5, 1.5) for b in (-1.0, 0.0, 1.0)]
+
+
+@query
+def kmeans_many(spark, sf_dir):
+    """Twelve clusters."""
+    _, points = customer_points(spark, sf_dir)
+    model = train("unsupervised", "kmeans", points, init_centers=KMEANS_MANY, rounds=KMEANS_ROUNDS)
+    return model.transform(points).select("c_custkey", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query
+def profile_wide_ids(spark, sf_dir):
+    """Whole numbers that doubles can't tell apart."""
+    wide = table(spark, sf_dir, "orders").select((F.lit(9007199254740992).cast("long") + F.col("o_orderkey")).alias("wide_id"))
+    return pf.profile_columns(wide, ["wide_id"]).select("column", "unique", "missing")
+
+
+@query
+def format_ties(spark, sf_dir):
+    """Numbers halfway between two texts."""
+    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    return keys.select("o_orderkey", format_number(F.col("o_orderkey") / 8).alias("eighth"), format_number(F.col("o_orderkey") % 1600 / -16).alias("sixteenth"))
+
+
+def _explained(t: Trained, rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    a = t.analysis.preprocessor
+    return ex.explain(t.analysis.problem_type, t.model, rows, a.feature_names, a.classes or ()).select(key, *columns)
+
+
+@query
+def explain_softmax(spark, sf_dir):
+    t = softmax(spark, sf_dir)
+    return _explained(t, t.test_rows, "event_id", ["headline", "why", "why_not"])
+
+
+@query
+def explain_kmeans(spark, sf_dir):
+    model, points = lloyd(spark, sf_dir)
+    return ex.explain_clusters(model.transform(points)).select("c_custkey", "headline", "why", "why_not")
+
+
 # --- learners without a SQL counterpart ---------------------------------------------------------
 
 
