@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions.values import col
+from tabml.sources.scratch import checkpointed
 
 SMALL_BYTES = 32 << 20
 # Pivots grow with the square root of the training rows, within these limits.
@@ -134,7 +135,7 @@ def _by_cells(q: DataFrame, t: DataFrame, k: int, pivots: int, block_rows: int)
         cell = away.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "away": away[np.arange(len(cell)), cell]})
 
-    placed = t.withColumn("p", place("tf")).select("tid", "tf", "label", "p.cell", "p.away")
+    placed = checkpointed(t.withColumn("p", place("tf")).select("tid", "tf", "label", "p.cell", "p.away"))
     nearest = Window.partitionBy("cell").orderBy("away", "tid")
     closest = placed.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= k)
     # One row per pivot: size, radius and the k smallest distances to the pivot.
@@ -162,7 +163,7 @@ def _by_cells(q: DataFrame, t: DataFrame, k: int, pivots: int, block_rows: int)
             result += [cells[row] for row in search]
         return pd.Series(result)
 
-    asked = q.withColumn("cell", F.explode(candidates("qf")))
+    asked = checkpointed(q.withColumn("cell", F.explode(candidates("qf"))))
     demand = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def blocks(counts: dict[int, int]):

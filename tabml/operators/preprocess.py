@@ -14,10 +14,11 @@ from tabml.functions.values import as_number, as_text, clamp
 from tabml.operators.ordering import dense_positions
 from tabml.operators.profile import as_text_label, feature_columns, kinds_of, quartiles, value_frequencies
 from tabml.operators.sampling import usable_rows
+from tabml.sources.scratch import stored
 
 # Up to this many classes the encoder is a literal map; beyond it a join.
 LITERAL_CLASSES = 256
-# More classes than this are not gathered: use the encoder table instead.
+# More classes than this are not gathered: the encoder stays a table then, and names of classes are joined.
 MAX_DRIVER_CLASSES = 100_000
 
 
@@ -77,10 +78,7 @@ def top_categories(df: DataFrame, columns: Sequence[str], limit: int = fixed.MAX
     The rank limit is applied in every task before the shuffle, so a column with very many values
     sends only `limit` rows per task to its window.
     """
-    counts = value_frequencies(df, columns).select(
-        "column", F.coalesce("value", F.lit(fixed.MISSING_CATEGORY)).alias("category"), "n"
-    )
-    counts = counts.groupBy("column", "category").agg(F.sum("n").alias("n"))
+    counts = value_frequencies(df, columns, fixed.MISSING_CATEGORY).withColumnRenamed("value", "category")
     window = Window.partitionBy("column").orderBy(F.desc("n"), "category")
     return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= limit)
 
@@ -126,24 +124,26 @@ class TabularPreprocessor(Estimator):
         categorical = [c for c in features if kinds[c] != "numeric"]
         numeric_stats, outliers = fit_numeric(rows, numeric, missing, self.quantiles)
         categorical_stats = fit_categorical(rows, categorical, missing)
-        classes = None
+        classes = class_rows = None
         if self.problem_type == "classification":
             table = class_table(rows, self.target)
             classes = [r["class"] for r in table.orderBy("class").limit(MAX_DRIVER_CLASSES + 1).collect()]
             if len(classes) > MAX_DRIVER_CLASSES:
-                raise ValueError(f"More than {MAX_DRIVER_CLASSES} classes: encode the target with class_table instead.")
-        return TabularModel(self.target, self.problem_type, features, numeric_stats, categorical_stats, classes, outliers, sum(missing.values()))
+                classes, class_rows = None, stored(table, "classes")
+        return TabularModel(self.target, self.problem_type, features, numeric_stats, categorical_stats, classes, outliers, sum(missing.values()), class_rows)
 
 
 class TabularModel(Model):
     """Adds `features ARRAY<DOUBLE>` and, when the target is present, `label`: a narrow projection."""
 
-    def __init__(self, target, problem_type, features, numeric_stats, categorical_stats, classes, outlier_count, missing_count):
+    def __init__(self, target, problem_type, features, numeric_stats, categorical_stats, classes, outlier_count, missing_count, class_rows=None):
         super().__init__()
         self.target, self.problem_type, self.input_columns = target, problem_type, features
         self.numeric_stats: dict[str, NumericStats] = numeric_stats
         self.categorical_stats: dict[str, CategoricalStats] = categorical_stats
+        # The names of the classes in order; beyond `MAX_DRIVER_CLASSES` only their table `(class, class_index)`.
         self.classes: list[str] | None = classes
+        self.class_rows: DataFrame | None = class_rows
         self.outlier_count, self.missing_count = outlier_count, missing_count
 
     @property
@@ -181,13 +181,16 @@ class TabularModel(Model):
         result = dataset.withColumn("features", self.feature_vector(dataset))
         if self.problem_type == "unsupervised" or self.target not in dataset.columns:
             return result
-        if self.problem_type == "classification" and len(self.classes) > LITERAL_CLASSES:
+        if self.problem_type == "classification" and (self.classes is None or len(self.classes) > LITERAL_CLASSES):
             return self._join_labels(result, dataset)
         return result.withColumn("label", self.label(dataset))
 
     def _join_labels(self, result: DataFrame, dataset: DataFrame) -> DataFrame:
-        rows = [(c, float(i)) for i, c in enumerate(self.classes)]
-        table = dataset.sparkSession.createDataFrame(rows, "_class string, label double")
+        if self.classes is None:
+            table = self.class_rows.select(F.col("class").alias("_class"), F.col("class_index").cast("double").alias("label"))
+        else:
+            rows = [(c, float(i)) for i, c in enumerate(self.classes)]
+            table = dataset.sparkSession.createDataFrame(rows, "_class string, label double")
         return result.withColumn("_class", as_text_label(dataset, self.target)).join(table, "_class", "left").drop("_class")
 
     def stats_table(self, spark) -> DataFrame:

@@ -19,12 +19,12 @@ def feature_columns(df: DataFrame, target: str | None = None) -> list[str]:
     return [c for c in df.columns if c not in (ROW_ID, target)]
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(column, value, n)`: distinct trimmed text values per column, NULL for missing.
+def value_frequencies(df: DataFrame, columns: Sequence[str], missing: str | None = None) -> DataFrame:
+    """`(column, value, n)`: distinct trimmed text values per column; `missing`, NULL by default, for missing ones.
 
     Copies of a value are counted before the shuffle, so a hot value costs one row per task.
     """
-    texts = df.select(*[as_text(df, c).alias(c) for c in columns])
+    texts = df.select(*[F.coalesce(as_text(df, c), F.lit(missing).cast("string")).alias(c) for c in columns])
     return (
         texts.unpivot([], [col(c) for c in columns], "column", "value")
         .groupBy("column", "value")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions import fixed
+from tabml.functions.values import col
 from tabml.operators.evaluate import cluster_summary, evaluate
 from tabml.operators.explain import explain, predicted_label
 from tabml.operators.learners.base import FittedModel
@@ -16,6 +17,7 @@ from tabml.operators.profile import diagnose
 from tabml.operators.sampling import holdout, systematic_sample, usable_rows
 from tabml.operators.training import train
 from tabml.sources.rows import ROW_ID
+from tabml.sources.scratch import checkpointed
 
 
 @dataclass
@@ -46,7 +48,13 @@ class Trained:
         """Predictions for raw rows; adds `predicted_label` for classes."""
         scored = self.model.transform(self.analysis.preprocessor.transform(raw))
         labels = self.analysis.preprocessor.classes
-        return scored.withColumn("predicted_label", predicted_label(labels)) if labels else scored
+        if labels:
+            return scored.withColumn("predicted_label", predicted_label(labels))
+        table = self.analysis.preprocessor.class_rows
+        if table is None:
+            return scored
+        named = table.select(F.col("class_index").cast("double").alias("_index"), F.col("class").alias("predicted_label"))
+        return scored.join(named, F.col("prediction") == F.col("_index"), "left").drop("_index")
 
     def explain(self, raw: DataFrame) -> DataFrame:
         a = self.analysis
@@ -69,7 +77,9 @@ def train_and_evaluate(analysis: Analysis, algorithm: str, row_cap: int | None =
     """
     if row_cap is not None and analysis.problem_type != "classification":
         raise ValueError("row_cap is for classification only.")
-    rows = analysis.prepared()
+    # The raw table is parsed once more here; split, training and evaluation read the encoded rows.
+    encoded = [analysis.key, "features"] + (["label"] if analysis.problem_type != "unsupervised" else [])
+    rows = checkpointed(analysis.prepared().select(*[col(c) for c in encoded]))
     if algorithm in ("knnClassifier", "knnRegressor", "forestClassifier", "forestRegressor", "kmeans", "dbscan"):
         options.setdefault("key", analysis.key)
     if analysis.problem_type == "unsupervised":
@@ -77,7 +87,10 @@ def train_and_evaluate(analysis: Analysis, algorithm: str, row_cap: int | None =
         assigned = model.assignments if algorithm == "dbscan" else model.transform(rows)
         return Trained(analysis, model, cluster_summary(assigned), rows, None)
     classes = analysis.preprocessor.classes
-    count = len(classes) if classes is not None else None
+    if classes is not None:
+        count = len(classes)
+    else:
+        count = analysis.preprocessor.class_rows.count() if analysis.problem_type == "classification" else None
     if count:
         options.setdefault("classes", count)
     split = holdout(rows, fixed.HOLDOUT_RATIO, fixed.HOLDOUT_SEED, analysis.key)
