@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.llm.joins import key_side
 from tabml.llm.tokens import SPACED, distinct_pairs, lists, mixed, pieces, whole, windows, words_of
 from tabml.operators.components import connected_components
 from tabml.sources.scratch import stored
@@ -191,8 +192,8 @@ LINKS = "src long, dst long"
 
 def _star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed pairs. A large star is cut into chunks of members, each with a copy of the star's own set."""
-    stars = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    dealt = pairs.join(stars, "hub").select("hub", F.pmod(F.xxhash64("cid"), F.col("chunks")).alias("chunk"), "cid")
+    large = stored(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")).where("chunks > 1"), "stars")
+    dealt = pairs.join(key_side(large), "hub", "left").select("hub", F.pmod(F.xxhash64("cid"), F.coalesce("chunks", F.lit(1))).alias("chunk"), "cid")
     members = dealt.join(sets, "cid").select("hub", "chunk", "cid", "set")
     own = dealt.select("hub", "chunk").distinct().join(sets, F.col("hub") == F.col("cid")).select("hub", "chunk", F.lit(None).cast("long").alias("cid"), "set")
     rows = members.unionByName(own).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "cid")
@@ -235,7 +236,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     near = pairs.select("cid").union(pairs.select("hub")).distinct()
     wanted = stored(classes.join(near, "cid").select("cid", "low", F.col("th").alias("rep_th")), "near")
     texts = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
-    held = texts.join(wanted, (F.col("th") == F.col("rep_th")) & F.col("id").eqNullSafe(F.col("low"))).select("cid", "text").dropDuplicates(["cid"])
+    held = texts.join(key_side(wanted), (F.col("th") == F.col("rep_th")) & F.col("id").eqNullSafe(F.col("low"))).select("cid", "text").dropDuplicates(["cid"])
     sets = stored(held.mapInArrow(_sets(k), "cid long, set array<long>"), "sets")
 
     links = stored(_star_links(pairs, sets, percent), "links")
@@ -256,4 +257,4 @@ def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", percen
     found = near_duplicates(df, key, text, k, percent)
     gone = stored(found.where(~F.col("id").eqNullSafe(F.col("component"))).select("id", "th").distinct(), "gone")
     rows = df.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
-    return rows.join(gone, (F.col("hash") == F.col("th")) & F.col("key").eqNullSafe(F.col("id")), "left_anti").select("row.*")
+    return rows.join(key_side(gone), (F.col("hash") == F.col("th")) & F.col("key").eqNullSafe(F.col("id")), "left_anti").select("row.*")
