@@ -108,10 +108,15 @@ def words_of(column: pa.Array, inside: np.ndarray) -> Words:
     after[:-1] = ~held[1:]
     after[bounds[1:][bounds[1:] > 0] - 1] = True
     last = np.flatnonzero(held & after) + 1
-    power, inverse = _power(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * power, out=total[1:])
-    value = (total[last] - total[first]) * inverse[first]
+    value, a = np.empty(len(first), np.uint64), 0
+    while a < len(first):  # words of one megabyte at a time, so that a very long text needs little more than its bytes
+        b = max(a + 1, int(np.searchsorted(last, first[a] + PIECE_BYTES, side="right")))
+        low, high = int(first[a]), int(last[b - 1])
+        power, inverse = _power(high - low)
+        total = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_VALUE[data[low:high]] * power, out=total[1:])
+        value[a:b] = (total[last[a:b] - low] - total[first[a:b] - low]) * inverse[first[a:b] - low]
+        a = b
     word_bounds = np.searchsorted(first, bounds)
     text = np.repeat(np.arange(len(column)), np.diff(word_bounds))
     return Words(text, mixed(value + (last - first).astype(np.uint64)), first, last, word_bounds, data)
