@@ -67,9 +67,9 @@ def minimum_points(n: int) -> int:
 class _Grid:
     """Cell geometry: bounding boxes and safe bounds between boxes and rows."""
 
-    def __init__(self, size: int, eps: float, spread: list[float], flags: list[int]):
+    def __init__(self, size: int, eps: float, spread: list[float], flags: list[int], small_edges: int | None = None):
         """`flags` are features that are 0 or 1 in every row."""
-        self.size, self.eps = size, eps
+        self.size, self.eps, self.small_edges = size, eps, small_edges
         # Below a distance of 1 near rows agree in every flag, so flags join by equality. A cell is
         # narrower than 1 then, and its rows differ in the other features only.
         self.equal = flags if eps < 1 - SLACK else []
@@ -155,10 +155,10 @@ def _flags(df: DataFrame, size: int) -> list[int]:
     return [j for j, flag in enumerate(row["flags"]) if flag]
 
 
-def dbscan(df: DataFrame, eps: float, min_pts: int, key: str = ROW_ID) -> DataFrame:
+def dbscan(df: DataFrame, eps: float, min_pts: int, key: str = ROW_ID, small_edges: int | None = None) -> DataFrame:
     """`(key, is_core, prediction)` for every row; noise is -1."""
     size = width(df)
-    grid = _Grid(size, eps, dispersion(df), _flags(df, size))
+    grid = _Grid(size, eps, dispersion(df), _flags(df, size), small_edges)
     rows = df.select(col(key).alias("id"), "features").withColumn("cell", grid.cell(F.col("features")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -236,7 +236,7 @@ def _cluster_nodes(nodes: DataFrame, rows: DataFrame, sparse_core: DataFrame, gr
     linked = grid.surely_within(span) | grid.within(F.col("point"), F.col("n_point"))
     pairs = checkpointed(pairs.select("cell", "n_cell", F.col("node").alias("src"), F.col("n_node").alias("dst"), linked.alias("linked")))
     edges = pairs.where("linked").select("src", "dst")
-    groups = _grouped(nodes, edges)
+    groups = _grouped(nodes, edges, grid.small_edges)
 
     # Undecided pairs matter only between different groups.
     open_pairs = _across(pairs.where("NOT linked").select("src", "dst", "cell", "n_cell"), groups)
@@ -250,13 +250,13 @@ def _cluster_nodes(nodes: DataFrame, rows: DataFrame, sparse_core: DataFrame, gr
         links, open_pairs = _split(open_pairs, core_rows, grid, parts)
         found = links if found is None else found.unionByName(links)
     if found is not None:
-        groups = _grouped(nodes, checkpointed(edges.unionByName(found)))
+        groups = _grouped(nodes, checkpointed(edges.unionByName(found)), grid.small_edges)
     roots = dense_positions(groups.select("component").distinct(), ["component"], "cluster")
     return checkpointed(groups.join(roots, "component").select("node", "cluster"))
 
 
-def _grouped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    components = connected_components(edges)
+def _grouped(nodes: DataFrame, edges: DataFrame, small_edges: int | None) -> DataFrame:
+    components = connected_components(edges, small_edges)
     return checkpointed(
         nodes.select("node").join(components, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     )
@@ -304,9 +304,11 @@ def _split(open_pairs: DataFrame, core_rows: DataFrame, grid: _Grid, parts: int)
 class DbscanModel(FittedModel):
     kind = "dbscan"
 
-    def __init__(self, assignments: DataFrame, train: DataFrame, eps: float, min_pts: int, key: str, importances: list[float]):
+    def __init__(
+        self, assignments: DataFrame, train: DataFrame, eps: float, min_pts: int, key: str, importances: list[float], small_bytes: int | None = None
+    ):
         super().__init__(importances, {"eps": eps, "min_pts": min_pts})
-        self.assignments, self.eps, self.min_pts, self.key = assignments, eps, min_pts, key
+        self.assignments, self.eps, self.min_pts, self.key, self.small_bytes = assignments, eps, min_pts, key, small_bytes
         self.clustered = (
             train.select(col(key), "features")
             .join(assignments.where(F.col("prediction") != fixed.DBSCAN["noise"]).select(col(key), "prediction"), key)
@@ -318,13 +320,16 @@ class DbscanModel(FittedModel):
         noise = F.lit(fixed.DBSCAN["noise"])
         if self.clustered.isEmpty():
             return dataset.withColumn("prediction", noise.cast("int"))
-        found = nearest_neighbors(dataset, self.clustered, 1, self.key, self.key, "label")
+        # Rows are numbered here, so that every row is returned once, whatever its key.
+        numbered = checkpointed(dataset.withColumn("_scored", F.monotonically_increasing_id()))
+        found = nearest_neighbors(numbered, self.clustered, 1, "_scored", self.key, "label", small_bytes=self.small_bytes)
         label = F.when(F.col("distance") <= F.lit(self.eps), F.col("neighbor_label").cast("int")).otherwise(noise)
-        scored = found.select(col(self.key).alias("_scored"), label.alias("prediction"))
-        return dataset.join(scored, col(self.key) == F.col("_scored")).drop("_scored")
+        return numbered.join(found.select("_scored", label.alias("prediction")), "_scored", "left").drop("_scored")
 
 
-def train_dbscan(df: DataFrame, key: str = ROW_ID, eps: float | None = None, min_pts: int | None = None) -> DbscanModel:
+def train_dbscan(
+    df: DataFrame, key: str = ROW_ID, eps: float | None = None, min_pts: int | None = None, small_bytes: int | None = None, small_edges: int | None = None
+) -> DbscanModel:
     eps = estimate_eps(df, key).first()["eps"] if eps is None else eps
     min_pts = minimum_points(df.count()) if min_pts is None else min_pts
-    return DbscanModel(dbscan(df, eps, min_pts, key), df, eps, min_pts, key, dispersion(df))
+    return DbscanModel(dbscan(df, eps, min_pts, key, small_edges), df, eps, min_pts, key, dispersion(df), small_bytes)

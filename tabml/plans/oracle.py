@@ -505,7 +505,7 @@ def build() -> dict[str, str]:
     sql["format_ties"] = f"select o_orderkey, {tie('eighth', 'o_orderkey / 8')}, {tie('sixteenth', 'o_orderkey % 1600 / -16')} from orders"
     sql["profile_wide_ids"] = "select 'wide_id' as \"column\", count(distinct 9007199254740992 + o_orderkey) as \"unique\", 0 as missing from orders"
     sql["kmeans_many"] = f"with {POINTS}, {lloyd(KMEANS_MANY)} select id as c_custkey, c as prediction from a{last}"
-    for large, plain in (("quartiles_ranges", "quartiles"), ("row_id_ranges", "row_id_by_key"), ("knn_cells", "knn_neighbors"), ("knn_classify_cells", "knn_classify")):
+    for large, plain in (("quartiles_ranges", "quartiles"), ("row_id_ranges", "row_id_by_key"), ("knn_cells", "knn_neighbors"), ("knn_classify_cells", "knn_classify"), ("dbscan_star", "dbscan_labels"), ("dbscan_predict_cells", "dbscan_predict")):
         sql[large] = sql[plain]
     sql["score_batch"] = f"with {NB} select best.id as event_id, event_type as predicted_label from best join cls on cls.c = pred"
     sql["softmax_fit"] = "with recursive " + SOFTMAX + " " + " union all ".join(

@@ -669,6 +669,21 @@ def knn_classify_cells(spark, sf_dir):
     return model.transform(split.where("is_test")).select("vec_id", "label", "prediction", rounded(F.array_max("probability")).alias("top_probability"))
 
 
+@query
+def dbscan_star(spark, sf_dir):
+    _, points = customer_points(spark, sf_dir)
+    model = train_dbscan(points, "c_custkey", DBSCAN_EPS, DBSCAN_MIN_PTS, small_edges=0)
+    return model.assignments.select("c_custkey", "prediction")
+
+
+@query
+def dbscan_predict_cells(spark, sf_dir):
+    prep, points = customer_points(spark, sf_dir)
+    model = train_dbscan(points, "c_custkey", DBSCAN_EPS, DBSCAN_MIN_PTS, small_bytes=0)
+    new = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"), F.col("s_nationkey").alias("c_nationkey"))
+    return model.transform(prep.transform(new)).select(F.col("c_custkey").alias("s_suppkey"), "prediction")
+
+
 KMEANS_MANY = [(a, b) for a in (-1.5, -0.5, 0.5, 1.5) for b in (-1.0, 0.0, 1.0)]
 
 
