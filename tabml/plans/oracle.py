@@ -338,6 +338,7 @@ def build() -> dict[str, str]:
               ("mixed_txt/regression", f"{num('mixed_txt')} is not null"), ("None/unsupervised", "true")]
     sql["filter_usable_rows"] = " union all ".join(f"select row_id, '{n}' as source from ({DIRTY_SQL}) where {t}" for n, t in usable)
     sql["src_csv_shape"] = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"
+    sql["src_csv_messy"] = """select doc_id, trim(text, concat(' ', chr(9), chr(10), chr(13))) as text, concat('said "', lang, '"; ', source) as note, lang as note_2 from documents"""
     sql["row_id_by_key"] = "select c_custkey, c_name, row_number() over (order by c_name) - 1 as row_id from customer"
     sql["preview_rows"] = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders order by o_orderkey limit 8"
     sql["sample_systematic"] = " union all ".join(

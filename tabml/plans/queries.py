@@ -684,6 +684,17 @@ def dbscan_predict_cells(spark, sf_dir):
     return model.transform(prep.transform(new)).select(F.col("c_custkey").alias("s_suppkey"), "prediction")
 
 
+@query
+def src_csv_messy(spark, sf_dir):
+    """Whole texts with quotes, separators and line breaks, headers that differ by blanks only."""
+    path = fresh_path(spark, "documents-csv")
+    docs = table(spark, sf_dir, "documents")
+    quoted = F.concat(F.lit('said "'), F.col("lang"), F.lit('"; '), F.col("source"))
+    docs.select("doc_id", "text", quoted.alias("note"), F.col("lang").alias("note ")).write.csv(path, header=True, sep=";", quote='"', escape='"')
+    back = read_table(spark, path)
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c for c in back.columns if c != "doc_id"])
+
+
 KMEANS_MANY = [(a, b) for a in (-1.5, -0.5, 0.5, 1.5) for b in (-1.0, 0.0, 1.0)]
 
 
