@@ -99,14 +99,20 @@ told as (select *, level = 0 and regexp_matches(raw, 'wrote:[ \\t\\r]*$') and co
   from line window w as (partition by rid order by i)),
 plain as (select rid, trim(coalesce(string_agg(body, chr(10) order by i) filter (where level = 0 and not attribution), '')) as text,
   count(*) filter (where level > 0) as n_quoted, count(*) filter (where level > 0 and level <> before) as n_passages from told group by rid),
-first_of as (select conv_id, {bare.format("body")} as b, min(turn) as origin from told where level = 0 and not attribution and {bare.format("body")} <> '' group by 1, 2),
-linked as (select t.conv_id, t.turn, t.level, case when f.origin < t.turn then f.origin end as origin
-  from told t left join first_of f on t.conv_id = f.conv_id and {bare.format("t.body")} = f.b where t.level > 0),
-votes as (select conv_id, turn, origin, count(*) as n from linked where level = 1 and origin is not null group by 1, 2, 3),
+own_part as (select conv_id, turn, {bare.format("body")} as b from told where level = 0 and not attribution
+  union all select conv_id, turn, {bare.format("string_agg(body, ' ' order by i)")} from told where level = 0 and not attribution group by rid, conv_id, turn),
+first_of as (select conv_id, b, min(turn) as origin from own_part where b <> '' group by 1, 2),
+quoted as (select rid, conv_id, turn, level, i, {bare.format("body")} as b, i - row_number() over (partition by rid, level order by i) as run from told where level > 0),
+passage as (select rid, conv_id, turn, level, run, count(*) as n, {bare.format("string_agg(b, ' ' order by i)")} as b from quoted group by all),
+whole as (select p.*, case when f.origin < p.turn then f.origin end as origin from passage p left join first_of f on p.conv_id = f.conv_id and p.b = f.b),
+linked as (select conv_id, turn, level, n, origin from whole where origin is not null
+  union all select q.conv_id, q.turn, q.level, 1, case when f.origin < q.turn then f.origin end
+  from quoted q join whole w on q.rid = w.rid and q.level = w.level and q.run = w.run and w.origin is null left join first_of f on q.conv_id = f.conv_id and q.b = f.b),
+votes as (select conv_id, turn, origin, sum(n) as n from linked where level = 1 and origin is not null group by 1, 2, 3),
 reply as (select conv_id, turn, origin as parent from votes qualify row_number() over (partition by conv_id, turn order by n desc, origin desc) = 1),
 walk as (select conv_id, turn, parent as up from reply union select walk.conv_id, walk.turn, reply.parent from walk join reply on walk.conv_id = reply.conv_id and walk.up = reply.turn),
 root as (select conv_id, turn, min(up) as root from walk group by 1, 2),
-found as (select conv_id, turn, count(*) filter (where origin is not null) as n_linked from linked group by 1, 2)
+found as (select conv_id, turn, coalesce(sum(n) filter (where origin is not null), 0)::bigint as n_linked from linked group by 1, 2)
 select m.conv_id, m.turn, m.role, plain.text, n_passages, n_quoted, coalesce(n_linked, 0) as n_linked, parent as reply_to, coalesce(root, m.turn) as thread,
   concat('<|', coalesce(m.role, ''), '|>', chr(10), plain.text) as formatted
 from message m join plain using (rid) left join found using (conv_id, turn) left join reply using (conv_id, turn) left join root using (conv_id, turn)"""

@@ -2,9 +2,9 @@
 
 Native: DataFrame functions only. The level of a line is the number of `>` marks before it. Lines of level 0 are the message's own
 text, without a line of attribution (ending in `wrote:`) right before a quotation; the others are quoted. Consecutive
-quoted lines of one level are a passage. Lines are normalised (case, white space) and hashed. An own line belongs to the first message of its
-conversation that has it; each quoted line is joined to that message if it came earlier. So a line has one original however often
-it occurs, and the join adds no rows. A message replies to the message that most lines of its level-1 quotes come from (of
+quoted lines of one level are a passage. Passages, lines and whole messages are normalised (case, white space) and hashed. A passage is
+joined to the first message of its conversation whose whole text or line it is, if that came earlier; of a passage without such a
+message each line is joined on its own. So everything quoted has one original however often it occurs, and the joins add no rows. A message replies to the message that most lines of its level-1 quotes come from (of
 equal ones the later); a thread is the message that its replies lead back to.
 
 The reply order of a conversation is `(thread, turn)`: threads by their first message, each with its replies behind what they reply to. Roots are found by
@@ -18,6 +18,7 @@ empty result. Only the four columns named are read, so others can't clash.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabml.sources.scratch import checkpointed, stored
@@ -53,14 +54,27 @@ def _own(lines: Column) -> Column:
 
 
 def _links(messages: DataFrame) -> DataFrame:
-    """`(conv, turn, level, at, origin)` for each quoted line, `origin` the turn of its original or NULL."""
-    own = messages.select("conv", "turn", F.explode("own").alias("l")).select("conv", "turn", _bare(F.col("l.text")).alias("line"))
-    firsts = own.where("line <> ''").groupBy("conv", F.xxhash64("line").alias("h")).agg(F.min("turn").alias("origin"))
-    quoted = messages.select("conv", "turn", F.explode(F.filter("lines", lambda x: x["level"] > 0)).alias("l"))
-    quoted = quoted.select("conv", "turn", F.col("l.level").alias("level"), F.col("l.at").alias("at"), F.xxhash64(_bare(F.col("l.text"))).alias("h"))
-    firsts = firsts.select(F.col("conv").alias("its_conv"), F.col("h").alias("its_h"), "origin")
-    met = quoted.join(firsts, (F.col("h") == F.col("its_h")) & F.col("conv").eqNullSafe(F.col("its_conv")), "left")
-    return met.select("conv", "turn", "level", "at", F.when(F.col("origin") < F.col("turn"), F.col("origin")).alias("origin"))
+    """`(conv, turn, level, n, origin)`: `n` quoted lines with the turn of their original, or NULL."""
+    own_lines = F.transform("own", lambda x: x["text"])
+    own = messages.select("conv", "turn", F.explode(F.array_append(own_lines, F.array_join(own_lines, " "))).alias("part"))
+    own = own.select("conv", "turn", _bare(F.col("part")).alias("part")).where("part <> ''")
+    firsts = own.groupBy(F.col("conv").alias("its_conv"), F.xxhash64("part").alias("its_h")).agg(F.min("turn").alias("origin"))
+
+    quoted = messages.select("mid", "conv", "turn", F.explode(F.filter("lines", lambda x: x["level"] > 0)).alias("l"))
+    quoted = quoted.select("mid", "conv", "turn", F.col("l.level").alias("level"), F.col("l.at").alias("at"), _bare(F.col("l.text")).alias("line"))
+    # Consecutive lines of a level have the same difference of line number and rank.
+    run = F.col("at") - F.row_number().over(W.partitionBy("mid", "level").orderBy("at"))
+    passages = quoted.withColumn("run", run).groupBy("mid", "conv", "turn", "level", "run").agg(F.array_sort(F.collect_list(F.struct("at", "line")))["line"].alias("lines"))
+    passages = passages.withColumn("h", F.xxhash64(_bare(F.array_join("lines", " "))))
+
+    def traced(parts: DataFrame) -> DataFrame:
+        met = parts.join(firsts, (F.col("h") == F.col("its_h")) & F.col("conv").eqNullSafe(F.col("its_conv")), "left")
+        return met.withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin"))).drop("its_h", "its_conv")
+
+    whole = stored(traced(passages), "passages")
+    rest = whole.where("origin is null").select("conv", "turn", "level", F.explode("lines").alias("line"))
+    by_line = traced(rest.withColumn("h", F.xxhash64("line"))).select("conv", "turn", "level", F.lit(1).cast("long").alias("n"), "origin")
+    return by_line.unionByName(whole.where("origin is not null").select("conv", "turn", "level", F.size("lines").cast("long").alias("n"), "origin"))
 
 
 def _roots(replies: DataFrame) -> DataFrame:
@@ -80,12 +94,12 @@ def threaded(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     `thread` (turns; the thread of a message that replies to none is its own turn), and `formatted`, the message with its role."""
     given = df.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")).distinct()
     lined = given.withColumn("lines", _lines(F.col("text")))
-    messages = stored(lined.withColumn("own", _own(F.col("lines"))), "messages")
+    messages = stored(lined.withColumn("own", _own(F.col("lines"))).withColumn("mid", F.monotonically_increasing_id()), "messages")
     links = stored(_links(messages.where("turn is not null")), "links")
-    votes = links.where("level = 1 and origin is not null").groupBy("conv", "turn", "origin").agg(F.count(F.lit(1)).alias("n"))
+    votes = links.where("level = 1 and origin is not null").groupBy("conv", "turn", "origin").agg(F.sum("n").alias("n"))
     replies = votes.groupBy("conv", "turn").agg(F.max(F.struct("n", "origin"))["origin"].alias("parent"))
     replies = checkpointed(replies)
-    counts = links.groupBy("conv", "turn").agg(F.sum(F.col("origin").isNotNull().cast("long")).alias("n_linked"))
+    counts = links.groupBy("conv", "turn").agg(F.sum(F.when(F.col("origin").isNotNull(), F.col("n")).otherwise(0)).alias("n_linked"))
     known = counts.join(replies, counts["conv"].eqNullSafe(replies["conv"]) & (counts["turn"] == replies["turn"]), "left").select(counts["conv"], counts["turn"], "n_linked", "parent")
     if not replies.isEmpty():
         roots = _roots(replies)

@@ -107,6 +107,8 @@ def test_nested_quotations_are_linked_and_removed(spark):
         (1, 2, "c", "Unrelated."),
         (1, 3, "a", "> > First point.\n> I agree.\nThanks"),
         (1, 4, "c", ">Unrelated.\n> not said by anyone"),
+        (1, 5, "c", "> Second\n> point.\n>  \n> > unknown\n> First point.\n> Second point.\n> not said\nok"),
+        (1, 6, "b", "> first\n> point. second\n> point.\nrewrapped"),
         (2, 0, "a", "> First point."),
         (None, 0, "a", "null conversation"),
         (None, 1, "b", "> null conversation\nyes"),
@@ -124,6 +126,8 @@ def test_nested_quotations_are_linked_and_removed(spark):
     assert pick((1, 2)) == ("Unrelated.", 0, 0, 0, None, 2)
     assert pick((1, 3)) == ("Thanks", 2, 2, 2, 1, 0)
     assert pick((1, 4)) == ("", 1, 2, 1, 2, 2)
+    assert pick((1, 5)) == ("ok", 3, 7, 5, 0, 0)
+    assert pick((1, 6)) == ("rewrapped", 1, 3, 3, 0, 0)
     assert pick((2, 0)) == ("", 1, 1, 0, None, 0)
     assert pick((None, 1)) == ("yes", 1, 1, 1, 0, 0)
     assert pick((3, None)) == ("", 1, 1, 0, None, None)
