@@ -11,7 +11,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder.
 
     `spark.checkpoint.dir` names it on a cluster. Where it is unset, a local session, as in tests, gets
-    a folder beside its warehouse that is deleted at its end; any other session is refused, as its
+    a temporary folder that is deleted at its end; any other session is refused, as its
     executors might not see the driver's disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,7 +21,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        folder = f"file://{context._jvm.System.getProperty('java.io.tmpdir')}/scratch-{uuid.uuid4().hex}"
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
         files = path.getFileSystem(context._jsc.hadoopConfiguration())
         files.mkdirs(path)
