@@ -74,8 +74,8 @@ def test_search_of_mixed_buckets_joins_components(spark):
     rows = _families()[:96]
     sets = {i: np.sort(np.array([hash(s) & (2**63 - 1) for s in _shingles(r[1])], np.uint64)) for i, r in enumerate(rows)}
     batch = pa.RecordBatch.from_arrays(
-        [pa.array([1] * 96), pa.array([0] * 96), pa.array([0] * 96), pa.array(range(96)), pa.array(range(96)), pa.array([s.view(np.int64) for s in sets.values()], pa.list_(pa.int64()))],
-        ["band", "i", "j", "cid", "comp", "set"],
+        [pa.array([1] * 96), pa.array([0] * 96), pa.array([0] * 96), pa.array([False] * 96), pa.array(range(96)), pa.array(range(96)), pa.array([False] * 96), pa.array([s.view(np.int64) for s in sets.values()], pa.list_(pa.int64()))],
+        ["band", "i", "j", "across", "cid", "comp", "side", "set"],
     )
     links = [x for b in neardup._search(85)(iter([batch])) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
     parent = list(range(96))
