@@ -7,8 +7,8 @@ the mix takes; whole documents are then picked in the order of a seeded hash, by
 (`prefix.py`), so no document list reaches the driver.
 
 Targets: each source's share of all words by weight, at most `most` times its size; the excess goes to the other
-sources by weight until none is above. Only sizes per source and per pattern reach the driver; more than `MOST_PATTERNS` of
-either is refused.
+sources by weight until none is above. Only sizes per source and per pattern reach the driver; more than `MOST_PATTERNS`
+patterns are refused. That bound is also that of the broadcast table of patterns.
 
 Defined results: NULL and empty texts have no words and are never taken. A NULL source is a source of its own; an empty
 member list is a pattern without a source and is not taken. Rows with equal keys and texts are taken together. An empty table gives an empty result.
@@ -153,7 +153,7 @@ def mixed(
     schema = "at long, pattern array<string>, times long, cut long, source_size long, target double"
     numbered = spark.createDataFrame([(i, list(p), 0, 0, 0, 0.0) for i, p in enumerate(patterns)], schema)
     same = F.to_json(F.struct("pattern"), {"ignoreNullFields": "false"})
-    placed = slim.withColumn("p", same).join(numbered.select("at", same.alias("p")), "p")
+    placed = slim.withColumn("p", same).join(F.broadcast(numbered.select("at", same.alias("p"))), "p")
     spots = stored(placed.groupBy(F.shiftleft("at", HASH_BITS).bitwiseOR(F.col("rank")).alias("q")).agg(F.sum("size").alias("size")), "spots")
     sums = PrefixSums(spots, top_shift=HASH_BITS - 8)
 
@@ -172,6 +172,6 @@ def mixed(
         return out
 
     table = spark.createDataFrame(sums.search(picks), schema).withColumn("p", same).drop("pattern", "at")
-    joined = rows.withColumn("p", same).join(table, "p", "left")
+    joined = rows.withColumn("p", same).join(F.broadcast(table), "p", "left")
     taken = F.col("size") * (F.col("times") + (F.col("rank") < F.col("cut")).cast("long"))
     return Mix(joined.select("row", "size", "source_size", "target", taken.alias("taken")), plan, wanted)
