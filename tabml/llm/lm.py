@@ -1,26 +1,29 @@
 """Language model scores: a log-bilinear model over word classes, trained with noise-contrastive estimation.
 
-Words between white space, A-Z lower-cased, then an end token. Every word belongs to a class: each of the `TOP` most
-frequent words is a class of its own, all others share classes by their last two bytes. A class is predicted from the
-classes of the two words before it: their vectors, each multiplied by a matrix of its place, are added and compared with the
-vectors of all classes. Within its class a word has its smoothed share of the training counts, unseen words together one share per class:
-P(word | before) = P(class | before) * P(word | class), which sums to 1.
+Words between white space, A-Z lower-cased, then an end token. Words that together hold `SHARE` of all training tokens, those
+seen most often (`LEAST` times or more), are *own* words with vectors of their own, as context and as prediction; so their number grows with the
+corpus. All other words are, by their last two bytes, one of `TAIL` rest words. A word belongs to a class; there are about as many
+classes as words in a class, and classes are about equally frequent. From the vectors of the two words before, each multiplied by a
+matrix of its place and added, come both the class and, within its class, the word; a word of the rest then has its smoothed share of the
+training counts, unseen words together one share per rest word:
+P(word | before) = P(class | before) * P(own or rest word | class, before) * P(word | rest word), which sums to 1.
 
 * Counts cover all training texts. Each task counts its words, Spark sums them. The `HEAD` most frequent words go to all
-  tasks as a sorted array; every other word of a text is joined with its count by a shuffle, so no table that grows with the corpus
-  is broadcast.
-* The model learns from the counts of class triples of all training texts, at most (classes + 1)^3 rows, on the driver in numpy.
-  Training is seeded and takes `STEPS` batches whatever the size.
-* Contexts are pairs of classes, so one batch of matrix products normalises all of them; scoring a token is a dot product.
+  tasks as a sorted array; every other word of a text is joined with its count by a shuffle. The network goes to all tasks; it has some 150 bytes for
+  each own word.
+* Training starts from a small network on the driver: counts of triples of coarse classes (the `TOP` most frequent words
+  and the rest words) of all training texts, `STEPS` seeded batches. Each own word starts with the vectors of its coarse class.
+* Then each training token is one example: in each of `ROUNDS` rounds the tasks learn in numpy from their share of the texts, and what they
+  changed is averaged word by word. Noise words are drawn by class frequency, and evenly within the class.
 
 Scores are log10. Words are told apart by 64-bit hashes. A NULL text is an empty one: it has only the end token. Repeated rows are scored one by one.
-Without training texts every word is unseen and the classes are equally likely.
+Without training texts every word is unseen and the coarse classes are equally likely.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ from tabml.sources.scratch import stored
 HEAD, TOP, TAIL = 1 << 18, 79, 48
 CLASSES = TOP + TAIL + 1  # the last is the end token
 WIDTH, STEPS, BATCH, NOISE = 16, 4000, 1024, 16
+SHARE, LEAST = 0.9, 3
+ROUNDS, RATE, NEAR, BLOCK = 3, 0.1, 4, 4096  # NEAR: noise words within a class; BLOCK: words whose changes travel together
 END = np.uint64(0x1F83D9ABFB41BD6B)
 ADD = 0.1
 
@@ -77,14 +82,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, sorted by hash, with counts and classes; the total, the distinct, and the mass of each class."""
+    """The most frequent words, sorted by hash, with counts and coarse classes; the total and the distinct."""
 
     value: np.ndarray
     count: np.ndarray
     cls: np.ndarray
     total: int
     distinct: int
-    mass: np.ndarray  # log10 of (words of the class + smoothing)
 
     def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash is among the words held here, and where."""
@@ -116,29 +120,19 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
     rank = head[head.cls != CLASSES - 1].index[:TOP]
     cls = head.cls.to_numpy(np.int64).copy()
     cls[rank] = np.arange(len(rank))
-    sums = counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow().to_pandas()
-    c, v = np.zeros(CLASSES), np.zeros(CLASSES)
-    c[sums.cls], v[sums.cls] = sums.c, sums.v
-    for i in rank:
-        own = head.cls[i]
-        c[own], v[own], c[cls[i]], v[cls[i]] = c[own] - head.c[i], v[own] - 1, head.c[i], 1
-    # a class of one word holds nothing unseen; each other class holds one more, unseen word
-    unseen = np.zeros(CLASSES)
-    unseen[TOP:-1] = 1
-    mass = np.log10(np.maximum(c + ADD * (v + unseen), 1e-300))
+    sums = counts.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).first()
     value = head.h.to_numpy(np.int64).view(np.uint64)
     by = np.argsort(value)
-    total, distinct = int(sums.c.sum()), int(sums.v.sum())
-    found = Vocabulary(value[by], head.c.to_numpy(np.int64)[by], cls[by], total, distinct, mass)
+    found = Vocabulary(value[by], head.c.to_numpy(np.int64)[by], cls[by], int(sums["c"] or 0), int(sums["v"]))
     rest = counts.where(step < edge).select("h", "c")
     return found, rest
 
 
-def contexts(text: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the first and second token before each token; `CLASSES` before the beginning."""
-    one, two = np.full(len(cls), CLASSES), np.full(len(cls), CLASSES)
-    one[1:] = np.where(text[1:] == text[:-1], cls[:-1], CLASSES)
-    two[2:] = np.where(text[2:] == text[:-2], cls[:-2], CLASSES)
+def contexts(text: np.ndarray, cls: np.ndarray, begin: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Classes (or units) of the first and second token before each token; `begin` before the beginning."""
+    one, two = np.full(len(cls), begin), np.full(len(cls), begin)
+    one[1:] = np.where(text[1:] == text[:-1], cls[:-1], begin)
+    two[2:] = np.where(text[2:] == text[:-2], cls[:-2], begin)
     return one, two
 
 
@@ -221,20 +215,243 @@ def _triples(words) -> object:
     return run
 
 
-def _score(words, table):
+@dataclass
+class Network:
+    """Units are own words, rest words and the end token, numbered class by class; `parts` are the learned arrays.
+
+    `parts`: vectors of the units before (and of the beginning), of the units in their class, of the classes, matrices of the
+    places, biases of the units and of the classes.
+    """
+
+    value: np.ndarray  # own words: sorted hashes, log10 of their smoothed counts, units
+    weight: np.ndarray
+    unit: np.ndarray
+    coarse: np.ndarray  # the units of the rest words and of the end, by coarse class
+    mass: np.ndarray  # log10 of the smoothed counts of each rest word
+    cls: np.ndarray  # class of each unit
+    first: np.ndarray  # first unit of each class, and the end
+    share: np.ndarray  # of the tokens, by class
+    parts: list[np.ndarray]
+
+    def units(self, value: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each token is an own word, where among them, and its unit."""
+        if not len(self.value):
+            return np.zeros(len(value), bool), np.zeros(len(value), np.int64), self.coarse[tail]
+        at = np.searchsorted(self.value, value)
+        at[at == len(self.value)] = 0
+        own = self.value[at] == value
+        return own, at, np.where(own, self.unit[at], self.coarse[tail])
+
+    def log_probs(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """log10 P(unit | one, two), normalised over all classes and over all units of the class."""
+        before, word, group, place, word_bias, group_bias = self.parts
+        out, cls = np.empty(len(unit)), self.cls[unit]
+        order = np.argsort(cls, kind="stable")
+        bounds = np.searchsorted(cls[order], np.arange(len(self.first)))
+        q = before[one] @ place[0] + before[two] @ place[1]
+        for a in range(0, len(unit), 4 * BATCH):
+            rows = slice(a, a + 4 * BATCH)
+            out[rows] = _log_share(q[rows] @ group.T + group_bias, cls[rows])
+        for c in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.first) > 1)):
+            low, high = self.first[c], self.first[c + 1]
+            held = order[bounds[c] : bounds[c + 1]]
+            for a in range(0, len(held), BATCH):
+                rows = held[a : a + BATCH]
+                out[rows] += _log_share(q[rows] @ word[low:high].T + word_bias[low:high], unit[rows] - low)
+        return out / np.log(10)
+
+
+def _log_share(score: np.ndarray, own: np.ndarray) -> np.ndarray:
+    score -= score.max(axis=1, keepdims=True)
+    picked = score[np.arange(len(own)), own]
+    return picked - np.log(np.exp(score, out=score).sum(axis=1))
+
+
+def network(counts: DataFrame, vocab: Vocabulary, start: Model) -> Network:
+    """Own words from the counts (`h, c, cls`), dealt to classes; vectors as in the small network."""
+    by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas().sort_values("c", ascending=False, ignore_index=True)
+    covered = (by_count.c * by_count.n).cumsum()
+    enough = covered.searchsorted(SHARE * vocab.total)
+    least = max(LEAST, int(by_count.c[min(enough, len(by_count) - 1)])) if len(by_count) else LEAST
+    end = int(np.int64(END.view(np.int64)))
+    own = counts.where((F.col("c") >= least) & (F.col("h") != end)).toArrow().to_pandas().sort_values("h", ignore_index=True)
+    sums = counts.where((F.col("c") < least) | (F.col("h") == end)).groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow().to_pandas()
+    rest = np.zeros(CLASSES)
+    rest[sums.cls] = sums.c + ADD * sums.v
+    rest[TOP:-1] += ADD  # unseen words
+    rest[-1] = max(rest[-1], ADD)
+
+    value = own.h.to_numpy(np.int64).view(np.uint64)
+    count, coarse = own.c.to_numpy(float) + ADD, own.cls.to_numpy(np.int64)
+    by = np.argsort(value)
+    value, count, coarse = value[by], count[by], coarse[by]
+    known, at = vocab.find(value)
+    if len(vocab.value):
+        coarse = np.where(known, vocab.cls[at], coarse)
+    mass, coarse = np.concatenate([count, rest[TOP:]]), np.concatenate([coarse, np.arange(TOP, CLASSES)])
+
+    # units by coarse class and falling count; a class is a part of a coarse one, and ends when it holds its share
+    order = np.lexsort((-mass, coarse))
+    mass, coarse = mass[order], coarse[order]
+    many = (coarse >= TOP) & (coarse < CLASSES - 1)
+    share = mass[many].sum() / np.sqrt(many.sum())
+    sums = np.cumsum(mass) - mass
+    begins = np.searchsorted(coarse, coarse)
+    part = ((sums - sums[begins]) / share).astype(np.int64)
+    fresh = np.ones(len(mass), bool)
+    fresh[1:] = (coarse[1:] != coarse[:-1]) | (part[1:] != part[:-1])
+    cls, first = np.cumsum(fresh) - 1, np.append(np.flatnonzero(fresh), len(mass))
+    held = np.add.reduceat(mass, first[:-1])
+    of = coarse[first[:-1]]
+    whole = np.bincount(of, held, CLASSES)
+
+    unit = np.empty(len(order), np.int64)
+    unit[order] = np.arange(len(order))
+    table = np.zeros(CLASSES, np.int64)
+    table[TOP:] = unit[len(value) :]
+    parts = [
+        np.concatenate([start.before[coarse], start.before[-1:]]),
+        np.zeros((len(mass), WIDTH)),
+        start.after[of],
+        start.place,
+        np.log(mass / held[cls]),
+        start.bias[of] + np.log(held / whole[of]),
+    ]
+    return Network(value, np.log10(count), unit[: len(value)], table, np.log10(np.maximum(rest, 1e-300)), cls, first, held / held.sum(), [p.astype(np.float32) for p in parts])
+
+
+def _add(part: np.ndarray, squares: np.ndarray, at: np.ndarray, grad: np.ndarray, rate: float) -> None:
+    """Add rows of gradients, each over the root of the squares met by its row (one rate per row)."""
+    np.add.at(squares, at, (grad * grad).mean(axis=1))
+    grad = (rate / np.sqrt(squares[at]))[:, None] * grad
+    np.add.at(part.reshape(-1), (at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), grad.ravel().astype(np.float32))
+
+
+class Learner:
+    """One task's copy of the network in one round."""
+
+    def __init__(self, net: Network, rate: float, seed: int):
+        self.net, self.rate, self.rng = net, rate, np.random.Generator(np.random.PCG64(seed))
+        self.parts = [p.copy() for p in net.parts]
+        self.squares = [np.ones(p.shape if k == 3 else len(p), np.float32) for k, p in enumerate(self.parts)]
+        self.edges, self.log_noise = np.cumsum(net.share), np.log(NOISE * net.share).astype(np.float32)
+        self.sizes = np.diff(net.first)
+        self.log_near = np.log(NEAR / self.sizes).astype(np.float32)
+        self.examples = 0
+
+    def learn(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> None:
+        """One pass over examples, in drawn order."""
+        order = self.rng.permutation(len(unit))
+        self.examples += len(unit)
+        for a in range(0, len(unit), BATCH):
+            rows = order[a : a + BATCH]
+            self._batch(one[rows], two[rows], unit[rows])
+
+    def _batch(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> None:
+        before, word, group, place, word_bias, group_bias = self.parts
+        net, rate, cls = self.net, self.rate, self.net.cls[unit]
+        first, second = before[one], before[two]
+        q = first @ place[0] + second @ place[1]
+        noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE * 4)), len(self.sizes) - 1)
+        d_data = 1 / (1 + np.exp((q * group[cls]).sum(axis=1) + group_bias[cls] - self.log_noise[cls]))
+        d_other = -1 / (1 + np.exp(-(q @ group[noise].T + group_bias[noise] - self.log_noise[noise]))) / 4
+        d_q = d_data[:, None] * group[cls] + d_other @ group[noise]
+
+        rows = np.flatnonzero(self.sizes[cls] > 1)
+        c, own, x = cls[rows], unit[rows], q[rows]
+        near = net.first[c][:, None] + (self.rng.random((len(rows), NEAR), np.float32) * self.sizes[c][:, None]).astype(np.int64)
+        near = np.minimum(near, net.first[c + 1][:, None] - 1)
+        all_of = np.concatenate([own[:, None], near], axis=1)
+        vectors = word[all_of]
+        score = np.einsum("nkd,nd->nk", vectors, x) + word_bias[all_of] - self.log_near[c][:, None]
+        d = -1 / (1 + np.exp(-score))
+        d[:, 0] += 1
+        d_q[rows] += np.einsum("nk,nkd->nd", d, vectors)
+
+        _add(before, self.squares[0], np.concatenate([one, two]), np.concatenate([d_q @ place[0].T, d_q @ place[1].T]), rate)
+        _add(word, self.squares[1], all_of.ravel(), (d[:, :, None] * x[:, None, :]).reshape(-1, WIDTH), rate)
+        _add(group, self.squares[2], np.concatenate([cls, noise]), np.concatenate([d_data[:, None] * q, d_other.T @ q]), rate)
+        turned = np.stack([first.T @ d_q, second.T @ d_q])
+        self.squares[3] += turned * turned
+        place += rate * turned / np.sqrt(self.squares[3])
+        for bias, squares, at, g in ((word_bias, self.squares[4], all_of.ravel(), d.ravel()), (group_bias, self.squares[5], np.concatenate([cls, noise]), np.concatenate([d_data, d_other.sum(axis=0)]))):
+            np.add.at(squares, at, (g * g).astype(np.float32))
+            np.add.at(bias, at, (rate * g / np.sqrt(squares[at])).astype(np.float32))
+
+    def changes(self) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """`(part, block, rows, changes)` of the rows that changed; the matrices of the places are rows too."""
+        for k, (new, old) in enumerate(zip(self.parts, self.net.parts, strict=True)):
+            change = (new - old).reshape(-1, WIDTH if k < 4 else 1)
+            at = np.flatnonzero(change.any(axis=1))
+            for block in np.unique(at // BLOCK):
+                rows = at[at // BLOCK == block]
+                yield k, int(block), rows.astype(np.int32).tobytes(), change[rows].astype(np.float16).tobytes()
+
+
+CHANGES = "part int, block int, at binary, change binary"
+
+
+def _learn(net, turn: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = Learner(net.value, RATE * (1 - turn / ROUNDS), turn)
+        for batch in batches:
+            for a, b in pieces(batch.column(0)):
+                text, value, tail, _ = with_ends(batch.column(0)[a:b])
+                unit = learner.net.units(value, tail)[2]
+                learner.learn(*contexts(text, unit, len(learner.net.cls)), unit)
+        if learner.examples:
+            for k, block, at, change in learner.changes():
+                columns = [pa.array([k], pa.int32()), pa.array([block], pa.int32()), pa.array([at], pa.binary()), pa.array([change], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "at", "change"])
+
+    return run
+
+
+def _averaged(table: pa.Table) -> pa.Table:
+    """The changes of one block of rows, each averaged over the tasks that changed the row."""
+    k, block = table["part"][0].as_py(), table["block"][0].as_py()
+    width = WIDTH if k < 4 else 1
+    total, n = np.zeros((BLOCK, width), np.float32), np.zeros((BLOCK, 1), np.float32)
+    for at, change in zip(table["at"], table["change"], strict=True):
+        rows = np.frombuffer(at.as_py(), np.int32) - block * BLOCK
+        total[rows] += np.frombuffer(change.as_py(), np.float16).reshape(-1, width)
+        n[rows] += 1
+    rows = np.flatnonzero(n[:, 0])
+    mean = total[rows] / n[rows]
+    return pa.table({"part": pa.array([k], pa.int32()), "block": pa.array([block], pa.int32()), "at": pa.array([(rows + block * BLOCK).astype(np.int32).tobytes()], pa.binary()), "change": pa.array([mean.tobytes()], pa.binary())})
+
+
+def learned(net: Network, texts: DataFrame) -> Network:
+    """The network after all rounds; each text is in one of them."""
+    context = texts.sparkSession.sparkContext
+    for turn in range(ROUNDS):
+        sent = context.broadcast(net)
+        part = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        found = part.mapInArrow(_learn(sent, turn), CHANGES).groupBy("part", "block").applyInArrow(_averaged, CHANGES).toArrow()
+        parts = [p.copy() for p in net.parts]
+        for k, at, change in zip(found["part"].to_pylist(), found["at"], found["change"], strict=True):
+            rows, width = np.frombuffer(at.as_py(), np.int32), WIDTH if k < 4 else 1
+            parts[k].reshape(-1, width)[rows] += np.frombuffer(change.as_py(), np.float32).reshape(-1, width)
+        net = replace(net, parts=parts)
+        sent.destroy()
+    return net
+
+
+def _score(words, net):
     """Per text: tokens, those in the head, their sums of log10 counts and class shares, and the other words with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, log_class = words.value, table.value
+        vocab, model = words.value, net.value
         weight = np.log10(vocab.count + ADD)
         for batch in batches:
             for a, b in pieces(batch.column(2)):
                 part = batch.slice(a, b - a)
                 text, value, tail, _ = with_ends(part.column(2))
                 known, at = vocab.find(value)
-                cls = np.where(known, vocab.cls[at] if len(vocab.cls) else 0, tail)
-                one, two = contexts(text, cls)
-                share = log_class[one, two, cls].astype(float) - vocab.mass[cls]
+                own, place, unit = model.units(value, tail)
+                # the count of a word is added with the others below: of an own word it is no part of the score
+                counted = np.where(own, model.weight[place] if len(model.weight) else 0.0, model.mass[tail])
+                share = model.log_probs(*contexts(text, unit, len(model.cls)), unit) - counted
                 n = b - a
                 log_head = np.where(known, weight[at] if len(weight) else 0.0, 0.0)
                 out = ~known
@@ -265,17 +482,19 @@ def scored(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text"
     spark = df.sparkSession
     texts = df.where(learn).select(F.col(f"`{text}`").alias("text"))
     counts = texts.mapInArrow(_count, "h long, c long, cls int").groupBy("h").agg(F.sum("c").alias("c"), F.min("cls").alias("cls"))
-    vocab, rest = vocabulary(stored(counts, "counts"))
+    counts = stored(counts, "counts")
+    vocab, rest = vocabulary(counts)
     words = spark.sparkContext.broadcast(vocab)
     found = texts.mapInArrow(_triples(words), "code int, c long").groupBy("code").agg(F.sum("c").alias("c")).orderBy("code").toArrow().to_pandas()
     code, n = found.code.to_numpy(np.int64), CLASSES + 1
     triples = np.stack([code // CLASSES // n, code // CLASSES % n, code % CLASSES], axis=1)
-    table = spark.sparkContext.broadcast(train(triples, found.c.to_numpy(float)).table())
+    start = train(triples, found.c.to_numpy(float))
+    net = spark.sparkContext.broadcast(learned(network(counts, vocab, start), texts))
 
     docs = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     fields = f"id {kind}, th long, n_tokens long, n_head long, log_head double, log_share double, words array<long>, times array<long>"
-    parts = docs.mapInArrow(_score(words, table), fields).withColumn("row", F.monotonically_increasing_id())
+    parts = docs.mapInArrow(_score(words, net), fields).withColumn("row", F.monotonically_increasing_id())
     parts = stored(parts, "scored")
     opened = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("h"), F.col("w.times").alias("n"))
     met = opened.join(rest.withColumnRenamed("c", "found"), "h", "left")

@@ -248,3 +248,30 @@ def test_language_model_without_training_rows(spark):
     docs = table(spark)
     assert lm.scored(docs, F.lit(False)).agg(F.max("n_known")).first()[0] == 0
     assert lm.scored(docs.limit(0), F.lit(True)).count() == 0
+
+
+def _chained(texts: int) -> list[tuple]:
+    """400 words, all with one ending, each always followed by a word of its own."""
+    rng = random.Random(3)
+    talk = lambda: " ".join(f"a{k}xx b{k}xx" for k in rng.choices(range(400), k=100))
+    return [(i, talk()) for i in range(texts)]
+
+
+def test_words_beyond_the_most_frequent_have_vectors_of_their_own(spark):
+    docs = spark.createDataFrame(_chained(1200), "doc_id long, text string").repartition(4)
+    r = lm.scored(docs, F.col("doc_id") % 10 > 0).where("id % 10 = 0").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (r[0] - r[1]) / r[2] > 0.5
+
+
+def test_probabilities_of_own_and_rest_words_sum_to_one(spark):
+    rows = [(i * 7919, 1 + i % 40, lm.TOP + i % lm.TAIL) for i in range(1, 3000)]
+    counts = spark.createDataFrame([*rows, (int(lm.END.view(np.int64)), 500, lm.CLASSES - 1)], "h long, c long, cls int")
+    vocab, _ = lm.vocabulary(counts)
+    net = lm.network(counts, vocab, lm.train(np.zeros((0, 3), np.int64), np.zeros(0)))
+    n, rng = len(net.cls), np.random.default_rng(4)
+    assert len(net.value) > 1000 and 30 < len(net.first) < 250
+    learner = lm.Learner(net, 0.1, 1)
+    learner.learn(*rng.integers(0, n, (3, 20_000)))
+    net.parts = learner.parts
+    for one, two in rng.integers(0, n + 1, (5, 2)):
+        assert (10 ** net.log_probs(np.full(n, one), np.full(n, two), np.arange(n))).sum() == pytest.approx(1, abs=1e-3)
