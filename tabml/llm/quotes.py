@@ -4,7 +4,10 @@ Native: DataFrame functions only. The level of a line is the number of `>` marks
 text, without a line of attribution (ending in `wrote:`) right before a quotation; the others are quoted. Consecutive
 quoted lines of one level are a passage. Passages, lines and whole messages are normalised (case, white space) and hashed. A passage is
 joined to the first message of its conversation whose whole text or line it is, if that came earlier; of a passage without such a
-message each line is joined on its own. So everything quoted has one original however often it occurs, and the joins add no rows. A message replies to the message that most lines of its level-1 quotes come from (of
+message each line is joined on its own. So everything quoted has one original however often it occurs, and the joins add no rows.
+Neighbouring lines without an original may be a part of a message or wrapped anew: their first and last words (up to 16) are
+joined to the first messages that hold them, and the later of the two is their original if it holds all their words in a row;
+else each of these lines is tried on its own. A message replies to the message that most lines of its level-1 quotes come from (of
 equal ones the later); a thread is the message that its replies lead back to.
 
 The reply order of a conversation is `(thread, turn)`: threads by their first message, each with its replies behind what they reply to. Roots are found by
@@ -17,6 +20,8 @@ empty result. Only the four columns named are read, so others can't clash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,9 +77,50 @@ def _links(messages: DataFrame) -> DataFrame:
         return met.withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin"))).drop("its_h", "its_conv")
 
     whole = stored(traced(passages), "passages")
-    rest = whole.where("origin is null").select("conv", "turn", "level", F.explode("lines").alias("line"))
-    by_line = traced(rest.withColumn("h", F.xxhash64("line"))).select("conv", "turn", "level", F.lit(1).cast("long").alias("n"), "origin")
-    return by_line.unionByName(whole.where("origin is not null").select("conv", "turn", "level", F.size("lines").cast("long").alias("n"), "origin"))
+    rest = whole.where("origin is null").select("mid", "conv", "turn", "level", "run", F.posexplode(F.filter("lines", lambda x: x != "")).alias("k", "line"))
+    by_line = stored(traced(rest.withColumn("h", F.xxhash64("line"))), "lines")
+    found = [
+        whole.where("origin is not null").select("conv", "turn", "level", F.size("lines").cast("long").alias("n"), "origin"),
+        by_line.where("origin is not null").select("conv", "turn", "level", F.lit(1).cast("long").alias("n"), "origin"),
+    ]
+    lost = by_line.where("origin is null").drop("origin")
+    if not lost.isEmpty():
+        next_to = F.col("k") - F.row_number().over(W.partitionBy("mid", "level", "run").orderBy("k"))
+        runs = lost.withColumn("next_to", next_to).groupBy("mid", "conv", "turn", "level", "run", "next_to").agg(F.array_sort(F.collect_list(F.struct("k", "line")))["line"].alias("lines"))
+        together = stored(_contained(runs.select("conv", "turn", "level", "lines"), messages), "together")
+        alone = together.where("origin is null and size(lines) > 1").select("conv", "turn", "level", F.explode("lines").alias("line"))
+        alone = _contained(alone.select("conv", "turn", "level", F.array("line").alias("lines")), messages)
+        found += [x.where("origin is not null").select("conv", "turn", "level", F.size("lines").cast("long").alias("n"), "origin") for x in (together, alone)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _contained(parts: DataFrame, messages: DataFrame) -> DataFrame:
+    """`parts` (`conv, turn, level, lines`) with the turn of an earlier message that holds their words in a row, or NULL, as `origin`."""
+    words = F.split(F.array_join("lines", " "), " ")
+    sizes = F.filter(F.array(*(F.lit(n) for n in (1, 2, 4, 8, 16))), lambda n: n <= F.size("words"))
+    parts = parts.withColumn("words", words).withColumn("size", F.array_max(sizes)).withColumn("part", F.monotonically_increasing_id())
+    parts = stored(parts, "parts")
+
+    def hashed(words: Column, at: Column, size: Column) -> Column:
+        return F.xxhash64(size, F.array_join(F.slice(words, at, size), " "))
+
+    ends = F.array(hashed(F.col("words"), F.lit(1), F.col("size")), hashed(F.col("words"), F.size("words") - F.col("size") + 1, F.col("size")))
+    ends = parts.select("part", "conv", F.explode(ends).alias("h"))
+    said = messages.select("conv", "turn", _bare(F.array_join(F.transform("own", lambda x: x["text"]), " ")).alias("said"))
+    needed = parts.groupBy(F.col("conv").alias("its_conv")).agg(F.collect_set("size").alias("sizes"))
+    opened = said.join(needed, F.col("conv").eqNullSafe(F.col("its_conv"))).select("conv", "turn", F.split("said", " ").alias("words"), F.explode("sizes").alias("size"))
+    opened = opened.where(F.size("words") >= F.col("size"))
+    at = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
+    windows = opened.select("conv", "turn", F.explode(F.transform(at, lambda i: hashed(F.col("words"), i, F.col("size")))).alias("h"))
+    firsts = windows.groupBy(F.col("conv").alias("its_conv"), F.col("h").alias("its_h")).agg(F.min("turn").alias("first"))
+    met = ends.join(firsts, (F.col("h") == F.col("its_h")) & F.col("conv").eqNullSafe(F.col("its_conv")))
+    later = met.groupBy("part").agg(F.max("first").alias("origin"), F.count(F.lit(1)).alias("n")).where("n = 2").drop("n")
+
+    likely = parts.join(later, "part").where(F.col("origin") < F.col("turn")).select("part", "conv", "origin", F.array_join("words", " ").alias("text"))
+    said = said.select(F.col("conv").alias("its_conv"), F.col("turn").alias("its_turn"), "said")
+    met = likely.join(said, (F.col("origin") == F.col("its_turn")) & F.col("conv").eqNullSafe(F.col("its_conv")))
+    sure = met.where(F.contains(F.concat(F.lit(" "), "said", F.lit(" ")), F.concat(F.lit(" "), "text", F.lit(" ")))).select("part", "origin").distinct()
+    return parts.join(sure, "part", "left").select("conv", "turn", "level", "lines", "origin")
 
 
 def _roots(replies: DataFrame) -> DataFrame:

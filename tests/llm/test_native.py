@@ -140,3 +140,26 @@ def test_long_reply_chains_lead_to_their_first_message(spark):
     rows = [(1, 0, "a", "line 0")] + [(1, i, "a", f"> line {i - 1}\nline {i}") for i in range(1, 40)]
     assert {r["thread"] for r in quotes.threaded(_talk(spark, rows)).collect()} == {0}
     assert quotes.threaded(_talk(spark, rows)).agg(F.sum("n_linked")).first()[0] == 39
+
+
+def test_parts_of_messages_and_parts_wrapped_anew_are_linked(spark):
+    rows = [
+        (1, 0, "a", "We met on Monday. The plan was agreed by all of us, and nobody objected to it. Who writes it up?"),
+        (1, 1, "b", "I would.\nGive me the notes\nthat you took on Monday,\nplease."),
+        (1, 2, "c", "> The plan was agreed by all of us, and nobody objected to it.\nNot me."),
+        (1, 3, "a", "> > the plan was agreed\n> Give me the notes that you took\n> on Monday,\nHere."),
+        (1, 4, "b", "> Who writes\n> it up?\nMe."),
+        (1, 5, "c", "> nobody objected to it. [...]\n> that you took on Monday, please.\nok"),
+        (1, 6, "c", "> by all of us, nobody objected to it.\nnot in a row"),
+        (2, 0, "c", "> The plan was agreed by all of us\nanother conversation"),
+        (None, 0, "a", "one two three four"),
+        (None, 1, "b", "> two three\nyes"),
+    ]
+    got = {(r["conv_id"], r["turn"]): (r["n_linked"], r["reply_to"], r["thread"]) for r in quotes.threaded(_talk(spark, rows)).collect()}
+    assert got[1, 2] == (1, 0, 0)
+    assert got[1, 3] == (3, 1, 1)
+    assert got[1, 4] == (2, 0, 0)
+    assert got[1, 5] == (1, 1, 1)
+    assert got[1, 6] == (0, None, 6)
+    assert got[2, 0] == (0, None, 0)
+    assert got[None, 1] == (1, 0, 0)
