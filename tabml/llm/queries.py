@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import decontam, language, lm, mixing, neardup, oracle, quality, quotes, sharding, toxicity, urls
+from tabml.llm import decontam, language, linededup, lm, mixing, neardup, oracle, quality, quotes, sharding, toxicity, trie, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -143,11 +143,31 @@ def chat_quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.threaded(replies)
 
 
+@query
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.with_shared_starts(turns))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+    return found.select(F.col("row.vec_id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+@query
+def op13_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 ORACLE |= {
     "op1_quotes": oracle.quotes("select * from conversations"),
     "op3_mixing": oracle.mixing(),
     "op4_decontam": oracle.decontam(),
     "op6_neardup": oracle.neardup(),
     "op10_quality": oracle.quality(),
+    "op11_trie": oracle.trie(),
+    "op13_linededup": oracle.line_dedup(),
     "chat_quoted_replies": oracle.quotes(REPLIES.format(conversations="conversations")),
 }
