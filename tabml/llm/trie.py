@@ -137,21 +137,26 @@ def _summed_paths(paths: DataFrame) -> DataFrame:
 def _end_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of one node as comma-joined pieces of text."""
     held, node, first, size = [], None, None, 0
+    out, waiting = [], 0  # pieces that wait for a full batch, and their length
 
-    def given() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{"depth": node[0], "k1": node[1], "k2": node[2], "first": first, "piece": ",".join(held)}], schema=_PIECES)
+    def closed() -> dict:
+        return {"depth": node[0], "k1": node[1], "k2": node[2], "first": first, "piece": ",".join(held)}
 
     for batch in batches:
         for *key, conv in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if held and (key != node or size > PIECE):
-                yield given()
+                out.append(closed())
+                waiting += size
                 held, size = [], 0
+                if len(out) > 4096 or waiting > PIECE:
+                    yield pa.RecordBatch.from_pylist(out, schema=_PIECES)
+                    out, waiting = [], 0
             if not held:
                 node, first = key, conv
             held.append(str(conv))
             size += len(held[-1]) + 1
     if held:
-        yield given()
+        yield pa.RecordBatch.from_pylist([*out, closed()], schema=_PIECES)
 
 
 _KEY = [("depth", pa.int64()), ("k1", pa.decimal128(38, 0)), ("k2", pa.decimal128(38, 0))]
