@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -12,18 +14,28 @@ from pyspark.sql import functions as F
 # Up to this many features a sum is written out term by term and compiled by codegen;
 # wider vectors use higher-order functions so that the generated code stays small.
 UNROLL_LIMIT = 24
+# Longer constant arrays are one JSON text that the optimizer folds; as SQL each value would be an expression to analyse.
+FEW_VALUES = 64
 
 
 def array_literal(values: Sequence) -> Column:
     """Constant array of doubles, or of arrays of doubles; handed over as one text, not value by value."""
     nested = len(values) > 0 and isinstance(values[0], Sequence)
-    return F.expr(_array_text(values, lambda v: f"{float(v)!r}D")).cast("array<array<double>>" if nested else "array<double>")
+    kind = "array<array<double>>" if nested else "array<double>"
+    flat = [v for part in values for v in part] if nested else values
+    if len(flat) > FEW_VALUES and all(math.isfinite(v) for v in flat):
+        plain = [[float(v) for v in part] for part in values] if nested else [float(v) for v in values]
+        return F.from_json(F.lit(json.dumps(plain)), kind)
+    return F.expr(_array_text(values, lambda v: f"{float(v)!r}D")).cast(kind)
 
 
 def index_literal(values: Sequence) -> Column:
     """Constant array of integers, or of arrays of integers."""
     nested = len(values) > 0 and isinstance(values[0], Sequence)
-    return F.expr(_array_text(values, str)).cast("array<array<int>>" if nested else "array<int>")
+    kind = "array<array<int>>" if nested else "array<int>"
+    if len(values) > FEW_VALUES:
+        return F.from_json(F.lit(json.dumps([[int(v) for v in part] for part in values] if nested else [int(v) for v in values])), kind)
+    return F.expr(_array_text(values, str)).cast(kind)
 
 
 def _array_text(values: Sequence, item: Callable[..., str]) -> str:

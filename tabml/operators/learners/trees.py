@@ -1,12 +1,12 @@
 """Decision trees and forests.
 
-`method="node"` takes split candidates from every node's own distinct values. Per level one table of value
-frequencies, for all open nodes of all trees, is ranked and summed, and only the best split of each node
-reaches the driver. `method="bins"` uses Spark's tree learners, whose candidates are global quantile
-bins: they shuffle far less when features have very many distinct values, but splits can differ.
+`method="node"`, the default, takes split candidates from every node's own distinct values, exactly. Values are sorted
+once into column blocks (`columns.py`), and each level merges small summaries of the blocks for all open nodes of all trees. With more
+than `columns.MOST_FEATURES` features, where such blocks would multiply the data, a table of value frequencies is ranked
+and summed per level instead. `method="bins"` uses Spark's tree learners, whose candidates are global quantile
+bins; splits can differ.
 
-Single trees use the first method unless told otherwise, forests the second. A forest of the first kind
-draws rows and features by hashes of keys, so it does not depend on how the data is partitioned.
+A forest of the first kind draws rows and features by hashes of keys, so it does not depend on how the data is partitioned.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import hashlib
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
@@ -24,6 +25,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tabml.functions import fixed, vectors
 from tabml.functions.values import col
+from tabml.operators.learners import columns
 from tabml.operators.learners.base import FittedModel, class_count, vector, width
 from tabml.operators.ordering import running_totals
 from tabml.sources.rows import ROW_ID
@@ -138,7 +140,7 @@ def train_tree(df: DataFrame, task: str, classes: int | None = None, method: str
     return BinnedTreeModel(learner.fit(df.select("label", vector().alias("_vector"))), classes)
 
 
-def train_forest(df: DataFrame, task: str, classes: int | None = None, method: str = "bins", key: str = ROW_ID, max_bins: int = MAX_BINS) -> FittedModel:
+def train_forest(df: DataFrame, task: str, classes: int | None = None, method: str = "node", key: str = ROW_ID, max_bins: int = MAX_BINS) -> FittedModel:
     """`key` names the unique row id that `method="node"` draws by."""
     classes = (classes or class_count(df)) if task == "classification" else None
     trees, seed, subset = fixed.FOREST[f"{task}_trees"], fixed.FOREST["seed"], subset_size(width(df))
@@ -180,7 +182,7 @@ def _draws(key: str, trees: int) -> Column:
     def draw(tree: int) -> Column:
         text = F.concat(F.lit(f"{fixed.FOREST['seed']}-{tree}-"), col(key).cast("string"))
         number = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
-        return F.size(F.filter(steps, lambda s: number >= s))
+        return vectors.bound(number, lambda n: F.size(F.filter(steps, lambda s: n >= s)))
 
     return F.array(*[draw(t) for t in range(trees)])
 
@@ -206,18 +208,30 @@ def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subs
     names = list(measures)
     draws = _draws(key, trees) if key else F.array(F.lit(1))
     rows = _spread(df.select("features", "label", *([col(key)] if key else [])))
-    rows = rows.select("features", draws.alias("draws"), *[m.alias(n) for n, m in measures.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    salt = F.xxhash64(col(key)) if key else F.monotonically_increasing_id()
+    rows = rows.select("features", centered.alias("label"), draws.alias("draws"), salt.alias("salt"), *[m.alias(n) for n, m in measures.items()])
+    features = width(df)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # sorting into ranges reads them twice
+    blocks = columns.column_blocks(rows, features, F.col("draws"), trees, F.col("salt")) if 0 < features <= columns.MOST_FEATURES else None
+    if blocks is not None:
+        rows.unpersist()
     try:
-        sums = rows.agg(*[F.sum(F.col("draws")[t] * F.col(n)).alias(f"{n}_{t}") for t in range(trees) for n in names]).first()
-        nodes = [Node(t, 1, [sums[f"{n}_{t}"] for n in names]) for t in range(trees)]
-        features = width(df)
+        if blocks is None:
+            sums = rows.agg(*[F.sum(F.col("draws")[t] * F.col(n)).alias(f"{n}_{t}") for t in range(trees) for n in names]).first()
+            roots = [[sums[f"{n}_{t}"] for n in names] for t in range(trees)]
+        else:
+            roots = columns.root_sums(blocks, trees, classes)
+        nodes = [Node(t, 1, roots[t]) for t in range(trees)]
         importances = [0.0] * features
         level = list(range(trees))
         for depth in range(limits["depth"]):
             allowed = {i: chosen_features(nodes[i].tree, nodes[i].number, features, subset) for i in level if _splittable(nodes[i], classes, limits)}
             if not allowed:
                 break
-            splits = _best_splits(rows, nodes, trees, depth, allowed, names, classes, limits)
+            if blocks is None:
+                splits = _best_splits(rows, nodes, trees, depth, allowed, names, classes, limits)
+            else:
+                splits = columns.best_splits(blocks, _level(nodes, trees, depth, allowed, features, classes, limits))
             level = []
             for i, (gain, feature, threshold, left) in sorted(splits.items()):
                 node = nodes[i]
@@ -228,10 +242,20 @@ def _grow(df: DataFrame, classes: int | None, limits: dict, trees: int = 1, subs
                 nodes += [Node(node.tree, 2 * node.number, left), Node(node.tree, 2 * node.number + 1, right)]
                 level += [node.left, node.right]
     finally:
-        rows.unpersist()
+        if blocks is None:
+            rows.unpersist()
     return GrownModel(nodes, trees, limits["depth"], importances, classes, middle)
 
 
+def _level(nodes: list[Node], trees: int, depth: int, allowed: dict, features: int, classes: int | None, limits: dict) -> columns.Level:
+    opened = np.zeros((len(nodes), features), bool)
+    for i, chosen in allowed.items():
+        opened[i, chosen] = True
+    feature, left, right = (np.array([getattr(n, name) for n in nodes]) for name in ("feature", "left", "right"))
+    threshold = np.array([float(n.threshold) for n in nodes])
+    return columns.Level(feature, threshold, left, right, opened, np.array([n.sums for n in nodes], float), trees, depth, classes, limits)
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Use all cores when the input has fewer partitions than cores, as one small file has."""
     cores = df.sparkSession.sparkContext.defaultParallelism
