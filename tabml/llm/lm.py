@@ -1,29 +1,28 @@
 """Language model scores: a log-bilinear model over word classes, trained with noise-contrastive estimation.
 
-Words between white space, A-Z lower-cased, then an end token. Words that together hold `SHARE` of all training tokens, those
-seen most often (`LEAST` times or more), are *own* words with vectors of their own, as context and as prediction; so their number grows with the
-corpus. All other words are, by their last two bytes, one of `TAIL` rest words. A word belongs to a class; there are about as many
-classes as words in a class, and classes are about equally frequent. From the vectors of the two words before, each multiplied by a
-matrix of its place and added, come both the class and, within its class, the word; a word of the rest then has its smoothed share of the
-training counts, unseen words together one share per rest word:
-P(word | before) = P(class | before) * P(own or rest word | class, before) * P(word | rest word), which sums to 1.
+Words between white space, A-Z lower-cased, then an end token. The `top` most frequent words are classes of their own; every other word is, by
+its last two bytes, in one of `tail` rest classes. Both numbers grow with the root of the number of distinct words. From the vectors of the classes of
+the two tokens before, each multiplied by a matrix of its place and added, comes the class; a word then has its smoothed
+share of its class's training counts, unseen words together one share per rest class:
+P(word | before) = P(class | before) * P(word | class), which sums to 1.
 
 * Counts cover all training texts. Each task counts its words, Spark sums them. The `HEAD` most frequent words go to all
-  tasks as a sorted array; every other word of a text is joined with its count by a shuffle. The network goes to all tasks; it has some 150 bytes for
-  each own word.
-* Training starts from a small network on the driver: counts of triples of coarse classes (the `TOP` most frequent words
-  and the rest words) of all training texts, `STEPS` seeded batches. Each own word starts with the vectors of its coarse class.
-* Then each training token is one example: in each of `ROUNDS` rounds the tasks learn in numpy from their share of the texts, and what they
-  changed is averaged word by word. Noise words are drawn by class frequency, and evenly within the class.
-
-Scores are log10. Words are told apart by 64-bit hashes. A NULL text is an empty one: it has only the end token. Repeated rows are scored one by one.
-Without training texts every word is unseen and the coarse classes are equally likely.
+  tasks as a sorted array; every other word of a text is joined with its count by a shuffle. The network goes to all tasks: `WIDTH`
+  numbers twice for each class.
+* Training examples are the counted class triples of all training tokens, so they grow with the corpus and no token is left out. Triples are dealt to
+  learners by their hash, in an order of their own: a learner, at most `LEARNERS` of them, is one task that learns in numpy, weighing each triple by its
+  count, and what the learners changed is averaged after each of `ROUNDS` rounds. Neither examples nor their order depend on how the texts are partitioned.
+  A learner with few triples repeats them.
+* Scoring normalises each context of two classes once in a task, by batches of matrix products; a token is then a lookup and one dot product.
+
+Scores are log10. They don't depend on partitions beyond the rounding of sums. Words are told apart by 64-bit hashes. A NULL text is an empty one: it has only
+the end token. Repeated rows are scored one by one. Without training texts every word is unseen and the classes are equally likely.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,28 +32,31 @@ from pyspark.sql import functions as F
 from tabml.llm.tokens import SPACED, Words, distinct_pairs, lists, mixed, pieces, words_of
 from tabml.sources.scratch import stored
 
-HEAD, TOP, TAIL = 1 << 18, 79, 48
-CLASSES = TOP + TAIL + 1  # the last is the end token
-WIDTH, STEPS, BATCH, NOISE = 16, 4000, 1024, 16
-SHARE, LEAST = 0.9, 3
-ROUNDS, RATE, NEAR, BLOCK = 3, 0.1, 4, 4096  # NEAR: noise words within a class; BLOCK: words whose changes travel together
+HEAD = 1 << 18
+LEAST_TOP, LEAST_TAIL = 512, 48
+KINDS = 1 << 16  # rest words by their last two bytes, before these are dealt to the rest classes
+WIDTH, BATCH, NOISE = 16, 512, 32
+LEARNERS, ROUNDS, RATE = 32, 2, 0.1
+SHARE_BITS, CHUNK = 20, 1 << 17  # a learner for each 2**20 triples; triples learned in one drawn order
+LEAST_EXAMPLES, MOST_TIMES = 1 << 19, 200  # how often few triples are repeated
+MOST_CONTEXTS = 1 << 24  # of a task's table of normalisers
 END = np.uint64(0x1F83D9ABFB41BD6B)
 ADD = 0.1
 
 
 def with_ends(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    """Tokens of a piece, each text's end among them: their texts, hashes and tail classes."""
+    """Tokens of a piece, each text's end among them: their texts, hashes and kinds (-1 for an end)."""
     w = words_of(column, SPACED)
     n = len(column)
     last = w.data[w.last - 1].astype(np.uint64) if len(w.last) else np.zeros(0, np.uint64)
     before = np.where(w.last - w.first > 1, w.data[np.maximum(w.last - 2, 0)], 0).astype(np.uint64) if len(w.last) else last
-    kind = (mixed(last * np.uint64(257) + before) % np.uint64(TAIL)).astype(np.int64) + TOP
+    kind = (mixed(last * np.uint64(257) + before) % np.uint64(KINDS)).astype(np.int32)
     place = np.arange(len(w.hash)) + w.text
     ends = w.bounds[1:] + np.arange(n)
-    text, value, cls = np.zeros(len(w.hash) + n, np.int64), np.zeros(len(w.hash) + n, np.uint64), np.zeros(len(w.hash) + n, np.int64)
-    text[place], value[place], cls[place] = w.text, w.hash, kind
-    text[ends], value[ends], cls[ends] = np.arange(n), END, CLASSES - 1
-    return text, value, cls, w
+    text, value, kinds = np.zeros(len(w.hash) + n, np.int64), np.zeros(len(w.hash) + n, np.uint64), np.zeros(len(w.hash) + n, np.int32)
+    text[place], value[place], kinds[place] = w.text, w.hash, kind
+    text[ends], value[ends], kinds[ends] = np.arange(n), END, -1
+    return text, value, kinds, w
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,15 +65,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def given() -> pa.RecordBatch:
         value, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        n, cls = np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64), np.zeros(len(value), np.int64)
-        cls[at] = np.concatenate([h[2] for h in held])
-        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(cls, pa.int32())], ["h", "c", "cls"])
+        n, kind = np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64), np.zeros(len(value), np.int64)
+        kind[at] = np.concatenate([h[2] for h in held])
+        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(kind, pa.int32())], ["h", "c", "kind"])
 
     for batch in batches:
         for a, b in pieces(batch.column(0)):
-            _, value, cls, _ = with_ends(batch.column(0)[a:b])
+            _, value, kind, _ = with_ends(batch.column(0)[a:b])
             value, at, n = np.unique(value, return_index=True, return_counts=True)
-            held.append((value, n, cls[at]))
+            held.append((value, n, kind[at]))
             size += len(value)
             if size > 2_000_000:
                 yield given()
@@ -82,13 +84,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, sorted by hash, with counts and coarse classes; the total and the distinct."""
+    """The most frequent words, sorted by hash, with counts and classes; the total and the distinct; numbers of classes.
+
+    Classes are the `top` words by frequency, the rest classes, and the end token.
+    """
 
     value: np.ndarray
     count: np.ndarray
     cls: np.ndarray
     total: int
     distinct: int
+    top: int
+    tail: int
+    weight: np.ndarray  # log10 of the smoothed counts
+    taken: np.ndarray  # smoothed counts that the words with a class of their own take from the rest classes
+
+    @property
+    def classes(self) -> int:
+        return self.top + self.tail + 1
 
     def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash is among the words held here, and where."""
@@ -98,13 +111,22 @@ class Vocabulary:
         at[at == len(self.value)] = 0
         return self.value[at] == value, at
 
-    def classes(self, value: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        known, at = self.find(value)
-        return np.where(known, self.cls[at] if len(self.cls) else 0, tail)
+    def of_kind(self, kind: np.ndarray) -> np.ndarray:
+        return np.where(kind < 0, self.classes - 1, self.top + kind % self.tail)
+
+    def classes_of(self, kind: np.ndarray, known: np.ndarray, at: np.ndarray) -> np.ndarray:
+        cls = self.of_kind(kind)
+        return np.where(known, self.cls[at], cls) if len(self.cls) else cls
+
+
+def class_numbers(distinct: int) -> tuple[int, int]:
+    """Own classes and rest classes for a number of distinct words."""
+    root = int(distinct**0.5)
+    return max(LEAST_TOP, root + root // 4), max(LEAST_TAIL, root // 4)
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
-    """The head of the counts (`h, c, cls`) for all tasks, and the rest as a table `(h, c)`.
+    """The head of the counts (`h, c, kind`) for all tasks, and the rest as a table `(h, c)`.
 
     Counts are put on a fine logarithmic scale; the head is all words above the lowest step that leaves at most `HEAD`.
     """
@@ -117,19 +139,36 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
             break
         edge = at
     head = counts.where(step >= edge).toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
-    rank = head[head.cls != CLASSES - 1].index[:TOP]
-    cls = head.cls.to_numpy(np.int64).copy()
-    cls[rank] = np.arange(len(rank))
     sums = counts.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).first()
-    value = head.h.to_numpy(np.int64).view(np.uint64)
+    top, tail = class_numbers(int(sums["v"]))
+    rank = head[head.kind >= 0].index[:top]
+    top = len(rank)
+    value, count = head.h.to_numpy(np.int64).view(np.uint64), head.c.to_numpy(np.int64)
+    found = Vocabulary(value, count, np.zeros(0, np.int64), int(sums["c"] or 0), int(sums["v"]), top, tail, np.log10(count + ADD), np.zeros(top + tail + 1))
+    cls = found.of_kind(head.kind.to_numpy(np.int64))
+    np.add.at(found.taken, cls[rank], count[rank] + ADD)
+    cls[rank] = np.arange(top)
     by = np.argsort(value)
-    found = Vocabulary(value[by], head.c.to_numpy(np.int64)[by], cls[by], int(sums["c"] or 0), int(sums["v"]))
-    rest = counts.where(step < edge).select("h", "c")
-    return found, rest
-
-
-def contexts(text: np.ndarray, cls: np.ndarray, begin: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
-    """Classes (or units) of the first and second token before each token; `begin` before the beginning."""
+    found.value, found.count, found.cls, found.weight = value[by], count[by], cls[by], found.weight[by]
+    return found, counts.where(step < edge).select("h", "c")
+
+
+def class_masses(counts: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    """Smoothed training counts of each class, those of unseen words among them."""
+    out = np.zeros(vocab.classes)
+    np.add.at(out, vocab.cls, vocab.count + ADD)
+    found = counts.groupBy("kind").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow()
+    kind = found["kind"].to_numpy()
+    whole = np.zeros(vocab.classes)
+    np.add.at(whole, vocab.of_kind(kind), found["c"].to_numpy() + ADD * found["v"].to_numpy())
+    out[vocab.top :] = whole[vocab.top :] - vocab.taken[vocab.top :]
+    out[vocab.top : -1] += ADD
+    out[-1] = max(out[-1], ADD)
+    return out
+
+
+def contexts(text: np.ndarray, cls: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the first and second token before each token; `begin` before the beginning."""
     one, two = np.full(len(cls), begin), np.full(len(cls), begin)
     one[1:] = np.where(text[1:] == text[:-1], cls[:-1], begin)
     two[2:] = np.where(text[2:] == text[:-2], cls[:-2], begin)
@@ -138,322 +177,215 @@ def contexts(text: np.ndarray, cls: np.ndarray, begin: int = CLASSES) -> tuple[n
 
 @dataclass
 class Model:
-    before: np.ndarray  # vectors of the classes as context, and of the beginning
-    after: np.ndarray  # vectors of the classes as prediction
-    place: np.ndarray  # a matrix for each place before
-    bias: np.ndarray
+    """`parts`: vectors of the classes as context (and of the beginning), as prediction, a matrix for each place before, biases."""
+
+    parts: list[np.ndarray]
+    log_noise: np.ndarray  # logarithm of the noise distribution: the classes' shares of the training tokens
+
+    @property
+    def classes(self) -> int:
+        return len(self.log_noise)
 
     def context_vectors(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.before[one] @ self.place[0] + self.before[two] @ self.place[1]
-
-    def table(self) -> np.ndarray:
-        """log10 P(class | one, two) for all contexts, by batches of matrix products."""
-        n = CLASSES + 1
-        out = np.empty((n, n, CLASSES), np.float32)
-        for one in range(n):
-            score = self.context_vectors(np.full(n, one), np.arange(n)) @ self.after.T + self.bias
-            score -= score.max(axis=1, keepdims=True)
-            out[one] = (score - np.log(np.exp(score).sum(axis=1, keepdims=True))) / np.log(10)
+        before, _, place, _ = self.parts
+        return (before @ place[0])[one] + (before @ place[1])[two]
+
+    def normalisers(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """log of the sum over all classes, per context, by batches of matrix products."""
+        _, after, _, bias = self.parts
+        out = np.empty(len(one), np.float32)
+        for a in range(0, len(one), 4 * BATCH):
+            score = self.context_vectors(one[a : a + 4 * BATCH], two[a : a + 4 * BATCH]) @ after.T
+            score += bias
+            most = score.max(axis=1)
+            score -= most[:, None]
+            out[a : a + 4 * BATCH] = most + np.log(np.exp(score, out=score).sum(axis=1))
         return out
 
 
-def train(triples: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 1) -> Model:
-    """Noise-contrastive estimation over triples `(two, one, class)` drawn by their counts; noise is the class unigram."""
+def fresh_model(masses: np.ndarray, seed: int = 1) -> Model:
     rng = np.random.Generator(np.random.PCG64(seed))
-    n = CLASSES + 1
-    unigram = np.bincount(triples[:, 2], counts, CLASSES) + 1.0 if len(triples) else np.ones(CLASSES)
-    unigram /= unigram.sum()
-    model = Model(rng.normal(0, 0.1, (n, WIDTH)), rng.normal(0, 0.1, (CLASSES, WIDTH)), np.stack([np.eye(WIDTH), np.eye(WIDTH) / 2]), np.log(unigram))
-    if not len(triples):
-        return model
-    parts = [model.before, model.after, model.place, model.bias]
-    squares = [np.full_like(p, 1e-6) for p in parts]
-    edges, noise_edges = np.cumsum(counts / counts.sum()), np.cumsum(unigram)
-    log_noise = np.log(NOISE * unigram)
-    for step in range(steps):
-        drawn = triples[np.minimum(np.searchsorted(edges, rng.random(BATCH)), len(triples) - 1)]
-        two, one, own = drawn.T
-        noise = np.minimum(np.searchsorted(noise_edges, rng.random(NOISE * 4)), CLASSES - 1)
-        q = model.context_vectors(one, two)
-        # data against noise; the noise words of a step are shared by its batch
-        data = (q * model.after[own]).sum(axis=1) + model.bias[own] - log_noise[own]
-        other = q @ model.after[noise].T + model.bias[noise] - log_noise[noise]
-        d_data = 1 / (1 + np.exp(data))
-        d_other = -1 / (1 + np.exp(-other)) / 4
-        d_q = d_data[:, None] * model.after[own] + d_other @ model.after[noise]
-        grads = [np.zeros_like(p) for p in parts]
-        np.add.at(grads[0], one, d_q @ model.place[0].T)
-        np.add.at(grads[0], two, d_q @ model.place[1].T)
-        np.add.at(grads[1], own, d_data[:, None] * q)
-        np.add.at(grads[1], noise, d_other.T @ q)
-        grads[2][0], grads[2][1] = model.before[one].T @ d_q, model.before[two].T @ d_q
-        np.add.at(grads[3], own, d_data)
-        np.add.at(grads[3], noise, d_other.sum(axis=0))
-        rate = 0.1 * (1 - step / steps) + 0.001
-        for p, g, s in zip(parts, grads, squares, strict=True):
-            g /= BATCH
-            s *= 0.99
-            s += 0.01 * g * g
-            p += rate * 0.3 * g / np.sqrt(s + 1e-8)
-    return model
-
-
-def _triples(words) -> object:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, n = words.value, CLASSES + 1
-        total = np.zeros(n * n * CLASSES, np.int32)
-        for batch in batches:
-            for a, b in pieces(batch.column(0)):
-                text, value, tail, _ = with_ends(batch.column(0)[a:b])
-                cls = vocab.classes(value, tail)
-                one, two = contexts(text, cls)
-                code, count = np.unique((two * n + one) * CLASSES + cls, return_counts=True)
-                total[code] += count.astype(np.int32)
-        code = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), pa.array(total[code].astype(np.int64))], ["code", "c"])
-
-    return run
-
-
-@dataclass
-class Network:
-    """Units are own words, rest words and the end token, numbered class by class; `parts` are the learned arrays.
-
-    `parts`: vectors of the units before (and of the beginning), of the units in their class, of the classes, matrices of the
-    places, biases of the units and of the classes.
-    """
-
-    value: np.ndarray  # own words: sorted hashes, log10 of their smoothed counts, units
-    weight: np.ndarray
-    unit: np.ndarray
-    coarse: np.ndarray  # the units of the rest words and of the end, by coarse class
-    mass: np.ndarray  # log10 of the smoothed counts of each rest word
-    cls: np.ndarray  # class of each unit
-    first: np.ndarray  # first unit of each class, and the end
-    share: np.ndarray  # of the tokens, by class
-    parts: list[np.ndarray]
-
-    def units(self, value: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each token is an own word, where among them, and its unit."""
-        if not len(self.value):
-            return np.zeros(len(value), bool), np.zeros(len(value), np.int64), self.coarse[tail]
-        at = np.searchsorted(self.value, value)
-        at[at == len(self.value)] = 0
-        own = self.value[at] == value
-        return own, at, np.where(own, self.unit[at], self.coarse[tail])
-
-    def log_probs(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> np.ndarray:
-        """log10 P(unit | one, two), normalised over all classes and over all units of the class."""
-        before, word, group, place, word_bias, group_bias = self.parts
-        out, cls = np.empty(len(unit)), self.cls[unit]
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(len(self.first)))
-        q = before[one] @ place[0] + before[two] @ place[1]
-        for a in range(0, len(unit), 4 * BATCH):
-            rows = slice(a, a + 4 * BATCH)
-            out[rows] = _log_share(q[rows] @ group.T + group_bias, cls[rows])
-        for c in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.first) > 1)):
-            low, high = self.first[c], self.first[c + 1]
-            held = order[bounds[c] : bounds[c + 1]]
-            for a in range(0, len(held), BATCH):
-                rows = held[a : a + BATCH]
-                out[rows] += _log_share(q[rows] @ word[low:high].T + word_bias[low:high], unit[rows] - low)
-        return out / np.log(10)
-
-
-def _log_share(score: np.ndarray, own: np.ndarray) -> np.ndarray:
-    score -= score.max(axis=1, keepdims=True)
-    picked = score[np.arange(len(own)), own]
-    return picked - np.log(np.exp(score, out=score).sum(axis=1))
-
-
-def network(counts: DataFrame, vocab: Vocabulary, start: Model) -> Network:
-    """Own words from the counts (`h, c, cls`), dealt to classes; vectors as in the small network."""
-    by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas().sort_values("c", ascending=False, ignore_index=True)
-    covered = (by_count.c * by_count.n).cumsum()
-    enough = covered.searchsorted(SHARE * vocab.total)
-    least = max(LEAST, int(by_count.c[min(enough, len(by_count) - 1)])) if len(by_count) else LEAST
-    end = int(np.int64(END.view(np.int64)))
-    own = counts.where((F.col("c") >= least) & (F.col("h") != end)).toArrow().to_pandas().sort_values("h", ignore_index=True)
-    sums = counts.where((F.col("c") < least) | (F.col("h") == end)).groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow().to_pandas()
-    rest = np.zeros(CLASSES)
-    rest[sums.cls] = sums.c + ADD * sums.v
-    rest[TOP:-1] += ADD  # unseen words
-    rest[-1] = max(rest[-1], ADD)
-
-    value = own.h.to_numpy(np.int64).view(np.uint64)
-    count, coarse = own.c.to_numpy(float) + ADD, own.cls.to_numpy(np.int64)
-    by = np.argsort(value)
-    value, count, coarse = value[by], count[by], coarse[by]
-    known, at = vocab.find(value)
-    if len(vocab.value):
-        coarse = np.where(known, vocab.cls[at], coarse)
-    mass, coarse = np.concatenate([count, rest[TOP:]]), np.concatenate([coarse, np.arange(TOP, CLASSES)])
-
-    # units by coarse class and falling count; a class is a part of a coarse one, and ends when it holds its share
-    order = np.lexsort((-mass, coarse))
-    mass, coarse = mass[order], coarse[order]
-    many = (coarse >= TOP) & (coarse < CLASSES - 1)
-    share = mass[many].sum() / np.sqrt(many.sum())
-    sums = np.cumsum(mass) - mass
-    begins = np.searchsorted(coarse, coarse)
-    part = ((sums - sums[begins]) / share).astype(np.int64)
-    fresh = np.ones(len(mass), bool)
-    fresh[1:] = (coarse[1:] != coarse[:-1]) | (part[1:] != part[:-1])
-    cls, first = np.cumsum(fresh) - 1, np.append(np.flatnonzero(fresh), len(mass))
-    held = np.add.reduceat(mass, first[:-1])
-    of = coarse[first[:-1]]
-    whole = np.bincount(of, held, CLASSES)
-
-    unit = np.empty(len(order), np.int64)
-    unit[order] = np.arange(len(order))
-    table = np.zeros(CLASSES, np.int64)
-    table[TOP:] = unit[len(value) :]
-    parts = [
-        np.concatenate([start.before[coarse], start.before[-1:]]),
-        np.zeros((len(mass), WIDTH)),
-        start.after[of],
-        start.place,
-        np.log(mass / held[cls]),
-        start.bias[of] + np.log(held / whole[of]),
-    ]
-    return Network(value, np.log10(count), unit[: len(value)], table, np.log10(np.maximum(rest, 1e-300)), cls, first, held / held.sum(), [p.astype(np.float32) for p in parts])
-
-
-def _add(part: np.ndarray, squares: np.ndarray, at: np.ndarray, grad: np.ndarray, rate: float) -> None:
-    """Add rows of gradients, each over the root of the squares met by its row (one rate per row)."""
-    np.add.at(squares, at, (grad * grad).mean(axis=1))
-    grad = (rate / np.sqrt(squares[at]))[:, None] * grad
-    np.add.at(part.reshape(-1), (at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), grad.ravel().astype(np.float32))
+    k = len(masses)
+    share = (masses / masses.sum()).astype(np.float32)
+    parts = [rng.normal(0, 0.1, (k + 1, WIDTH)), rng.normal(0, 0.1, (k, WIDTH)), np.stack([np.eye(WIDTH), np.eye(WIDTH) / 2]), np.log(share)]
+    return Model([p.astype(np.float32) for p in parts], np.log(share))
 
 
 class Learner:
-    """One task's copy of the network in one round."""
-
-    def __init__(self, net: Network, rate: float, seed: int):
-        self.net, self.rate, self.rng = net, rate, np.random.Generator(np.random.PCG64(seed))
-        self.parts = [p.copy() for p in net.parts]
-        self.squares = [np.ones(p.shape if k == 3 else len(p), np.float32) for k, p in enumerate(self.parts)]
-        self.edges, self.log_noise = np.cumsum(net.share), np.log(NOISE * net.share).astype(np.float32)
-        self.sizes = np.diff(net.first)
-        self.log_near = np.log(NEAR / self.sizes).astype(np.float32)
-        self.examples = 0
-
-    def learn(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> None:
-        """One pass over examples, in drawn order."""
-        order = self.rng.permutation(len(unit))
-        self.examples += len(unit)
-        for a in range(0, len(unit), BATCH):
+    """One copy of the network in one round: noise-contrastive estimation with a rate of its own for each row."""
+
+    def __init__(self, model: Model, rate: float, seed: int):
+        self.model, self.rate, self.rng = model, rate, np.random.Generator(np.random.PCG64(seed))
+        self.parts = [p.copy() for p in model.parts]
+        self.squares = [np.full(p.shape if k == 2 else len(p), 1e-3, np.float32) for k, p in enumerate(self.parts)]
+        self.edges = np.cumsum(np.exp(model.log_noise))
+        self.scaled = model.log_noise + np.float32(np.log(NOISE))
+
+    def learn(self, two: np.ndarray, one: np.ndarray, own: np.ndarray, count: np.ndarray) -> None:
+        order = self.rng.permutation(len(own))
+        for a in range(0, len(own), BATCH):
             rows = order[a : a + BATCH]
-            self._batch(one[rows], two[rows], unit[rows])
+            self._batch(two[rows], one[rows], own[rows], count[rows])
 
-    def _batch(self, one: np.ndarray, two: np.ndarray, unit: np.ndarray) -> None:
-        before, word, group, place, word_bias, group_bias = self.parts
-        net, rate, cls = self.net, self.rate, self.net.cls[unit]
+    def _batch(self, two: np.ndarray, one: np.ndarray, own: np.ndarray, count: np.ndarray) -> None:
+        before, after, place, bias = self.parts
+        weight = (count / count.sum()).astype(np.float32)
         first, second = before[one], before[two]
         q = first @ place[0] + second @ place[1]
-        noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE * 4)), len(self.sizes) - 1)
-        d_data = 1 / (1 + np.exp((q * group[cls]).sum(axis=1) + group_bias[cls] - self.log_noise[cls]))
-        d_other = -1 / (1 + np.exp(-(q @ group[noise].T + group_bias[noise] - self.log_noise[noise]))) / 4
-        d_q = d_data[:, None] * group[cls] + d_other @ group[noise]
-
-        rows = np.flatnonzero(self.sizes[cls] > 1)
-        c, own, x = cls[rows], unit[rows], q[rows]
-        near = net.first[c][:, None] + (self.rng.random((len(rows), NEAR), np.float32) * self.sizes[c][:, None]).astype(np.int64)
-        near = np.minimum(near, net.first[c + 1][:, None] - 1)
-        all_of = np.concatenate([own[:, None], near], axis=1)
-        vectors = word[all_of]
-        score = np.einsum("nkd,nd->nk", vectors, x) + word_bias[all_of] - self.log_near[c][:, None]
-        d = -1 / (1 + np.exp(-score))
-        d[:, 0] += 1
-        d_q[rows] += np.einsum("nk,nkd->nd", d, vectors)
-
-        _add(before, self.squares[0], np.concatenate([one, two]), np.concatenate([d_q @ place[0].T, d_q @ place[1].T]), rate)
-        _add(word, self.squares[1], all_of.ravel(), (d[:, :, None] * x[:, None, :]).reshape(-1, WIDTH), rate)
-        _add(group, self.squares[2], np.concatenate([cls, noise]), np.concatenate([d_data[:, None] * q, d_other.T @ q]), rate)
+        noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), len(bias) - 1)
+        data = np.einsum("nd,nd->n", q, after[own]) + bias[own] - self.scaled[own]
+        other = q @ after[noise].T + (bias[noise] - self.scaled[noise])
+        d_data = weight / (1 + np.exp(data))
+        d_other = -weight[:, None] / (1 + np.exp(-other))
+        d_q = d_data[:, None] * after[own] + d_other @ after[noise]
+        both = np.concatenate([own, noise])
+        self._add(0, np.concatenate([one, two]), np.concatenate([d_q @ place[0].T, d_q @ place[1].T]))
+        self._add(1, both, np.concatenate([d_data[:, None] * q, d_other.T @ q]))
         turned = np.stack([first.T @ d_q, second.T @ d_q])
-        self.squares[3] += turned * turned
-        place += rate * turned / np.sqrt(self.squares[3])
-        for bias, squares, at, g in ((word_bias, self.squares[4], all_of.ravel(), d.ravel()), (group_bias, self.squares[5], np.concatenate([cls, noise]), np.concatenate([d_data, d_other.sum(axis=0)]))):
-            np.add.at(squares, at, (g * g).astype(np.float32))
-            np.add.at(bias, at, (rate * g / np.sqrt(squares[at])).astype(np.float32))
+        self.squares[2] += turned * turned
+        place += self.rate * turned / np.sqrt(self.squares[2])
+        grad = np.bincount(both, np.concatenate([d_data, d_other.sum(axis=0)]), len(bias)).astype(np.float32)
+        self.squares[3] += grad * grad
+        bias += self.rate * grad / np.sqrt(self.squares[3])
 
-    def changes(self) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """`(part, block, rows, changes)` of the rows that changed; the matrices of the places are rows too."""
-        for k, (new, old) in enumerate(zip(self.parts, self.net.parts, strict=True)):
-            change = (new - old).reshape(-1, WIDTH if k < 4 else 1)
-            at = np.flatnonzero(change.any(axis=1))
-            for block in np.unique(at // BLOCK):
-                rows = at[at // BLOCK == block]
-                yield k, int(block), rows.astype(np.int32).tobytes(), change[rows].astype(np.float16).tobytes()
+    def _add(self, k: int, at: np.ndarray, grad: np.ndarray) -> None:
+        """Sum the gradients by row, then step by the root of the squares met by the row."""
+        part = self.parts[k]
+        n = len(part)
+        total = np.bincount((at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), grad.ravel(), n * WIDTH).astype(np.float32).reshape(n, WIDTH)
+        self.squares[k] += (total * total).mean(axis=1)
+        part += (self.rate / np.sqrt(self.squares[k]))[:, None] * total
 
 
-CHANGES = "part int, block int, at binary, change binary"
+def _triples(words):
+    """Counted class triples `(two, one, class)` of a task, given out whenever they have become many."""
 
-
-def _learn(net, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner = Learner(net.value, RATE * (1 - turn / ROUNDS), turn)
+        vocab = words.value
+        n, held, size = vocab.classes, [], 0
+
+        def given() -> pa.RecordBatch:
+            code, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64))], ["code", "c"])
+
         for batch in batches:
             for a, b in pieces(batch.column(0)):
-                text, value, tail, _ = with_ends(batch.column(0)[a:b])
-                unit = learner.net.units(value, tail)[2]
-                learner.learn(*contexts(text, unit, len(learner.net.cls)), unit)
-        if learner.examples:
-            for k, block, at, change in learner.changes():
-                columns = [pa.array([k], pa.int32()), pa.array([block], pa.int32()), pa.array([at], pa.binary()), pa.array([change], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "at", "change"])
+                text, value, kind, _ = with_ends(batch.column(0)[a:b])
+                cls = vocab.classes_of(kind, *vocab.find(value))
+                one, two = contexts(text, cls, n)
+                held.append(np.unique((two * (n + 1) + one) * n + cls, return_counts=True))
+                size += len(held[-1][0])
+                if size > 2_000_000:
+                    yield given()
+                    held, size = [], 0
+        if held:
+            yield given()
 
     return run
 
 
-def _averaged(table: pa.Table) -> pa.Table:
-    """The changes of one block of rows, each averaged over the tasks that changed the row."""
-    k, block = table["part"][0].as_py(), table["block"][0].as_py()
-    width = WIDTH if k < 4 else 1
-    total, n = np.zeros((BLOCK, width), np.float32), np.zeros((BLOCK, 1), np.float32)
-    for at, change in zip(table["at"], table["change"], strict=True):
-        rows = np.frombuffer(at.as_py(), np.int32) - block * BLOCK
-        total[rows] += np.frombuffer(change.as_py(), np.float16).reshape(-1, width)
-        n[rows] += 1
-    rows = np.flatnonzero(n[:, 0])
-    mean = total[rows] / n[rows]
-    return pa.table({"part": pa.array([k], pa.int32()), "block": pa.array([block], pa.int32()), "at": pa.array([(rows + block * BLOCK).astype(np.int32).tobytes()], pa.binary()), "change": pa.array([mean.tobytes()], pa.binary())})
+def _learn(sent, turn: int):
+    """Learners over rows `(learner, code, c)` in order of learner; each gives its changed arrays."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        n = model.classes
+        now, learner, held, seen = None, None, [], 0
+
+        def learned_chunk(times: int = 1) -> None:
+            code, count = (np.concatenate(x) for x in zip(*held))
+            for _ in range(times):
+                learner.learn(code // n // (n + 1), code // n % (n + 1), code % n, count)
+            held.clear()
+
+        def closed() -> pa.RecordBatch:
+            if held:
+                size = sum(len(h[0]) for h in held)
+                learned_chunk(max(1, min(MOST_TIMES, LEAST_EXAMPLES // size)) if size == seen else 1)
+            parts = [p.astype(np.float32).tobytes() for p in learner.parts]
+            return pa.RecordBatch.from_arrays([pa.array([now] * 4, pa.int32()), pa.array(range(4), pa.int32()), pa.array(parts, pa.binary())], ["learner", "part", "value"])
+
+        for batch in batches:
+            who, code, count = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero(np.diff(who)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(who)]):
+                if a == b:
+                    continue
+                if who[a] != now:
+                    if learner is not None:
+                        yield closed()
+                    now, seen = int(who[a]), 0
+                    held.clear()
+                    learner = Learner(model, RATE * (1 - turn / ROUNDS), turn * LEARNERS + now)
+                held.append((code[a:b], count[a:b]))
+                seen += b - a
+                if sum(len(h[0]) for h in held) >= CHUNK:
+                    learned_chunk()
+        if learner is not None:
+            yield closed()
 
-def learned(net: Network, texts: DataFrame) -> Network:
-    """The network after all rounds; each text is in one of them."""
-    context = texts.sparkSession.sparkContext
+    return run
+
+
+def learned(model: Model, triples: DataFrame, size: int) -> Model:
+    """The network after all rounds over `size` triples `(code, c)`; after each, the mean of the learners' networks."""
+    learners = max(1, min(LEARNERS, size >> SHARE_BITS))
+    dealt = triples.select(F.pmod(F.xxhash64("code"), F.lit(learners)).cast("int").alias("learner"), "code", "c")
+    ordered = dealt.repartitionByRange(learners, "learner").sortWithinPartitions("learner", F.xxhash64("code", F.lit(7)), "code")
+    context = triples.sparkSession.sparkContext
     for turn in range(ROUNDS):
-        sent = context.broadcast(net)
-        part = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
-        found = part.mapInArrow(_learn(sent, turn), CHANGES).groupBy("part", "block").applyInArrow(_averaged, CHANGES).toArrow()
-        parts = [p.copy() for p in net.parts]
-        for k, at, change in zip(found["part"].to_pylist(), found["at"], found["change"], strict=True):
-            rows, width = np.frombuffer(at.as_py(), np.int32), WIDTH if k < 4 else 1
-            parts[k].reshape(-1, width)[rows] += np.frombuffer(change.as_py(), np.float32).reshape(-1, width)
-        net = replace(net, parts=parts)
+        sent = context.broadcast(model)
+        found = ordered.mapInArrow(_learn(sent, turn), "learner int, part int, value binary").orderBy("learner", "part").toArrow()
+        parts = []
+        for k, old in enumerate(model.parts):
+            each = [np.frombuffer(v.as_py(), np.float32) for p, v in zip(found["part"], found["value"], strict=True) if p.as_py() == k]
+            parts.append(np.mean(each, axis=0).reshape(old.shape) if each else old)
+        model = Model(parts, model.log_noise)
         sent.destroy()
-    return net
+    return model
+
+
+class Scorer:
+    """Class probabilities with the normalisers of the contexts met so far in this task."""
+
+    def __init__(self, model: Model, masses: np.ndarray):
+        before, self.after, place, self.bias = model.parts
+        self.model, self.log_mass = model, np.log10(masses)
+        self.one, self.two = before @ place[0], before @ place[1]
+        self.n = model.classes + 1
+        self.known = np.full(self.n * self.n, np.nan, np.float32) if self.n * self.n <= MOST_CONTEXTS else None
+
+    def normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        code = one * self.n + two
+        if self.known is None:
+            code, at = np.unique(code, return_inverse=True)
+            return self.model.normalisers(code // self.n, code % self.n)[at]
+        fresh = code[np.isnan(self.known[code])]
+        if len(fresh):
+            fresh = np.unique(fresh)
+            self.known[fresh] = self.model.normalisers(fresh // self.n, fresh % self.n)
+        return self.known[code]
+
+    def log_shares(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """log10 P(class | one, two) without the log10 count of its class: what is added to the log10 count of a word."""
+        score = np.einsum("nd,nd->n", self.one[one] + self.two[two], self.after[cls]) + self.bias[cls]
+        return (score - self.normaliser(one, two)) / np.log(10) - self.log_mass[cls]
 
 
 def _score(words, net):
     """Per text: tokens, those in the head, their sums of log10 counts and class shares, and the other words with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model = words.value, net.value
-        weight = np.log10(vocab.count + ADD)
+        vocab, scorer = words.value, Scorer(*net.value)
         for batch in batches:
             for a, b in pieces(batch.column(2)):
                 part = batch.slice(a, b - a)
-                text, value, tail, _ = with_ends(part.column(2))
+                text, value, kind, _ = with_ends(part.column(2))
                 known, at = vocab.find(value)
-                own, place, unit = model.units(value, tail)
-                # the count of a word is added with the others below: of an own word it is no part of the score
-                counted = np.where(own, model.weight[place] if len(model.weight) else 0.0, model.mass[tail])
-                share = model.log_probs(*contexts(text, unit, len(model.cls)), unit) - counted
+                cls = vocab.classes_of(kind, known, at)
+                share = scorer.log_shares(*contexts(text, cls, vocab.classes), cls)
                 n = b - a
-                log_head = np.where(known, weight[at] if len(weight) else 0.0, 0.0)
+                log_head = np.where(known, vocab.weight[at] if len(vocab.weight) else 0.0, 0.0)
                 out = ~known
                 owner, word, count = distinct_pairs(text[out], value[out])
                 bounds = np.searchsorted(owner, np.arange(n + 1))
@@ -474,22 +406,26 @@ def _score(words, net):
     return run
 
 
+def fitted(texts: DataFrame) -> tuple[Vocabulary, DataFrame, Model, np.ndarray]:
+    """The vocabulary, the counts of the words beyond it, the network and the class masses, from the training texts (`text`)."""
+    spark = texts.sparkSession
+    counts = texts.mapInArrow(_count, "h long, c long, kind int").groupBy("h").agg(F.sum("c").alias("c"), F.min("kind").alias("kind"))
+    counts = stored(counts, "counts")
+    vocab, rest = vocabulary(counts)
+    masses = class_masses(counts, vocab)
+    words = spark.sparkContext.broadcast(vocab)
+    triples = stored(texts.mapInArrow(_triples(words), "code long, c long").groupBy("code").agg(F.sum("c").alias("c")), "triples")
+    return vocab, rest, learned(fresh_model(masses), triples, triples.count()), masses
+
+
 def scored(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`(id, th, n_tokens, n_known, train_tokens, base_score, score)` per row of `df`; rows where `learn` holds train the model.
 
     `base_score`: log10 probability of the text by smoothed word counts; `score`: by the model; `th`: xxhash64 of the text.
     """
     spark = df.sparkSession
-    texts = df.where(learn).select(F.col(f"`{text}`").alias("text"))
-    counts = texts.mapInArrow(_count, "h long, c long, cls int").groupBy("h").agg(F.sum("c").alias("c"), F.min("cls").alias("cls"))
-    counts = stored(counts, "counts")
-    vocab, rest = vocabulary(counts)
-    words = spark.sparkContext.broadcast(vocab)
-    found = texts.mapInArrow(_triples(words), "code int, c long").groupBy("code").agg(F.sum("c").alias("c")).orderBy("code").toArrow().to_pandas()
-    code, n = found.code.to_numpy(np.int64), CLASSES + 1
-    triples = np.stack([code // CLASSES // n, code // CLASSES % n, code % CLASSES], axis=1)
-    start = train(triples, found.c.to_numpy(float))
-    net = spark.sparkContext.broadcast(learned(network(counts, vocab, start), texts))
+    vocab, rest, model, masses = fitted(df.where(learn).select(F.col(f"`{text}`").alias("text")))
+    words, net = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast((model, masses))
 
     docs = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
