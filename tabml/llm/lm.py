@@ -9,10 +9,10 @@ P(word | before) = P(class | before) * P(word | class), which sums to 1.
 * Counts cover all training texts. Each task counts its words, Spark sums them. The `HEAD` most frequent words go to all
   tasks as a sorted array; every other word of a text is joined with its count by a shuffle. The network goes to all tasks: `WIDTH`
   numbers twice for each class.
-* Training examples are the counted class triples of all training tokens, so they grow with the corpus and no token is left out. Triples are dealt to
-  learners by their hash, in an order of their own: a learner, at most `LEARNERS` of them, is one task that learns in numpy, weighing each triple by its
-  count, and what the learners changed is averaged after each of `ROUNDS` rounds. Neither examples nor their order depend on how the texts are partitioned.
-  A learner with few triples repeats them.
+* Training examples are the counted class triples of all training tokens, so they grow with the corpus and no token is left out. They travel as packed
+  arrays in buckets of their hashes, where they are summed and ordered by a second hash. A learner, at most `LEARNERS` of them, is one task that
+  learns some of the buckets block by block in numpy, weighing each triple by its count, and what the learners found is averaged after each of `ROUNDS`
+  rounds. Neither examples nor their order depend on how the texts are partitioned. Few triples are repeated.
 * Scoring normalises each context of two classes once in a task, by batches of matrix products; a token is then a lookup and one dot product.
 
 Scores are log10. They don't depend on partitions beyond the rounding of sums. Words are told apart by 64-bit hashes. A NULL text is an empty one: it has only
@@ -37,7 +37,7 @@ LEAST_TOP, LEAST_TAIL = 512, 48
 KINDS = 1 << 16  # rest words by their last two bytes, before these are dealt to the rest classes
 WIDTH, BATCH, NOISE = 16, 512, 32
 LEARNERS, ROUNDS, RATE = 32, 2, 0.1
-SHARE_BITS, CHUNK = 20, 1 << 17  # a learner for each 2**20 triples; triples learned in one drawn order
+SHARE_BITS, BUCKET_BITS, CHUNK = 20, 21, 1 << 17  # triples of a learner, tokens of a bucket, triples learned in one drawn order
 LEAST_EXAMPLES, MOST_TIMES = 1 << 19, 200  # how often few triples are repeated
 MOST_CONTEXTS = 1 << 24  # of a task's table of normalisers
 END = np.uint64(0x1F83D9ABFB41BD6B)
@@ -257,16 +257,22 @@ class Learner:
         part += (self.rate / np.sqrt(self.squares[k]))[:, None] * total
 
 
-def _triples(words):
-    """Counted class triples `(two, one, class)` of a task, given out whenever they have become many."""
+def _triples(words, buckets: int):
+    """Counted class triples `(two, one, class)` of a task as packed arrays per bucket of hashes, given out whenever they have become many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = words.value
         n, held, size = vocab.classes, [], 0
 
         def given() -> pa.RecordBatch:
-            code, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64))], ["code", "c"])
+            code, count = _merged(held)
+            bucket = _bucket(code, buckets)
+            order = np.argsort(bucket, kind="stable")
+            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(bounds))
+            code, count = code[order], count[order]
+            columns = [[x[bounds[k] : bounds[k + 1]].tobytes() for k in full] for x in (code, count)]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in columns)], ["bucket", "code", "c"])
 
         for batch in batches:
             for a, b in pieces(batch.column(0)):
@@ -275,7 +281,7 @@ def _triples(words):
                 one, two = contexts(text, cls, n)
                 held.append(np.unique((two * (n + 1) + one) * n + cls, return_counts=True))
                 size += len(held[-1][0])
-                if size > 2_000_000:
+                if size > 4_000_000:
                     yield given()
                     held, size = [], 0
         if held:
@@ -284,58 +290,84 @@ def _triples(words):
     return run
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and their summed counts."""
+    code, count = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(code)
+    code, count = code[order], count[order]
+    begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[begin], np.add.reduceat(count, begin).astype(np.int32)
+
+
+def _bucket(code: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(code.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+_BLOCK = "bucket int, seq int, n int, code binary, c binary"
+
+
+def _merged_bucket(table: pa.Table) -> pa.Table:
+    """The distinct triples of one bucket in the order of a second hash, cut into blocks."""
+    code, count = _merged([(np.frombuffer(c.as_py(), np.int64), np.frombuffer(n.as_py(), np.int32)) for c, n in zip(table["code"], table["c"], strict=True)])
+    order = np.argsort(mixed(mixed(code.astype(np.uint64)) + np.uint64(7)))
+    code, count = code[order], count[order]
+    at = range(0, len(code), CHUNK)
+    return pa.table(
+        {
+            "bucket": pa.array([table["bucket"][0].as_py()] * len(at), pa.int32()),
+            "seq": pa.array(range(len(at)), pa.int32()),
+            "n": pa.array([len(code[a : a + CHUNK]) for a in at], pa.int32()),
+            "code": pa.array([code[a : a + CHUNK].tobytes() for a in at], pa.binary()),
+            "c": pa.array([count[a : a + CHUNK].tobytes() for a in at], pa.binary()),
+        }
+    )
+
+
+def counted_triples(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Blocks of distinct counted triples; a bucket gets at most some `2**BUCKET_BITS` of the training tokens' triples."""
+    words, buckets = texts.sparkSession.sparkContext.broadcast(vocab), (vocab.total >> BUCKET_BITS) + 1
+    parts = texts.mapInArrow(_triples(words, buckets), "bucket int, code binary, c binary")
+    return stored(parts.groupBy("bucket").applyInArrow(_merged_bucket, _BLOCK), "triples")
+
+
 def _learn(sent, turn: int):
-    """Learners over rows `(learner, code, c)` in order of learner; each gives its changed arrays."""
+    """Learners over blocks of triples in order of learner; each gives its changed arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         n = model.classes
-        now, learner, held, seen = None, None, [], 0
-
-        def learned_chunk(times: int = 1) -> None:
-            code, count = (np.concatenate(x) for x in zip(*held))
-            for _ in range(times):
-                learner.learn(code // n // (n + 1), code // n % (n + 1), code % n, count)
-            held.clear()
+        now, learner = None, None
 
         def closed() -> pa.RecordBatch:
-            if held:
-                size = sum(len(h[0]) for h in held)
-                learned_chunk(max(1, min(MOST_TIMES, LEAST_EXAMPLES // size)) if size == seen else 1)
             parts = [p.astype(np.float32).tobytes() for p in learner.parts]
             return pa.RecordBatch.from_arrays([pa.array([now] * 4, pa.int32()), pa.array(range(4), pa.int32()), pa.array(parts, pa.binary())], ["learner", "part", "value"])
 
         for batch in batches:
-            who, code, count = (batch.column(i).to_numpy() for i in range(3))
-            cuts = np.flatnonzero(np.diff(who)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(who)]):
-                if a == b:
-                    continue
-                if who[a] != now:
+            for who, whole, code, count in zip(*(batch.column(i) for i in range(4)), strict=True):
+                if who.as_py() != now:
                     if learner is not None:
                         yield closed()
-                    now, seen = int(who[a]), 0
-                    held.clear()
+                    now = who.as_py()
                     learner = Learner(model, RATE * (1 - turn / ROUNDS), turn * LEARNERS + now)
-                held.append((code[a:b], count[a:b]))
-                seen += b - a
-                if sum(len(h[0]) for h in held) >= CHUNK:
-                    learned_chunk()
+                code, count = np.frombuffer(code.as_py(), np.int64), np.frombuffer(count.as_py(), np.int32)
+                for _ in range(max(1, min(MOST_TIMES, LEAST_EXAMPLES // whole.as_py()))):
+                    learner.learn(code // n // (n + 1), code // n % (n + 1), code % n, count)
         if learner is not None:
             yield closed()
 
     return run
 
 
-def learned(model: Model, triples: DataFrame, size: int) -> Model:
-    """The network after all rounds over `size` triples `(code, c)`; after each, the mean of the learners' networks."""
+def learned(model: Model, triples: DataFrame) -> Model:
+    """The network after all rounds over the blocks of triples; after each, the mean of the learners' networks."""
+    size = triples.agg(F.sum("n")).first()[0] or 0
     learners = max(1, min(LEARNERS, size >> SHARE_BITS))
-    dealt = triples.select(F.pmod(F.xxhash64("code"), F.lit(learners)).cast("int").alias("learner"), "code", "c")
-    ordered = dealt.repartitionByRange(learners, "learner").sortWithinPartitions("learner", F.xxhash64("code", F.lit(7)), "code")
+    dealt = triples.select(F.pmod("bucket", F.lit(learners)).alias("learner"), F.lit(-(-size // learners)).cast("long").alias("whole"), "code", "c", "bucket", "seq")
+    ordered = dealt.repartitionByRange(learners, "learner").sortWithinPartitions("learner", "bucket", "seq").drop("bucket", "seq")
     context = triples.sparkSession.sparkContext
     for turn in range(ROUNDS):
         sent = context.broadcast(model)
-        found = ordered.mapInArrow(_learn(sent, turn), "learner int, part int, value binary").orderBy("learner", "part").toArrow()
+        found = ordered.mapInArrow(_learn(sent, turn), "learner int, part int, value binary").toArrow().sort_by([("learner", "ascending")])
         parts = []
         for k, old in enumerate(model.parts):
             each = [np.frombuffer(v.as_py(), np.float32) for p, v in zip(found["part"], found["value"], strict=True) if p.as_py() == k]
@@ -408,14 +440,11 @@ def _score(words, net):
 
 def fitted(texts: DataFrame) -> tuple[Vocabulary, DataFrame, Model, np.ndarray]:
     """The vocabulary, the counts of the words beyond it, the network and the class masses, from the training texts (`text`)."""
-    spark = texts.sparkSession
     counts = texts.mapInArrow(_count, "h long, c long, kind int").groupBy("h").agg(F.sum("c").alias("c"), F.min("kind").alias("kind"))
     counts = stored(counts, "counts")
     vocab, rest = vocabulary(counts)
     masses = class_masses(counts, vocab)
-    words = spark.sparkContext.broadcast(vocab)
-    triples = stored(texts.mapInArrow(_triples(words), "code long, c long").groupBy("code").agg(F.sum("c").alias("c")), "triples")
-    return vocab, rest, learned(fresh_model(masses), triples, triples.count()), masses
+    return vocab, rest, learned(fresh_model(masses), counted_triples(texts, vocab)), masses
 
 
 def scored(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
