@@ -21,9 +21,8 @@ def connected_components(edges: DataFrame, small_edges: int | None = None) -> Da
     """`(node, component)` for nodes with at least one edge `(src, dst)`; component is the smallest node."""
     limit = SMALL_EDGES if small_edges is None else small_edges
     links = checkpointed(_oriented(edges.select("src", "dst")))
-    few = links.limit(limit + 1).toPandas()
-    if len(few) <= limit:
-        return _merged(links.sparkSession, few)
+    if links.count() <= limit:
+        return _merged(links.sparkSession, links.toPandas())
     mark = _mark(links)
     while True:
         links = checkpointed(_small_star(_large_star(links)))

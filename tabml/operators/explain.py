@@ -32,20 +32,29 @@ def _percent(share: Column) -> Column:
     return F.floor(share * 100 + 0.5).cast("string")
 
 
-def explain_classes(df: DataFrame, labels: Sequence[str], has_probability: bool = True) -> DataFrame:
-    """Add `headline`, `why`, `why_not` from `probability`: winner and runner-up with percentages."""
+def explain_classes(df: DataFrame, labels: Sequence[str], class_rows: DataFrame | None = None) -> DataFrame:
+    """Add `headline`, `why`, `why_not` from `probability`: winner and runner-up with percentages.
+
+    With too many classes for a list of labels, names are joined from `class_rows (class, class_index)`.
+    """
     names = F.array(*[F.lit(v) for v in labels])
     ranked = F.array_sort(F.transform("probability", lambda p, i: F.struct((-p).alias("minus"), i.alias("i"))))
 
     def name(place: int) -> Column:
+        if class_rows is not None:
+            return F.col(f"_name{place}")
         return F.element_at(names, F.col("_ranked")[place - 1]["i"] + 1)
 
     def share(place: int) -> Column:
         return _percent(-F.col("_ranked")[place - 1]["minus"])
 
     scored = df.withColumn("_ranked", ranked)
+    if class_rows is not None:
+        for place in (1, 2):
+            side = class_rows.select(F.col("class_index").cast("int").alias("_at"), F.col("class").alias(f"_name{place}"))
+            scored = scored.join(side, F.col("_ranked")[place - 1]["i"] == F.col("_at"), "left").drop("_at")
     rival = F.lit(fixed.CLASS_NO_RIVAL)
-    if len(labels) > 1:
+    if len(labels) > 1 or class_rows is not None:
         rival = F.concat(name(2), F.lit(fixed.CLASS_WHY_NOT[0]), share(2), F.lit(fixed.CLASS_WHY_NOT[1]))
     return scored.withColumns(
         {
@@ -53,7 +62,7 @@ def explain_classes(df: DataFrame, labels: Sequence[str], has_probability: bool
             "why": F.concat(F.lit(fixed.CLASS_WHY[0]), share(1), F.lit(fixed.CLASS_WHY[1])),
             "why_not": rival,
         }
-    ).drop("_ranked")
+    ).drop("_ranked", "_name1", "_name2")
 
 
 def explain_values(df: DataFrame, kind: str) -> DataFrame:
@@ -79,11 +88,11 @@ def explain_clusters(df: DataFrame) -> DataFrame:
     )
 
 
-def explain(problem_type: str, model, df: DataFrame, names: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
+def explain(problem_type: str, model, df: DataFrame, names: Sequence[str], labels: Sequence[str] = (), class_rows: DataFrame | None = None) -> DataFrame:
     """Score `df` and add `headline`, `why`, `why_not` and `signals`."""
     scored = model.transform(df)
     if problem_type == "classification":
-        explained = explain_classes(scored, labels)
+        explained = explain_classes(scored, labels, class_rows)
     elif problem_type == "regression":
         explained = explain_values(scored, model.kind)
     else:

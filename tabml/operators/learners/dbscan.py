@@ -1,4 +1,4 @@
-"""DBSCAN on a grid, without listing pairs of rows.
+"""DBSCAN on a grid, or beyond `GRID_FEATURES` numeric features in balls with a halo (`halo.py`), without listing pairs of rows.
 
 Space is cut into cells whose rows all lie within eps of each other. A cell with at least `min_pts`
 rows therefore holds only core rows of one cluster, whatever its size, and is handled as one object
@@ -23,6 +23,7 @@ from tabml.functions import fixed, vectors
 from tabml.functions.values import col
 from tabml.operators.components import connected_components
 from tabml.operators.learners.base import FittedModel, dispersion, width
+from tabml.operators.learners.halo import dbscan_halo
 from tabml.operators.neighbors import nearest_neighbors
 from tabml.operators.ordering import dense_positions
 from tabml.sources.rows import ROW_ID
@@ -36,6 +37,8 @@ JOIN_FEATURES = 3
 SLACK = 1e-9
 # Parts per feature when undecided cells are split.
 SPLIT = 4
+# Cells are split along every numeric feature; with more of them the parts of a cell are too many.
+GRID_FEATURES = 6
 
 
 def estimate_eps(df: DataFrame, key: str = ROW_ID) -> DataFrame:
@@ -155,10 +158,13 @@ def _flags(df: DataFrame, size: int) -> list[int]:
     return [j for j, flag in enumerate(row["flags"]) if flag]
 
 
-def dbscan(df: DataFrame, eps: float, min_pts: int, key: str = ROW_ID, small_edges: int | None = None) -> DataFrame:
-    """`(key, is_core, prediction)` for every row; noise is -1."""
+def dbscan(df: DataFrame, eps: float, min_pts: int, key: str = ROW_ID, small_edges: int | None = None, method: str | None = None) -> DataFrame:
+    """`(key, is_core, prediction)` for every row; noise is -1. `method`: `grid` or `halo`, else by the number of numeric features."""
     size = width(df)
-    grid = _Grid(size, eps, dispersion(df), _flags(df, size), small_edges)
+    flags = _flags(df, size)
+    if (method or ("halo" if size - len(flags) > GRID_FEATURES else "grid")) == "halo":
+        return dbscan_halo(df.select(col(key).alias("id"), "features"), eps, min_pts, size, small_edges).withColumnRenamed("id", key)
+    grid = _Grid(size, eps, dispersion(df), flags, small_edges)
     rows = df.select(col(key).alias("id"), "features").withColumn("cell", grid.cell(F.col("features")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -1,15 +1,19 @@
 """Exact nearest neighbours, by distance and then by id.
 
 A small training side (checked against `SMALL_BYTES`) is sent to every task. A larger one is cut
-into Voronoi cells around pivot rows: distances to the pivots give each query an upper bound on its
-k-th neighbour distance, and the triangle inequality names the cells that may hold a closer row. Only
-those are searched. Cells and query groups of any size are cut into blocks of bounded size, so a hot
-cell spreads over many tasks. Each block emits k rows per query, never all pairs.
+into cells: balls around pivot rows, which hang under fewer, larger balls. The search has two rounds. First each query
+meets the cells nearest to it that hold k rows together, which gives the true distance of a k-th row as its bound. Then
+the triangle inequality, for the large balls first and for the cells of those that remain, names the cells that may hold a closer row, and
+only those are searched. Cells and query groups of any size are cut into blocks of bounded size, so a hot
+cell spreads over many tasks. Each block emits k rows per query at most, never all pairs.
+
+`probes` makes the search approximate: each query meets its `probes` nearest cells and no others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,7 +25,7 @@ from tabml.sources.scratch import checkpointed
 
 SMALL_BYTES = 32 << 20
 # Pivots grow with the square root of the training rows, within these limits.
-MIN_PIVOTS, MAX_PIVOTS, PIVOT_BYTES = 128, 4096, 16 << 20
+MIN_PIVOTS, MAX_PIVOTS, PIVOT_BYTES = 128, 16384, 16 << 20
 BLOCK_ROWS = 2048
 # Relative slack on bounds, far above rounding errors of a distance.
 SLACK = 1e-9
@@ -35,16 +39,36 @@ def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+# From so many features on, matrix products rule out most rows before exact distances are summed.
+PRODUCT_FEATURES = 8
+
+
+def _near_cells(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, point and exact distance of all pairs that may be among the k nearest of a row."""
+    if queries.shape[1] < PRODUCT_FEATURES:
+        block = distances(queries, points)
+        row, point = np.nonzero(block <= np.partition(block, k - 1, axis=1)[:, k - 1, None])
+        return row, point, block[row, point]
+    middle = points.mean(axis=0)
+    a, b = queries - middle, points - middle
+    size_a, size_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rough = size_a[:, None] + size_b[None] - 2 * (a @ b.T)
+    # far above what rounding can change in a square of a distance
+    slack = 64 * (queries.shape[1] + 4) * np.finfo(float).eps * (size_a + size_b.max())
+    row, point = np.nonzero(rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * slack)[:, None])
+    total = np.zeros(len(row))
+    for j in range(queries.shape[1]):  # in the order of `distances`, so that both give the same bits
+        total += (queries[row, j] - points[point, j]) ** 2
+    return row, point, np.sqrt(total)
+
+
 def _nearest_in_block(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row of the query, position of the point and distance of the k nearest, ties by id."""
     k = min(k, len(points))
     step = max(1, (BLOCK_ROWS * BLOCK_ROWS) // max(1, len(points)))
     parts = []
     for start in range(0, len(queries), step):
-        block = distances(queries[start : start + step], points)
-        bound = np.partition(block, k - 1, axis=1)[:, k - 1]
-        row, point = np.nonzero(block <= bound[:, None])
-        found = block[row, point]
+        row, point, found = _near_cells(queries[start : start + step], points, k)
         order = np.lexsort((ids[point], found, row))
         row, point, found = row[order], point[order], found[order]
         first = np.searchsorted(row, row, side="left")
@@ -59,12 +83,13 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def nearest_neighbors(
     queries: DataFrame, train: DataFrame, k: int, query_id: str, train_id: str, label: str | None = None,
-    features: str = "features", exclude_self: bool = False, small_bytes: int | None = None, pivots: int | None = None, block_rows: int = BLOCK_ROWS,
+    features: str = "features", exclude_self: bool = False, small_bytes: int | None = None, pivots: int | None = None, block_rows: int = BLOCK_ROWS, probes: int | None = None,
 ) -> DataFrame:
     """`(query_id, rank, train_id, distance, label)`: the k nearest training rows of each query.
 
     Ids must be unique and integer. `label` is an optional numeric column handed through. With
-    `exclude_self` a training row of the same id is not its own neighbour.
+    `exclude_self` a training row of the same id is not its own neighbour. With `probes` the
+    result is approximate: rows of that many cells nearest to the query only, or of more until they hold k rows.
     """
     label_column = col(label).cast("double") if label else F.lit(None).cast("double")
     q = queries.select(col(query_id).cast("bigint").alias("qid"), col(features).alias("qf"))
@@ -75,12 +100,12 @@ def nearest_neighbors(
     size = t.agg(F.count(F.lit(1)), F.max(F.size("tf"))).first()
     if size[0] == 0:
         raise ValueError("No training rows are available.")
-    if size[0] * (size[1] + 2) * 8 <= limit:
+    if probes is None and size[0] * (size[1] + 2) * 8 <= limit:
         found = _by_broadcast(q, t, wanted)
     else:
         most = max(MIN_PIVOTS, min(MAX_PIVOTS, PIVOT_BYTES // (8 * max(1, size[1]))))
         count = pivots or int(min(most, max(MIN_PIVOTS, size[0] ** 0.5)))
-        found = _by_cells(q, t, wanted, count, block_rows)
+        found = _by_cells(q, t, wanted, count, block_rows, probes)
     if exclude_self:
         found = found.where(F.col("qid") != F.col("tid"))
     window = Window.partitionBy("qid").orderBy("distance", "tid")
@@ -119,74 +144,151 @@ def _by_broadcast(q: DataFrame, t: DataFrame, k: int) -> DataFrame:
     return q.mapInPandas(search, _FOUND)
 
 
-def _by_cells(q: DataFrame, t: DataFrame, k: int, pivots: int, block_rows: int) -> DataFrame:
+@dataclass
+class Cells:
+    """Balls of training rows in two levels, small enough for every task.
+
+    `centers`, `radius` and `inner` (largest and smallest distance of a row) per cell with `rows` in it; `upper`: large ball of each
+    cell; `tops`, `reach`: centers of the large balls and the largest distance of a row in any of their cells.
+    """
+
+    centers: np.ndarray
+    rows: np.ndarray
+    radius: np.ndarray
+    inner: np.ndarray
+    upper: np.ndarray
+    tops: np.ndarray
+    reach: np.ndarray
+
+    def nearest(self, features: np.ndarray, k: int, probes: int) -> list[np.ndarray]:
+        """Per query the nearest cells: `probes` of them, or more until they hold k rows."""
+        out = []
+        for start in range(0, len(features), BLOCK_ROWS):
+            away = distances(features[start : start + BLOCK_ROWS], self.centers)
+            few = min(len(self.centers), max(8, 2 * probes))
+            while True:  # mostly the nearest few hold k rows
+                order = np.argpartition(away, few - 1, axis=1)[:, :few] if few < len(self.centers) else np.tile(np.arange(few), (len(away), 1))
+                order = np.take_along_axis(order, np.argsort(np.take_along_axis(away, order, axis=1), axis=1, kind="stable"), axis=1)
+                held = np.cumsum(self.rows[order], axis=1)
+                if few == len(self.centers) or (held[:, -1] >= k).all():
+                    break
+                few = min(len(self.centers), 4 * few)
+            need = np.minimum(np.maximum((held < k).sum(axis=1) + 1, probes), few)
+            out += [np.sort(o[:n]) for o, n in zip(order, need)]
+        return out
+
+    def within(self, features: np.ndarray, bound: np.ndarray, done: list[np.ndarray]) -> list[np.ndarray]:
+        """Per query the cells not done yet that may hold a row within the bound."""
+        limit = bound * (1 + SLACK) + SLACK
+        out: list[np.ndarray] = []
+        for start in range(0, len(features), BLOCK_ROWS):
+            rows = slice(start, start + BLOCK_ROWS)
+            open_tops = distances(features[rows], self.tops) - self.reach[None] <= limit[rows, None]
+            found: list[list[np.ndarray]] = [[] for _ in range(len(open_tops))]
+            for top in np.flatnonzero(open_tops.any(axis=0)):
+                cells, asked = np.flatnonzero(self.upper == top), np.flatnonzero(open_tops[:, top])
+                away = distances(features[rows][asked], self.centers[cells])
+                lower = np.maximum(away - self.radius[cells], self.inner[cells] - away)
+                for i, near in zip(asked, lower <= limit[rows][asked, None]):
+                    found[i].append(cells[near])
+            out += [np.setdiff1d(np.concatenate(f), d) if f else np.zeros(0, np.int64) for f, d in zip(found, done[rows])]
+        return out
+
+
+def _ball_tree(t: DataFrame, pivots: int) -> tuple[DataFrame, Cells]:
+    """Training rows with their `cell`, and the cells."""
+    # `pivots` rows, whatever the size of the data.
+    centers = np.unique(_matrix(_drawn(t, pivots)["tf"]), axis=0)
+    roots = centers[np.random.default_rng(1).permutation(len(centers))[: max(1, int(len(centers) ** 0.5))]]
+    under = distances(centers, roots).argmin(axis=1)
+
+    @F.pandas_udf("struct<cell:int, away:double, up:double>")
+    def place(features: pd.Series) -> pd.DataFrame:
+        rows = _matrix(features)
+        cell, away, up = np.zeros(len(rows), np.int32), np.zeros(len(rows)), np.zeros(len(rows))
+        for start in range(0, len(rows), BLOCK_ROWS):
+            part = slice(start, start + BLOCK_ROWS)
+            apart = distances(rows[part], centers)
+            cell[part] = apart.argmin(axis=1)
+            away[part] = apart.min(axis=1)
+            up[part] = np.sqrt(((rows[part] - roots[under[cell[part]]]) ** 2).sum(axis=1))
+        return pd.DataFrame({"cell": cell, "away": away, "up": up})
+
+    placed = checkpointed(t.withColumn("p", place("tf")).select("tid", "tf", "label", "p.cell", "p.away", "p.up"))
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r"), F.min("away").alias("i"), F.max("up").alias("u")).toPandas()
+    rows, radius, inner, reach = np.zeros(len(centers)), np.zeros(len(centers)), np.zeros(len(centers)), np.zeros(len(roots))
+    at = sizes["cell"].to_numpy()
+    rows[at], radius[at], inner[at] = sizes["n"], sizes["r"], sizes["i"]
+    np.maximum.at(reach, under[at], sizes["u"].to_numpy())
+    # cells are pivots of the training side, and so each holds a row
+    return placed.drop("away", "up"), Cells(centers, rows, radius, inner, under, roots, reach * (1 + SLACK))
+
+
+def _drawn(t: DataFrame, n: int) -> pd.DataFrame:
+    """The `n` rows of least hash; only about that many leave the tasks."""
+    total = t.count()
+    digest = F.xxhash64("tid")
+    if total > 4 * n:
+        edge = int(-(1 << 63) + (1 << 64) * (2 * n / total))
+        few = t.where(digest <= edge)
+        t = few if few.count() >= n else t
+    return t.select("tf").orderBy(digest, "tid").limit(n).toPandas()
+
+
+def _by_cells(q: DataFrame, t: DataFrame, k: int, pivots: int, block_rows: int, probes: int | None = None) -> DataFrame:
     # Of equal vectors only the k smallest ids can be among k neighbours: copies collapse here, in
     # each task first.
     copies = Window.partitionBy("tf").orderBy("tid")
     t = t.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy")
+    placed, cells = _ball_tree(t, pivots)
+    held = q.sparkSession.sparkContext.broadcast(cells)
 
-    # `pivots` rows, whatever the size of the data.
-    chosen = t.select("tf").orderBy(F.xxhash64("tid"), "tid").limit(pivots).toPandas()
-    centers = np.unique(_matrix(chosen["tf"]), axis=0)
-
-    @F.pandas_udf("struct<cell:int, away:double>")
-    def place(features: pd.Series) -> pd.DataFrame:
-        away = distances(_matrix(features), centers)
-        cell = away.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "away": away[np.arange(len(cell)), cell]})
-
-    placed = checkpointed(t.withColumn("p", place("tf")).select("tid", "tf", "label", "p.cell", "p.away"))
-    nearest = Window.partitionBy("cell").orderBy("away", "tid")
-    closest = placed.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= k)
-    # One row per pivot: size, radius and the k smallest distances to the pivot.
-    sizes = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.min("away").alias("inner")).collect()}
-    smallest = {r["cell"]: r["d"] for r in closest.groupBy("cell").agg(F.sort_array(F.collect_list("away")).alias("d")).collect()}
-    cells = np.array(sorted(sizes))
-    radius = np.array([sizes[c]["radius"] for c in cells])
-    inner = np.array([sizes[c]["inner"] for c in cells])
-    offsets = np.full((len(cells), k), np.inf)
-    for i, c in enumerate(cells):
-        offsets[i, : len(smallest[c])] = smallest[c]
-    cell_centers = centers[cells]
+    @F.pandas_udf("array<int>")
+    def home(features: pd.Series) -> pd.Series:
+        return pd.Series(held.value.nearest(_matrix(features), k, probes or 1)) if len(features) else pd.Series([], dtype=object)
+
+    asked = q.withColumn("done", home("qf"))
+    if probes is not None:
+        return _searched(asked.select("qid", "qf", F.explode("done").alias("cell")), placed, k, block_rows)
+    asked = checkpointed(asked)
+    first = checkpointed(_searched(asked.select("qid", "qf", F.explode("done").alias("cell")), placed, k, block_rows))
+    ranked = Window.partitionBy("qid").orderBy("distance")
+    place = first.select("qid", "distance", F.row_number().over(ranked).alias("place"))
+    bounds = place.where(F.col("place") <= k).groupBy("qid").agg(F.max(F.struct("place", "distance")).alias("b"))
+    # fewer than k rows in all: nothing is left to search
+    bounds = bounds.select("qid", F.when(F.col("b.place") == k, F.col("b.distance")).otherwise(F.lit(-1.0)).alias("bound"))
 
     @F.pandas_udf("array<int>")
-    def candidates(features: pd.Series) -> pd.Series:
-        result = []
-        rows = _matrix(features)
-        step = max(1, (1 << 20) // offsets.size)
-        for start in range(0, len(rows), step):
-            away = distances(rows[start : start + step], cell_centers)
-            upper = (away[:, :, None] + offsets[None]).reshape(len(away), -1)
-            bound = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(away), np.inf)
-            lower = np.maximum(away - radius[None], inner[None] - away)
-            search = lower <= bound[:, None] * (1 + SLACK) + SLACK
-            result += [cells[row] for row in search]
-        return pd.Series(result)
-
-    asked = checkpointed(q.withColumn("cell", F.explode(candidates("qf"))))
-    demand = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def blocks(counts: dict[int, int]):
-        pairs = [(c, -(-counts[c] // block_rows)) for c in sorted(counts)]
-        literals = [F.lit(v) for pair in pairs for v in pair]
-        return lambda: F.coalesce(F.create_map(*literals)[F.col("cell")], F.lit(1)) if literals else F.lit(1)
-
-    t_blocks, q_blocks = blocks({c: sizes[c]["n"] for c in sizes}), blocks(demand)
-
-    def split(df: DataFrame, id_column: str, own, other, own_name: str, other_name: str) -> DataFrame:
-        return df.withColumn(own_name, F.pmod(F.xxhash64(id_column), own()).cast("int")).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0), other() - 1))
-        )
-
-    left = split(asked, "qid", q_blocks, t_blocks, "qb", "tb")
-    right = split(placed.where(F.col("cell").isin(*demand)) if demand else placed, "tid", t_blocks, q_blocks, "tb", "qb")
+    def others(features: pd.Series, bound: pd.Series, done: pd.Series) -> pd.Series:
+        return pd.Series(held.value.within(_matrix(features), bound.to_numpy(dtype=float), list(done))) if len(features) else pd.Series([], dtype=object)
+
+    rest = asked.join(bounds, "qid").where("bound >= 0").select("qid", "qf", "bound", F.explode(others("qf", "bound", "done")).alias("cell"))
+    return first.unionByName(_searched(rest, placed, k, block_rows))
+
+
+def _searched(asked: DataFrame, placed: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """The k nearest rows of each asked cell, within the query's `bound` where there is one."""
+    if "bound" not in asked.columns:
+        asked = asked.withColumn("bound", F.lit(float("inf")))
+    asked = checkpointed(asked)
+    demand = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n_q"))
+    supply = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_t"))
+    # one row per cell
+    cuts = demand.join(supply, "cell").select("cell", *[F.ceil(F.col(f"n_{c}") / block_rows).cast("int").alias(f"{c}_n") for c in "qt"])
+
+    def split(df: DataFrame, id_column: str, own: str, other: str) -> DataFrame:
+        met = df.join(F.broadcast(cuts), "cell").withColumn(f"{own}b", F.pmod(F.xxhash64(id_column), F.col(f"{own}_n")).cast("int"))
+        return met.withColumn(f"{other}b", F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1))).drop("q_n", "t_n")
+
+    left, right = split(asked, "qid", "q", "t"), split(placed, "tid", "t", "q")
 
     def search(key, lq: pd.DataFrame, rt: pd.DataFrame) -> pd.DataFrame:
         if not len(lq) or not len(rt):
             return pd.DataFrame({"qid": [], "tid": [], "distance": [], "label": []}).astype({"qid": "int64", "tid": "int64"})
         tid = rt["tid"].to_numpy()
-        found = _nearest_in_block(_matrix(lq["qf"]), _matrix(rt["tf"]), tid, k)
-        return _found(lq["qid"].to_numpy(), found[0], tid, found[1], found[2], rt["label"].to_numpy(dtype=float))
+        row, point, distance = _nearest_in_block(_matrix(lq["qf"]), _matrix(rt["tf"]), tid, k)
+        near = distance <= lq["bound"].to_numpy(dtype=float)[row]
+        return _found(lq["qid"].to_numpy(), row[near], tid, point[near], distance[near], rt["label"].to_numpy(dtype=float))
 
     keys = ["cell", "qb", "tb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, _FOUND)

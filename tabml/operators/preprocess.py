@@ -127,9 +127,10 @@ class TabularPreprocessor(Estimator):
         classes = class_rows = None
         if self.problem_type == "classification":
             table = class_table(rows, self.target)
-            classes = [r["class"] for r in table.orderBy("class").limit(MAX_DRIVER_CLASSES + 1).collect()]
-            if len(classes) > MAX_DRIVER_CLASSES:
-                classes, class_rows = None, stored(table, "classes")
+            if table.count() <= MAX_DRIVER_CLASSES:
+                classes = [r["class"] for r in table.orderBy("class").collect()]
+            else:
+                class_rows = stored(table, "classes")
         return TabularModel(self.target, self.problem_type, features, numeric_stats, categorical_stats, classes, outliers, sum(missing.values()), class_rows)
 
 
@@ -219,7 +220,9 @@ class TabularModel(Model):
         rows = [(title, fixed.SUMMARY[title][n > 0].format(n=n)) for title, n in counts.items()]
         if self.problem_type == "classification":
             title, body = fixed.SUMMARY_TARGET
-            rows.append((title, body.format(classes=", ".join(self.classes))))
+            # beyond `MAX_DRIVER_CLASSES` their number stands for their names
+            named = ", ".join(self.classes) if self.classes is not None else f"{self.class_rows.count()} classes"
+            rows.append((title, body.format(classes=named)))
         return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, start=1)], "step int, title string, body string")
 
     def kind_counts(self, spark) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from tabml.functions import fixed
 from tabml.operators.learners.trees import DRAW_STEPS, subset_size
 from tabml.plans.queries import (
-    CUSTOMER_FEATURES, DBSCAN_EPS, DBSCAN_MIN_PTS, DIRTY, DIRTY_COLUMNS, KMEANS_MANY, KMEANS_ROUNDS, KMEANS_START, PROBLEM_TARGETS,
+    CUSTOMER_FEATURES, DBSCAN_EPS, DBSCAN_MIN_PTS, DIRTY, DIRTY_COLUMNS, EMBEDDING_EPS, EMBEDDING_MIN_PTS, KMEANS_MANY, KMEANS_ROUNDS, KMEANS_START, PROBLEM_TARGETS,
 )
 
 DIRTY_SQL = "select " + ", ".join(f"{e.format(STR='varchar')} as {c}" for c, e in DIRTY.items()) + " from orders"
@@ -156,9 +156,12 @@ mp as (select least(5, greatest(3, cast(floor(sqrt((select count(*) from pts))/2
 GIVEN = f"eps as (select {DBSCAN_EPS}::double eps), mp as (select {DBSCAN_MIN_PTS} min_pts)"
 
 
-def dbscan(parameters: str) -> str:
-    return f"""{POINTS}, {parameters},
-nb as (select a.id a, b.id b from pts a join pts b on sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1)) <= (select eps from eps)),
+FLAT_DISTANCE = "sqrt((a.x0-b.x0)*(a.x0-b.x0)+(a.x1-b.x1)*(a.x1-b.x1))"
+
+
+def dbscan(parameters: str, points: str = POINTS, distance: str = FLAT_DISTANCE) -> str:
+    return f"""{points}, {parameters},
+nb as materialized (select a.id a, b.id b from pts a join pts b on {distance} <= (select eps from eps)),
 core as (select a as id from nb group by a having count(*) >= (select min_pts from mp)),
 cc as (select a, b from nb where a in (select id from core) and b in (select id from core)),
 reach(id, l) using key (id) as (select id, id from core union
@@ -459,6 +462,8 @@ def build() -> dict[str, str]:
     sql["dbscan_core"] = f"with recursive {DB} select id as c_custkey, is_core from lab"
     sql["dbscan_labels"] = f"with recursive {DB} select id as c_custkey, c as prediction from lab"
     sql["dbscan_auto"] = f"with recursive {dbscan(EPS)} select id as c_custkey, is_core, c as prediction from lab"
+    wide = dbscan(f"eps as (select {EMBEDDING_EPS}::double eps), mp as (select {EMBEDDING_MIN_PTS} min_pts)", f"pts as (select vec_id as id, e from (select vec_id, cast(embedding as double[]) as e from embeddings))", "list_distance(a.e, b.e)")
+    sql["dbscan_embeddings"] = f"with recursive {wide} select id as vec_id, is_core, c as prediction from lab"
     sql["dbscan_predict"] = f"""with recursive {DB}, {SUPPLIER_POINTS},
         d as (select sup.id, lab.c, sqrt((sup.x0-pts.x0)*(sup.x0-pts.x0)+(sup.x1-pts.x1)*(sup.x1-pts.x1)) d, lab.id nid from sup, pts join lab on lab.id = pts.id where lab.c >= 0),
         r as (select *, row_number() over (partition by id order by d, nid) rn from d)
@@ -480,9 +485,9 @@ def build() -> dict[str, str]:
     sql["explain_signals"] = f"""with recursive {LINEAR}, lg as (select id, 0 j, x0 x, abs(c0) c from pred union all select id, 1, x1, abs(c1) from pred)
         select id as p_partkey, {names} as feature, {r6('c')} as contribution, case when x >= 0 then '{fixed.ABOVE}' else '{fixed.BELOW}' end as direction from lg where c > 0"""
     why, why_not = fixed.CLASS_WHY, fixed.CLASS_WHY_NOT
-    sql["explain_class"] = f"""with {NB}, im as (select j, stddev_pop(m) s from par group by j),
-        rk as (select pb.id, event_type, p, row_number() over (partition by pb.id order by p desc, pb.c) rn from pb join cls using (c)),
-        sg as (select z.id, string_agg(case j when 0 then 'value' when 1 then 'user_id' else 'k' end, '|' order by abs(x)*s desc, j) signals from z join im using (j) where abs(x)*s > 0 group by z.id)
+    sql["explain_class"] = f"""with {NB}, im as materialized (select j, stddev_pop(m) s from par group by j),
+        rk as materialized (select pb.id, event_type, p, row_number() over (partition by pb.id order by p desc, pb.c) rn from pb join cls using (c)),
+        sg as materialized (select z.id, string_agg(case j when 0 then 'value' when 1 then 'user_id' else 'k' end, '|' order by abs(x)*s desc, j) signals from z join im using (j) where abs(x)*s > 0 group by z.id)
         select a.id as event_id, concat('{fixed.CLASS_HEADLINE}', a.event_type) as headline,
         concat('{why[0]}', cast(cast(floor(a.p*100+0.5) as bigint) as varchar), '{why[1]}') as why,
         concat(b.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not, signals

@@ -58,7 +58,7 @@ class Trained:
 
     def explain(self, raw: DataFrame) -> DataFrame:
         a = self.analysis
-        return explain(a.problem_type, self.model, a.preprocessor.transform(raw), a.preprocessor.feature_names, a.preprocessor.classes or ())
+        return explain(a.problem_type, self.model, a.preprocessor.transform(raw), a.preprocessor.feature_names, a.preprocessor.classes or (), a.preprocessor.class_rows)
 
 
 def analyze(df: DataFrame, target: str | None = None, mode: str = "auto", key: str = ROW_ID, quantiles: str = "exact") -> Analysis:

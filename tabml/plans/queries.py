@@ -18,7 +18,7 @@ from tabml.operators import explain as ex
 from tabml.operators import preprocess as pre
 from tabml.operators import profile as pf
 from tabml.operators.learners.base import dispersion_table
-from tabml.operators.learners.dbscan import DbscanModel, estimate_eps, minimum_points, train_dbscan
+from tabml.operators.learners.dbscan import dbscan, DbscanModel, estimate_eps, minimum_points, train_dbscan
 from tabml.operators.neighbors import nearest_neighbors
 from tabml.operators.ordering import dense_positions, exact_quantiles
 from tabml.operators.preprocess import TabularModel, TabularPreprocessor
@@ -50,6 +50,9 @@ DIRTY = {
 DIRTY_COLUMNS = [c for c in DIRTY if c != "row_id"]
 KMEANS_START, KMEANS_ROUNDS = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)], 3
 DBSCAN_EPS, DBSCAN_MIN_PTS = 0.1, 5
+EMBEDDING_EPS, EMBEDDING_MIN_PTS = 1.15, 4
+# Of at least 128 cells. The embeddings have no structure, so neighbours lie in many cells.
+KNN_PROBES = 84
 
 
 def query(function: Query) -> Query:
@@ -662,6 +665,20 @@ def knn_cells(spark, sf_dir):
     return rounded_columns(nearest_neighbors(rows, rows, 5, "vec_id", "vec_id", exclude_self=True, small_bytes=0))
 
 
+@query
+def knn_approx(spark, sf_dir):
+    """Approximate neighbours: the nearest cells only."""
+    rows = embedding_rows(spark, sf_dir)
+    return rounded_columns(nearest_neighbors(rows, rows, 5, "vec_id", "vec_id", exclude_self=True, probes=KNN_PROBES))
+
+
+@query
+def dbscan_embeddings(spark, sf_dir):
+    """Clusters in 64 dimensions."""
+    found = dbscan(embedding_rows(spark, sf_dir), EMBEDDING_EPS, EMBEDDING_MIN_PTS, "vec_id")
+    return found.select("vec_id", F.col("is_core").cast("int").alias("is_core"), "prediction")
+
+
 @query
 def knn_classify_cells(spark, sf_dir):
     split = holdout(embedding_rows(spark, sf_dir), key="vec_id")
