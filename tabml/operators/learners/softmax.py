@@ -16,6 +16,9 @@ from tabml.operators.learners.base import FittedModel, class_count, vector, widt
 
 # Rows per matrix in gradient steps.
 BLOCK_ROWS = 8192
+# Up to so many products a step (distinct rows x features x classes) all steps run in one task: some 32 MB of rows at most, and
+# a step takes less time than a job.
+ONE_TASK = 4_000_000
 
 
 class SoftmaxModel(FittedModel):
@@ -66,7 +69,11 @@ def train_softmax(
 
 
 def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: float) -> np.ndarray:
-    """Each step adds up one partial gradient per partition, over matrices kept between the steps."""
+    """Full-batch steps over distinct rows with weights: all in one task where these are few, else one sum of partial gradients per step."""
+    weighted = df.groupBy("features", F.col("label").cast("double").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    penalty = np.full(d + 1, l2)
+    penalty[0] = 0.0
 
     # Rows are packed into blocks of doubles by Arrow; the kept blocks are plain arrays.
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,35 +81,45 @@ def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: fl
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
                 x = part.column(0).flatten().to_numpy(zero_copy_only=False).astype(float)
-                label = part.column(1).to_numpy(zero_copy_only=False).astype(float)
-                yield pa.RecordBatch.from_pydict({"x": [x.tobytes()], "label": [label.tobytes()]})
+                label, weight = (part.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+                yield pa.RecordBatch.from_pydict({"x": [x.tobytes()], "label": [label.tobytes()], "weight": [weight.tobytes()]})
+
+    def matrix(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, label, weight = (np.frombuffer(v) for v in block)
+        return np.column_stack([np.ones(len(label)), x.reshape(len(label), d)]), label.astype(int), weight
+
+    def all_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [matrix([c.as_py() for c in (b.column(i)[k] for i in range(3))]) for b in pack(batches) for k in range(b.num_rows)]
+        if held:
+            rows = tuple(np.concatenate(p) for p in zip(*held))
+            n, weights = rows[2].sum(), np.zeros((count, d + 1))
+            for _ in range(epochs):
+                weights = weights - rate * (_gradient(weights)(np.zeros_like(weights), rows) / n + weights * penalty)
+            yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()]})
 
-    def matrix(block) -> tuple[np.ndarray, np.ndarray]:
-        label = np.frombuffer(block[1]).astype(int)
-        return np.column_stack([np.ones(len(label)), np.frombuffer(block[0]).reshape(len(label), d)]), label
-
-    packed = df.select("features", "label").mapInArrow(pack, "x binary, label binary")
-    blocks = packed.rdd.map(matrix).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = blocks.map(lambda b: len(b[1])).sum()
+        if weighted.count() * (d + 1) * count <= ONE_TASK:
+            found = weighted.repartition(1).mapInArrow(all_steps, "weights binary").first()
+            return np.frombuffer(found["weights"]).reshape(count, d + 1)
+        blocks = weighted.mapInArrow(pack, "x binary, label binary, weight binary").rdd.map(matrix).persist(StorageLevel.MEMORY_AND_DISK)
+        n = blocks.map(lambda b: b[2].sum()).sum()
         weights = np.zeros((count, d + 1))
-        penalty = np.full(d + 1, l2)
-        penalty[0] = 0.0
         for _ in range(epochs):
             total = blocks.treeAggregate(np.zeros_like(weights), _gradient(weights), lambda a, b: a + b)
             weights = weights - rate * (total / n + weights * penalty)
+        blocks.unpersist()
         return weights
     finally:
-        blocks.unpersist()
+        weighted.unpersist()
 
 
 def _gradient(weights: np.ndarray):
-    def add(total: np.ndarray, block: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        x, label = block
+    def add(total: np.ndarray, block: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        x, label, weight = block
         scores = x @ weights.T
         p = np.exp(scores - scores.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(label)), label] -= 1
-        return total + p.T @ x
+        return total + (p * weight[:, None]).T @ x
 
     return add

@@ -503,10 +503,16 @@ def build() -> dict[str, str]:
         case when c = -1 then {text(fixed.CLUSTER_WHY_NOISE)} else {text(fixed.CLUSTER_WHY)} end as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from lab"""
     sql["explain_kmeans"] = f"""with {KMEANS} select id as c_custkey, concat('{fixed.CLUSTER_HEADLINE}', cast(c as varchar)) as headline,
         {text(fixed.CLUSTER_WHY)} as why, {text(fixed.CLUSTER_WHY_NOT)} as why_not from a{last}"""
+    strength = " union all ".join(
+        f"select pt.id, {j} as j, '{n}' as name, abs(x{j} * (case pq.c {' '.join(f'when {c} then w{c}_{j + 1}' for c in range(5))} end)) as s from pt join pq on pq.id = pt.id and pq.rn = 1, w"
+        for j, n in enumerate(("value", "user_id", "k"))
+    )
+    strong = f"select id, string_agg(name, '|' order by s desc, j) as signals from ({strength}) where s > 0 group by id"
     sql["explain_softmax"] = f"""with recursive {SOFTMAX} select a.id as event_id, concat('{fixed.CLASS_HEADLINE}', ca.event_type) as headline,
         concat('{why[0]}', cast(cast(floor(a.p*100+0.5) as bigint) as varchar), '{why[1]}') as why,
-        concat(cb.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not
-        from pq a join pq b on a.id = b.id and a.rn = 1 and b.rn = 2 join cls ca on ca.c = a.c join cls cb on cb.c = b.c"""
+        concat(cb.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not, signals
+        from pq a join pq b on a.id = b.id and a.rn = 1 and b.rn = 2 join cls ca on ca.c = a.c join cls cb on cb.c = b.c join ({strong}) sg on sg.id = a.id"""
+    sql["score_stream_clusters"], sql["score_stored"] = sql["dbscan_predict"], sql["score_batch"]
     tie = lambda v, e: f"case when abs({e}) >= 100 then {shown(f'round(({e})::decimal(24, 8), 2)', 2)} else {shown(f'round(({e})::decimal(24, 8), 3)', 3)} end as {v}"
     sql["format_ties"] = f"select o_orderkey, {tie('eighth', 'o_orderkey / 8')}, {tie('sixteenth', 'o_orderkey % 1600 / -16')} from orders"
     sql["profile_wide_ids"] = "select 'wide_id' as \"column\", count(distinct 9007199254740992 + o_orderkey) as \"unique\", 0 as missing from orders"

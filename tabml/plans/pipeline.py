@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.functions import fixed
@@ -16,6 +16,7 @@ from tabml.operators.preprocess import TabularModel, TabularPreprocessor
 from tabml.operators.profile import diagnose
 from tabml.operators.sampling import holdout, systematic_sample, usable_rows
 from tabml.operators.training import train
+from tabml.sources import models
 from tabml.sources.rows import ROW_ID
 from tabml.sources.scratch import checkpointed
 
@@ -24,7 +25,7 @@ from tabml.sources.scratch import checkpointed
 class Analysis:
     """A diagnosed table with its fitted preprocessor."""
 
-    table: DataFrame
+    table: DataFrame | None
     target: str | None
     problem_type: str
     rationale: str
@@ -41,7 +42,7 @@ class Trained:
     analysis: Analysis
     model: FittedModel
     metrics: DataFrame
-    training_rows: DataFrame
+    training_rows: DataFrame | None
     test_rows: DataFrame | None
 
     def score(self, raw: DataFrame) -> DataFrame:
@@ -56,11 +57,28 @@ class Trained:
         named = table.select(F.col("class_index").cast("double").alias("_index"), F.col("class").alias("predicted_label"))
         return scored.join(named, F.col("prediction") == F.col("_index"), "left").drop("_index")
 
+    def save(self, path: str) -> None:
+        """Write what scoring and explaining need, and the metrics; the training rows stay behind."""
+        spark = self.metrics.sparkSession
+        models.save_preprocessor(spark, self.analysis.preprocessor, f"{path}/preprocessor")
+        models.save_model(spark, self.model, f"{path}/model")
+        self.metrics.write.parquet(f"{path}/metrics")
+        found = [(self.analysis.target, self.analysis.problem_type, self.analysis.rationale, self.analysis.key)]
+        spark.createDataFrame(found, "target string, problem_type string, rationale string, key string").coalesce(1).write.parquet(f"{path}/analysis")
+
     def explain(self, raw: DataFrame) -> DataFrame:
         a = self.analysis
         return explain(a.problem_type, self.model, a.preprocessor.transform(raw), a.preprocessor.feature_names, a.preprocessor.classes or (), a.preprocessor.class_rows)
 
 
+def load_trained(spark: SparkSession, path: str) -> Trained:
+    """What `Trained.save` wrote, without table, training and test rows."""
+    found = spark.read.parquet(f"{path}/analysis").first()
+    preprocessor = models.load_preprocessor(spark, f"{path}/preprocessor")
+    analysis = Analysis(None, found["target"], found["problem_type"], found["rationale"], preprocessor, found["key"])
+    return Trained(analysis, models.load_model(spark, f"{path}/model"), spark.read.parquet(f"{path}/metrics"), None, None)
+
+
 def analyze(df: DataFrame, target: str | None = None, mode: str = "auto", key: str = ROW_ID, quantiles: str = "exact") -> Analysis:
     """Decide the task and fit the preprocessor on all usable rows."""
     found = diagnose(df, target, mode).first()

@@ -25,11 +25,11 @@ from tabml.operators.preprocess import TabularModel, TabularPreprocessor
 from tabml.operators.projection import fit_pca
 from tabml.operators.sampling import holdout, preview, systematic_sample, usable_rows
 from tabml.operators.training import train
-from tabml.plans.pipeline import Analysis, Trained, analyze, train_and_evaluate
+from tabml.plans.pipeline import Analysis, Trained, analyze, load_trained, train_and_evaluate
 from tabml.sources.delimited import read_table
 from tabml.sources.rows import ROW_ID, with_row_id
 from tabml.sources.scratch import fresh_path
-from tabml.streaming.scoring import read_stream, score_stream, write_scores
+from tabml.streaming.scoring import read_stream, score_stream, write_scores, write_scores_by_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -639,6 +639,32 @@ def score_stream_files(spark, sf_dir):
     return spark.read.schema(scored.schema).parquet(out)
 
 
+@query
+def score_stream_clusters(spark, sf_dir):
+    """Clusters of new rows that arrive as a stream; DBSCAN needs a join, so each batch is scored as a table."""
+    prep, model, _ = customer_clusters(spark, sf_dir)
+    schema = table(spark, sf_dir, "supplier").schema
+    stream = read_stream(spark, sf_dir, schema, pathGlobFilter="supplier.parquet").select(
+        F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"), F.col("s_nationkey").alias("c_nationkey")
+    )
+    out = fresh_path(spark, "clusters")
+
+    def score(batch):
+        return model.transform(prep.transform(batch)).select(F.col("c_custkey").alias("s_suppkey"), "prediction")
+
+    write_scores_by_batch(score, stream, out, fresh_path(spark, "clusters-state")).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+@query
+def score_stored(spark, sf_dir):
+    """Scores of a model that was written and read back."""
+    t = bayes(spark, sf_dir)
+    path = fresh_path(spark, "model")
+    t.save(path)
+    return load_trained(spark, path).score(events_with_k(spark, sf_dir)).select("event_id", "predicted_label")
+
+
 # --- the ways of large tables, forced on small ones -------------------------------------------------
 
 
@@ -745,7 +771,8 @@ def _explained(t: Trained, rows: DataFrame, key: str, columns: list[str]) -> Dat
 @query
 def explain_softmax(spark, sf_dir):
     t = softmax(spark, sf_dir)
-    return _explained(t, t.test_rows, "event_id", ["headline", "why", "why_not"])
+    explained = _explained(t, t.test_rows, "event_id", ["headline", "why", "why_not", "signals"])
+    return explained.withColumn("signals", F.array_join(F.transform("signals", lambda s: s["name"]), "|"))
 
 
 @query
