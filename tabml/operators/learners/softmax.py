@@ -86,15 +86,17 @@ def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: fl
 
     def matrix(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x, label, weight = (np.frombuffer(v) for v in block)
-        return np.column_stack([np.ones(len(label)), x.reshape(len(label), d)]), label.astype(int), weight
+        return np.vstack([np.ones(len(label)), x.reshape(len(label), d).T]), label.astype(int), weight
 
     def all_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [matrix([c.as_py() for c in (b.column(i)[k] for i in range(3))]) for b in pack(batches) for k in range(b.num_rows)]
         if held:
-            rows = tuple(np.concatenate(p) for p in zip(*held))
-            n, weights = rows[2].sum(), np.zeros((count, d + 1))
+            n, weights = sum(b[2].sum() for b in held), np.zeros((count, d + 1))
             for _ in range(epochs):
-                weights = weights - rate * (_gradient(weights)(np.zeros_like(weights), rows) / n + weights * penalty)
+                add, total = _gradient(weights), np.zeros_like(weights)
+                for block in held:  # a block's scores stay in the cache
+                    total = add(total, block)
+                weights = weights - rate * (total / n + weights * penalty)
             yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()]})
 
     try:
@@ -115,11 +117,12 @@ def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: fl
 
 def _gradient(weights: np.ndarray):
     def add(total: np.ndarray, block: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        x, label, weight = block
-        scores = x @ weights.T
-        p = np.exp(scores - scores.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(label)), label] -= 1
-        return total + (p * weight[:, None]).T @ x
+        x, label, weight = block  # features x rows
+        p = weights @ x
+        p -= p.max(axis=0)
+        np.exp(p, out=p)
+        p *= weight / p.sum(axis=0)
+        p[label, np.arange(len(label))] -= weight
+        return total + p @ x.T
 
     return add

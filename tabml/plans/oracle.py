@@ -512,14 +512,14 @@ def build() -> dict[str, str]:
         concat('{why[0]}', cast(cast(floor(a.p*100+0.5) as bigint) as varchar), '{why[1]}') as why,
         concat(cb.event_type, '{why_not[0]}', cast(cast(floor(b.p*100+0.5) as bigint) as varchar), '{why_not[1]}') as why_not, signals
         from pq a join pq b on a.id = b.id and a.rn = 1 and b.rn = 2 join cls ca on ca.c = a.c join cls cb on cb.c = b.c join ({strong}) sg on sg.id = a.id"""
-    sql["score_stream_clusters"], sql["score_stored"] = sql["dbscan_predict"], sql["score_batch"]
     tie = lambda v, e: f"case when abs({e}) >= 100 then {shown(f'round(({e})::decimal(24, 8), 2)', 2)} else {shown(f'round(({e})::decimal(24, 8), 3)', 3)} end as {v}"
     sql["format_ties"] = f"select o_orderkey, {tie('eighth', 'o_orderkey / 8')}, {tie('sixteenth', 'o_orderkey % 1600 / -16')} from orders"
     sql["profile_wide_ids"] = "select 'wide_id' as \"column\", count(distinct 9007199254740992 + o_orderkey) as \"unique\", 0 as missing from orders"
     sql["kmeans_many"] = f"with {POINTS}, {lloyd(KMEANS_MANY)} select id as c_custkey, c as prediction from a{last}"
-    for large, plain in (("quartiles_ranges", "quartiles"), ("row_id_ranges", "row_id_by_key"), ("knn_cells", "knn_neighbors"), ("knn_classify_cells", "knn_classify"), ("dbscan_star", "dbscan_labels"), ("dbscan_predict_cells", "dbscan_predict")):
+    for large, plain in (("score_stream_clusters", "dbscan_predict"), ("quartiles_ranges", "quartiles"), ("row_id_ranges", "row_id_by_key"), ("knn_cells", "knn_neighbors"), ("knn_classify_cells", "knn_classify"), ("dbscan_star", "dbscan_labels"), ("dbscan_predict_cells", "dbscan_predict")):
         sql[large] = sql[plain]
     sql["score_batch"] = f"with {NB} select best.id as event_id, event_type as predicted_label from best join cls on cls.c = pred"
+    sql["score_stored"] = sql["score_batch"]
     sql["softmax_fit"] = "with recursive " + SOFTMAX + " " + " union all ".join(
         f"select {c}::bigint as class_index, {j}::bigint as position, {r6(f'w{c}_{j}')} as weight from w" for c in range(5) for j in range(4)
     )
