@@ -18,7 +18,13 @@ def quality() -> str:
         for r in _RULES
     )
     rates = ", ".join(f"({r} + w_{r} * m_{r}) / (n + w_{r}) as rate_{r}" for r in _RULES)
-    strict = " or ".join(f"(rate_{r} > 0.5 and f_{r})" for r in _RULES[1:])
+    # two posterior deviations from the prior's mean make a host worse or better than usual
+    margin = "2 * sqrt(greatest(rate_{0} * (1 - rate_{0}), 0::double) / (n + w_{0} + 1))"
+    worse = "rate_{0} - " + margin + " > m_{0}"
+    better = "rate_{0} + " + margin + " < m_{0}"
+    tolerances = ", ".join(
+        f"case when {worse.format('base')} or {worse.format(r)} then 1 when {better.format(r)} then 3 else 2 end as tol_{r}" for r in _RULES[1:]
+    )
     return f"""
 with base as (select row_number() over () as rid, doc_id, source, coalesce(text, '') as t from documents),
 tok as (select *, regexp_extract_all(t, '{_WORD}') as ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as ls from base),
@@ -33,10 +39,15 @@ f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as f_base, 1
 hosts as (select source as host, count(*) as n, {", ".join(f"sum(f_{r}::int) as {r}" for r in _RULES)} from f group by source),
 moments as (select count(*) as hosts, sum(n) - sum(n::double * n) / sum(n) - (count(*) - 1) as room, {priors} from hosts),
 prior as (select {weights} from moments),
-verdict as (select host, {rates} from hosts, prior)
+rated as (select *, {rates} from hosts, prior),
+verdict as (select host, rate_base > 0.9 as blocked, {tolerances} from rated),
+weighed as (select *, case when f_symbols then 100::double * n_symbols / (10 * n_words) / tol_symbols else 0 end
+  + case when f_lines then 100::double * n_dup_lines / (30 * len(ls)) / tol_lines else 0 end
+  + case when f_length then greatest(3::double * n_words / word_chars, word_chars::double / (12 * n_words)) / tol_length else 0 end as excess
+  from f join verdict on source is not distinct from host)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f_base as base_failed,
-  not f_base and not (rate_base > 0.9 or {strict}) as kept
-from f join verdict on source is not distinct from host"""
+  not f_base and not blocked and excess <= 1 as kept
+from weighed"""
 
 
 def decontam() -> str:

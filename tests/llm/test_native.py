@@ -43,6 +43,26 @@ def test_bad_host_is_blocked_and_strict_host_drops_what_fails(spark):
     assert kept == {*range(40), 299, 300, 302}
 
 
+def test_clear_failures_go_everywhere_slight_ones_on_worse_hosts(spark):
+    """Planted on the whole table: symbols and repeated lines, slight and clear, on a usual host and on one that is worse than usual."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source")
+    lines = [prose(i, 30).replace("\n", " ") for i in range(6)]
+    slight, clear = prose(1, 100) + " #" * 16, prose(2, 100) + " #" * 60
+    mixed = "\nok\n".join([*lines[:4], ""]) + " #" * 32
+    host = docs.first()["source"]
+    planted = [(10**6, slight, host), (10**6 + 1, clear, host), (10**6 + 2, prose(3, 100), host), (10**6 + 3, mixed, host)]
+    planted += [(10**6 + 10 + i, prose(50 + i, 100) + " #" * 16, "noisy") for i in range(60)] + [(10**6 + 90 + i, prose(i, 100), "noisy") for i in range(3)]
+    rows = [tuple(r) for r in docs.collect()] + [(i, t, "en", h) for i, t, h in planted]
+    found = {r["doc_id"]: r for r in quality.judged(table(spark, rows)).select("row.doc_id", "base_failed", "kept").collect()}
+    assert not any(found[i]["base_failed"] for i, _, _ in planted)
+    assert [found[10**6 + i]["kept"] for i in range(4)] == [True, False, True, False]
+    assert not any(found[10**6 + 10 + i]["kept"] for i in range(60)) and all(found[10**6 + 90 + i]["kept"] for i in range(3))
+    beyond = [r for i, r in found.items() if i < 10**6 and not r["kept"] and not r["base_failed"]]
+    assert beyond  # junk of the table itself goes too
+    few = quality.judged(table(spark, rows), most_keys=0).select("row.doc_id", "base_failed", "kept")
+    assert plain(few.collect()) == plain(found.values())
+
+
 def test_prior_without_spread_outweighs_hosts():
     assert quality.prior(0, 0, 0.0, 0, 0.0) == (0.0, 1e6)
     assert quality.prior(3, 30, 300.0, 0, 0.0) == (0.0, 1e6)
