@@ -116,9 +116,20 @@ first_of as (select conv_id, b, min(turn) as origin from own_part where b <> ''
 quoted as (select rid, conv_id, turn, level, i, {bare.format("body")} as b, i - row_number() over (partition by rid, level order by i) as run from told where level > 0),
 passage as (select rid, conv_id, turn, level, run, count(*) as n, {bare.format("string_agg(b, ' ' order by i)")} as b from quoted group by all),
 whole as (select p.*, case when f.origin < p.turn then f.origin end as origin from passage p left join first_of f on p.conv_id = f.conv_id and p.b = f.b),
+byline as (select q.rid, q.conv_id, q.turn, q.level, q.run, q.b, row_number() over (partition by q.rid, q.level, q.run order by i) as k, case when f.origin < q.turn then f.origin end as origin
+  from quoted q join whole w on q.rid = w.rid and q.level = w.level and q.run = w.run and w.origin is null left join first_of f on q.conv_id = f.conv_id and q.b = f.b where q.b <> ''),
+lost as (select *, k - row_number() over (partition by rid, level, run order by k) as next_to from byline where origin is null),
+said as (select conv_id, turn, ' ' || {bare.format("string_agg(body, ' ' order by i)")} || ' ' as b from told where level = 0 and not attribution group by rid, conv_id, turn),
+part as (select rid, conv_id, turn, level, run, next_to, count(*) as n, string_agg(b, ' ' order by k) as b from lost group by all),
+together as (select part.rid, part.conv_id, part.turn, level, run, next_to, n, min(said.turn) as origin
+  from part left join said on part.conv_id = said.conv_id and said.turn < part.turn and contains(said.b, ' ' || part.b || ' ') group by all),
+alone as (select l.conv_id, l.turn, l.level, l.rid, l.run, l.k, min(said.turn) as origin
+  from lost l join together t on l.rid = t.rid and l.level = t.level and l.run = t.run and l.next_to = t.next_to and t.n > 1 and t.origin is null
+  join said on l.conv_id = said.conv_id and said.turn < l.turn and contains(said.b, ' ' || l.b || ' ') group by all),
 linked as (select conv_id, turn, level, n, origin from whole where origin is not null
-  union all select q.conv_id, q.turn, q.level, 1, case when f.origin < q.turn then f.origin end
-  from quoted q join whole w on q.rid = w.rid and q.level = w.level and q.run = w.run and w.origin is null left join first_of f on q.conv_id = f.conv_id and q.b = f.b),
+  union all select conv_id, turn, level, 1, origin from byline where origin is not null
+  union all select conv_id, turn, level, n, origin from together where origin is not null
+  union all select conv_id, turn, level, 1, origin from alone),
 votes as (select conv_id, turn, origin, sum(n) as n from linked where level = 1 and origin is not null group by 1, 2, 3),
 reply as (select conv_id, turn, origin as parent from votes qualify row_number() over (partition by conv_id, turn order by n desc, origin desc) = 1),
 walk as (select conv_id, turn, parent as up from reply union select walk.conv_id, walk.turn, reply.parent from walk join reply on walk.conv_id = reply.conv_id and walk.up = reply.turn),

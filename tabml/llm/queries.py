@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.llm import decontam, language, linededup, lm, mixing, neardup, oracle, quality, quotes, sharding, toxicity, trie, urls, whitening
+from tabml.operators.ordering import running_totals
+from tabml.sources.scratch import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -127,20 +129,35 @@ def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.threaded(table(spark, sf_dir, "conversations"))
 
 
-#: Messages that quote the one before them, and from the third on also what that one quoted; for Spark and DuckDB alike.
+#: Messages that quote the one before them, from the third on also what that one quoted, and each fifth only some words of it, wrapped anew; for Spark and DuckDB alike.
 REPLIES = """select conv_id, turn, role,
  case when prev is null then text
+ when turn % 5 = 4 then concat('> ', {two}, ' ', {three}, chr(10), '> ', {four}, ' ', {five}, chr(10), text)
  when turn % 3 = 0 then concat(text, chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), 'thanks')
  when prev2 is null then concat('user wrote:', chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), text)
  else concat('user wrote:', chr(10), '> ', replace(prev, chr(10), concat(chr(10), '> ')), chr(10), '> > ', replace(prev2, chr(10), concat(chr(10), '> > ')), chr(10), text) end as text
- from (select *, lag(text) over (partition by conv_id order by turn) as prev, lag(text, 2) over (partition by conv_id order by turn) as prev2 from {conversations}) t"""
+ from {rows}"""
+_WORDS = {w: f"split_part(replace(prev, chr(10), ' '), ' ', {i})" for i, w in enumerate(("two", "three", "four", "five"), 2)}
+_LAGGED = """(select *, lag(text) over w as prev, lag(text, 2) over w as prev2 from conversations
+ window w as (partition by conv_id order by turn nulls first, role nulls first, text nulls first)) t"""
+
+
+def with_previous(df: DataFrame) -> DataFrame:
+    """`conv_id, turn, role, text` with the texts of the two messages before, `prev` and `prev2`; turns are numbered by ranges, so no conversation is sorted in one task."""
+    said = df.select("conv_id", "turn", "role", "text")
+    placed = stored(running_totals(said, ["conv_id"], ["turn", "role", "text"], {"pos": F.lit(1).cast("long")}), "placed")
+    found = placed
+    for name, back in (("prev", 1), ("prev2", 2)):
+        before = placed.select(F.col("conv_id").alias("its_conv"), (F.col("pos") + back).alias("its_pos"), F.col("text").alias(name))
+        found = found.join(before, (F.col("pos") == F.col("its_pos")) & F.col("conv_id").eqNullSafe(F.col("its_conv")), "left").drop("its_conv", "its_pos")
+    return found
 
 
 @query
 def chat_quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotation linking over conversations in which replies quote: `conversations` has no quotation marks."""
-    replies = spark.sql(REPLIES, conversations=table(spark, sf_dir, "conversations"))
-    return quotes.threaded(replies)
+    rows = with_previous(table(spark, sf_dir, "conversations"))
+    return quotes.threaded(spark.sql(REPLIES.format(rows="{rows}", **_WORDS), rows=rows))
 
 
 @query
@@ -169,5 +186,5 @@ ORACLE |= {
     "op10_quality": oracle.quality(),
     "op11_trie": oracle.trie(),
     "op13_linededup": oracle.line_dedup(),
-    "chat_quoted_replies": oracle.quotes(REPLIES.format(conversations="conversations")),
+    "chat_quoted_replies": oracle.quotes(REPLIES.format(rows=_LAGGED, **_WORDS)),
 }

@@ -5,9 +5,11 @@ text, without a line of attribution (ending in `wrote:`) right before a quotatio
 quoted lines of one level are a passage. Passages, lines and whole messages are normalised (case, white space) and hashed. A passage is
 joined to the first message of its conversation whose whole text or line it is, if that came earlier; of a passage without such a
 message each line is joined on its own. So everything quoted has one original however often it occurs, and the joins add no rows.
-Neighbouring lines without an original may be a part of a message or wrapped anew: their first and last words (up to 16) are
-joined to the first messages that hold them, and the later of the two is their original if it holds all their words in a row;
-else each of these lines is tried on its own. A message replies to the message that most lines of its level-1 quotes come from (of
+Neighbouring lines without an original may be a part of a message or wrapped anew. Their original is the first message, if it came earlier, that holds
+all their words in a row, whichever messages hold their pieces: windows of their words (up to 16) are joined to those of all messages, a part
+without a message for one of its windows is out, and each message that holds the rarest window is a candidate whose words are then compared. Equal parts of a
+conversation are searched once. Lines found together nowhere are tried one by one: each of them may be such a part.
+A message replies to the message that most lines of its level-1 quotes come from (of
 equal ones the later); a thread is the message that its replies lead back to.
 
 The reply order of a conversation is `(thread, turn)`: threads by their first message, each with its replies behind what they reply to. Roots are found by
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from tabml.sources.scratch import checkpointed, stored
 
 MARKS = r"^((?:[ \t]*>)*)"
+#: Windows of words by which parts are looked up: the longest that fits, so that parts of up to four words are one window.
+WINDOWS = (1, 2, 3, 4, 6, 8, 12, 16)
 
 
 def _bare(line: Column) -> Column:
@@ -95,32 +99,38 @@ def _links(messages: DataFrame) -> DataFrame:
 
 
 def _contained(parts: DataFrame, messages: DataFrame) -> DataFrame:
-    """`parts` (`conv, turn, level, lines`) with the turn of an earlier message that holds their words in a row, or NULL, as `origin`."""
-    words = F.split(F.array_join("lines", " "), " ")
-    sizes = F.filter(F.array(*(F.lit(n) for n in (1, 2, 4, 8, 16))), lambda n: n <= F.size("words"))
-    parts = parts.withColumn("words", words).withColumn("size", F.array_max(sizes)).withColumn("part", F.monotonically_increasing_id())
-    parts = stored(parts, "parts")
-
-    def hashed(words: Column, at: Column, size: Column) -> Column:
-        return F.xxhash64(size, F.array_join(F.slice(words, at, size), " "))
-
-    ends = F.array(hashed(F.col("words"), F.lit(1), F.col("size")), hashed(F.col("words"), F.size("words") - F.col("size") + 1, F.col("size")))
-    ends = parts.select("part", "conv", F.explode(ends).alias("h"))
+    """`parts` (`conv, turn, level, lines`) with `origin`: the turn of the first message that holds their words in a row, or NULL unless it is earlier."""
+    parts = stored(parts.withColumn("text", F.array_join("lines", " ")), "parts")
+    words = F.split("text", " ")
+    texts = parts.select("conv", "text").distinct().select(F.monotonically_increasing_id().alias("part"), "conv", "text", words.alias("words"))
+    fitting = F.filter(F.array(*(F.lit(n) for n in WINDOWS)), lambda n: n <= F.size("words"))
+    texts = stored(texts.withColumn("size", F.array_max(fitting)), "texts")
+
+    def windows(words: Column, size: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(words) - size + 1)
+        return F.explode(F.array_distinct(F.transform(at, lambda i: F.xxhash64(size, F.array_join(F.slice(words, i, size), " ")))))
+
+    asked = stored(texts.select("part", F.col("conv").alias("its_conv"), windows(F.col("words"), F.col("size")).alias("its_h")), "asked")
     said = messages.select("conv", "turn", _bare(F.array_join(F.transform("own", lambda x: x["text"]), " ")).alias("said"))
-    needed = parts.groupBy(F.col("conv").alias("its_conv")).agg(F.collect_set("size").alias("sizes"))
+    needed = texts.groupBy(F.col("conv").alias("its_conv")).agg(F.collect_set("size").alias("sizes"))
     opened = said.join(needed, F.col("conv").eqNullSafe(F.col("its_conv"))).select("conv", "turn", F.split("said", " ").alias("words"), F.explode("sizes").alias("size"))
-    opened = opened.where(F.size("words") >= F.col("size"))
-    at = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
-    windows = opened.select("conv", "turn", F.explode(F.transform(at, lambda i: hashed(F.col("words"), i, F.col("size")))).alias("h"))
-    firsts = windows.groupBy(F.col("conv").alias("its_conv"), F.col("h").alias("its_h")).agg(F.min("turn").alias("first"))
-    met = ends.join(firsts, (F.col("h") == F.col("its_h")) & F.col("conv").eqNullSafe(F.col("its_conv")))
-    later = met.groupBy("part").agg(F.max("first").alias("origin"), F.count(F.lit(1)).alias("n")).where("n = 2").drop("n")
-
-    likely = parts.join(later, "part").where(F.col("origin") < F.col("turn")).select("part", "conv", "origin", F.array_join("words", " ").alias("text"))
-    said = said.select(F.col("conv").alias("its_conv"), F.col("turn").alias("its_turn"), "said")
-    met = likely.join(said, (F.col("origin") == F.col("its_turn")) & F.col("conv").eqNullSafe(F.col("its_conv")))
-    sure = met.where(F.contains(F.concat(F.lit(" "), "said", F.lit(" ")), F.concat(F.lit(" "), "text", F.lit(" ")))).select("part", "origin").distinct()
-    return parts.join(sure, "part", "left").select("conv", "turn", "level", "lines", "origin")
+    opened = opened.where(F.size("words") >= F.col("size")).select("conv", "turn", windows(F.col("words"), F.col("size")).alias("h"))
+    same = (F.col("h") == F.col("its_h")) & F.col("conv").eqNullSafe(F.col("its_conv"))
+    held = stored(opened.join(asked.select("its_conv", "its_h").distinct(), same, "left_semi"), "held")
+
+    spread = held.groupBy("conv", "h").agg(F.min("turn").alias("first"), F.count(F.lit(1)).alias("n"))
+    rarest = asked.join(spread, same, "left").groupBy("part").agg(
+        F.count(F.lit(1)).alias("windows"), F.count("n").alias("known"), F.min(F.struct("n", "h"))["h"].alias("its_h"), F.max("first").alias("since")
+    )
+    rarest = stored(texts.join(rarest.where("windows = known"), "part").withColumnRenamed("conv", "its_conv"), "rarest")
+    alike = rarest.where("size(words) = size").select("part", F.col("since").alias("origin"))
+    told = held.join(rarest.where("size(words) > size"), same).where(F.col("turn") >= F.col("since")).select("part", "text", "its_conv", F.col("turn").alias("its_turn"))
+    told = told.join(said, (F.col("turn") == F.col("its_turn")) & F.col("conv").eqNullSafe(F.col("its_conv")))
+    sure = told.where(F.contains(F.concat(F.lit(" "), "said", F.lit(" ")), F.concat(F.lit(" "), "text", F.lit(" "))))
+    firsts = alike.unionByName(sure.groupBy("part").agg(F.min("turn").alias("origin")))
+    found = texts.join(firsts, "part").select(F.col("conv").alias("its_conv"), F.col("text").alias("its_text"), "origin")
+    met = parts.join(found, (F.col("text") == F.col("its_text")) & F.col("conv").eqNullSafe(F.col("its_conv")), "left")
+    return met.select("conv", "turn", "level", "lines", F.when(F.col("origin") < F.col("turn"), F.col("origin")).alias("origin"))
 
 
 def _roots(replies: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality rules, sharding, quotations: odd inputs and brute force."""
 
 import itertools
+import random
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -183,3 +184,41 @@ def test_parts_of_messages_and_parts_wrapped_anew_are_linked(spark):
     assert got[1, 6] == (0, None, 6)
     assert got[2, 0] == (0, None, 0)
     assert got[None, 1] == (1, 0, 0)
+
+
+def test_every_earlier_message_may_hold_a_part(spark):
+    rows = [
+        (1, 0, "a", "Please see the plan today"),
+        (1, 1, "b", "My plan was rejected"),
+        (1, 2, "c", "I heard the plan was agreed yesterday"),
+        (1, 3, "a", "> the plan was\nso?"),
+        (1, 4, "b", "> the plan was rejected\nnot said in a row by anyone"),
+    ]
+    got = {r["turn"]: (r["n_linked"], r["reply_to"]) for r in quotes.threaded(_talk(spark, rows)).collect()}
+    assert got[3] == (1, 2) and got[4] == (0, None)
+
+
+def test_all_planted_parts_are_found(spark):
+    """Parts of every length, wrapped anew, of messages from few words: each is linked to the first message that holds it, by brute force."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    for conv in range(4):
+        said = []
+        for turn in range(40):
+            own = [f"v{rng.randrange(8)}" for _ in range(rng.randrange(5, 60))]
+            quote = []
+            if turn:
+                source = rng.choice(said)
+                n = rng.randrange(1, len(source))
+                at = rng.randrange(len(source) - n + 1)
+                quote = source[at : at + n]
+                hold = f" {' '.join(quote)} "
+                want[conv, turn] = next(t for t, s in enumerate(said) if hold in f" {' '.join(s)} ")
+            cut = rng.randrange(len(quote) + 1)
+            lines = [" ".join(q) for q in (quote[:cut], quote[cut:]) if q]
+            rows.append((conv, turn, "a", "\n".join([*(f"> {x}" for x in lines), " ".join(own)])))
+            said.append(own)
+    got = {(r["conv_id"], r["turn"]): (r["n_quoted"], r["n_linked"], r["reply_to"]) for r in quotes.threaded(_talk(spark, rows)).collect()}
+    assert all(got[k][0] == got[k][1] > 0 for k in want)
+    # A passage whose lines are whole lines of messages is linked line by line first; that needs equal lines, which these never are.
+    assert {k: got[k][2] for k in want} == want
