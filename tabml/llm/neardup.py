@@ -263,8 +263,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     """`(id, th, n, component)` for each input row: `th` xxhash64 of its text, `n` shingles, `component` the smallest id linked with it."""
     signed = stored(_signed(df, key, text, k, bands, rows), "signed")
     rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th"))
-    classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(rep.alias("rep"), F.min_by("bands", F.struct("id", "th")).alias("bands"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("cid"), "n", "s1", "s2", F.col("rep.id").alias("low"), F.col("rep.th").alias("th"), "bands"), "classes")
+    classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(rep.alias("rep"), F.min_by("bands", F.struct("id", "th")).alias("bands"), F.count(F.lit(1)).alias("members"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("cid"), "n", "s1", "s2", F.col("rep.id").alias("low"), F.col("rep.th").alias("th"), "bands", "members"), "classes")
 
     banded = classes.select("cid", "n", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").select("band", "hub")
@@ -284,11 +284,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     if not more.isEmpty():
         parts = stored(connected_components(links.unionByName(more), small_edges=0), "parts")
 
-    named = classes.join(parts, F.col("cid") == F.col("node"), "left").select("n", "s1", "s2", "low", F.coalesce("component", "cid").alias("comp"))
-    lowest = named.groupBy("comp").agg(F.min("low").alias("component"))
-    answer = stored(named.join(lowest, "comp").select("n", "s1", "s2", "component"), "answer")
-    rows_of = signed.select("id", "th", "n", "s1", "s2").join(answer, ["n", "s1", "s2"], "left")
-    return rows_of.select("id", "th", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    linked = stored(classes.join(parts, F.col("cid") == F.col("node")).select("cid", "component", "low"), "linked")
+    lowest = stored(linked.groupBy(F.col("component").alias("comp")).agg(F.min("low").alias("lowest")), "lowest")
+    named = linked.join(key_side(lowest), F.col("component") == F.col("comp")).select(F.col("cid").alias("its"), "lowest")
+    # A class of one row that is linked with nothing is its own component: only the others meet their rows again.
+    grouped = classes.join(named, F.col("cid") == F.col("its"), "left").where((F.col("members") > 1) | F.col("its").isNotNull())
+    answer = stored(grouped.select("n", "s1", "s2", F.when(F.col("its").isNotNull(), F.col("lowest")).otherwise(F.col("low")).alias("component"), F.lit(True).alias("met")), "answer")
+    with_set = signed.where("n > 0").select("id", "th", "n", "s1", "s2").join(key_side(answer), ["n", "s1", "s2"], "left")
+    with_set = with_set.select("id", "th", "n", F.when(F.col("met"), F.col("component")).otherwise(F.col("id")).alias("component"))
+    return with_set.unionByName(signed.where("n = 0").select("id", "th", "n", F.col("id").alias("component")))
 
 
 def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, k: int = 5) -> DataFrame:
