@@ -44,7 +44,7 @@ class KnnModel(FittedModel):
 
     def _narrow(self, dataset: DataFrame) -> DataFrame:
         side = self.train.select(col(self.key).cast("bigint").alias("tid"), F.col("features").alias("tf"), "label")
-        held = dataset.sparkSession.sparkContext.broadcast(neighbors.SmallTrainingSet(side))
+        held = dataset.sparkSession.sparkContext.broadcast(neighbors.SmallTrainingSet(side, self.k))
         k, classes = self.k, self.classes
 
         @F.pandas_udf("array<double>")
@@ -52,7 +52,7 @@ class KnnModel(FittedModel):
             data = held.value
             if not len(features):
                 return pd.Series([], dtype=object)
-            row, point, distance = neighbors._nearest_in_block(neighbors._matrix(features), data.points, data.ids, k)
+            row, point, distance = data.nearest(neighbors._matrix(features), k)
             weight = 1.0 / (distance + fixed.KNN_OFFSET)
             label = data.labels[point]
             totals = np.bincount(row, weight, len(features))

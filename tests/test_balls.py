@@ -1,6 +1,9 @@
 """Search and clustering in balls: exact rounds, approximate probes, DBSCAN with a halo."""
 
+import time
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from tabml.operators import neighbors
@@ -67,3 +70,46 @@ def test_many_features_take_the_halo(spark):
     assert [r["prediction"] for r in got] == list(label) and set(label) == {-1, 0, 1}
     grid = dbscan(frame(spark, x[:, :4]), 0.5, 5, method="halo").orderBy("_row_id").collect()
     assert [r["prediction"] for r in grid] == list(sequential_dbscan(x[:, :4], 0.5, 5)[0])
+
+
+@pytest.mark.parametrize("d,k,kind", [(1, 5, "ties"), (2, 6, "copies"), (2, 3, "far"), (3, 40, "ties"), (7, 2, "far"), (2, 90, "few"), (2, 5, "apart")])
+def test_tree_of_boxes_is_exact_and_meets_few_rows(monkeypatch, d, k, kind):
+    monkeypatch.setattr(neighbors, "MOST_PAIRS", 300)
+    rng = np.random.default_rng(d * k)
+    t = rng.normal(size=(50 if kind == "few" else 4000, d))
+    if kind in ("ties", "copies"):
+        t = np.round(t, 1)
+    t[: {"copies": 1500}.get(kind, 0)] = 0.3
+    q = np.concatenate([t[:200], rng.normal(size=(200, d)), np.full((3, d), 1e6 if kind == "far" else 9.0)])
+    if kind == "apart":  # clusters, and one feature without any spread
+        t[:, 1], t[::2, 0] = 1.0, t[::2, 0] + 1e9
+    side = neighbors.SmallTrainingSet(Rows(t), k)
+    order, distance = brute_neighbors(q, t, k)
+    row, point, found = side.nearest(q, k)
+    n = min(k, len(t))
+    assert list(row) == list(np.repeat(np.arange(len(q)), n))
+    assert list(side.ids[point]) == list(order[:, :n].ravel())
+    assert list(found) == pytest.approx(list(distance[:, :n].ravel()))
+    if d <= 2 and kind not in ("few", "copies"):
+        assert sum(len(c[0]) for c in side.tree.candidates(t[1500:1700], k)) < 200 * 12 * k  # not 200 * 4000
+    assert side.tree.least >= n or kind == "few"
+    assert kind != "copies" or (side.points == 0.3).all(axis=1).sum() == k
+
+
+def test_search_of_a_broadcast_side_does_not_grow_with_all_pairs():
+    t = np.random.default_rng(5).normal(size=(200_000, 2))
+    side = neighbors.SmallTrainingSet(Rows(t), 6)
+    began = time.process_time()
+    row, _, distance = side.nearest(t[:20_000], 6)
+    assert len(row) == 120_000 and (distance[::6] == 0).all()
+    assert time.process_time() - began < 10  # 4 billion pairs one by one take more than 30 s
+
+
+class Rows:
+    """Training rows as `SmallTrainingSet` asks for them."""
+
+    def __init__(self, x):
+        self.x = x
+
+    def toPandas(self):
+        return pd.DataFrame({"tid": np.arange(len(self.x)), "tf": list(self.x), "label": 0.0})
