@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ BLOCK_ROWS = 8192
 # Up to so many products a step (distinct rows x features x classes) all steps run in one task: some 32 MB of rows at most, and
 # a step takes less time than a job.
 ONE_TASK = 4_000_000
+# Bytes of kept matrices per task at most, where these are more than the cores can hold in one part each.
+PART_BYTES = 256 << 20
 
 
 class SoftmaxModel(FittedModel):
@@ -69,7 +72,12 @@ def train_softmax(
 
 
 def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: float) -> np.ndarray:
-    """Full-batch steps over distinct rows with weights: all in one task where these are few, else one sum of partial gradients per step."""
+    """Full-batch steps over distinct rows with weights: all in one task where these are few.
+
+    Else a step is a job of a single stage over the kept blocks, in about as many tasks as there are cores: each task
+    adds up its blocks, and the few partial gradients (classes x features numbers) are added in the order of the tasks.
+    """
+    spark = df.sparkSession
     weighted = df.groupBy("features", F.col("label").cast("double").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     penalty = np.full(d + 1, l2)
@@ -100,21 +108,29 @@ def _descend(df: DataFrame, count: int, d: int, rate: float, epochs: int, l2: fl
             yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()]})
 
     try:
-        if weighted.count() * (d + 1) * count <= ONE_TASK:
+        rows = weighted.count()
+        if rows * (d + 1) * count <= ONE_TASK:
             found = weighted.repartition(1).mapInArrow(all_steps, "weights binary").first()
             return np.frombuffer(found["weights"]).reshape(count, d + 1)
-        blocks = weighted.mapInArrow(pack, "x binary, label binary, weight binary").rdd.map(matrix).persist(StorageLevel.MEMORY_AND_DISK)
+        tasks = part_count(rows, d, spark.sparkContext.defaultParallelism)
+        blocks = weighted.repartition(tasks).mapInArrow(pack, "x binary, label binary, weight binary").rdd.map(matrix).persist(StorageLevel.MEMORY_AND_DISK)
         n = blocks.map(lambda b: b[2].sum()).sum()
         weights = np.zeros((count, d + 1))
         for _ in range(epochs):
-            total = blocks.treeAggregate(np.zeros_like(weights), _gradient(weights), lambda a, b: a + b)
-            weights = weights - rate * (total / n + weights * penalty)
+            add, zero = _gradient(weights), np.zeros_like(weights)
+            partial = blocks.mapPartitions(lambda held, add=add, zero=zero: [reduce(add, held, zero)]).collect()
+            weights = weights - rate * (np.sum(partial, axis=0) / n + weights * penalty)
         blocks.unpersist()
         return weights
     finally:
         weighted.unpersist()
 
 
+def part_count(rows: int, d: int, cores: int) -> int:
+    """Parts of the kept blocks: no more than cores, unless a part would outgrow `PART_BYTES`."""
+    return max(1, min(cores, -(-rows // BLOCK_ROWS)), -(-rows * (d + 3) * 8 // PART_BYTES))
+
+
 def _gradient(weights: np.ndarray):
     def add(total: np.ndarray, block: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
         x, label, weight = block  # features x rows

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from tabml.operators import preprocess
@@ -93,3 +94,15 @@ def test_softmax_steps_in_one_task_and_in_many_agree(spark, rows, monkeypatch):
         step[:, 1:] += 0.001 * w[:, 1:]
         w = w - 0.08 * step
     assert one == pytest.approx(w)
+
+
+def test_a_softmax_step_is_one_stage_of_few_tasks(spark, rows, monkeypatch):
+    x, df = rows
+    monkeypatch.setattr(softmax, "ONE_TASK", 0)
+    monkeypatch.setattr(softmax, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(RDD, "treeAggregate", None)  # two stages and a shuffle a step
+    kept, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: kept.append(self.getNumPartitions()) or collect(self))
+    train("classification", "logistic", df.repartition(50), classes=4, epochs=3)
+    assert len(kept) >= 3 and max(kept) <= spark.sparkContext.defaultParallelism
+    assert softmax.part_count(100, 3, 8) == 7 and softmax.part_count(10**9, 3, 8) == 179
