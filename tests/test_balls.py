@@ -113,3 +113,13 @@ class Rows:
 
     def toPandas(self):
         return pd.DataFrame({"tid": np.arange(len(self.x)), "tf": list(self.x), "label": 0.0})
+
+
+def test_within_is_decided_as_by_distances(monkeypatch):
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 3, (300, 20)) / 10, rng.integers(0, 3, (200, 20)) / 10
+    exact = neighbors.distances(a, b)
+    for most in (exact[0, 0], exact[5, 7], np.median(exact), 0.0):  # many pairs lie at the very distance
+        assert (neighbors.within(a, b, most) == (exact <= most)).all()
+    monkeypatch.setattr(neighbors, "distances", None)  # all pairs one feature at a time
+    assert neighbors.within(a, a, 0.0).diagonal().all()
