@@ -123,3 +123,11 @@ def test_within_is_decided_as_by_distances(monkeypatch):
         assert (neighbors.within(a, b, most) == (exact <= most)).all()
     monkeypatch.setattr(neighbors, "distances", None)  # all pairs one feature at a time
     assert neighbors.within(a, a, 0.0).diagonal().all()
+
+
+def test_a_query_travels_once_per_bucket():
+    n = 1000
+    cells = neighbors.Cells(np.zeros((n, 1)), np.full(n, 700.0), np.ones(n), np.zeros(n), np.arange(n) % 30, np.zeros((30, 1)), np.ones(30))
+    buckets = neighbors.buckets_of(cells, neighbors.BUCKET_ROWS)
+    assert len(np.unique(buckets)) <= 22  # a query was copied to each of the 1,000 cells
+    assert np.bincount(buckets, cells.rows).max() <= neighbors.BUCKET_ROWS + 700
