@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.llm.joins import MOST_KEYS, key_side
-from tabml.llm.tokens import PIECE_BYTES, SPACED, _buffers, mixed, pieces
+from tabml.llm.tokens import SPACED, _buffers, mixed, pieces
 from tabml.sources.scratch import stored
 
 SHORTEST, AT_LEAST = 10, 2
+# Bytes of text at a time: a dozen arrays of eight bytes for each of these are held at once, and the powers for good.
+PIECE_BYTES = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -54,7 +56,7 @@ def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     """Two independent hashes of each byte range `first[i]:last[i]`; ranges are in order and don't overlap."""
     out = np.zeros((2, len(first)), np.uint64)
     a = 0
-    while a < len(first):  # a megabyte of ranges at a time
+    while a < len(first):  # a piece of ranges at a time
         b = max(a + 1, int(np.searchsorted(last, first[a] + PIECE_BYTES, side="right")))
         low, high = int(first[a]), int(last[b - 1])
         for k in range(2):
@@ -96,7 +98,7 @@ def _hashed(shortest: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces(batch.column(3)):
+            for a, b in pieces(batch.column(3), PIECE_BYTES):
                 part = batch.slice(a, b - a)
                 bounds, _, _, low, high, size, data = lines_of(part.column(3))
                 kept = np.flatnonzero(size >= shortest)
@@ -138,7 +140,7 @@ def dropped_lines(lines: DataFrame, at_least: int = AT_LEAST) -> DataFrame:
 def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the lines at the positions dropped."""
     for batch in batches:
-        for a, b in pieces(batch.column(1)):
+        for a, b in pieces(batch.column(1), PIECE_BYTES):
             part = batch.slice(a, b - a)
             texts, gone = part.column(1), part.column(2)
             bounds, first, end, *_ = lines_of(texts)

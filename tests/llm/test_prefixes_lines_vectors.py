@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabml.llm import linededup, queries, trie, whitening
@@ -259,3 +261,17 @@ def test_names_that_are_not_numbers(spark):
     rows = [("b", "the very same line"), ("a", "The very same line "), (None, "the very same line")]
     found = linededup.deduplicated(spark.createDataFrame(rows, "doc_id string, text string"))
     assert plain(found.select("row.doc_id", "n_lines", "n_dropped", "kept_text").collect()) == _plain_lines(rows)
+
+
+def test_line_hashes_take_little_memory():
+    texts = pa.array(["\n".join(f"line {i} of text {t}, long enough" for i in range(200)) for t in range(400)])
+    ids = pa.array(range(400))
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, texts], ["id", "t1", "t2", "text"])
+    assert texts.nbytes > 2_000_000
+    linededup._powers.clear()
+    tracemalloc.start()
+    found = sum(b.num_rows for b in linededup._hashed(10)(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 80_000
+    assert most < 30_000_000  # 70 MB with pieces of a megabyte
