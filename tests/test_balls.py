@@ -105,6 +105,17 @@ def test_search_of_a_broadcast_side_does_not_grow_with_all_pairs():
     assert time.process_time() - began < 10  # 4 billion pairs one by one take more than 30 s
 
 
+def test_tree_of_boxes_meets_few_rows_beside_a_feature_of_few_values():
+    rng = np.random.default_rng(6)
+    t = np.stack([rng.normal(size=50_000), rng.integers(0, 25, 50_000) / 7], axis=1)
+    side = neighbors.SmallTrainingSet(Rows(t), 6)
+    assert sum(len(c[0]) for c in side.tree.candidates(t[:500], 6)) < 500 * 4 * 6  # thinly spread rows beside a line made it 52 a query
+    order, distance = brute_neighbors(t[:500], t, 6)
+    row, point, found = side.nearest(t[:500], 6)
+    assert list(side.ids[point]) == list(order.ravel())
+    assert list(found) == pytest.approx(list(distance.ravel()))
+
+
 class Rows:
     """Training rows as `SmallTrainingSet` asks for them."""
 
