@@ -5,6 +5,7 @@ import time
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabml.operators import neighbors
 from tabml.operators.learners.dbscan import dbscan
@@ -116,6 +117,14 @@ def test_tree_of_boxes_meets_few_rows_beside_a_feature_of_few_values():
     assert list(found) == pytest.approx(list(distance.ravel()))
 
 
+def test_queries_of_one_partition_are_searched_by_many_tasks(spark):
+    rows = spark.range(0, 400, 1, 1).selectExpr("id AS qid", "array(double(id)) AS qf", "id AS tid", "array(double(id)) AS tf", "0.0D AS label")
+    found = neighbors._by_broadcast(rows.select("qid", "qf"), rows.select("tid", "tf", "label"), 1)
+    parts = found.select(F.spark_partition_id().alias("part"), "qid", "tid").toPandas()
+    assert parts["part"].nunique() > 1  # as many as the input's, which was one
+    assert sorted(parts["qid"]) == list(range(400)) and (parts["qid"] == parts["tid"]).all()
+
+
 class Rows:
     """Training rows as `SmallTrainingSet` asks for them."""
 
