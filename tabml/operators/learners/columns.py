@@ -145,17 +145,16 @@ def _segments(block: dict, level: Level):
         at = np.full(len(spot), tree)
         for _ in range(level.depth):
             feature = level.feature[at]
-            inner = np.flatnonzero(feature >= 0)
-            if not len(inner):
-                break
-            here = at[inner]
-            low = rows[spot[inner], feature[inner]] <= level.threshold[here]
-            at[inner] = np.where(low, level.left[here], level.right[here])
+            inner = feature >= 0  # rows in a leaf above this level belong to no open node
+            if not inner.all():
+                spot, at, feature = spot[inner], at[inner], feature[inner]
+            at = np.where(rows[spot, feature] <= level.threshold[at], level.left[at], level.right[at])
         wanted = level.open[at, j]
         nodes.append(at[wanted])
         spots.append(spot[wanted] * level.trees + tree)
     node, spot = np.concatenate(nodes), np.concatenate(spots)
-    order = np.argsort(node, kind="stable")  # within a node rows stay in order of value
+    # within a node rows stay in order of value; numbers of 16 bits are sorted by their digits
+    order = np.argsort(node.astype(np.uint16) if len(level.feature) <= 1 << 16 else node, kind="stable")
     node, spot = node[order], spot[order]
     row, tree = spot // level.trees, spot % level.trees
     value = value[row]
