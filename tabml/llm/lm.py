@@ -13,7 +13,9 @@ P(word | before) = P(class | before) * P(word | class), which sums to 1.
   arrays in buckets of their hashes, where they are summed and ordered by a second hash. A learner, at most `LEARNERS` of them, is one task that
   learns some of the buckets block by block in numpy, weighing each triple by its count, and what the learners found is averaged after each of `ROUNDS`
   rounds. Neither examples nor their order depend on how the texts are partitioned. Few triples are repeated.
-* Scoring normalises each context of two classes once in a task, by batches of matrix products; a token is then a lookup and one dot product.
+* The normaliser of a context of two classes is a sum over classes of products of two exponentials, one for each place, so all of them are one matrix product.
+  Tasks make it band by band, and it goes to all tasks as a table of at most `MOST_CONTEXTS` numbers, which holds the classes with the largest masses; contexts with
+  another class are normalised one by one. A token is then a lookup and one dot product.
 
 Scores are log10. They don't depend on partitions beyond the rounding of sums. Words are told apart by 64-bit hashes. A NULL text is an empty one: it has only
 the end token. Repeated rows are scored one by one. Without training texts every word is unseen and the classes are equally likely.
@@ -39,7 +41,8 @@ WIDTH, BATCH, NOISE = 16, 512, 32
 LEARNERS, ROUNDS, RATE = 32, 2, 0.1
 SHARE_BITS, BUCKET_BITS, CHUNK = 20, 21, 1 << 17  # triples of a learner, tokens of a bucket, triples learned in one drawn order
 LEAST_EXAMPLES, MOST_TIMES = 1 << 19, 200  # how often few triples are repeated
-MOST_CONTEXTS = 1 << 24  # of a task's table of normalisers
+MOST_CONTEXTS, BAND = 1 << 26, 256  # contexts in the table of normalisers, rows of it made at once
+SURE = 1e-25  # sums below it may have lost terms to underflow
 END = np.uint64(0x1F83D9ABFB41BD6B)
 ADD = 0.1
 
@@ -202,6 +205,30 @@ class Model:
             out[a : a + 4 * BATCH] = most + np.log(np.exp(score, out=score).sum(axis=1))
         return out
 
+    def band(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """`normalisers` of each of `one` before each of `two`: the exponentials of both places are taken apart, and a matrix product sums over the classes."""
+        before, after, place, bias = self.parts
+        first, most_first = _exponentials((before @ place[0])[one], after, bias)
+        out = np.empty((len(one), len(two)), np.float32)
+        for a in range(0, len(two), BAND):
+            second, most_second = _exponentials((before @ place[1])[two[a : a + BAND]], after, 0)
+            total = first @ second.T
+            row, at = np.nonzero(~(total >= SURE))
+            part = out[:, a : a + BAND]
+            part[:] = np.log(np.maximum(total, SURE)) + most_first[:, None] + most_second
+            if len(row):
+                part[row, at] = self.normalisers(one[row], two[a + at])
+        return out
+
+
+def _exponentials(vectors: np.ndarray, after: np.ndarray, bias: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """exp of each vector's scores less their largest, and the largest."""
+    score = vectors @ after.T
+    score += bias
+    most = score.max(axis=1)
+    score -= most[:, None]
+    return np.exp(score, out=score), most
+
 
 def fresh_model(masses: np.ndarray, seed: int = 1) -> Model:
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -220,6 +247,7 @@ class Learner:
         self.squares = [np.full(p.shape if k == 2 else len(p), 1e-3, np.float32) for k, p in enumerate(self.parts)]
         self.edges = np.cumsum(np.exp(model.log_noise))
         self.scaled = model.log_noise + np.float32(np.log(NOISE))
+        self.slot = np.zeros(len(self.parts[0]), np.int64)
 
     def learn(self, two: np.ndarray, one: np.ndarray, own: np.ndarray, count: np.ndarray) -> None:
         order = self.rng.permutation(len(own))
@@ -244,17 +272,24 @@ class Learner:
         turned = np.stack([first.T @ d_q, second.T @ d_q])
         self.squares[2] += turned * turned
         place += self.rate * turned / np.sqrt(self.squares[2])
-        grad = np.bincount(both, np.concatenate([d_data, d_other.sum(axis=0)]), len(bias)).astype(np.float32)
-        self.squares[3] += grad * grad
-        bias += self.rate * grad / np.sqrt(self.squares[3])
+        rows, both = self._met(both)
+        grad = np.bincount(both, np.concatenate([d_data, d_other.sum(axis=0)]), len(rows)).astype(np.float32)
+        self.squares[3][rows] += grad * grad
+        bias[rows] += self.rate * grad / np.sqrt(self.squares[3][rows])
+
+    def _met(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows met, and for each place the position of its row in them; without work on the other rows, which grow with the words."""
+        self.slot[at] = np.arange(len(at))
+        rows = at[self.slot[at] == np.arange(len(at))]
+        self.slot[rows] = np.arange(len(rows))
+        return rows, self.slot[at]
 
     def _add(self, k: int, at: np.ndarray, grad: np.ndarray) -> None:
         """Sum the gradients by row, then step by the root of the squares met by the row."""
-        part = self.parts[k]
-        n = len(part)
-        total = np.bincount((at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), grad.ravel(), n * WIDTH).astype(np.float32).reshape(n, WIDTH)
-        self.squares[k] += (total * total).mean(axis=1)
-        part += (self.rate / np.sqrt(self.squares[k]))[:, None] * total
+        rows, at = self._met(at)
+        total = np.bincount((at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), grad.ravel(), len(rows) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
+        self.squares[k][rows] += (total * total).mean(axis=1)
+        self.parts[k][rows] += (self.rate / np.sqrt(self.squares[k][rows]))[:, None] * total
 
 
 def _triples(words, buckets: int):
@@ -279,7 +314,8 @@ def _triples(words, buckets: int):
                 text, value, kind, _ = with_ends(batch.column(0)[a:b])
                 cls = vocab.classes_of(kind, *vocab.find(value))
                 one, two = contexts(text, cls, n)
-                held.append(np.unique((two * (n + 1) + one) * n + cls, return_counts=True))
+                code, count = np.unique((two * (n + 1) + one) * n + cls, return_counts=True)
+                held.append((code, count.astype(np.int32)))
                 size += len(held[-1][0])
                 if size > 4_000_000:
                     yield given()
@@ -291,8 +327,9 @@ def _triples(words, buckets: int):
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes and their summed counts."""
+    """Distinct codes and their summed counts; the list is emptied, so that nothing is held twice."""
     code, count = (np.concatenate(x) for x in zip(*held))
+    held.clear()
     order = np.argsort(code)
     code, count = code[order], count[order]
     begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
@@ -377,26 +414,53 @@ def learned(model: Model, triples: DataFrame) -> Model:
     return model
 
 
+def tabled(masses: np.ndarray) -> np.ndarray:
+    """Classes, the beginning among them, whose contexts get a place in the table of normalisers: those with the largest masses."""
+    side, n = int(MOST_CONTEXTS**0.5), len(masses) + 1
+    if n <= side:
+        return np.arange(n)
+    return np.sort(np.append(np.argsort(-masses, kind="stable")[: max(0, side - 1)], n - 1))[:side]
+
+
+def normaliser_table(spark, model: Model, held: np.ndarray) -> np.ndarray:
+    """The normalisers of all contexts of the classes `held`, made by tasks in bands of rows."""
+    sent, bands = spark.sparkContext.broadcast((model, held)), -(-len(held) // BAND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, classes = sent.value
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                value = network.band(classes[k * BAND : (k + 1) * BAND], classes).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([value], pa.binary())], ["band", "value"])
+
+    found = spark.range(0, bands, 1, max(1, bands)).mapInArrow(run, "band int, value binary").toArrow().sort_by("band")
+    sent.destroy()
+    return np.concatenate([np.frombuffer(v.as_py(), np.float32) for v in found["value"]] or [np.zeros(0, np.float32)]).reshape(len(held), len(held))
+
+
 class Scorer:
-    """Class probabilities with the normalisers of the contexts met so far in this task."""
+    """Class probabilities with the table of normalisers of the classes `held`, made here where it isn't given."""
 
-    def __init__(self, model: Model, masses: np.ndarray):
+    def __init__(self, model: Model, masses: np.ndarray, held: np.ndarray | None = None, table: np.ndarray | None = None):
         before, self.after, place, self.bias = model.parts
         self.model, self.log_mass = model, np.log10(masses)
         self.one, self.two = before @ place[0], before @ place[1]
         self.n = model.classes + 1
-        self.known = np.full(self.n * self.n, np.nan, np.float32) if self.n * self.n <= MOST_CONTEXTS else None
+        held = tabled(masses) if held is None else held
+        self.table = model.band(held, held) if table is None else table
+        self.slot = np.full(self.n, -1)
+        self.slot[held] = np.arange(len(held))
 
     def normaliser(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        code = one * self.n + two
-        if self.known is None:
-            code, at = np.unique(code, return_inverse=True)
-            return self.model.normalisers(code // self.n, code % self.n)[at]
-        fresh = code[np.isnan(self.known[code])]
-        if len(fresh):
-            fresh = np.unique(fresh)
-            self.known[fresh] = self.model.normalisers(fresh // self.n, fresh % self.n)
-        return self.known[code]
+        row, at = self.slot[one], self.slot[two]
+        if len(self.table) == self.n:
+            return self.table[row, at]
+        out = np.empty(len(one), np.float32)
+        known = (row >= 0) & (at >= 0)
+        out[known] = self.table[row[known], at[known]]
+        code, back = np.unique(one[~known] * self.n + two[~known], return_inverse=True)
+        out[~known] = self.model.normalisers(code // self.n, code % self.n)[back]
+        return out
 
     def log_shares(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """log10 P(class | one, two) without the log10 count of its class: what is added to the log10 count of a word."""
@@ -454,7 +518,8 @@ def scored(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text"
     """
     spark = df.sparkSession
     vocab, rest, model, masses = fitted(df.where(learn).select(F.col(f"`{text}`").alias("text")))
-    words, net = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast((model, masses))
+    held = tabled(masses)
+    words, net = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast((model, masses, held, normaliser_table(spark, model, held)))
 
     docs = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()

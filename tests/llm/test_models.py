@@ -315,6 +315,57 @@ def test_normalisers_with_and_without_a_table_agree(monkeypatch):
     assert np.allclose(lm.Scorer(model, np.ones(50)).normaliser(one, two), table_, atol=1e-5)
 
 
+def test_normalisers_of_many_classes_come_from_matrix_products(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = lm.fresh_model(rng.random(4200) + 0.1)
+    one, two = rng.integers(0, 4201, (2, 300))
+    want = model.normalisers(one, two)
+    monkeypatch.setattr(lm.Model, "normalisers", None)  # one exponential per context and class, and beyond 4,095 classes again for each batch of texts
+    bands = [model.band(one[a : a + 50], two) for a in range(0, 300, 50)]
+    assert np.allclose(np.concatenate(bands).diagonal(), want, atol=1e-5)
+
+
+@pytest.mark.parametrize("most", [0, 1, 20**2, 51**2])
+def test_contexts_outside_the_table_are_normalised_alike(spark, monkeypatch, most):
+    rng = np.random.default_rng(4)
+    masses = rng.random(50) + 0.1
+    model = lm.fresh_model(masses)
+    one, two = rng.integers(0, 51, (2, 1000))
+    monkeypatch.setattr(lm, "MOST_CONTEXTS", most)
+    monkeypatch.setattr(lm, "BAND", 7)
+    held = lm.tabled(masses)
+    assert len(held) == min(51, most**0.5) and (not most or 50 in held)
+    scorer = lm.Scorer(model, masses, held, lm.normaliser_table(spark, model, held))
+    assert np.allclose(scorer.normaliser(one, two), model.normalisers(one, two), atol=1e-5)
+
+
+def test_normalisers_hold_where_products_vanish():
+    model = lm.fresh_model(np.ones(40))
+    model.parts[0][:] = 0
+    model.parts[1][:] = 0
+    model.parts[1][0, 0], model.parts[1][1, 1] = 1, 1
+    model.parts[0][0, 0], model.parts[0][1, 1] = 300, 600  # each place is sure of another class
+    every = np.arange(41)
+    found = model.band(every, every)
+    assert found[0, 1] == pytest.approx(600 / 2, abs=5) and np.isfinite(found).all()
+    assert np.allclose(found.ravel(), model.normalisers(every.repeat(41), np.tile(every, 41)), rtol=1e-5)
+
+
+def test_a_step_changes_the_rows_it_met_and_no_other():
+    rng = np.random.default_rng(6)
+    model = lm.fresh_model(rng.random(3000) + 0.1)
+    learner = lm.Learner(model, 0.1, 1)
+    at, grad = rng.integers(0, 30, 500), rng.normal(size=(500, lm.WIDTH)).astype(np.float32)
+    total = np.zeros((3000, lm.WIDTH))
+    np.add.at(total, at, grad.astype(float))
+    squares = 1e-3 + (total.astype(np.float32) ** 2).mean(axis=1)
+    want = model.parts[1] + (np.float32(0.1) / np.sqrt(squares))[:, None] * total
+    rows, place = learner._met(at)
+    assert len(rows) == len(np.unique(at)) and (rows[place] == at).all()
+    learner._add(1, at, grad)
+    assert np.allclose(learner.parts[1], want, atol=1e-5) and (learner.parts[1] != model.parts[1]).any(axis=1).sum() == len(rows)
+
+
 def test_trained_model_recovers_conditional_probabilities():
     rng = np.random.default_rng(2)
     one = rng.integers(0, 4, 20_000)
