@@ -151,3 +151,55 @@ def test_a_query_travels_once_per_bucket():
     buckets = neighbors.buckets_of(cells, neighbors.BUCKET_ROWS)
     assert len(np.unique(buckets)) <= 22  # a query was copied to each of the 1,000 cells
     assert np.bincount(buckets, cells.rows).max() <= neighbors.BUCKET_ROWS + 700
+
+
+@pytest.mark.parametrize("kind", ["sphere", "ties", "far", "same", "huge", "few"])
+def test_products_of_single_precision_give_the_same_neighbours(kind):
+    rng = np.random.default_rng(11)
+    t = {
+        "sphere": lambda: rng.normal(size=(3000, 64)),
+        "ties": lambda: rng.integers(0, 3, (3000, 12)) / 3,
+        "far": lambda: np.concatenate([rng.normal(1e6, 1e-3, (1500, 10)), rng.normal(size=(1500, 10))]),  # slack of single precision is wide here
+        "same": lambda: np.repeat(rng.normal(size=(5, 9)), 400, axis=0),
+        "huge": lambda: rng.normal(size=(300, 8)) * 1e200,
+        "few": lambda: rng.normal(size=(3, 20)),
+    }[kind]()
+    q, ids, k = np.concatenate([t[:1200], t[:50] * 1.01]), rng.permutation(len(t)), min(7, len(t))
+    with np.errstate(over="ignore"):
+        every = neighbors.distances(q, t)
+        order = np.lexsort((np.broadcast_to(ids, every.shape), every), axis=1)[:, :k]
+        row, point, found = neighbors._nearest_in_block(q, t, ids, k)
+        assert (row == np.repeat(np.arange(len(q)), k)).all() and (point == order.ravel()).all()
+        assert (found == np.take_along_axis(every, order, axis=1).ravel()).all()
+    if kind != "huge":
+        bound = np.take_along_axis(every, order, axis=1)[:, -1] * rng.choice([0.9, 1.0, 1.1], len(q))
+        cell, near = np.sort(rng.integers(0, 9, len(t))), rng.random((len(q), 9)) < 0.6
+        open_pairs = np.where(near[:, cell] & (every <= bound[:, None]), every, np.inf)
+        order = np.lexsort((np.broadcast_to(ids, every.shape), open_pairs), axis=1)[:, :k]
+        want = [(i, j) for i, o in enumerate(order) for j in o if np.isfinite(open_pairs[i, j])]
+        row, point, _ = neighbors._nearest_in_tiles(q, t, ids, k, bound, cell, near)
+        assert list(zip(row, point)) == want
+
+
+def test_only_first_tiles_are_partitioned(monkeypatch):
+    x = np.random.default_rng(12).normal(size=(20_000, 64))
+    sizes, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *rest, **more: sizes.append(np.size(a)) or partition(a, *rest, **more))
+    assert len(neighbors._nearest_in_block(x[:3000], x, np.arange(20_000), 6)[0]) == 18_000
+    assert sum(sizes) <= 3000 * neighbors.TILE_POINTS  # all 60 million distances were ordered by partition, for some 25 ns a pair
+
+
+def test_cells_that_may_hold_a_row_are_found_alike_by_products():
+    rng = np.random.default_rng(13)
+    x, centers = rng.normal(size=(500, 20)), rng.normal(size=(90, 20))
+    away = neighbors.distances(x, centers)
+    low, high = neighbors.by_products(x, centers)
+    assert (low <= away).all() and (away <= high).all() and (high - low).max() < 1e-4
+    upper = np.arange(90) % 9
+    radius, inner = np.full(90, 3.0), np.full(90, 0.5)
+    tops = centers[:9]
+    reach = np.array([np.linalg.norm(centers[upper == i] - tops[i], axis=1).max() + 3 for i in range(9)])
+    cells = neighbors.Cells(centers, np.ones(90), radius, inner, upper, tops, reach)
+    bound, done = np.full(500, 2.0), [np.array([i % 90, (i * 7) % 90]) for i in range(500)]
+    for i, found in enumerate(cells.within(x, bound, done)):
+        assert set(found) == set(np.flatnonzero(np.maximum(away[i] - radius, inner - away[i]) <= 2 + 1e-6)) - set(done[i])
