@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabml.operators import neighbors
+from tabml.operators.learners import halo
 from tabml.operators.learners.dbscan import dbscan
 from tabml.operators.learners.halo import dbscan_halo
 from tabml.operators.neighbors import nearest_neighbors
@@ -203,3 +204,51 @@ def test_cells_that_may_hold_a_row_are_found_alike_by_products():
     bound, done = np.full(500, 2.0), [np.array([i % 90, (i * 7) % 90]) for i in range(500)]
     for i, found in enumerate(cells.within(x, bound, done)):
         assert set(found) == set(np.flatnonzero(np.maximum(away[i] - radius, inner - away[i]) <= 2 + 1e-6)) - set(done[i])
+
+
+def test_rows_travel_only_where_their_block_leaves_something_open(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = np.concatenate([rng.normal(0, 0.2, (900, 20)), rng.normal(9, 0.2, (600, 20)), rng.normal(0, 40, (15, 20))])
+    met, travelled = [], halo._travelled
+    monkeypatch.setattr(halo, "_travelled", lambda asked, *rest: met.append(asked.agg(F.coalesce(F.sum(F.size("beside")), F.lit(0))).first()[0]) or travelled(asked, *rest))
+    got = dbscan_halo(frame(spark, x).withColumnRenamed("_row_id", "id"), 1.6, 5, 20, balls=30, block_rows=150).orderBy("id").collect()
+    label, core = sequential_dbscan(x, 1.6, 5)
+    assert [r["prediction"] for r in got] == list(label) and [r["is_core"] for r in got] == list(core) and set(label) == {-1, 0, 1}
+    assert max(met) < 250  # 15 rows to some blocks; each of the 1,515 rows went to every ball that may hold a row within eps
+
+
+@pytest.mark.parametrize("kind", ["sphere", "clusters", "copies", "far", "flat"])
+def test_blocks_of_dbscan_match_all_distances(monkeypatch, kind):
+    monkeypatch.setattr(neighbors, "TILE_ROWS", 64)
+    monkeypatch.setattr(neighbors, "TILE_POINTS", 64)
+    rng = np.random.default_rng(15)
+    x = {
+        "sphere": lambda: rng.normal(size=(500, 30)),
+        "clusters": lambda: rng.normal(size=(500, 12)) + 30 * rng.integers(0, 4, (500, 1)),
+        "copies": lambda: rng.integers(0, 3, (500, 10)) / 10,
+        "far": lambda: rng.normal(1e6, 1e-3, (500, 10)) * rng.choice([-1, 1], (500, 1)),
+        "flat": lambda: rng.normal(size=(500, 2)),
+    }[kind]()
+    every = neighbors.distances(x, x)
+    eps = every[3, 17] if kind == "copies" else np.quantile(every[every > 0], 0.004)  # many pairs lie at the very distance
+    near, weight = every <= eps, rng.integers(1, 5, 500).astype(float)
+    total = near[:200] @ weight
+    found = halo.counted(x[:200], x, weight, eps, np.inf)
+    assert (found == total).all()
+    assert ((halo.counted(x[:200], x, weight, eps, 6) >= 6) == (total >= 6)).all()
+    root = np.arange(500)
+    for _ in range(500):
+        root = np.where(near, root[None], 500).min(axis=1)
+    assert (halo.united(x, x, np.arange(500), np.arange(500), 500, eps, same=True) == root).all()
+    group = rng.integers(0, 9, 500)  # labels that rows share already
+    want = group.copy()
+    for _ in range(40):
+        low = np.minimum(np.where(near[:200, 200:], want[None, 200:], 9).min(axis=1), want[:200])
+        back = np.minimum(np.where(near[:200, 200:], low[:, None], 9).min(axis=0), want[200:])
+        both = np.concatenate([low, back])
+        least = np.full(9, 9)
+        np.minimum.at(least, group, both)
+        want = least[group]
+    rooted = halo.united(x[:200], x[200:], group[:200], group[200:], 9, eps)
+    assert (rooted[group] == want).all()
+    assert (halo.lowest(x[:200], x, weight, eps) == np.where(near[:200], weight, np.inf).min(axis=1)).all()
